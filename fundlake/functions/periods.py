@@ -34,7 +34,12 @@ def parse_start(start_period) -> _dt.date | str:
 
 def begin_column(start_period, function: str = "statement",
                  last_price: str = "last_price_date", last_statement: str = "last_statement_date") -> Column:
-    """The begin date of a measure as a column of the scope table."""
+    """The begin date of a measure as a column of the scope table.
+
+    A Column is taken as it is (a begin already derived per company).
+    """
+    if isinstance(start_period, Column):
+        return start_period
     p = parse_start(start_period)
     if p == "last":
         return F.col(last_price if function in PRICE_FUNCTIONS else last_statement)
@@ -43,6 +48,8 @@ def begin_column(start_period, function: str = "statement",
 
 def shift_start(start_period, months: int):
     """A dated start moved by ``months``; 'all' and 'last' are kept as they are."""
+    if isinstance(start_period, Column):
+        return F.add_months(start_period, months)
     p = parse_start(start_period)
     if p == "last" or (isinstance(start_period, str) and start_period == "all"):
         return start_period

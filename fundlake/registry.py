@@ -46,3 +46,38 @@ QUERIES["ebitda_ttm_since_1999"] = lambda s, d: income.ebitda(T(s, d), quarter=F
                                                                start_period="1999-06-30")
 QUERIES["revenue"] = lambda s, d: income.revenue(T(s, d))
 QUERIES["cfo"] = lambda s, d: income.cfo(T(s, d))
+
+# --- balances (M14, M15, M17, M20, M21, M24-M26) ---------------------------
+from fundlake.plans import balances, margins, market  # noqa: E402
+
+QUERIES["cash_equi"] = lambda s, d: balances.cash_equi(T(s, d))
+QUERIES["total_debt"] = lambda s, d: balances.total_debt(T(s, d))
+QUERIES["net_debt"] = lambda s, d: balances.net_debt(T(s, d))
+QUERIES["total_equity"] = lambda s, d: balances.total_equity(T(s, d))
+QUERIES["total_assets"] = lambda s, d: balances.total_assets(T(s, d), start_period="1999-01-01")
+QUERIES["debt_to_equity"] = lambda s, d: balances.debt_to_equity(T(s, d))
+QUERIES["financial_leverage"] = lambda s, d: balances.financial_leverage(T(s, d))
+QUERIES["current_ratio"] = lambda s, d: balances.current_ratio(T(s, d))
+
+# --- returns and margins (M22, M23, M27-M29) -------------------------------
+QUERIES["roe"] = lambda s, d: margins.roe(T(s, d))
+QUERIES["roa"] = lambda s, d: margins.roa(T(s, d), start_period="last")
+QUERIES["gross_profit_margin"] = lambda s, d: margins.gross_profit_margin(T(s, d))
+QUERIES["net_profit_margin"] = lambda s, d: margins.net_profit_margin(T(s, d))
+QUERIES["ebitda_margin"] = lambda s, d: margins.ebitda_margin(T(s, d))
+
+# --- market (M7, M8, M16, M18, M19, M30-M34) -------------------------------
+QUERIES["prices"] = lambda s, d: market.prices(T(s, d), start_period="2000-01-01")
+QUERIES["total_shares"] = lambda s, d: market.total_shares(T(s, d))
+QUERIES["market_value"] = lambda s, d: market.market_value(T(s, d))
+QUERIES["market_value_last"] = lambda s, d: market.market_value(T(s, d), start_period="last")
+QUERIES["eps"] = lambda s, d: market.eps(T(s, d))
+QUERIES["eps_last"] = lambda s, d: market.eps(T(s, d), start_period="last")
+QUERIES["eps_since_2000"] = lambda s, d: market.eps(T(s, d), start_period="2000-01-01")
+QUERIES["price_earnings"] = lambda s, d: market.price_earnings(T(s, d))
+QUERIES["enterprise_value"] = lambda s, d: market.enterprise_value(T(s, d))
+QUERIES["enterprise_value_since_2000"] = lambda s, d: market.enterprise_value(T(s, d), start_period="2000-01-01")
+QUERIES["ev_ebitda"] = lambda s, d: market.ev_ebitda(T(s, d))
+QUERIES["ev_ebit"] = lambda s, d: market.ev_ebit(T(s, d), start_period="2000-01-01")
+QUERIES["bv_share"] = lambda s, d: market.bv_share(T(s, d))
+QUERIES["price_bv"] = lambda s, d: market.price_bv(T(s, d), start_period="last")

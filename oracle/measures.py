@@ -10,6 +10,8 @@ DA = "Depreciação, Amortização e Exaustão"
 
 
 def begin_sql(start: str, price: bool = False) -> str:
+    if start.startswith("expr:"):
+        return start[5:]
     if start == "all":
         return "DATE '1900-01-01'"
     if start == "last":
@@ -110,3 +112,299 @@ def ebitda_sql(start="all", quarter=True, ytd=True, ttm=True) -> str:
         cols.append("CASE WHEN freq <> 'A' THEN t END AS ttm_ebitda")
     return (with_ctes(ebitda_ctes(start))
             + f"SELECT {', '.join(cols)} FROM et WHERE date >= (b - INTERVAL 12 MONTH) + INTERVAL 12 MONTH")
+
+
+# ---------------------------------------------------------------- balances
+def bexpr(start: str) -> str:
+    """Begin of a balance measure (no look-back)."""
+    if start.startswith("expr:"):
+        return start[5:]
+    return begin_sql(start)
+
+
+def balance_ctes(start: str = "all", tag: str = "") -> str:
+    b = bexpr(start)
+    return f"""
+cash{tag} AS (
+  SELECT x.cnpj, x.grupo_dfp, x.dt_fim_exerc AS date, CAST(SUM(x.vl_conta) AS BIGINT) AS cash_equi
+  FROM bpa x JOIN co ON x.cnpj = co.cnpj AND x.grupo_dfp = co.grupo_dfp
+  WHERE x.ds_conta IN ('Caixa e Equivalentes de Caixa', 'Aplicações Financeiras') AND x.cd_conta <> '1.02.01.03.01'
+    AND x.dt_fim_exerc >= {b}
+  GROUP BY x.cnpj, x.grupo_dfp, x.dt_fim_exerc),
+debt{tag} AS (
+  SELECT x.cnpj, x.grupo_dfp, x.dt_fim_exerc AS date, CAST(SUM(x.vl_conta) AS BIGINT) AS total_debt
+  FROM bpp x JOIN co ON x.cnpj = co.cnpj AND x.grupo_dfp = co.grupo_dfp
+  WHERE x.ds_conta = 'Empréstimos e Financiamentos' AND x.cd_conta IN ('2.01.04', '2.02.01') AND x.dt_fim_exerc >= {b}
+  GROUP BY x.cnpj, x.grupo_dfp, x.dt_fim_exerc),
+equity{tag} AS (
+  SELECT x.cnpj, x.grupo_dfp, x.dt_fim_exerc AS date, x.vl_conta AS total_equity
+  FROM bpp x JOIN co ON x.cnpj = co.cnpj AND x.grupo_dfp = co.grupo_dfp
+  WHERE x.ds_conta IN ('Patrimônio Líquido', 'Patrimônio Líquido Consolidado') AND x.dt_fim_exerc >= {b}),
+assets{tag} AS (
+  SELECT x.cnpj, x.grupo_dfp, x.dt_fim_exerc AS date, x.vl_conta AS total_assets
+  FROM bpa x JOIN co ON x.cnpj = co.cnpj AND x.grupo_dfp = co.grupo_dfp
+  WHERE x.cd_conta = '1' AND x.dt_fim_exerc >= {b}),
+nd{tag} AS (
+  SELECT COALESCE(d.cnpj, c.cnpj) AS cnpj, COALESCE(d.grupo_dfp, c.grupo_dfp) AS grupo_dfp,
+         COALESCE(d.date, c.date) AS date, d.total_debt - c.cash_equi AS net_debt
+  FROM debt{tag} d FULL OUTER JOIN cash{tag} c ON d.cnpj = c.cnpj AND d.grupo_dfp = c.grupo_dfp AND d.date = c.date)"""
+
+
+def ratio_full(left: str, right: str, lv: str, rv: str, out: str) -> str:
+    return f"""SELECT COALESCE(a.cnpj, b.cnpj) AS cnpj, COALESCE(a.grupo_dfp, b.grupo_dfp) AS grupo_dfp,
+  COALESCE(a.date, b.date) AS date, CAST(a.{lv} AS DOUBLE) / NULLIF(b.{rv}, 0) AS {out}
+FROM {left} a FULL OUTER JOIN {right} b ON a.cnpj = b.cnpj AND a.grupo_dfp = b.grupo_dfp AND a.date = b.date"""
+
+
+def current_ratio_sql(start="all") -> str:
+    b = bexpr(start)
+    return with_ctes() + f"""SELECT a.cnpj, a.grupo_dfp, a.dt_fim_exerc AS date,
+  CAST(a.vl_conta AS DOUBLE) / NULLIF(CAST(l.vl_conta AS DOUBLE), 0) AS current_ratio
+FROM bpa a JOIN co ON a.cnpj = co.cnpj AND a.grupo_dfp = co.grupo_dfp
+JOIN bpp l ON a.dt_fim_exerc = l.dt_fim_exerc AND a.cnpj = l.cnpj AND a.grupo_dfp = l.grupo_dfp
+WHERE a.ds_conta = 'Ativo Circulante' AND a.dt_fim_exerc >= {b} AND l.ds_conta = 'Passivo Circulante'"""
+
+
+# ----------------------------------------------------------------- margins
+def ni_ttm_ctes(start: str, tag: str) -> str:
+    """ni{tag}: cnpj, grupo_dfp, date, ttm (trimmed, NULL for annual)."""
+    return flow_ctes("dre", f"d.ds_conta IN ('{NI_A}', '{NI_B}')", (NI_A, NI_B), start, tag) + f""",
+ni{tag} AS (SELECT cnpj, grupo_dfp, date, CASE WHEN freq <> 'A' THEN t END AS ttm
+           FROM tv{tag} WHERE date >= (b - INTERVAL 12 MONTH) + INTERVAL 12 MONTH)"""
+
+
+def return_sql(kind: str, start: str = "all") -> str:
+    table, col = ("equity", "total_equity") if kind == "roe" else ("assets", "total_assets")
+    return with_ctes(balance_ctes(start), ni_ttm_ctes(start, "n")) + f"""SELECT * FROM (
+  SELECT n.cnpj, n.grupo_dfp, n.date, CAST(n.ttm AS DOUBLE) / NULLIF(CAST(x.{col} AS DOUBLE), 0) * CAST(100 AS DOUBLE) AS {kind}
+  FROM nin n JOIN {table} x ON n.cnpj = x.cnpj AND n.grupo_dfp = x.grupo_dfp AND n.date = x.date) z
+WHERE {kind} IS NOT NULL"""
+
+
+def pct_sql(n: str, d: str) -> str:
+    return f"CAST({n} AS DOUBLE) / NULLIF(CAST({d} AS DOUBLE), 0) * CAST(100 AS DOUBLE)"
+
+
+def margin_tail(src: str, name: str, quarter=True, ytd=True, ttm=True, order="date") -> str:
+    cols = ["cnpj", "grupo_dfp", "date"]
+    if ytd:
+        cols.append(f"{pct_sql('num', 'den')} AS ytd_{name}")
+    if quarter:
+        cols.append(f"CASE WHEN freq <> 'A' THEN {pct_sql('qn', 'qd')} END AS {name}")
+    if ttm:
+        cols.append(f"CASE WHEN freq <> 'A' THEN {pct_sql('tn', 'td')} END AS ttm_{name}")
+    return f""",
+mq AS (
+  SELECT *, CASE WHEN fiscal_quarter = 1 THEN num ELSE num - LAG(num) OVER wo END AS qn,
+            CASE WHEN fiscal_quarter = 1 THEN den ELSE den - LAG(den) OVER wo END AS qd
+  FROM {src} WINDOW wo AS (PARTITION BY cnpj, grupo_dfp ORDER BY {order})),
+mt AS (
+  SELECT *, CASE WHEN COUNT(qn) OVER w4 = 4 THEN SUM(qn) OVER w4 END AS tn,
+            CASE WHEN COUNT(qd) OVER w4 = 4 THEN SUM(qd) OVER w4 END AS td
+  FROM mq WINDOW w4 AS (PARTITION BY cnpj, grupo_dfp ORDER BY {order} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))
+SELECT {', '.join(cols)} FROM mt WHERE date >= (b - INTERVAL 12 MONTH) + INTERVAL 12 MONTH"""
+
+
+def gross_profit_margin_sql(start="all", **flags) -> str:
+    b = begin_sql(start)
+    body = f"""
+gm AS (
+  SELECT a.cnpj, a.grupo_dfp, a.dt_fim_exerc AS date, a.fiscal_quarter, a.vl_conta AS num, r.vl_conta AS den,
+         co.freq, {b} AS b
+  FROM dre a JOIN co ON a.cnpj = co.cnpj AND a.grupo_dfp = co.grupo_dfp
+  JOIN dre r ON a.dt_fim_exerc = r.dt_fim_exerc AND a.grupo_dfp = r.grupo_dfp AND a.cnpj = r.cnpj
+  WHERE a.cd_conta = '3.03' AND r.cd_conta = '3.01' AND a.dt_fim_exerc >= {b} - INTERVAL 12 MONTH)"""
+    sql = with_ctes(body)
+    return sql.rstrip() + margin_tail("gm", "gross_profit_margin", **flags)
+
+
+def net_profit_margin_sql(start="all", **flags) -> str:
+    b = begin_sql(start)
+    body = f"""
+nr AS (
+  SELECT a.cnpj, a.grupo_dfp, a.dt_fim_exerc AS date, a.fiscal_quarter, a.cd_conta, a.ds_conta,
+         a.vl_conta AS num, r.vl_conta AS den, co.freq, {b} AS b
+  FROM dre a JOIN co ON a.cnpj = co.cnpj AND a.grupo_dfp = co.grupo_dfp
+  JOIN dre r ON a.dt_fim_exerc = r.dt_fim_exerc AND a.grupo_dfp = r.grupo_dfp AND a.cnpj = r.cnpj
+  WHERE a.ds_conta IN ('{NI_A}', '{NI_B}') AND r.cd_conta = '3.01' AND a.dt_fim_exerc >= {b} - INTERVAL 12 MONTH),
+nl AS (SELECT *, MAX(CASE WHEN ds_conta = '{NI_A}' THEN 1 ELSE 0 END) OVER (PARTITION BY cnpj, grupo_dfp) AS has_a FROM nr),
+ns AS (SELECT * FROM nl WHERE CASE WHEN has_a = 1 THEN ds_conta = '{NI_A}' ELSE ds_conta = '{NI_B}' END)"""
+    return with_ctes(body).rstrip() + margin_tail("ns", "net_profit_margin", order="date, cd_conta", **flags)
+
+
+def ebitda_margin_sql(start="all", quarter=True, ytd=True, ttm=True) -> str:
+    b = begin_sql(start)
+    body = f"""
+xr AS (
+  SELECT e.cnpj, e.grupo_dfp, e.dt_fim_exerc AS date, e.fiscal_quarter, e.cd_conta, e.ds_conta,
+         e.vl_conta AS ye, v.vl_conta AS yd, r.vl_conta AS yr, co.freq, {b} AS b
+  FROM dre e JOIN co ON e.cnpj = co.cnpj AND e.grupo_dfp = co.grupo_dfp
+  JOIN dva v ON e.dt_fim_exerc = v.dt_fim_exerc AND e.grupo_dfp = v.grupo_dfp AND e.cnpj = v.cnpj
+  JOIN dre r ON e.dt_fim_exerc = r.dt_fim_exerc AND e.grupo_dfp = r.grupo_dfp AND e.cnpj = r.cnpj
+  WHERE e.ds_conta IN ('{EBIT_A}', '{EBIT_B}') AND v.ds_conta = '{DA}' AND r.cd_conta = '3.01'
+    AND e.dt_fim_exerc >= {b} - INTERVAL 12 MONTH),
+xl AS (SELECT *, MAX(CASE WHEN ds_conta = '{EBIT_A}' THEN 1 ELSE 0 END) OVER (PARTITION BY cnpj, grupo_dfp) AS has_a FROM xr),
+xs AS (SELECT * FROM xl WHERE CASE WHEN has_a = 1 THEN ds_conta = '{EBIT_A}' ELSE ds_conta = '{EBIT_B}' END),
+xq AS (
+  SELECT *, CASE WHEN fiscal_quarter = 1 THEN yr ELSE yr - LAG(yr) OVER wo END AS qr,
+    (CASE WHEN fiscal_quarter = 1 THEN ye ELSE ye - LAG(ye) OVER wo END)
+    - (CASE WHEN fiscal_quarter = 1 THEN yd ELSE yd - LAG(yd) OVER wo END) AS q
+  FROM xs WINDOW wo AS (PARTITION BY cnpj, grupo_dfp ORDER BY date, cd_conta)),
+xt AS (
+  SELECT *, CASE WHEN COUNT(q) OVER w4 = 4 THEN SUM(q) OVER w4 END AS tq,
+            CASE WHEN COUNT(qr) OVER w4 = 4 THEN SUM(qr) OVER w4 END AS tr
+  FROM xq WINDOW w4 AS (PARTITION BY cnpj, grupo_dfp ORDER BY date, cd_conta ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))"""
+    cols = ["cnpj", "grupo_dfp", "date"]
+    if ytd:
+        cols.append(f"{pct_sql('ye - yd', 'yr')} AS ytd_ebitda_margin")
+    if quarter:
+        cols.append(f"CASE WHEN freq <> 'A' THEN {pct_sql('q', 'qr')} END AS ebitda_margin")
+    if ttm:
+        cols.append(f"CASE WHEN freq <> 'A' THEN {pct_sql('tq', 'tr')} END AS ttm_ebitda_margin")
+    return with_ctes(body) + f"SELECT {', '.join(cols)} FROM xt WHERE date >= (b - INTERVAL 12 MONTH) + INTERVAL 12 MONTH"
+
+
+# ------------------------------------------------------------------ market
+def pbegin(start: str) -> str:
+    """Begin of a price function: 'last' is the ticker's newest price date."""
+    if start == "last":
+        return "sc.last_price_date"
+    return begin_sql(start)
+
+
+def shift7(start: str) -> str:
+    """A dated start moved back 7 months; 'all' and 'last' unchanged."""
+    if start in ("all", "last"):
+        return start
+    return f"expr:(DATE '{start}' - INTERVAL 7 MONTH)"
+
+
+SHARES_CTES = """
+ons AS (SELECT k.cnpj, p.date, p.number_shares AS on_shares FROM prices p JOIN cls_ok k ON p.ticker = k.on_ticker),
+pns AS (SELECT k.cnpj, p.date, p.number_shares AS pn_shares FROM prices p JOIN cls_ok k ON p.ticker = k.pn_ticker),
+shc AS (
+  SELECT o.cnpj, o.date,
+    CASE WHEN k.pn_ticker IS NOT NULL THEN o.on_shares + COALESCE(n.pn_shares, 0) ELSE o.on_shares END AS total_shares
+  FROM ons o LEFT JOIN pns n ON o.cnpj = n.cnpj AND o.date = n.date JOIN cls_ok k ON o.cnpj = k.cnpj),
+mvc AS (
+  SELECT k.cnpj, p.date, SUM(p.preult * p.number_shares) AS market_value
+  FROM prices p JOIN cls_ok k ON p.ticker = k.on_ticker OR p.ticker = k.pn_ticker
+  GROUP BY k.cnpj, p.date)"""
+
+
+def prices_ctes(start: str) -> str:
+    return f"""
+pr AS (SELECT p.ticker, p.date, p.preult AS price FROM prices p JOIN sc ON p.ticker = sc.ticker
+       WHERE p.date >= {pbegin(start)})"""
+
+
+def prices_sql(start="all") -> str:
+    return with_ctes(prices_ctes(start)) + "SELECT ticker, date, price FROM pr"
+
+
+def total_shares_sql(start="all") -> str:
+    return with_ctes(SHARES_CTES) + f"""SELECT sc.ticker, s.date, s.total_shares
+FROM shc s JOIN sc ON s.cnpj = sc.cnpj WHERE s.date >= {pbegin(start)}"""
+
+
+def market_value_sql(start="all") -> str:
+    return with_ctes(SHARES_CTES) + f"""SELECT sc.ticker, m.date, m.market_value
+FROM mvc m JOIN sc ON m.cnpj = sc.cnpj WHERE m.date >= {pbegin(start)}"""
+
+
+def eps_ctes(start: str) -> str:
+    """epsf: cnpj, grupo_dfp, date, eps (final rows)."""
+    if start == "last":
+        b, b7 = "co.last_statement_date", "co.last_statement_date - INTERVAL 7 MONTH"
+    else:
+        b = begin_sql(start)
+        b7 = f"{b} - INTERVAL 7 MONTH"
+    pick = "rn = 1" if start == "last" else f"date >= {b}"
+    return ni_ttm_ctes(f"expr:({b7})", "e") + f""",
+esh AS (SELECT co.cnpj, co.grupo_dfp, s.date, s.total_shares FROM shc s JOIN co ON s.cnpj = co.cnpj
+        WHERE s.date >= {b7}),
+em AS (
+  SELECT COALESCE(s.cnpj, n.cnpj) AS cnpj, COALESCE(s.grupo_dfp, n.grupo_dfp) AS grupo_dfp,
+         COALESCE(s.date, n.date) AS date, s.total_shares, n.ttm
+  FROM esh s FULL OUTER JOIN nie n ON s.cnpj = n.cnpj AND s.grupo_dfp = n.grupo_dfp AND s.date = n.date),
+ef AS (
+  SELECT cnpj, grupo_dfp, date,
+    LAST_VALUE(total_shares IGNORE NULLS) OVER w AS ts, LAST_VALUE(ttm IGNORE NULLS) OVER w AS tt,
+    ROW_NUMBER() OVER (PARTITION BY cnpj, grupo_dfp ORDER BY date DESC) AS rn
+  FROM em WINDOW w AS (PARTITION BY cnpj, grupo_dfp ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+epsf AS (
+  SELECT ef.cnpj, ef.grupo_dfp, ef.date, CAST(ef.tt * 1000 AS DOUBLE) / NULLIF(ef.ts, 0) AS eps
+  FROM ef JOIN co ON ef.cnpj = co.cnpj AND ef.grupo_dfp = co.grupo_dfp
+  WHERE {pick.replace('date', 'ef.date') if start != 'last' else 'ef.rn = 1'}
+    AND CAST(ef.tt * 1000 AS DOUBLE) / NULLIF(ef.ts, 0) IS NOT NULL)"""
+
+
+def eps_sql(start="all") -> str:
+    return with_ctes(SHARES_CTES, eps_ctes(start)) + "SELECT cnpj, grupo_dfp, date, eps FROM epsf"
+
+
+def price_earnings_sql(start="all") -> str:
+    return with_ctes(SHARES_CTES, eps_ctes(start), prices_ctes(start)) + """,
+ept AS (SELECT sc.ticker, e.date, e.eps FROM epsf e JOIN sc ON e.cnpj = sc.cnpj AND e.grupo_dfp = sc.grupo_dfp)
+SELECT COALESCE(p.ticker, e.ticker) AS ticker, COALESCE(p.date, e.date) AS date, p.price / NULLIF(e.eps, 0) AS p_e
+FROM pr p FULL OUTER JOIN ept e ON p.ticker = e.ticker AND p.date = e.date"""
+
+
+def ffill_merge(name: str, left: str, lcol: str, right: str, rcol: str) -> str:
+    """Outer merge of two per-ticker series then forward fill of both columns."""
+    return f"""
+{name}m AS (
+  SELECT COALESCE(a.ticker, b.ticker) AS ticker, COALESCE(a.date, b.date) AS date, a.{lcol} AS lv, b.{rcol} AS rv
+  FROM {left} a FULL OUTER JOIN {right} b ON a.ticker = b.ticker AND a.date = b.date),
+{name} AS (
+  SELECT ticker, date, LAST_VALUE(lv IGNORE NULLS) OVER w AS lv, LAST_VALUE(rv IGNORE NULLS) OVER w AS rv
+  FROM {name}m WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def ev_ctes(start: str) -> str:
+    return balance_ctes(shift7(start), "v") + f""",
+evmv AS (SELECT sc.ticker, m.date, m.market_value FROM mvc m JOIN sc ON m.cnpj = sc.cnpj WHERE m.date >= {pbegin(start)}),
+evnd AS (SELECT sc.ticker, n.date, n.net_debt FROM ndv n JOIN sc ON n.cnpj = sc.cnpj AND n.grupo_dfp = sc.grupo_dfp),""" \
+        + ffill_merge("evf", "evmv", "market_value", "evnd", "net_debt") + """,
+evx AS (SELECT ticker, date, lv + rv * 1000 AS ev FROM evf WHERE lv + rv * 1000 IS NOT NULL)"""
+
+
+def enterprise_value_sql(start="all") -> str:
+    return with_ctes(SHARES_CTES, ev_ctes(start)) + "SELECT ticker, date, ev FROM evx"
+
+
+def ev_multiple_sql(kind: str, start="all") -> str:
+    s7 = shift7(start)
+    if kind == "ebitda":
+        ctes = ebitda_ctes(s7, "x") + """,
+fm AS (SELECT cnpj, grupo_dfp, date, CASE WHEN freq <> 'A' THEN t END AS ttm
+       FROM etx WHERE date >= (b - INTERVAL 12 MONTH) + INTERVAL 12 MONTH)"""
+    else:
+        ctes = flow_ctes("dre", f"d.ds_conta IN ('{EBIT_A}', '{EBIT_B}')", (EBIT_A, EBIT_B), s7, "x") + """,
+fm AS (SELECT cnpj, grupo_dfp, date, CASE WHEN freq <> 'A' THEN t END AS ttm
+       FROM tvx WHERE date >= (b - INTERVAL 12 MONTH) + INTERVAL 12 MONTH)"""
+    ctes += """,
+fmt AS (SELECT sc.ticker, f.date, f.ttm FROM fm f JOIN sc ON f.cnpj = sc.cnpj AND f.grupo_dfp = sc.grupo_dfp),""" \
+        + ffill_merge("mf", "evx", "ev", "fmt", "ttm")
+    name = f"ev_{kind}"
+    return with_ctes(SHARES_CTES, ev_ctes(start), ctes) + f"""SELECT * FROM (
+  SELECT ticker, date, lv / NULLIF(rv, 0) / CAST(1000 AS DOUBLE) AS {name} FROM mf) z WHERE {name} IS NOT NULL"""
+
+
+def bv_ctes(start: str) -> str:
+    return balance_ctes(shift7(start), "q") + f""",
+bsh AS (SELECT sc.ticker, s.date, s.total_shares FROM shc s JOIN sc ON s.cnpj = sc.cnpj WHERE s.date >= {pbegin(start)}),
+beq AS (SELECT sc.ticker, e.date, e.total_equity FROM equityq e JOIN sc ON e.cnpj = sc.cnpj AND e.grupo_dfp = sc.grupo_dfp),""" \
+        + ffill_merge("bvf", "bsh", "total_shares", "beq", "total_equity") + """,
+bvx AS (SELECT * FROM (SELECT ticker, date, CAST(rv AS DOUBLE) / NULLIF(lv, 0) * CAST(1000 AS DOUBLE) AS bv_share FROM bvf) z
+        WHERE bv_share IS NOT NULL)"""
+
+
+def bv_share_sql(start="all") -> str:
+    return with_ctes(SHARES_CTES, bv_ctes(start)) + "SELECT ticker, date, bv_share FROM bvx"
+
+
+def price_bv_sql(start="all") -> str:
+    return with_ctes(SHARES_CTES, bv_ctes(start), prices_ctes(start)) + """SELECT COALESCE(p.ticker, b.ticker) AS ticker,
+  COALESCE(p.date, b.date) AS date, p.price / NULLIF(b.bv_share, 0) AS p_bv
+FROM pr p FULL OUTER JOIN bvx b ON p.ticker = b.ticker AND p.date = b.date"""

@@ -23,3 +23,37 @@ ORACLE["ebitda"] = m.ebitda_sql()
 ORACLE["ebitda_ttm_since_1999"] = m.ebitda_sql("1999-06-30", quarter=False, ytd=False)
 ORACLE["revenue"] = m.revenue_sql()
 ORACLE["cfo"] = m.cfo_sql()
+
+# --- balances --------------------------------------------------------------
+ORACLE["cash_equi"] = with_ctes(m.balance_ctes()) + "SELECT cnpj, grupo_dfp, date, cash_equi FROM cash"
+ORACLE["total_debt"] = with_ctes(m.balance_ctes()) + "SELECT cnpj, grupo_dfp, date, total_debt FROM debt"
+ORACLE["net_debt"] = with_ctes(m.balance_ctes()) + "SELECT cnpj, grupo_dfp, date, net_debt FROM nd"
+ORACLE["total_equity"] = with_ctes(m.balance_ctes()) + "SELECT cnpj, grupo_dfp, date, total_equity FROM equity"
+ORACLE["total_assets"] = with_ctes(m.balance_ctes("1999-01-01")) + "SELECT cnpj, grupo_dfp, date, total_assets FROM assets"
+ORACLE["debt_to_equity"] = with_ctes(m.balance_ctes()) + m.ratio_full("debt", "equity", "total_debt", "total_equity", "debt_to_equity")
+ORACLE["financial_leverage"] = with_ctes(m.balance_ctes()) + m.ratio_full("assets", "equity", "total_assets", "total_equity",
+                                                                         "financial_leverage")
+ORACLE["current_ratio"] = m.current_ratio_sql()
+
+# --- returns and margins -----------------------------------------------------
+ORACLE["roe"] = m.return_sql("roe")
+ORACLE["roa"] = m.return_sql("roa", "last")
+ORACLE["gross_profit_margin"] = m.gross_profit_margin_sql()
+ORACLE["net_profit_margin"] = m.net_profit_margin_sql()
+ORACLE["ebitda_margin"] = m.ebitda_margin_sql()
+
+# --- market ----------------------------------------------------------------
+ORACLE["prices"] = m.prices_sql("2000-01-01")
+ORACLE["total_shares"] = m.total_shares_sql()
+ORACLE["market_value"] = m.market_value_sql()
+ORACLE["market_value_last"] = m.market_value_sql("last")
+ORACLE["eps"] = m.eps_sql()
+ORACLE["eps_last"] = m.eps_sql("last")
+ORACLE["eps_since_2000"] = m.eps_sql("2000-01-01")
+ORACLE["price_earnings"] = m.price_earnings_sql()
+ORACLE["enterprise_value"] = m.enterprise_value_sql()
+ORACLE["enterprise_value_since_2000"] = m.enterprise_value_sql("2000-01-01")
+ORACLE["ev_ebitda"] = m.ev_multiple_sql("ebitda")
+ORACLE["ev_ebit"] = m.ev_multiple_sql("ebit", "2000-01-01")
+ORACLE["bv_share"] = m.bv_share_sql()
+ORACLE["price_bv"] = m.price_bv_sql("last")
