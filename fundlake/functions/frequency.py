@@ -19,7 +19,12 @@ MEAN_YEAR_DAYS = 365.2425
 
 
 def frequency_table(dates: DataFrame, keys: list[str], date_col: str = "date") -> DataFrame:
-    """``dates`` holds distinct (keys, date) rows; returns keys, freq, n_dates, last_date."""
+    """``dates`` holds distinct (keys, date) rows.
+
+    Returns keys, freq, n_dates, last_date and is_regular (at least 3 dates
+    with one constant month gap at month ends/starts, or one constant gap
+    in days).  The rows of one key are its report dates, about four a year.
+    """
     w = Window.partitionBy(*keys).orderBy(date_col)
     d = F.col(date_col)
     month_index = F.year(d) * 12 + F.month(d)
@@ -50,4 +55,6 @@ def frequency_table(dates: DataFrame, keys: list[str], date_col: str = "date") -
         .when(F.col("n_dates") / years > 1, "Q")
         .otherwise("A")
     )
-    return agg.select(*keys, freq.alias("freq"), "n_dates", "last_date")
+    regular = (F.col("n_dates") >= 3) & (
+        (aligned & (F.col("_gm_lo") == F.col("_gm"))) | (F.col("_gd_lo") == F.col("_gd_hi")))
+    return agg.select(*keys, freq.alias("freq"), "n_dates", "last_date", regular.alias("is_regular"))

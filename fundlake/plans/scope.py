@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.functions.frequency import frequency_table
-from fundlake.sources.catalog import Tables
+from fundlake.sources.catalog import Tables, stored_or_build
 
 
 def resolve_group(group: str) -> str:
@@ -47,6 +47,14 @@ def statement_dates(tables: Tables) -> DataFrame:
 
 
 def companies(tables: Tables, group: str = "consolidated") -> DataFrame:
+    if tables.root is not None:
+        # every company in scope has its ON ticker there, so this is the same set
+        return scope(tables, group).select("cnpj", "grupo_dfp", "freq", "last_statement_date").dropDuplicates(
+            ["cnpj", "grupo_dfp"])
+    return build_companies(tables, group)
+
+
+def build_companies(tables: Tables, group: str = "consolidated") -> DataFrame:
     wanted = resolve_group(group)
     classes = share_classes(tables).select("cnpj")
     dates = statement_dates(tables)
@@ -66,7 +74,16 @@ def last_price_dates(tables: Tables) -> DataFrame:
 
 
 def scope(tables: Tables, group: str = "consolidated") -> DataFrame:
-    co = companies(tables, group)
+    """The scope table; stored next to the tables (and read back) when they are stored."""
+    if tables.root is not None:
+        spark = tables.tickers.sparkSession
+        return stored_or_build(spark, f"{tables.root}/_scope_{resolve_group(group)}",
+                               lambda: build_scope(tables, group))
+    return build_scope(tables, group)
+
+
+def build_scope(tables: Tables, group: str = "consolidated") -> DataFrame:
+    co = build_companies(tables, group)
     classes = share_classes(tables)
     t = tables.tickers.select("ticker", "cnpj", "type", "sector", "subsector", "segment", "denom_comerc")
     return (t.join(classes, "cnpj").join(co, "cnpj").join(last_price_dates(tables), "ticker", "left")

@@ -81,3 +81,27 @@ QUERIES["ev_ebitda"] = lambda s, d: market.ev_ebitda(T(s, d))
 QUERIES["ev_ebit"] = lambda s, d: market.ev_ebit(T(s, d), start_period="2000-01-01")
 QUERIES["bv_share"] = lambda s, d: market.bv_share(T(s, d))
 QUERIES["price_bv"] = lambda s, d: market.price_bv(T(s, d), start_period="last")
+
+# --- statements, growth, peers (M3-M6, M35, M36, M40) -----------------------
+from fundlake.plans import charts, compare, growth, peers, statements  # noqa: E402
+
+QUERIES["income_statement"] = lambda s, d: statements.income_statement(T(s, d))
+QUERIES["cash_flow"] = lambda s, d: statements.cash_flow(T(s, d), start_period="1999-01-01")
+QUERIES["balance_sheet"] = lambda s, d: statements.balance_sheet(T(s, d))
+QUERIES["cagr_net_income"] = lambda s, d: growth.cagr_net_income(T(s, d))
+QUERIES["cagr_revenue"] = lambda s, d: growth.cagr_revenue(T(s, d))
+QUERIES["peers"] = lambda s, d: peers.peer_groups(T(s, d))
+
+# --- reports (M38, M39, H5, H6) ----------------------------------------------
+QUERIES["statistics"] = lambda s, d: compare.statistics(T(s, d))
+QUERIES["compare_measure"] = lambda s, d: compare.compare_measure(T(s, d), "net_income",
+                                                                  {"start_period": "2000-01-01"})
+QUERIES["compare_common"] = lambda s, d: compare.compare_common_all(T(s, d), "total_assets")
+QUERIES["is_regular_net_income"] = lambda s, d: compare.is_regular(
+    compare.compare_measure(T(s, d), "net_income"), "net_income")
+QUERIES["is_regular_prices"] = lambda s, d: compare.is_regular(compare.compare_measure(T(s, d), "prices"), "prices")
+
+# --- chart data (H1-H3) --------------------------------------------------------
+QUERIES["bs_composition"] = lambda s, d: charts.bs_composition(T(s, d))
+QUERIES["account_seasonality"] = lambda s, d: charts.account_seasonality(T(s, d), "3.01")
+QUERIES["series_summary"] = lambda s, d: charts.series_summary(T(s, d))

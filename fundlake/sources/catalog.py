@@ -36,6 +36,7 @@ class Tables:
     bpp: DataFrame
     prices: DataFrame
     tickers: DataFrame
+    root: str | None = None  # folder of the stored tables, when they are stored
 
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -54,6 +55,24 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
+def stored_or_build(spark: SparkSession, path: str, build) -> DataFrame:
+    """Read a derived table from ``path``; build and write it there first if missing.
+
+    Used for small dimension tables (the scope) that many queries share:
+    writing them once keeps every later plan short.
+    """
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _DERIVED:
+        if not _exists(spark, f"{path}/_done"):
+            build().write.mode("overwrite").parquet(f"{path}/data")
+            spark.range(1).write.mode("overwrite").parquet(f"{path}/_done")
+        _DERIVED[key] = spark.read.parquet(f"{path}/data")
+    return _DERIVED[key]
+
+
+_DERIVED: dict[tuple[str, str], DataFrame] = {}
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).limit(1).collect()
@@ -103,7 +122,7 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> T
             cols = ["cnpj", "grupo_dfp"] + [c for c in df.columns if c not in ("cnpj", "grupo_dfp")]
             df = df.select(*cols)
         out[name] = df
-    tables = Tables(**out)
+    tables = Tables(**out, root=root)
     _MEMO[key] = tables
     return tables
 

@@ -408,3 +408,199 @@ def price_bv_sql(start="all") -> str:
     return with_ctes(SHARES_CTES, bv_ctes(start), prices_ctes(start)) + """SELECT COALESCE(p.ticker, b.ticker) AS ticker,
   COALESCE(p.date, b.date) AS date, p.price / NULLIF(b.bv_share, 0) AS p_bv
 FROM pr p FULL OUTER JOIN bvx b ON p.ticker = b.ticker AND p.date = b.date"""
+
+
+# -------------------------------------------------------------- statements
+def flow_statement_ctes(table: str, start: str = "all", tag: str = "") -> str:
+    """stm{tag}: cnpj, grupo_dfp, cd_conta, ds_conta, date, ytd, quarter_value, ttm_value + pct changes."""
+    b = begin_sql(start)
+    return f"""
+isr{tag} AS (
+  SELECT d.cnpj, d.grupo_dfp, d.cd_conta, d.ds_conta, d.dt_fim_exerc AS date, d.fiscal_quarter, d.vl_conta AS ytd,
+         co.freq, {b} AS b
+  FROM {table} d JOIN co ON d.cnpj = co.cnpj AND d.grupo_dfp = co.grupo_dfp
+  WHERE d.dt_fim_exerc >= {b} - INTERVAL 12 MONTH),
+isq{tag} AS (
+  SELECT *, CASE WHEN freq <> 'A' THEN
+              (CASE WHEN fiscal_quarter = 1 THEN ytd ELSE ytd - LAG(ytd) OVER wa END) END AS quarter_value
+  FROM isr{tag} WINDOW wa AS (PARTITION BY cnpj, grupo_dfp, cd_conta ORDER BY date, ds_conta)),
+ist{tag} AS (
+  SELECT *, CASE WHEN freq <> 'A' AND COUNT(quarter_value) OVER w4 = 4 THEN CAST(SUM(quarter_value) OVER w4 AS BIGINT) END AS ttm_value
+  FROM isq{tag} WINDOW w4 AS (PARTITION BY cnpj, grupo_dfp, cd_conta ORDER BY date, ds_conta ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)),
+ism{tag} AS (SELECT * FROM ist{tag} WHERE date >= (b - INTERVAL 12 MONTH) + INTERVAL 12 MONTH),
+isy{tag} AS (SELECT cnpj, grupo_dfp, cd_conta, date + INTERVAL 12 MONTH AS d2, SUM(ytd) AS prev
+             FROM ism{tag} GROUP BY cnpj, grupo_dfp, cd_conta, date),
+isp{tag} AS (
+  SELECT m.*, MIN(m.ds_conta) OVER (PARTITION BY m.cnpj, m.grupo_dfp, m.cd_conta) AS ds_first,
+    (CAST(m.quarter_value AS DOUBLE) / NULLIF(LAG(m.quarter_value) OVER wa, 0) - 1) * CAST(100 AS DOUBLE) AS qp,
+    (CAST(m.ttm_value AS DOUBLE) / NULLIF(LAG(m.ttm_value) OVER wa, 0) - 1) * CAST(100 AS DOUBLE) AS tp,
+    (CAST(m.ytd AS DOUBLE) / NULLIF(y.prev, 0) - 1) * CAST(100 AS DOUBLE) AS yp
+  FROM ism{tag} m LEFT JOIN isy{tag} y ON m.cnpj = y.cnpj AND m.grupo_dfp = y.grupo_dfp AND m.cd_conta = y.cd_conta AND m.date = y.d2
+  WINDOW wa AS (PARTITION BY m.cnpj, m.grupo_dfp, m.cd_conta ORDER BY m.date, m.ds_conta)),
+stm{tag} AS (
+  SELECT cnpj, grupo_dfp, cd_conta, MIN(ds_first) AS ds_conta, date,
+    COALESCE(CAST(SUM(ytd) AS BIGINT), 0) AS ytd, COALESCE(SUM(yp), 0) AS ytd_pct_change,
+    CASE WHEN MAX(freq) <> 'A' THEN COALESCE(CAST(SUM(quarter_value) AS BIGINT), 0) END AS quarter_value,
+    CASE WHEN MAX(freq) <> 'A' THEN COALESCE(SUM(qp), 0) END AS quarter_value_pct_change,
+    CASE WHEN MAX(freq) <> 'A' THEN COALESCE(CAST(SUM(ttm_value) AS BIGINT), 0) END AS ttm_value,
+    CASE WHEN MAX(freq) <> 'A' THEN COALESCE(SUM(tp), 0) END AS ttm_value_pct_change
+  FROM isp{tag} GROUP BY cnpj, grupo_dfp, cd_conta, date)"""
+
+
+def balance_sheet_ctes(start: str = "all", tag: str = "") -> str:
+    b = bexpr(start)
+    return f"""
+bsr{tag} AS (
+  SELECT x.cnpj, x.grupo_dfp, x.cd_conta, x.ds_conta, x.dt_fim_exerc AS date, x.vl_conta
+  FROM (SELECT cnpj, grupo_dfp, dt_fim_exerc, cd_conta, ds_conta, vl_conta FROM bpa
+        UNION ALL SELECT cnpj, grupo_dfp, dt_fim_exerc, cd_conta, ds_conta, vl_conta FROM bpp) x
+  JOIN co ON x.cnpj = co.cnpj AND x.grupo_dfp = co.grupo_dfp
+  WHERE x.dt_fim_exerc >= {b}),
+bsp{tag} AS (
+  SELECT *, MIN(ds_conta) OVER (PARTITION BY cnpj, grupo_dfp, cd_conta) AS ds_first,
+    (CAST(vl_conta AS DOUBLE) / NULLIF(LAG(vl_conta) OVER (PARTITION BY cnpj, grupo_dfp, cd_conta ORDER BY date, ds_conta), 0) - 1)
+      * CAST(100 AS DOUBLE) AS vp
+  FROM bsr{tag}),
+bs{tag} AS (
+  SELECT cnpj, grupo_dfp, cd_conta, MIN(ds_first) AS ds_conta, date,
+    COALESCE(CAST(SUM(vl_conta) AS BIGINT), 0) AS vl_conta, COALESCE(SUM(vp), 0) AS vl_conta_pct_change
+  FROM bsp{tag} GROUP BY cnpj, grupo_dfp, cd_conta, date)"""
+
+
+# ------------------------------------------------------------------ growth
+def cagr_sql(kind: str, n_years: int = 5) -> str:
+    start = f"expr:(co.last_statement_date - INTERVAL {12 * n_years} MONTH)"
+    if kind == "net_income":
+        ctes = ni_ttm_ctes(start, "g")
+        src = "nig"
+    else:
+        ctes = flow_ctes("dre", "d.cd_conta = '3.01'", None, start, "g") + """,
+nig2 AS (SELECT cnpj, grupo_dfp, date, CASE WHEN freq <> 'A' THEN t END AS ttm
+         FROM tvg WHERE date >= (b - INTERVAL 12 MONTH) + INTERVAL 12 MONTH)"""
+        src = "nig2"
+    return with_ctes(ctes) + f""",
+fe AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY cnpj, grupo_dfp ORDER BY date) AS r1,
+                 ROW_NUMBER() OVER (PARTITION BY cnpj, grupo_dfp ORDER BY date DESC) AS r2 FROM {src}),
+cg AS (
+  SELECT a.cnpj, a.grupo_dfp,
+    (POW(CAST(z.ttm AS DOUBLE) / NULLIF(CAST(a.ttm AS DOUBLE), 0), CAST(1 AS DOUBLE) / {n_years}) - 1) * CAST(100 AS DOUBLE) AS x
+  FROM fe a JOIN fe z ON a.cnpj = z.cnpj AND a.grupo_dfp = z.grupo_dfp AND a.r1 = 1 AND z.r2 = 1)
+SELECT cnpj, grupo_dfp, CASE WHEN isnan(x) THEN NULL ELSE x END AS cagr_{kind} FROM cg"""
+
+
+# ------------------------------------------------------------------- peers
+PEERS_SQL = with_ctes() + """SELECT t.ticker, t.sector, t.subsector, t.segment,
+  ROW_NUMBER() OVER (PARTITION BY t.sector, t.subsector, t.segment ORDER BY t.ticker) AS peer_rank,
+  COUNT(*) OVER (PARTITION BY t.sector, t.subsector, t.segment) AS n_peers
+FROM tickers t WHERE t.ticker IN (SELECT ticker FROM sc)"""
+
+
+# -------------------------------------------------------------- statistics
+def _sub(sql: str) -> str:
+    return "(" + sql + ")"
+
+
+def statistics_sql(n_years: int = 5) -> str:
+    ttm = dict(quarter=False, ytd=False, ttm=True)
+    per_ticker = {
+        "p_e": price_earnings_sql("last"), "ev_ebitda": ev_multiple_sql("ebitda", "last"),
+        "p_bv": price_bv_sql("last"), "ev_ebit": ev_multiple_sql("ebit", "last"),
+        "bv_share": bv_share_sql("last"), "market_value": market_value_sql("last"),
+        "ev": enterprise_value_sql("last"),
+    }
+    bal = with_ctes(balance_ctes("last"))
+    per_company = {
+        "eps": eps_sql("last"),
+        "ttm_gross_profit_margin": gross_profit_margin_sql("last", **ttm),
+        "ttm_net_profit_margin": net_profit_margin_sql("last", **ttm),
+        "roe": return_sql("roe", "last"), "roa": return_sql("roa", "last"),
+        "debt_to_equity": bal + ratio_full("debt", "equity", "total_debt", "total_equity", "debt_to_equity"),
+        "total_equity": bal + "SELECT cnpj, grupo_dfp, date, total_equity FROM equity",
+        "total_assets": bal + "SELECT cnpj, grupo_dfp, date, total_assets FROM assets",
+        "total_debt": bal + "SELECT cnpj, grupo_dfp, date, total_debt FROM debt",
+        "cash_equi": bal + "SELECT cnpj, grupo_dfp, date, cash_equi FROM cash",
+        "net_debt": bal + "SELECT cnpj, grupo_dfp, date, net_debt FROM nd",
+        "ttm_ebitda": ebitda_sql("last", **ttm),
+        "ttm_ebitda_margin": ebitda_margin_sql("last", **ttm),
+        "financial_leverage": bal + ratio_full("assets", "equity", "total_assets", "total_equity", "financial_leverage"),
+        "ttm_d_a": depre_amort_sql("last", **ttm), "ttm_ebit": ebit_sql("last", **ttm),
+        "ttm_revenue": revenue_sql("last", **ttm), "ttm_net_income": net_income_sql("last", **ttm),
+        "ttm_cfo": cfo_sql("last", **ttm), "current_ratio": current_ratio_sql("last"),
+    }
+    parts = []
+    for name, sql in per_ticker.items():
+        parts.append(f"SELECT x.ticker, '{name}' AS measure, x.date, CAST(x.{name} AS DOUBLE) AS value FROM {_sub(sql)} x")
+    for name, sql in per_company.items():
+        parts.append(f"SELECT sc.ticker, '{name}' AS measure, x.date, CAST(x.{name} AS DOUBLE) AS value "
+                     f"FROM {_sub(sql)} x JOIN sc ON x.cnpj = sc.cnpj AND x.grupo_dfp = sc.grupo_dfp")
+    names = list(per_ticker) + list(per_company)
+    order = ["p_e", "ev_ebitda", "p_bv", "ev_ebit", "bv_share", "eps", "ttm_gross_profit_margin",
+             "ttm_net_profit_margin", "roe", "roa", "debt_to_equity", "total_equity", "total_assets", "total_debt",
+             "cash_equi", "net_debt", "market_value", "ev", "ttm_ebitda", "ttm_ebitda_margin", "financial_leverage",
+             "ttm_d_a", "ttm_ebit", "ttm_revenue", "ttm_net_income", "ttm_cfo", "current_ratio"]
+    assert sorted(order) == sorted(names)
+    aggs = ", ".join(f"MAX(CASE WHEN measure = '{n}' THEN value END) AS {n}" for n in order)
+    return with_ctes(f"parts AS ({' UNION ALL '.join(parts)})") + f""",
+wide AS (SELECT ticker, MAX(date) AS date, {aggs} FROM parts GROUP BY ticker),
+cni AS (SELECT * FROM {_sub(cagr_sql('net_income', n_years))} q),
+crv AS (SELECT * FROM {_sub(cagr_sql('revenue', n_years))} q)
+SELECT w.*, cni.cagr_net_income, crv.cagr_revenue, sc.sector, sc.subsector, sc.segment
+FROM wide w JOIN sc ON w.ticker = sc.ticker
+LEFT JOIN cni ON sc.cnpj = cni.cnpj AND sc.grupo_dfp = cni.grupo_dfp
+LEFT JOIN crv ON sc.cnpj = crv.cnpj AND sc.grupo_dfp = crv.grupo_dfp"""
+
+
+# -------------------------------------------------------------- comparison
+def compare_net_income_sql(start: str = "2000-01-01") -> str:
+    return with_ctes() + f"""SELECT sc.ticker, x.date, x.ytd_net_income, x.quarter_net_income, x.ttm_net_income
+FROM {_sub(net_income_sql(start))} x JOIN sc ON x.cnpj = sc.cnpj AND x.grupo_dfp = sc.grupo_dfp"""
+
+
+def compare_common_sql() -> str:
+    return with_ctes(balance_ctes()) + """,
+ta AS (SELECT sc.ticker, a.date, a.total_assets FROM assets a JOIN sc ON a.cnpj = sc.cnpj AND a.grupo_dfp = sc.grupo_dfp),
+common AS (SELECT date FROM ta WHERE total_assets IS NOT NULL GROUP BY date
+           HAVING COUNT(DISTINCT ticker) = (SELECT COUNT(*) FROM sc))
+SELECT ticker, date, total_assets FROM ta WHERE date IN (SELECT date FROM common)"""
+
+
+def is_regular_sql(name: str, dates_sql: str) -> str:
+    return f"""WITH d AS (SELECT DISTINCT date FROM {_sub(dates_sql)} q),
+g AS (SELECT date,
+  (YEAR(date) * 12 + MONTH(date)) - LAG(YEAR(date) * 12 + MONTH(date)) OVER (ORDER BY date) AS gm,
+  DATE_DIFF('day', LAG(date) OVER (ORDER BY date), date) AS gd,
+  CASE WHEN date = LAST_DAY(date) THEN 1 ELSE 0 END AS me, CASE WHEN DAY(date) = 1 THEN 1 ELSE 0 END AS ms FROM d)
+SELECT '{name}' AS measure, COUNT(*) AS n_dates,
+  (COUNT(*) >= 3 AND (((MIN(me) = 1 OR MIN(ms) = 1) AND MIN(gm) = MAX(gm)) OR MIN(gd) = MAX(gd))) AS is_regular
+FROM g"""
+
+
+# ------------------------------------------------------------------ charts
+def bs_composition_sql() -> str:
+    return with_ctes(balance_sheet_ctes()) + """SELECT cnpj, grupo_dfp, cd_conta, ds_conta, date, vl_conta,
+  CASE WHEN SUBSTRING(cd_conta, 1, 1) = '1' THEN 'assets' ELSE 'liabilities_equity' END AS side
+FROM (SELECT *, MAX(ABS(vl_conta)) OVER (PARTITION BY cnpj, grupo_dfp, cd_conta) AS nz FROM bs) z
+WHERE LENGTH(cd_conta) = 7 AND nz > 0 AND SUBSTRING(cd_conta, 1, 1) IN ('1', '2')"""
+
+
+def account_seasonality_sql(cd: str = "3.01") -> str:
+    return with_ctes(flow_statement_ctes("dre")) + f""",
+a AS (SELECT *, GREATEST(MAX(ABS(COALESCE(ytd, 0))) OVER w, MAX(ABS(COALESCE(quarter_value, 0))) OVER w,
+                         MAX(ABS(COALESCE(ttm_value, 0))) OVER w) AS nz
+      FROM stm WHERE cd_conta = '{cd}' WINDOW w AS (PARTITION BY cnpj, grupo_dfp, cd_conta)),
+m AS (SELECT cnpj, grupo_dfp, cd_conta, ds_conta, date, 'ytd' AS value_type, ytd AS value FROM a WHERE nz > 0
+      UNION ALL SELECT cnpj, grupo_dfp, cd_conta, ds_conta, date, 'quarter_value', quarter_value FROM a WHERE nz > 0
+      UNION ALL SELECT cnpj, grupo_dfp, cd_conta, ds_conta, date, 'ttm_value', ttm_value FROM a WHERE nz > 0)
+SELECT cnpj, grupo_dfp, cd_conta, ds_conta, value_type, CAST(YEAR(date) AS INTEGER) AS year,
+       CAST(MONTH(date) AS INTEGER) AS month, value
+FROM m WHERE value IS NOT NULL"""
+
+
+def series_summary_sql() -> str:
+    return with_ctes(SHARES_CTES) + """,
+mv AS (SELECT sc.ticker, m.date, m.market_value FROM mvc m JOIN sc ON m.cnpj = sc.cnpj),
+st AS (SELECT ticker, AVG(market_value) AS mean, MEDIAN(market_value) AS median FROM mv GROUP BY ticker)
+SELECT mv.ticker, mv.date,
+  LAST_VALUE(mv.market_value IGNORE NULLS) OVER (PARTITION BY mv.ticker ORDER BY mv.date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS market_value, st.mean, st.median
+FROM mv JOIN st ON mv.ticker = st.ticker"""

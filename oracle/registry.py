@@ -57,3 +57,23 @@ ORACLE["ev_ebitda"] = m.ev_multiple_sql("ebitda")
 ORACLE["ev_ebit"] = m.ev_multiple_sql("ebit", "2000-01-01")
 ORACLE["bv_share"] = m.bv_share_sql()
 ORACLE["price_bv"] = m.price_bv_sql("last")
+
+# --- statements, growth, peers ----------------------------------------------
+ORACLE["income_statement"] = with_ctes(m.flow_statement_ctes("dre")) + "SELECT * FROM stm"
+ORACLE["cash_flow"] = with_ctes(m.flow_statement_ctes("dfc", "1999-01-01")) + "SELECT * FROM stm"
+ORACLE["balance_sheet"] = with_ctes(m.balance_sheet_ctes()) + "SELECT * FROM bs"
+ORACLE["cagr_net_income"] = m.cagr_sql("net_income")
+ORACLE["cagr_revenue"] = m.cagr_sql("revenue")
+ORACLE["peers"] = m.PEERS_SQL
+
+# --- reports ------------------------------------------------------------------
+ORACLE["statistics"] = m.statistics_sql()
+ORACLE["compare_measure"] = m.compare_net_income_sql()
+ORACLE["compare_common"] = m.compare_common_sql()
+ORACLE["is_regular_net_income"] = m.is_regular_sql("net_income", m.net_income_sql())
+ORACLE["is_regular_prices"] = m.is_regular_sql("prices", m.prices_sql("all"))
+
+# --- chart data ---------------------------------------------------------------
+ORACLE["bs_composition"] = m.bs_composition_sql()
+ORACLE["account_seasonality"] = m.account_seasonality_sql("3.01")
+ORACLE["series_summary"] = m.series_summary_sql()
