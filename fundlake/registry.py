@@ -105,3 +105,28 @@ QUERIES["is_regular_prices"] = lambda s, d: compare.is_regular(compare.compare_m
 QUERIES["bs_composition"] = lambda s, d: charts.bs_composition(T(s, d))
 QUERIES["account_seasonality"] = lambda s, d: charts.account_seasonality(T(s, d), "3.01")
 QUERIES["series_summary"] = lambda s, d: charts.series_summary(T(s, d))
+
+# --- ingest (A1-A12, B1-B10, B17, J1, P1, P2) ------------------------------------
+from fundlake.plans import ingest  # noqa: E402
+from fundlake.sources import sinks  # noqa: E402
+
+
+def _listing(s, d):
+    return ingest.archive_listing(s.read.parquet(f"{d}/supplier.parquet"))
+
+
+QUERIES["ingest_fixed_width"] = lambda s, d: ingest.quotes(T(s, d))
+QUERIES["ingest_instrument_xml"] = lambda s, d: ingest.instruments(T(s, d))
+QUERIES["merge_shares"] = lambda s, d: ingest.merged_quotes(T(s, d))
+QUERIES["ingest_statements"] = lambda s, d: ingest.statement(T(s, d), "dre")
+QUERIES["cash_flow_union"] = lambda s, d: ingest.statement(T(s, d), "dfc")
+QUERIES["ingest_balance_sheet"] = lambda s, d: ingest.statement(T(s, d), "bpa")
+QUERIES["file_name_fields"] = lambda s, d: ingest.file_fields(T(s, d))
+QUERIES["changed_files"] = lambda s, d: sinks.changed_files(*_listing(s, d))
+QUERIES["registry_upsert"] = lambda s, d: sinks.registry_upsert(
+    _listing(s, d)[1], sinks.changed_files(*_listing(s, d)))
+QUERIES["replace_slice"] = lambda s, d: ingest.replace_slice(T(s, d))
+QUERIES["seed_prices"] = lambda s, d: ingest.seed_prices(T(s, d))
+QUERIES["reload_tickers"] = lambda s, d: ingest.reload_tickers(T(s, d))
+QUERIES["missing_price_dates"] = lambda s, d: ingest.missing_price_dates(T(s, d))
+QUERIES["price_load"] = lambda s, d: ingest.price_load_rows(T(s, d))

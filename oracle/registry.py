@@ -77,3 +77,21 @@ ORACLE["is_regular_prices"] = m.is_regular_sql("prices", m.prices_sql("all"))
 ORACLE["bs_composition"] = m.bs_composition_sql()
 ORACLE["account_seasonality"] = m.account_seasonality_sql("3.01")
 ORACLE["series_summary"] = m.series_summary_sql()
+
+# --- ingest ---------------------------------------------------------------------
+from oracle import ingest as ig  # noqa: E402
+
+ORACLE["ingest_fixed_width"] = ig.QUOTES
+ORACLE["ingest_instrument_xml"] = ig.INSTRUMENTS
+ORACLE["merge_shares"] = ig.MERGE
+ORACLE["ingest_statements"] = ig.statement_sql("dre")
+ORACLE["cash_flow_union"] = ig.statement_sql("dfc")
+ORACLE["ingest_balance_sheet"] = ig.statement_sql("bpa", flow=False)
+ORACLE["file_name_fields"] = ig.FILE_FIELDS
+ORACLE["changed_files"] = ig.CHANGED_FILES
+ORACLE["registry_upsert"] = ig.REGISTRY_UPSERT
+ORACLE["replace_slice"] = ig.replace_slice_sql()
+ORACLE["seed_prices"] = ig.SEED_PRICES
+ORACLE["reload_tickers"] = ig.RELOAD_TICKERS
+ORACLE["missing_price_dates"] = ig.MISSING_PRICE_DATES
+ORACLE["price_load"] = ig.PRICE_LOAD
