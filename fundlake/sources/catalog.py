@@ -98,17 +98,19 @@ def table_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{checkpoint_root(spark)}/fundlake/tables/{_fingerprint(sf_dir)}"
 
 
-def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Tables:
+def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True, root: str | None = None) -> Tables:
     """Stored tables for ``sf_dir``; derived and written on first use.
 
     With ``materialize=False`` the derivation stays lazy (no writes).
+    ``root`` overrides the folder (by default one per input under the
+    shared checkpoint folder).
     """
     if not materialize:
         return Tables(**fixtures.derive_all(spark, sf_dir))
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    root = root or table_root(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, root)
     if key in _MEMO:
         return _MEMO[key]
-    root = table_root(spark, sf_dir)
     manifest = f"{root}/_manifest"
     if not _exists(spark, manifest):
         for name, df in fixtures.derive_all(spark, sf_dir).items():
