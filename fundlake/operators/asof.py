@@ -31,10 +31,15 @@ def _month(date_col: str) -> Column:
     return F.year(date_col) * 12 + F.month(date_col)
 
 
-def forward_fill(df: DataFrame, keys: list[str], cols: list[str], date_col: str = "date") -> DataFrame:
-    """Replace NULLs in ``cols`` by the latest earlier non-null value within ``keys``."""
+def forward_fill(df: DataFrame, keys: list[str], cols: list[str], date_col: str = "date",
+                 month_col: str | None = None) -> DataFrame:
+    """Replace NULLs in ``cols`` by the latest earlier non-null value within ``keys``.
+
+    ``month_col`` names an existing month column (year * 12 + month of the date).
+    """
     run = (Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumn("_mb", _month(date_col))
+    if month_col is None:
+        df = df.withColumn("_mb", _month(date_col))
     inside = Window.partitionBy(*keys, "_mb").orderBy(date_col).rowsBetween(*run)
     local = df.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_l_{c}") for c in cols])
     month_last = local.groupBy(*keys, "_mb").agg(
@@ -48,11 +53,24 @@ def forward_fill(df: DataFrame, keys: list[str], cols: list[str], date_col: str
 
 
 def asof_merge(left: DataFrame, right: DataFrame, keys: list[str], date_col: str = "date") -> DataFrame:
-    """Outer merge on (keys, date) then forward fill every value column of both sides."""
+    """Outer merge on (keys, date) then forward fill every value column of both sides.
+
+    Each side holds at most one row per key and date.  The merge is a
+    union of both sides (NULL for the other side's columns) with one hash
+    exchange on (keys, month); rows of the same date are collapsed there
+    and the fill runs on the same partitioning, so no further exchange of
+    the merged rows is needed (a full outer join would lose the
+    partitioning).
+    """
     on = [*keys, date_col]
-    cols = [c for c in left.columns if c not in on] + [c for c in right.columns if c not in on]
-    merged = left.join(right, on, "full_outer")
-    return forward_fill(merged, keys, cols, date_col)
+    lcols = [c for c in left.columns if c not in on]
+    rcols = [c for c in right.columns if c not in on]
+    null = F.lit(None)
+    lpart = left.select(*on, *lcols, *[null.cast(right.schema[c].dataType).alias(c) for c in rcols])
+    rpart = right.select(*on, *[null.cast(left.schema[c].dataType).alias(c) for c in lcols], *rcols)
+    both = lpart.unionByName(rpart).withColumn("_mb", _month(date_col)).repartition(*keys, "_mb")
+    merged = both.groupBy(*keys, "_mb", date_col).agg(*[F.max(c).alias(c) for c in (*lcols, *rcols)])
+    return forward_fill(merged, keys, [*lcols, *rcols], date_col, month_col="_mb")
 
 
 def aligned(left: DataFrame, right: DataFrame, keys: list[str], out: str, expr, how: str = "full_outer",

@@ -65,23 +65,29 @@ def total_assets(tables: Tables, start_period="all", group="consolidated", compa
     return rows.select(*K, "date", F.col("vl_conta").alias("total_assets"))
 
 
-def net_debt(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
+def net_debt(tables: Tables, start_period="all", group="consolidated", companies=None,
+             debt_df=None, cash_df=None) -> DataFrame:
     """Debt minus cash on the union of their dates; NULL where one is missing."""
     co = _co(tables, group, companies)
-    return aligned(total_debt(tables, start_period, companies=co), cash_equi(tables, start_period, companies=co),
-                   K, "net_debt", lambda d, c: d - c)
+    debt = debt_df if debt_df is not None else total_debt(tables, start_period, companies=co)
+    cash = cash_df if cash_df is not None else cash_equi(tables, start_period, companies=co)
+    return aligned(debt, cash, K, "net_debt", lambda d, c: d - c)
 
 
-def debt_to_equity(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
+def debt_to_equity(tables: Tables, start_period="all", group="consolidated", companies=None,
+                   debt_df=None, equity_df=None) -> DataFrame:
     co = _co(tables, group, companies)
-    return aligned(total_debt(tables, start_period, companies=co), total_equity(tables, start_period, companies=co),
-                   K, "debt_to_equity", lambda d, e: F.try_divide(d.cast("double"), e))
+    debt = debt_df if debt_df is not None else total_debt(tables, start_period, companies=co)
+    eq = equity_df if equity_df is not None else total_equity(tables, start_period, companies=co)
+    return aligned(debt, eq, K, "debt_to_equity", lambda d, e: F.try_divide(d.cast("double"), e))
 
 
-def financial_leverage(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
+def financial_leverage(tables: Tables, start_period="all", group="consolidated", companies=None,
+                       assets_df=None, equity_df=None) -> DataFrame:
     co = _co(tables, group, companies)
-    return aligned(total_assets(tables, start_period, companies=co), total_equity(tables, start_period, companies=co),
-                   K, "financial_leverage", lambda a, e: F.try_divide(a.cast("double"), e))
+    assets = assets_df if assets_df is not None else total_assets(tables, start_period, companies=co)
+    eq = equity_df if equity_df is not None else total_equity(tables, start_period, companies=co)
+    return aligned(assets, eq, K, "financial_leverage", lambda a, e: F.try_divide(a.cast("double"), e))
 
 
 def current_ratio(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:

@@ -20,6 +20,7 @@ from fundlake.functions.frequency import frequency_table
 from fundlake.operators.asof import forward_fill
 from fundlake.operators.flows import K
 from fundlake.plans import balances, growth, income, margins, market
+from fundlake.plans.scope import companies as companies_of
 from fundlake.plans.scope import scope as scope_of
 from fundlake.sources.catalog import Tables
 
@@ -63,43 +64,59 @@ def compare_measure(tables: Tables, measure: str, kwargs: dict | None = None, gr
     if measure in TICKER_MEASURES:
         return TICKER_MEASURES[measure](tables, scope_df=sc, **kwargs)
     if measure in COMPANY_MEASURES:
-        co = sc.select(*K, "freq", "last_statement_date").dropDuplicates(K)
+        co = companies_of(tables, group)
         return _ticker_view(COMPANY_MEASURES[measure](tables, companies=co, **kwargs), sc)
     raise ValueError(f"unknown measure: {measure}")
 
 
 def statistics(tables: Tables, group="consolidated", n_years: int = 5) -> DataFrame:
     sc = scope_of(tables, group)
-    co = sc.select(*K, "freq", "last_statement_date").dropDuplicates(K)
+    co = companies_of(tables, group)
     last = "last"
+    # base frames built once and shared by the measures that use them
+    # ('last' moved back 7 months is still 'last')
+    px = market.prices(tables, last, scope_df=sc)
+    mv = market.market_value(tables, last, scope_df=sc)
+    debt = balances.total_debt(tables, last, companies=co)
+    cash = balances.cash_equi(tables, last, companies=co)
+    equity = balances.total_equity(tables, last, companies=co)
+    assets = balances.total_assets(tables, last, companies=co)
+    nd = balances.net_debt(tables, last, companies=co, debt_df=debt, cash_df=cash)
+    ni = income.net_income(tables, start_period=last, companies=co, **TTM_ONLY)
+    ebitda = income.ebitda(tables, start_period=last, companies=co, **TTM_ONLY)
+    ebit = income.ebit(tables, start_period=last, companies=co, **TTM_ONLY)
+    eps = market.eps(tables, last, companies=co)
+    ev = market.enterprise_value(tables, last, scope_df=sc, mv_df=mv, nd_df=nd)
+    bv = market.bv_share(tables, last, scope_df=sc, equity_df=equity)
     per_ticker = {
-        "p_e": market.price_earnings(tables, last, scope_df=sc),
-        "ev_ebitda": market.ev_ebitda(tables, last, scope_df=sc),
-        "p_bv": market.price_bv(tables, last, scope_df=sc),
-        "ev_ebit": market.ev_ebit(tables, last, scope_df=sc),
-        "bv_share": market.bv_share(tables, last, scope_df=sc),
-        "market_value": market.market_value(tables, last, scope_df=sc),
-        "ev": market.enterprise_value(tables, last, scope_df=sc),
+        "p_e": market.price_earnings(tables, last, scope_df=sc, prices_df=px, eps_df=eps),
+        "ev_ebitda": market.ev_ebitda(tables, last, scope_df=sc, ev_df=ev, ebitda_df=ebitda),
+        "p_bv": market.price_bv(tables, last, scope_df=sc, prices_df=px, bv_df=bv),
+        "ev_ebit": market.ev_ebit(tables, last, scope_df=sc, ev_df=ev, ebit_df=ebit),
+        "bv_share": bv,
+        "market_value": mv,
+        "ev": ev,
     }
     per_company = {
-        "eps": market.eps(tables, last, companies=co),
+        "eps": eps,
         "ttm_gross_profit_margin": margins.gross_profit_margin(tables, start_period=last, companies=co, **TTM_ONLY),
         "ttm_net_profit_margin": margins.net_profit_margin(tables, start_period=last, companies=co, **TTM_ONLY),
-        "roe": margins.roe(tables, last, companies=co),
-        "roa": margins.roa(tables, last, companies=co),
-        "debt_to_equity": balances.debt_to_equity(tables, last, companies=co),
-        "total_equity": balances.total_equity(tables, last, companies=co),
-        "total_assets": balances.total_assets(tables, last, companies=co),
-        "total_debt": balances.total_debt(tables, last, companies=co),
-        "cash_equi": balances.cash_equi(tables, last, companies=co),
-        "net_debt": balances.net_debt(tables, last, companies=co),
-        "ttm_ebitda": income.ebitda(tables, start_period=last, companies=co, **TTM_ONLY),
+        "roe": margins.roe(tables, last, companies=co, ni_df=ni, equity_df=equity),
+        "roa": margins.roa(tables, last, companies=co, ni_df=ni, assets_df=assets),
+        "debt_to_equity": balances.debt_to_equity(tables, last, companies=co, debt_df=debt, equity_df=equity),
+        "total_equity": equity,
+        "total_assets": assets,
+        "total_debt": debt,
+        "cash_equi": cash,
+        "net_debt": nd,
+        "ttm_ebitda": ebitda,
         "ttm_ebitda_margin": margins.ebitda_margin(tables, start_period=last, companies=co, **TTM_ONLY),
-        "financial_leverage": balances.financial_leverage(tables, last, companies=co),
+        "financial_leverage": balances.financial_leverage(tables, last, companies=co, assets_df=assets,
+                                                          equity_df=equity),
         "ttm_d_a": income.depre_amort(tables, start_period=last, companies=co, **TTM_ONLY),
-        "ttm_ebit": income.ebit(tables, start_period=last, companies=co, **TTM_ONLY),
+        "ttm_ebit": ebit,
         "ttm_revenue": income.revenue(tables, start_period=last, companies=co, **TTM_ONLY),
-        "ttm_net_income": income.net_income(tables, start_period=last, companies=co, **TTM_ONLY),
+        "ttm_net_income": ni,
         "ttm_cfo": income.cfo(tables, start_period=last, companies=co, **TTM_ONLY),
         "current_ratio": balances.current_ratio(tables, last, companies=co),
     }

@@ -33,25 +33,31 @@ def _co(tables, group, companies):
     return companies if companies is not None else companies_of(tables, group)
 
 
-def _ratio_over_ttm(tables, measure_df: DataFrame, name: str, ni_start, start_period, group, companies):
+def _ratio_over_ttm(tables, measure_df: DataFrame, name: str, ni_start, start_period, group, companies,
+                    ni_df=None):
     co = _co(tables, group, companies)
-    ni = income.net_income(tables, quarter=False, ytd=False, start_period=ni_start, companies=co)
+    ni = ni_df if ni_df is not None else income.net_income(tables, quarter=False, ytd=False, start_period=ni_start,
+                                                           companies=co)
     j = ni.join(measure_df, [*K, "date"])
     other = [c for c in measure_df.columns if c not in (*K, "date")][0]
     out = j.select(*K, "date", pct(F.col("ttm_net_income"), F.col(other)).alias(name))
     return out.dropna(subset=[name])
 
 
-def roe(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
+def roe(tables: Tables, start_period="all", group="consolidated", companies=None,
+        ni_df=None, equity_df=None) -> DataFrame:
+    """TTM net income / equity x 100 on the dates both exist."""
     co = _co(tables, group, companies)
-    return _ratio_over_ttm(tables, balances.total_equity(tables, start_period, companies=co), "roe",
-                           start_period, start_period, group, co)
+    eq = equity_df if equity_df is not None else balances.total_equity(tables, start_period, companies=co)
+    return _ratio_over_ttm(tables, eq, "roe", start_period, start_period, group, co, ni_df)
 
 
-def roa(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
+def roa(tables: Tables, start_period="all", group="consolidated", companies=None,
+        ni_df=None, assets_df=None) -> DataFrame:
+    """TTM net income / total assets x 100 on the dates both exist."""
     co = _co(tables, group, companies)
-    return _ratio_over_ttm(tables, balances.total_assets(tables, start_period, companies=co), "roa",
-                           start_period, start_period, group, co)
+    assets = assets_df if assets_df is not None else balances.total_assets(tables, start_period, companies=co)
+    return _ratio_over_ttm(tables, assets, "roa", start_period, start_period, group, co, ni_df)
 
 
 def _select(df, name, quarter, ytd, ttm):

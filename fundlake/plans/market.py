@@ -48,19 +48,39 @@ def prices(tables: Tables, start_period="all", group="consolidated", scope_df=No
     return p.join(sc, "ticker").filter(F.col("date") >= F.col("begin")).select("ticker", "date", "price")
 
 
-def company_shares(tables: Tables) -> DataFrame:
-    """Per company and day: ON shares plus PN shares (0 when PN has no row that day)."""
+def share_members(tables: Tables) -> DataFrame:
+    """ticker -> company, share class and whether the company has a PN class (small)."""
     cls = share_classes(tables)
-    p = tables.prices.select("ticker", "date", "number_shares")
-    on = p.join(cls.select("cnpj", F.col("on_ticker").alias("ticker")), "ticker").select(
-        "cnpj", "date", F.col("number_shares").alias("on_shares"))
-    pn = p.join(cls.select("cnpj", F.col("pn_ticker").alias("ticker")), "ticker").select(
-        "cnpj", "date", F.col("number_shares").alias("pn_shares"))
-    has_pn = cls.select("cnpj", F.col("pn_ticker").isNotNull().alias("has_pn"))
-    j = on.join(pn, ["cnpj", "date"], "left").join(has_pn, "cnpj")
-    total = F.when(F.col("has_pn"), F.col("on_shares") + F.coalesce(F.col("pn_shares"), F.lit(0))) \
-             .otherwise(F.col("on_shares"))
-    return j.select("cnpj", "date", total.alias("total_shares"))
+    has_pn = F.col("pn_ticker").isNotNull()
+    on = cls.select(F.col("on_ticker").alias("ticker"), "cnpj", F.lit("ON").alias("cls"), has_pn.alias("has_pn"))
+    pn = cls.filter(has_pn).select(F.col("pn_ticker").alias("ticker"), "cnpj", F.lit("PN").alias("cls"),
+                                   F.lit(True).alias("has_pn"))
+    return on.unionByName(pn)
+
+
+def company_daily(tables: Tables) -> DataFrame:
+    """Per company and day, in one aggregation over the prices of its ON and PN tickers.
+
+    * ``total_shares``: ON shares plus PN shares (0 when PN has no row that
+      day; ON only when the company has no PN class); only days with an ON
+      row carry shares (``_has_on``);
+    * ``market_value``: sum of price x shares over both classes.
+    """
+    p = tables.prices.select("ticker", "date", "preult", "number_shares").join(share_members(tables), "ticker")
+    on = F.col("cls") == "ON"
+    agg = p.groupBy("cnpj", "date").agg(
+        F.max(on.cast("int")).alias("_has_on"),
+        F.max(F.when(on, F.col("number_shares"))).alias("_on"),
+        F.max(F.when(~on, F.col("number_shares"))).alias("_pn"),
+        F.max("has_pn").alias("_has_pn"),
+        F.sum(F.col("preult") * F.col("number_shares")).alias("market_value"))
+    total = F.when(F.col("_has_pn"), F.col("_on") + F.coalesce(F.col("_pn"), F.lit(0))).otherwise(F.col("_on"))
+    return agg.select("cnpj", "date", "_has_on", total.alias("total_shares"), "market_value")
+
+
+def company_shares(tables: Tables) -> DataFrame:
+    """Per company and day with an ON quote: shares outstanding over both classes."""
+    return company_daily(tables).filter(F.col("_has_on") == 1).select("cnpj", "date", "total_shares")
 
 
 def total_shares(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
@@ -72,11 +92,7 @@ def total_shares(tables: Tables, start_period="all", group="consolidated", scope
 
 def company_market_value(tables: Tables) -> DataFrame:
     """Per company and day: sum of price x shares over its ON and PN tickers."""
-    cls = share_classes(tables)
-    members = (cls.select("cnpj", F.col("on_ticker").alias("ticker"))
-               .unionByName(cls.filter(F.col("pn_ticker").isNotNull()).select("cnpj", F.col("pn_ticker").alias("ticker"))))
-    p = tables.prices.select("ticker", "date", (F.col("preult") * F.col("number_shares")).alias("mv"))
-    return p.join(members, "ticker").groupBy("cnpj", "date").agg(F.sum("mv").alias("market_value"))
+    return company_daily(tables).select("cnpj", "date", "market_value")
 
 
 def market_value(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
@@ -113,51 +129,64 @@ def _per_ticker(company_df: DataFrame, sc: DataFrame) -> DataFrame:
     return company_df.join(sc.select("ticker", *K), K).drop(*K)
 
 
-def price_earnings(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
+def price_earnings(tables: Tables, start_period="all", group="consolidated", scope_df=None,
+                   prices_df=None, eps_df=None) -> DataFrame:
     """Price / EPS on the union of price and EPS dates; NULL where one is missing."""
     sc = _scope(tables, group, scope_df)
-    co = sc.select(*K, "freq", "last_statement_date").dropDuplicates(K)
-    p = prices(tables, start_period, scope_df=sc)
-    e = _per_ticker(eps(tables, start_period, companies=co), sc)
+    co = companies_of(tables, group)
+    p = prices_df if prices_df is not None else prices(tables, start_period, scope_df=sc)
+    e = _per_ticker(eps_df if eps_df is not None else eps(tables, start_period, companies=co), sc)
     return aligned(p, e, ["ticker"], "p_e", lambda a, b: F.try_divide(a, b))
 
 
-def enterprise_value(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
-    """Market value + net debt x 1000, net debt carried onto trading days."""
+def enterprise_value(tables: Tables, start_period="all", group="consolidated", scope_df=None,
+                     mv_df=None, nd_df=None) -> DataFrame:
+    """Market value + net debt x 1000, net debt carried onto trading days.
+
+    ``mv_df`` / ``nd_df``: prebuilt market value (per ticker) and net debt
+    (per company, from begin - 7 months) to reuse.
+    """
     sc = _scope(tables, group, scope_df)
-    co = sc.select(*K, "freq", "last_statement_date").dropDuplicates(K)
-    mv = market_value(tables, start_period, scope_df=sc)
-    nd = _per_ticker(balances.net_debt(tables, shift_start(start_period, -7), companies=co), sc)
+    co = companies_of(tables, group)
+    mv = mv_df if mv_df is not None else market_value(tables, start_period, scope_df=sc)
+    nd = _per_ticker(nd_df if nd_df is not None
+                     else balances.net_debt(tables, shift_start(start_period, -7), companies=co), sc)
     m = asof_merge(mv, nd, ["ticker"])
     return (m.select("ticker", "date", (F.col("market_value") + F.col("net_debt") * 1000).alias("ev"))
             .dropna(subset=["ev"]))
 
 
-def _ev_multiple(tables, start_period, group, scope_df, measure, col, name):
+def _ev_multiple(tables, start_period, group, scope_df, measure, col, name, ev_df=None, flow_df=None):
     sc = _scope(tables, group, scope_df)
-    co = sc.select(*K, "freq", "last_statement_date").dropDuplicates(K)
-    ev = enterprise_value(tables, start_period, scope_df=sc)
-    f = _per_ticker(measure(tables, quarter=False, ytd=False, start_period=shift_start(start_period, -7),
+    co = companies_of(tables, group)
+    ev = ev_df if ev_df is not None else enterprise_value(tables, start_period, scope_df=sc)
+    f = _per_ticker(flow_df if flow_df is not None else
+                    measure(tables, quarter=False, ytd=False, start_period=shift_start(start_period, -7),
                             companies=co), sc)
     m = asof_merge(ev, f, ["ticker"])
     return (m.select("ticker", "date", (F.try_divide(F.col("ev"), F.col(col)) / _thousand()).alias(name))
             .dropna(subset=[name]))
 
 
-def ev_ebitda(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
-    return _ev_multiple(tables, start_period, group, scope_df, income.ebitda, "ttm_ebitda", "ev_ebitda")
+def ev_ebitda(tables: Tables, start_period="all", group="consolidated", scope_df=None,
+              ev_df=None, ebitda_df=None) -> DataFrame:
+    return _ev_multiple(tables, start_period, group, scope_df, income.ebitda, "ttm_ebitda", "ev_ebitda",
+                        ev_df, ebitda_df)
 
 
-def ev_ebit(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
-    return _ev_multiple(tables, start_period, group, scope_df, income.ebit, "ttm_ebit", "ev_ebit")
+def ev_ebit(tables: Tables, start_period="all", group="consolidated", scope_df=None,
+            ev_df=None, ebit_df=None) -> DataFrame:
+    return _ev_multiple(tables, start_period, group, scope_df, income.ebit, "ttm_ebit", "ev_ebit", ev_df, ebit_df)
 
 
-def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
+def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=None,
+             equity_df=None) -> DataFrame:
     """Equity x 1000 / total shares, equity carried onto trading days."""
     sc = _scope(tables, group, scope_df)
-    co = sc.select(*K, "freq", "last_statement_date").dropDuplicates(K)
+    co = companies_of(tables, group)
     sh = total_shares(tables, start_period, scope_df=sc)
-    eq = _per_ticker(balances.total_equity(tables, shift_start(start_period, -7), companies=co), sc)
+    eq = _per_ticker(equity_df if equity_df is not None
+                     else balances.total_equity(tables, shift_start(start_period, -7), companies=co), sc)
     m = asof_merge(sh, eq, ["ticker"])
     return (m.select("ticker", "date",
                      (F.try_divide(F.col("total_equity").cast("double"), F.col("total_shares")) * _thousand())
@@ -165,11 +194,12 @@ def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=
             .dropna(subset=["bv_share"]))
 
 
-def price_bv(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
+def price_bv(tables: Tables, start_period="all", group="consolidated", scope_df=None,
+             prices_df=None, bv_df=None) -> DataFrame:
     """Price / book value per share on the union of dates; NULL where one is missing."""
     sc = _scope(tables, group, scope_df)
-    p = prices(tables, start_period, scope_df=sc)
-    bv = bv_share(tables, start_period, scope_df=sc)
+    p = prices_df if prices_df is not None else prices(tables, start_period, scope_df=sc)
+    bv = bv_df if bv_df is not None else bv_share(tables, start_period, scope_df=sc)
     return aligned(p, bv, ["ticker"], "p_bv", lambda a, b: F.try_divide(a, b))
 
 

@@ -33,7 +33,17 @@ def resolve_group(group: str) -> str:
 
 
 def share_classes(tables: Tables) -> DataFrame:
-    """Per company: ON ticker (type ON, ending in '3') and PN ticker, if any."""
+    """Per company: ON ticker (type ON, ending in '3') and PN ticker, if any.
+
+    Stored next to the tables (and read back) when they are stored.
+    """
+    if tables.root is not None:
+        return stored_or_build(tables.tickers.sparkSession, f"{tables.root}/_classes",
+                               lambda: build_share_classes(tables))
+    return build_share_classes(tables)
+
+
+def build_share_classes(tables: Tables) -> DataFrame:
     t = tables.tickers
     return (t.groupBy("cnpj").agg(
         F.min(F.when((F.col("type") == "ON") & (F.substring("ticker", -1, 1) == "3"), F.col("ticker"))).alias("on_ticker"),
@@ -48,9 +58,8 @@ def statement_dates(tables: Tables) -> DataFrame:
 
 def companies(tables: Tables, group: str = "consolidated") -> DataFrame:
     if tables.root is not None:
-        # every company in scope has its ON ticker there, so this is the same set
-        return scope(tables, group).select("cnpj", "grupo_dfp", "freq", "last_statement_date").dropDuplicates(
-            ["cnpj", "grupo_dfp"])
+        return stored_or_build(tables.tickers.sparkSession, f"{tables.root}/_companies_{resolve_group(group)}",
+                               lambda: build_companies(tables, group))
     return build_companies(tables, group)
 
 
@@ -83,7 +92,7 @@ def scope(tables: Tables, group: str = "consolidated") -> DataFrame:
 
 
 def build_scope(tables: Tables, group: str = "consolidated") -> DataFrame:
-    co = build_companies(tables, group)
+    co = companies(tables, group)
     classes = share_classes(tables)
     t = tables.tickers.select("ticker", "cnpj", "type", "sector", "subsector", "segment", "denom_comerc")
     return (t.join(classes, "cnpj").join(co, "cnpj").join(last_price_dates(tables), "ticker", "left")
