@@ -21,6 +21,8 @@ def build_session(cpus: int | str = "*", app: str = "fundlake", shuffle_partitio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small local inputs: let AQE keep enough partitions to use every core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

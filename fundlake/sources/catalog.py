@@ -22,7 +22,7 @@ from fundlake.session import checkpoint_root
 from fundlake.sources import fixtures
 
 # Bump when the derivation changes so stale copies are not reused.
-LAYOUT_VERSION = "fx3"
+LAYOUT_VERSION = "fx5"
 STATEMENTS = ("dre", "dva", "dfc", "bpa", "bpp")
 RAW_INPUTS = ("lineitem", "supplier", "nation", "region")
 
@@ -82,11 +82,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write(name: str, df: DataFrame, path: str) -> None:
+    """Files are hash-clustered by company (statements) or ticker (prices) and
+    sorted inside, one output task per shuffle partition: scans run in
+    parallel and a filter on a company or ticker skips most row groups."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if name in STATEMENTS:
-        (df.sortWithinPartitions("cnpj", "dt_fim_exerc")
+        (df.repartition(n, "cnpj").sortWithinPartitions("cnpj", "dt_fim_exerc")
            .write.mode("overwrite").partitionBy("grupo_dfp").parquet(path))
     elif name == "prices":
-        df.sortWithinPartitions("ticker", "date").write.mode("overwrite").parquet(path)
+        df.repartition(n, "ticker").sortWithinPartitions("ticker", "date").write.mode("overwrite").parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -113,7 +117,7 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True, root
         return _MEMO[key]
     manifest = f"{root}/_manifest"
     if not _exists(spark, manifest):
-        for name, df in fixtures.derive_all(spark, sf_dir).items():
+        for name, df in fixtures.derive_all(spark, sf_dir, stage=f"{root}/_quarterly").items():
             _write(name, df, f"{root}/{name}")
         spark.range(1).select(F.lit(LAYOUT_VERSION).alias("version")).write.mode("overwrite").parquet(manifest)
     out = {}

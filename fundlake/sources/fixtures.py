@@ -218,8 +218,14 @@ def derive_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def derive_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def derive_all(spark: SparkSession, sf_dir: str, stage: str | None = None) -> dict[str, DataFrame]:
+    """All stand-in tables.  With ``stage`` (a folder), the per-quarter totals
+    that five tables share are written there once and read back, so the
+    scan and aggregation of ``lineitem`` run once instead of five times."""
     cum = cumulative_totals(spark, sf_dir)
+    if stage is not None:
+        cum.write.mode("overwrite").parquet(stage)
+        cum = spark.read.parquet(stage)
     return {
         "dre": derive_dre(cum),
         "dva": derive_dva(cum),

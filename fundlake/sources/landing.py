@@ -167,7 +167,8 @@ def write_landing(tables: Tables, root: str) -> dict[str, str]:
     (instrument_rows(tables).write.mode("overwrite").format("xml")
      .option("rowTag", "Instrm").option("rootTag", "BizGrp").save(paths["instruments"]))
     for i, st in enumerate(("dre", "dfc", "bpa", "bpp", "dva")):
-        (statement_rows(tables, st).write.mode("overwrite" if i == 0 else "append")
+        # one CSV per statement file name, as landed archives unpack
+        (statement_rows(tables, st).repartition("_file").write.mode("overwrite" if i == 0 else "append")
          .partitionBy("_file").option("header", "true").option("sep", ";").option("encoding", "ISO-8859-1")
          .csv(paths["statements"]))
     spark.range(1).write.mode("overwrite").parquet(done)
