@@ -111,3 +111,14 @@ def statement_wide(long_df: DataFrame, dates: list, value_types: list[str]) -> D
     labels = [f"{d} {v}" for d in sorted(dates, reverse=True) for v in value_types]
     return (melted.groupBy(*ACCOUNT, "ds_conta").pivot("_col", labels).agg(F.sum("x"))
             .fillna(0.0, subset=labels))
+
+
+def balance_sheet_wide(tables: Tables, start_period="all", group="consolidated") -> DataFrame:
+    """M5 in the wide layout: accounts x (report date, value) with NULL as 0.
+
+    The list of report dates (bounded by the calendar, about four a year) is
+    read on the driver to name the columns.
+    """
+    bs = balance_sheet(tables, start_period, group)
+    dates = [r[0] for r in bs.select("date").distinct().collect()]
+    return statement_wide(bs, dates, ["vl_conta", "vl_conta_pct_change"])

@@ -130,3 +130,4 @@ QUERIES["seed_prices"] = lambda s, d: ingest.seed_prices(T(s, d))
 QUERIES["reload_tickers"] = lambda s, d: ingest.reload_tickers(T(s, d))
 QUERIES["missing_price_dates"] = lambda s, d: ingest.missing_price_dates(T(s, d))
 QUERIES["price_load"] = lambda s, d: ingest.price_load_rows(T(s, d))
+QUERIES["statement_pivot"] = lambda s, d: statements.balance_sheet_wide(T(s, d))

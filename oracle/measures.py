@@ -604,3 +604,13 @@ SELECT mv.ticker, mv.date,
   LAST_VALUE(mv.market_value IGNORE NULLS) OVER (PARTITION BY mv.ticker ORDER BY mv.date
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS market_value, st.mean, st.median
 FROM mv JOIN st ON mv.ticker = st.ticker"""
+
+
+def statement_pivot_sql() -> str:
+    return with_ctes(balance_sheet_ctes()) + """,
+u AS (
+  SELECT cnpj, grupo_dfp, cd_conta, ds_conta, CAST(date AS VARCHAR) || ' vl_conta' AS c, CAST(vl_conta AS DOUBLE) AS x FROM bs
+  UNION ALL
+  SELECT cnpj, grupo_dfp, cd_conta, ds_conta, CAST(date AS VARCHAR) || ' vl_conta_pct_change', vl_conta_pct_change FROM bs)
+SELECT cnpj, grupo_dfp, cd_conta, ds_conta, COALESCE(COLUMNS(* EXCLUDE (cnpj, grupo_dfp, cd_conta, ds_conta)), 0)
+FROM (PIVOT u ON c USING SUM(x) GROUP BY cnpj, grupo_dfp, cd_conta, ds_conta)"""

@@ -95,3 +95,4 @@ ORACLE["seed_prices"] = ig.SEED_PRICES
 ORACLE["reload_tickers"] = ig.RELOAD_TICKERS
 ORACLE["missing_price_dates"] = ig.MISSING_PRICE_DATES
 ORACLE["price_load"] = ig.PRICE_LOAD
+ORACLE["statement_pivot"] = m.statement_pivot_sql()
