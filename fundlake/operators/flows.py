@@ -49,7 +49,8 @@ def prefer_label(df: DataFrame, preferred: str, fallback: str, label: str = "ds_
 
 
 def statement_rows(source: DataFrame, predicate: Column, companies: DataFrame, start_period,
-                   lookback_months: int = 12, columns: tuple[str, ...] = ()) -> DataFrame:
+                   lookback_months: int = 12, columns: tuple[str, ...] = (),
+                   partition_keys: list[str] | None = None) -> DataFrame:
     """Rows of one statement table for the companies in scope, from begin - look-back.
 
     The predicate is applied first so it reaches the Parquet scan; the rows
@@ -57,7 +58,7 @@ def statement_rows(source: DataFrame, predicate: Column, companies: DataFrame, s
     and window of the measure reuses.
     """
     cols = ["cnpj", "grupo_dfp", F.col("dt_fim_exerc").alias("date"), *columns]
-    rows = source.filter(predicate).select(*cols).repartition(*K)
+    rows = source.filter(predicate).select(*cols).repartition(*(partition_keys or K))
     co = companies.select(*K, "freq", begin_column(start_period).alias("begin"))
     return (rows.join(co, K)
                 .filter(F.col("date") >= F.add_months(F.col("begin"), -lookback_months)))

@@ -67,16 +67,27 @@ def _finish(rows: DataFrame, value_types: list[str], annual_null: tuple[str, ...
     return agg.select(*ACCOUNT, "ds_conta", "date", *out)
 
 
-def flow_statement(tables: Tables, table: str, quarter=True, ytd=True, ttm=True, start_period="all",
-                   group="consolidated", companies=None) -> DataFrame:
-    """Income or cash-flow statement: ytd, quarter and ttm per account (W2-W4) + changes."""
+def account_flows(tables: Tables, table: str, start_period="all", group="consolidated",
+                  companies=None) -> DataFrame:
+    """W1-W4 per account: ytd, quarter and ttm values, NULL quarter/ttm for annual-only reporters.
+
+    Rows are partitioned by (company, group, account): the windows need no
+    more, and a company with many accounts is spread over many tasks.
+    """
     co = companies if companies is not None else companies_of(tables, group)
     rows = statement_rows(tables.get(table), F.lit(True), co, start_period,
-                          columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd")))
+                          columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd")),
+                          partition_keys=ACCOUNT)
     w = company_window(["date", "ds_conta"], keys=ACCOUNT)
     rows = rows.withColumn("quarter_value", not_annual(quarter_value(F.col("ytd"), F.col("fiscal_quarter"), w)))
     rows = rows.withColumn("ttm_value", not_annual(trailing_sum("quarter_value", w)))
-    rows = trim_to_begin(rows)
+    return trim_to_begin(rows)
+
+
+def flow_statement(tables: Tables, table: str, quarter=True, ytd=True, ttm=True, start_period="all",
+                   group="consolidated", companies=None) -> DataFrame:
+    """Income or cash-flow statement: ytd, quarter and ttm per account (W2-W4) + changes."""
+    rows = account_flows(tables, table, start_period, group, companies)
     types = [t for t, on in (("ytd", ytd), ("quarter_value", quarter), ("ttm_value", ttm)) if on]
     return _finish(rows.select(*ACCOUNT, "ds_conta", "date", "freq", *types), types,
                    annual_null=("quarter_value", "ttm_value"))
@@ -96,7 +107,7 @@ def balance_sheet(tables: Tables, start_period="all", group="consolidated", comp
     both = (tables.bpa.select(*K, "dt_fim_exerc", "cd_conta", "ds_conta", "vl_conta")
             .unionByName(tables.bpp.select(*K, "dt_fim_exerc", "cd_conta", "ds_conta", "vl_conta")))
     rows = statement_rows(both, F.lit(True), co, start_period, lookback_months=0,
-                          columns=("cd_conta", "ds_conta", "vl_conta"))
+                          columns=("cd_conta", "ds_conta", "vl_conta"), partition_keys=ACCOUNT)
     return _finish(rows.select(*ACCOUNT, "ds_conta", "date", "freq", "vl_conta"), ["vl_conta"])
 
 

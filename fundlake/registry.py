@@ -131,3 +131,60 @@ QUERIES["reload_tickers"] = lambda s, d: ingest.reload_tickers(T(s, d))
 QUERIES["missing_price_dates"] = lambda s, d: ingest.missing_price_dates(T(s, d))
 QUERIES["price_load"] = lambda s, d: ingest.price_load_rows(T(s, d))
 QUERIES["statement_pivot"] = lambda s, d: statements.balance_sheet_wide(T(s, d))
+
+# --- operators exposed on their own (W1-W4, O1/O2, H4, scalar functions) ---------
+from pyspark.sql import functions as F  # noqa: E402
+
+from fundlake.functions import scalar  # noqa: E402
+from fundlake.operators.asof import forward_fill  # noqa: E402
+
+QUERIES["quarter_values"] = lambda s, d: statements.account_flows(T(s, d), "dre").select(
+    "cnpj", "grupo_dfp", "cd_conta", "ds_conta", "date", "ytd", "quarter_value", "ttm_value")
+
+
+def _latest_rows(s, d):
+    """Newest price row per ticker: max_by aggregates partially, so a long history is no hot spot."""
+    p = T(s, d).prices
+    last = p.groupBy("ticker").agg(F.max_by(F.struct("date", "preult", "totneg", "quatot", "number_shares"),
+                                            "date").alias("r"))
+    return last.select("ticker", "r.*")
+
+
+QUERIES["latest_rows"] = _latest_rows
+QUERIES["compare_filled"] = lambda s, d: forward_fill(compare.compare_measure(T(s, d), "price_earnings"),
+                                                      ["ticker"], ["p_e"])
+
+
+def _scalar_strings(s, d):
+    t = T(s, d).tickers
+    return t.select(
+        "ticker", F.upper(F.lower("ticker")).alias("ticker_upper"), scalar.last_char(F.col("ticker")).alias("last_char"),
+        scalar.prefix(F.col("ticker"), 3).alias("prefix3"), scalar.word(F.col("sector"), 2).alias("second_word"),
+        F.length("denom_social").alias("name_length"), scalar.prefix(F.col("denom_social"), 1).alias("first_char"),
+        F.concat(F.col("ticker"), F.lit(" "), F.col("segment")).alias("labelled"))
+
+
+def _scalar_dates(s, d):
+    r = T(s, d).dre.select("cnpj", "grupo_dfp", "cd_conta", "dt_ini_exerc", "dt_fim_exerc")
+    e = F.col("dt_fim_exerc")
+    return r.select(
+        "cnpj", "grupo_dfp", "cd_conta", "dt_fim_exerc",
+        scalar.parse_compact_date(F.date_format(e, "yyyyMMdd")).alias("parsed"),
+        F.add_months(e, 12).alias("plus_year"), F.add_months(e, -7).alias("minus_7m"),
+        F.date_add(e, 1).alias("next_day"), F.year(e).alias("yr"), F.month(e).alias("mo"),
+        scalar.span_years(e, F.col("dt_ini_exerc")).alias("span_years"))
+
+
+def _scalar_math(s, d):
+    p = T(s, d).prices
+    zero = F.col("totneg") - F.col("totneg")
+    return p.select(
+        "ticker", "date", scalar.ratio(F.col("quatot"), F.col("totneg")).alias("per_trade"),
+        scalar.ratio(F.col("preult"), zero).alias("zero_div"), F.pow(F.col("preult"), F.lit(0.5)).alias("root_price"),
+        F.col("quatot").cast("string").try_cast("int").alias("quatot_int"),
+        F.coalesce(scalar.ratio(F.col("preult"), zero), F.lit(0.0)).alias("filled"))
+
+
+QUERIES["scalar_strings"] = _scalar_strings
+QUERIES["scalar_dates"] = _scalar_dates
+QUERIES["scalar_math_cast_null"] = _scalar_math

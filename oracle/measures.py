@@ -614,3 +614,36 @@ u AS (
   SELECT cnpj, grupo_dfp, cd_conta, ds_conta, CAST(date AS VARCHAR) || ' vl_conta_pct_change', vl_conta_pct_change FROM bs)
 SELECT cnpj, grupo_dfp, cd_conta, ds_conta, COALESCE(COLUMNS(* EXCLUDE (cnpj, grupo_dfp, cd_conta, ds_conta)), 0)
 FROM (PIVOT u ON c USING SUM(x) GROUP BY cnpj, grupo_dfp, cd_conta, ds_conta)"""
+
+
+QUARTER_VALUES_SQL = with_ctes(flow_statement_ctes("dre")) + """SELECT cnpj, grupo_dfp, cd_conta, ds_conta, date, ytd,
+  quarter_value, ttm_value FROM ism"""
+
+LATEST_ROWS_SQL = with_ctes() + """SELECT ticker, date, preult, totneg, quatot, number_shares FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM prices) z WHERE rn = 1"""
+
+
+def compare_filled_sql() -> str:
+    return f"""SELECT ticker, date, LAST_VALUE(p_e IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p_e FROM {_sub(price_earnings_sql())} q"""
+
+
+SCALAR_STRINGS_SQL = with_ctes() + """SELECT ticker, UPPER(LOWER(ticker)) AS ticker_upper, RIGHT(ticker, 1) AS last_char,
+  SUBSTRING(ticker, 1, 3) AS prefix3, NULLIF(SPLIT_PART(sector, ' ', 2), '') AS second_word,
+  CAST(LENGTH(denom_social) AS INTEGER) AS name_length, SUBSTRING(denom_social, 1, 1) AS first_char,
+  ticker || ' ' || segment AS labelled
+FROM tickers"""
+
+SCALAR_DATES_SQL = with_ctes() + """SELECT cnpj, grupo_dfp, cd_conta, dt_fim_exerc,
+  CAST(STRPTIME(STRFTIME(dt_fim_exerc, '%Y%m%d'), '%Y%m%d') AS DATE) AS parsed,
+  CAST(dt_fim_exerc + INTERVAL 12 MONTH AS DATE) AS plus_year, CAST(dt_fim_exerc - INTERVAL 7 MONTH AS DATE) AS minus_7m,
+  CAST(dt_fim_exerc + 1 AS DATE) AS next_day, CAST(YEAR(dt_fim_exerc) AS INTEGER) AS yr,
+  CAST(MONTH(dt_fim_exerc) AS INTEGER) AS mo,
+  DATE_DIFF('day', dt_ini_exerc, dt_fim_exerc) / 365.2425 AS span_years
+FROM dre"""
+
+SCALAR_MATH_SQL = with_ctes() + """SELECT ticker, date, CAST(quatot AS DOUBLE) / NULLIF(CAST(totneg AS DOUBLE), 0) AS per_trade,
+  preult / NULLIF(CAST(totneg - totneg AS DOUBLE), 0) AS zero_div, POW(preult, 0.5) AS root_price,
+  TRY_CAST(CAST(quatot AS VARCHAR) AS INTEGER) AS quatot_int,
+  COALESCE(preult / NULLIF(CAST(totneg - totneg AS DOUBLE), 0), CAST(0 AS DOUBLE)) AS filled
+FROM prices"""

@@ -96,3 +96,9 @@ ORACLE["reload_tickers"] = ig.RELOAD_TICKERS
 ORACLE["missing_price_dates"] = ig.MISSING_PRICE_DATES
 ORACLE["price_load"] = ig.PRICE_LOAD
 ORACLE["statement_pivot"] = m.statement_pivot_sql()
+ORACLE["quarter_values"] = m.QUARTER_VALUES_SQL
+ORACLE["latest_rows"] = m.LATEST_ROWS_SQL
+ORACLE["compare_filled"] = m.compare_filled_sql()
+ORACLE["scalar_strings"] = m.SCALAR_STRINGS_SQL
+ORACLE["scalar_dates"] = m.SCALAR_DATES_SQL
+ORACLE["scalar_math_cast_null"] = m.SCALAR_MATH_SQL
