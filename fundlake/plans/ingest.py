@@ -26,7 +26,6 @@ from fundlake.sources.statements_csv import file_name_fields, load_statement, re
 STORED_UNTIL = _dt.date(2001, 6, 1)       # the stored price table holds days before this
 HOLIDAYS = [_dt.date(2001, 6, 14), _dt.date(2001, 9, 7), _dt.date(2001, 10, 12), _dt.date(2001, 11, 2),
             _dt.date(2001, 11, 15)]
-ARCHIVE_PATTERN = r"((?:itr|dfp)_cia_aberta)_[A-Za-z_]+_(?:con|ind)_(\d{4})\.csv"
 
 
 def landing(tables: Tables) -> dict[str, str]:
@@ -156,3 +155,15 @@ def archive_listing(supplier: DataFrame) -> tuple[DataFrame, DataFrame]:
     older = F.when(k % 4 == 0, ts - F.make_interval(days=F.lit(1))).otherwise(ts)
     registered = supplier.filter(k % 2 == 0).select(name.alias("file_name"), older.alias("last_modified"))
     return listed, registered
+
+
+def stream_quote_load(tables: Tables) -> DataFrame:
+    """The streaming incremental load over the landed quote files; returns the price table.
+
+    A second run finds no new files and leaves the table as it is.
+    """
+    from fundlake.streaming.quotes import load_new_quotes
+    spark = spark_of(tables)
+    root = f"{tables.root}/_stream"
+    load_new_quotes(spark, landing(tables)["quotes"], instruments(tables), f"{root}/prices", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/prices")

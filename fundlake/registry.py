@@ -188,3 +188,4 @@ def _scalar_math(s, d):
 QUERIES["scalar_strings"] = _scalar_strings
 QUERIES["scalar_dates"] = _scalar_dates
 QUERIES["scalar_math_cast_null"] = _scalar_math
+QUERIES["stream_quote_load"] = lambda s, d: ingest.stream_quote_load(T(s, d))

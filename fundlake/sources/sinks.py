@@ -58,14 +58,6 @@ def replace_slices(df: DataFrame, path: str, keys: tuple[str, ...] = SLICE_KEYS)
        .partitionBy(*keys).parquet(path))
 
 
-def landed_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Landed file names with their modification time (content is not read)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-             .select("path", "modificationTime"))
-    return files.select(F.regexp_extract("path", pattern, 1).alias("file_name"),
-                        F.col("modificationTime").alias("url_date")).filter(F.col("file_name") != "")
-
-
 def changed_files(available: DataFrame, registered: DataFrame) -> DataFrame:
     """Archives not registered yet, or newer than the registered copy."""
     j = available.join(registered.select("file_name", "last_modified"), "file_name", "left")
