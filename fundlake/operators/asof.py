@@ -10,10 +10,10 @@ The forward fill is a two-level scan so that no company's whole history
 has to sit in one task:
 
 1. rows are partitioned by (key, month) and filled inside the month;
-2. the last non-null value of every (key, month) is computed from that
-   output (no new exchange: it is already partitioned that way), and the
-   carry-in of each month is the last non-null value of the months
-   before it -- a window over one row per key and month;
+2. the last non-null value of every (key, month) is an aggregation on the
+   same partitioning (no new exchange), and the carry-in of each month is
+   the last non-null value of the months before it -- a window over one
+   row per key and month;
 3. the carry-in is joined back on (key, month) and used where the month
    itself has no earlier value.
 
@@ -42,8 +42,10 @@ def forward_fill(df: DataFrame, keys: list[str], cols: list[str], date_col: str
         df = df.withColumn("_mb", _month(date_col))
     inside = Window.partitionBy(*keys, "_mb").orderBy(date_col).rowsBetween(*run)
     local = df.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_l_{c}") for c in cols])
-    month_last = local.groupBy(*keys, "_mb").agg(
-        *[F.max_by(f"_l_{c}", F.col(date_col)).alias(f"_m_{c}") for c in cols])
+    # last non-null value of each (key, month), straight from the rows: an
+    # aggregation on the existing partitioning, no second sort of the rows
+    month_last = df.groupBy(*keys, "_mb").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(date_col))).alias(f"_m_{c}") for c in cols])
     before = Window.partitionBy(*keys).orderBy("_mb").rowsBetween(Window.unboundedPreceding, -1)
     carry = month_last.select(*keys, "_mb",
                               *[F.last(f"_m_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols])
@@ -52,25 +54,28 @@ def forward_fill(df: DataFrame, keys: list[str], cols: list[str], date_col: str
     return out.select(*keep, *[F.coalesce(F.col(f"_l_{c}"), F.col(f"_c_{c}")).alias(c) for c in cols])
 
 
-def asof_merge(left: DataFrame, right: DataFrame, keys: list[str], date_col: str = "date") -> DataFrame:
-    """Outer merge on (keys, date) then forward fill every value column of both sides.
+def asof_merge(*frames: DataFrame, keys: list[str], date_col: str = "date") -> DataFrame:
+    """Outer merge of several series on (keys, date), then forward fill of every value column.
 
-    Each side holds at most one row per key and date.  The merge is a
-    union of both sides (NULL for the other side's columns) with one hash
+    Each input holds at most one row per key and date.  The merge is a
+    union of the inputs (NULL for the others' columns) with one hash
     exchange on (keys, month); rows of the same date are collapsed there
     and the fill runs on the same partitioning, so no further exchange of
     the merged rows is needed (a full outer join would lose the
-    partitioning).
+    partitioning).  Merging n series at once replaces n - 1 nested merges.
     """
     on = [*keys, date_col]
-    lcols = [c for c in left.columns if c not in on]
-    rcols = [c for c in right.columns if c not in on]
-    null = F.lit(None)
-    lpart = left.select(*on, *lcols, *[null.cast(right.schema[c].dataType).alias(c) for c in rcols])
-    rpart = right.select(*on, *[null.cast(left.schema[c].dataType).alias(c) for c in lcols], *rcols)
-    both = lpart.unionByName(rpart).withColumn("_mb", _month(date_col)).repartition(*keys, "_mb")
-    merged = both.groupBy(*keys, "_mb", date_col).agg(*[F.max(c).alias(c) for c in (*lcols, *rcols)])
-    return forward_fill(merged, keys, [*lcols, *rcols], date_col, month_col="_mb")
+    value_cols = [[c for c in f.columns if c not in on] for f in frames]
+    types = {c: f.schema[c].dataType for f, cs in zip(frames, value_cols) for c in cs}
+    every = [c for cs in value_cols for c in cs]
+    parts = [f.select(*on, *[F.col(c) if c in cs else F.lit(None).cast(types[c]).alias(c) for c in every])
+             for f, cs in zip(frames, value_cols)]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    both = both.withColumn("_mb", _month(date_col)).repartition(*keys, "_mb")
+    merged = both.groupBy(*keys, "_mb", date_col).agg(*[F.max(c).alias(c) for c in every])
+    return forward_fill(merged, keys, every, date_col, month_col="_mb")
 
 
 def aligned(left: DataFrame, right: DataFrame, keys: list[str], out: str, expr, how: str = "full_outer",

@@ -90,9 +90,9 @@ def statistics(tables: Tables, group="consolidated", n_years: int = 5) -> DataFr
     bv = market.bv_share(tables, last, scope_df=sc, equity_df=equity)
     per_ticker = {
         "p_e": market.price_earnings(tables, last, scope_df=sc, prices_df=px, eps_df=eps),
-        "ev_ebitda": market.ev_ebitda(tables, last, scope_df=sc, ev_df=ev, ebitda_df=ebitda),
+        "ev_ebitda": market.ev_ebitda(tables, last, scope_df=sc, ebitda_df=ebitda, mv_df=mv, nd_df=nd),
         "p_bv": market.price_bv(tables, last, scope_df=sc, prices_df=px, bv_df=bv),
-        "ev_ebit": market.ev_ebit(tables, last, scope_df=sc, ev_df=ev, ebit_df=ebit),
+        "ev_ebit": market.ev_ebit(tables, last, scope_df=sc, ebit_df=ebit, mv_df=mv, nd_df=nd),
         "bv_share": bv,
         "market_value": mv,
         "ev": ev,

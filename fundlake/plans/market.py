@@ -113,7 +113,7 @@ def eps(tables: Tables, start_period="all", group="consolidated", companies=None
     ni = income.net_income(tables, quarter=False, ytd=False, start_period=F.col("_b7"), companies=co)
     sh = (company_shares(tables).join(co.select("cnpj", "grupo_dfp", "_b7"), "cnpj")
           .filter(F.col("date") >= F.col("_b7")).select(*K, "date", "total_shares"))
-    m = asof_merge(sh, ni, K)
+    m = asof_merge(sh, ni, keys=K)
     m = m.withColumn("eps", F.try_divide((F.col("ttm_net_income") * 1000).cast("double"), F.col("total_shares")))
     m = m.join(co.select(*K, "_b"), K)
     if _is_last(start_period):
@@ -151,32 +151,47 @@ def enterprise_value(tables: Tables, start_period="all", group="consolidated", s
     mv = mv_df if mv_df is not None else market_value(tables, start_period, scope_df=sc)
     nd = _per_ticker(nd_df if nd_df is not None
                      else balances.net_debt(tables, shift_start(start_period, -7), companies=co), sc)
-    m = asof_merge(mv, nd, ["ticker"])
+    m = asof_merge(mv, nd, keys=["ticker"])
     return (m.select("ticker", "date", (F.col("market_value") + F.col("net_debt") * 1000).alias("ev"))
             .dropna(subset=["ev"]))
 
 
-def _ev_multiple(tables, start_period, group, scope_df, measure, col, name, ev_df=None, flow_df=None):
+def _ev_multiple(tables, start_period, group, scope_df, measure, col, name, ev_df=None, flow_df=None,
+                 mv_df=None, nd_df=None):
+    """EV / ttm flow / 1000, the flow carried onto trading days.
+
+    Without a prebuilt ``ev_df`` this is one three-way as-of merge of
+    market value, net debt and the flow: at every date the carried market
+    value and net debt give the same EV as carrying the EV series itself.
+    """
     sc = _scope(tables, group, scope_df)
     co = companies_of(tables, group)
-    ev = ev_df if ev_df is not None else enterprise_value(tables, start_period, scope_df=sc)
     f = _per_ticker(flow_df if flow_df is not None else
                     measure(tables, quarter=False, ytd=False, start_period=shift_start(start_period, -7),
                             companies=co), sc)
-    m = asof_merge(ev, f, ["ticker"])
-    return (m.select("ticker", "date", (F.try_divide(F.col("ev"), F.col(col)) / _thousand()).alias(name))
+    if ev_df is not None:
+        m = asof_merge(ev_df, f, keys=["ticker"])
+        ev = F.col("ev")
+    else:
+        mv = mv_df if mv_df is not None else market_value(tables, start_period, scope_df=sc)
+        nd = _per_ticker(nd_df if nd_df is not None
+                         else balances.net_debt(tables, shift_start(start_period, -7), companies=co), sc)
+        m = asof_merge(mv, nd, f, keys=["ticker"])
+        ev = F.col("market_value") + F.col("net_debt") * 1000
+    return (m.select("ticker", "date", (F.try_divide(ev, F.col(col)) / _thousand()).alias(name))
             .dropna(subset=[name]))
 
 
 def ev_ebitda(tables: Tables, start_period="all", group="consolidated", scope_df=None,
-              ev_df=None, ebitda_df=None) -> DataFrame:
+              ev_df=None, ebitda_df=None, mv_df=None, nd_df=None) -> DataFrame:
     return _ev_multiple(tables, start_period, group, scope_df, income.ebitda, "ttm_ebitda", "ev_ebitda",
-                        ev_df, ebitda_df)
+                        ev_df, ebitda_df, mv_df, nd_df)
 
 
 def ev_ebit(tables: Tables, start_period="all", group="consolidated", scope_df=None,
-            ev_df=None, ebit_df=None) -> DataFrame:
-    return _ev_multiple(tables, start_period, group, scope_df, income.ebit, "ttm_ebit", "ev_ebit", ev_df, ebit_df)
+            ev_df=None, ebit_df=None, mv_df=None, nd_df=None) -> DataFrame:
+    return _ev_multiple(tables, start_period, group, scope_df, income.ebit, "ttm_ebit", "ev_ebit",
+                        ev_df, ebit_df, mv_df, nd_df)
 
 
 def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=None,
@@ -187,7 +202,7 @@ def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=
     sh = total_shares(tables, start_period, scope_df=sc)
     eq = _per_ticker(equity_df if equity_df is not None
                      else balances.total_equity(tables, shift_start(start_period, -7), companies=co), sc)
-    m = asof_merge(sh, eq, ["ticker"])
+    m = asof_merge(sh, eq, keys=["ticker"])
     return (m.select("ticker", "date",
                      (F.try_divide(F.col("total_equity").cast("double"), F.col("total_shares")) * _thousand())
                      .alias("bv_share"))

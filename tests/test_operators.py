@@ -59,7 +59,7 @@ def test_asof_merge_adds_both_date_sets(spark):
     daily = spark.createDataFrame([("x", d("2000-03-30"), 10.0), ("x", d("2000-04-03"), 11.0)],
                                   "k string, date date, price double")
     quarterly = spark.createDataFrame([("x", d("2000-03-31"), 5.0)], "k string, date date, eps double")
-    out = asof_merge(daily, quarterly, ["k"]).orderBy("date").collect()
+    out = asof_merge(daily, quarterly, keys=["k"]).orderBy("date").collect()
     assert [(r.date, r.price, r.eps) for r in out] == [
         (d("2000-03-30"), 10.0, None), (d("2000-03-31"), 10.0, 5.0), (d("2000-04-03"), 11.0, 5.0)]
 
