@@ -53,15 +53,18 @@ def statement_rows(source: DataFrame, predicate: Column, companies: DataFrame, s
                    partition_keys: list[str] | None = None) -> DataFrame:
     """Rows of one statement table for the companies in scope, from begin - look-back.
 
-    The predicate is applied first so it reaches the Parquet scan; the rows
-    are then hash partitioned on the company key, which every later join
-    and window of the measure reuses.
+    The predicate is applied first so it reaches the Parquet scan; the
+    companies (a small dimension, broadcast when its measured size allows)
+    and the look-back filter come next, and only the remaining rows are
+    hash partitioned on the company key, which every later join and window
+    of the measure reuses.
     """
     cols = ["cnpj", "grupo_dfp", F.col("dt_fim_exerc").alias("date"), *columns]
-    rows = source.filter(predicate).select(*cols).repartition(*(partition_keys or K))
+    rows = source.filter(predicate).select(*cols)
     co = companies.select(*K, "freq", begin_column(start_period).alias("begin"))
     return (rows.join(co, K)
-                .filter(F.col("date") >= F.add_months(F.col("begin"), -lookback_months)))
+                .filter(F.col("date") >= F.add_months(F.col("begin"), -lookback_months))
+                .repartition(*(partition_keys or K)))
 
 
 def trim_to_begin(df: DataFrame, lookback_months: int = 12) -> DataFrame:

@@ -58,15 +58,20 @@ def share_members(tables: Tables) -> DataFrame:
     return on.unionByName(pn)
 
 
-def company_daily(tables: Tables) -> DataFrame:
+def company_daily(tables: Tables, since: DataFrame | None = None) -> DataFrame:
     """Per company and day, in one aggregation over the prices of its ON and PN tickers.
 
+    ``since`` (cnpj, since) drops earlier days before the aggregation, so a
+    measure that starts late does not aggregate the whole history.
+
     * ``total_shares``: ON shares plus PN shares (0 when PN has no row that
       day; ON only when the company has no PN class); only days with an ON
       row carry shares (``_has_on``);
     * ``market_value``: sum of price x shares over both classes.
     """
     p = tables.prices.select("ticker", "date", "preult", "number_shares").join(share_members(tables), "ticker")
+    if since is not None:
+        p = p.join(since, "cnpj").filter(F.col("date") >= F.col("since")).drop("since")
     on = F.col("cls") == "ON"
     agg = p.groupBy("cnpj", "date").agg(
         F.max(on.cast("int")).alias("_has_on"),
@@ -78,27 +83,35 @@ def company_daily(tables: Tables) -> DataFrame:
     return agg.select("cnpj", "date", "_has_on", total.alias("total_shares"), "market_value")
 
 
-def company_shares(tables: Tables) -> DataFrame:
+def company_shares(tables: Tables, since: DataFrame | None = None) -> DataFrame:
     """Per company and day with an ON quote: shares outstanding over both classes."""
-    return company_daily(tables).filter(F.col("_has_on") == 1).select("cnpj", "date", "total_shares")
+    return company_daily(tables, since).filter(F.col("_has_on") == 1).select("cnpj", "date", "total_shares")
+
+
+def _since(start_period, sc_begin: DataFrame) -> DataFrame | None:
+    """Per company, the earliest begin over its tickers; None when nothing is cut ('all')."""
+    if isinstance(start_period, str) and start_period == "all":
+        return None
+    return sc_begin.groupBy("cnpj").agg(F.min("begin").alias("since"))
 
 
 def total_shares(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
     sc = _scope(tables, group, scope_df).select(
         "ticker", "cnpj", begin_column(start_period, "total_shares").alias("begin"))
-    return (company_shares(tables).join(sc, "cnpj").filter(F.col("date") >= F.col("begin"))
+    return (company_shares(tables, _since(start_period, sc)).join(sc, "cnpj").filter(F.col("date") >= F.col("begin"))
             .select("ticker", "date", "total_shares"))
 
 
-def company_market_value(tables: Tables) -> DataFrame:
+def company_market_value(tables: Tables, since: DataFrame | None = None) -> DataFrame:
     """Per company and day: sum of price x shares over its ON and PN tickers."""
-    return company_daily(tables).select("cnpj", "date", "market_value")
+    return company_daily(tables, since).select("cnpj", "date", "market_value")
 
 
 def market_value(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
     sc = _scope(tables, group, scope_df).select(
         "ticker", "cnpj", begin_column(start_period, "market_value").alias("begin"))
-    return (company_market_value(tables).join(sc, "cnpj").filter(F.col("date") >= F.col("begin"))
+    return (company_market_value(tables, _since(start_period, sc)).join(sc, "cnpj")
+            .filter(F.col("date") >= F.col("begin"))
             .select("ticker", "date", "market_value"))
 
 
@@ -111,7 +124,9 @@ def eps(tables: Tables, start_period="all", group="consolidated", companies=None
     co = companies if companies is not None else companies_of(tables, group)
     co = co.withColumn("_b", begin_column(start_period, "eps")).withColumn("_b7", F.add_months(F.col("_b"), -7))
     ni = income.net_income(tables, quarter=False, ytd=False, start_period=F.col("_b7"), companies=co)
-    sh = (company_shares(tables).join(co.select("cnpj", "grupo_dfp", "_b7"), "cnpj")
+    since = None if (isinstance(start_period, str) and start_period == "all") else \
+        co.select("cnpj", F.col("_b7").alias("since"))
+    sh = (company_shares(tables, since).join(co.select("cnpj", "grupo_dfp", "_b7"), "cnpj")
           .filter(F.col("date") >= F.col("_b7")).select(*K, "date", "total_shares"))
     m = asof_merge(sh, ni, keys=K)
     m = m.withColumn("eps", F.try_divide((F.col("ttm_net_income") * 1000).cast("double"), F.col("total_shares")))
