@@ -189,3 +189,4 @@ QUERIES["scalar_strings"] = _scalar_strings
 QUERIES["scalar_dates"] = _scalar_dates
 QUERIES["scalar_math_cast_null"] = _scalar_math
 QUERIES["stream_quote_load"] = lambda s, d: ingest.stream_quote_load(T(s, d))
+QUERIES["ingest_dmpl"] = lambda s, d: ingest.statement(T(s, d), "dmpl")

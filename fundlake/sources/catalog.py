@@ -22,7 +22,7 @@ from fundlake.session import checkpoint_root
 from fundlake.sources import fixtures
 
 # Bump when the derivation changes so stale copies are not reused.
-LAYOUT_VERSION = "fx5"
+LAYOUT_VERSION = "fx6"
 STATEMENTS = ("dre", "dva", "dfc", "bpa", "bpp")
 RAW_INPUTS = ("lineitem", "supplier", "nation", "region")
 

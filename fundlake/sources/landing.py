@@ -110,9 +110,20 @@ def _file_name(kind_col: Column, stmt: str, grupo: Column, year: Column) -> Colu
                     F.lit("_"), year.cast("string"), F.lit(".csv"))
 
 
+# Statement columns of the stand-in changes-in-equity statement and their value multipliers.
+DMPL_COLUMNS = [("Capital Social Integralizado", 1), ("Lucros ou Prejuízos Acumulados", 2)]
+
+
+def dmpl_source(tables: Tables) -> DataFrame:
+    """Stand-in changes-in-equity rows: every income-statement row in two statement columns."""
+    cols = F.array(*[F.struct(F.lit(c).alias("coluna_df"), F.lit(k).alias("k")) for c, k in DMPL_COLUMNS])
+    x = tables.dre.select("*", F.inline(cols))
+    return x.withColumn("vl_conta", F.col("vl_conta") * F.col("k")).drop("k")
+
+
 def statement_rows(tables: Tables, statement: str) -> DataFrame:
     """Raw CSV rows (upper-case headers) of one stored statement, plus the target file name."""
-    src = tables.get(statement)
+    src = dmpl_source(tables) if statement == "dmpl" else tables.get(statement)
     flow = "dt_ini_exerc" in src.columns
     kind = F.when(F.month("dt_fim_exerc") == 12, F.lit("dfp")).otherwise(F.lit("itr"))
     variants = F.array(*[F.lit(i) for i in range(5)])
@@ -141,7 +152,10 @@ def statement_rows(tables: Tables, statement: str) -> DataFrame:
         ini = F.when(v == 2, F.trunc("dt_fim_exerc", "quarter")).otherwise(F.col("dt_ini_exerc"))
         cols.append(ini.cast("string").alias("DT_INI_EXERC"))
     cols += [F.col("dt_fim_exerc").cast("string").alias("DT_FIM_EXERC"), F.col("cd_conta").alias("CD_CONTA"),
-             F.col("ds_conta").alias("DS_CONTA"), value.cast("string").alias("VL_CONTA")]
+             F.col("ds_conta").alias("DS_CONTA")]
+    if statement == "dmpl":
+        cols.append(F.col("coluna_df").alias("COLUNA_DF"))
+    cols.append(value.cast("string").alias("VL_CONTA"))
     stmt = statement.upper()
     # v == 4 rows are the direct cash-flow method (cash flow only); elsewhere they are dropped
     if statement == "dfc":
@@ -166,7 +180,7 @@ def write_landing(tables: Tables, root: str) -> dict[str, str]:
     quote_lines(tables).write.mode("overwrite").text(paths["quotes"])
     (instrument_rows(tables).write.mode("overwrite").format("xml")
      .option("rowTag", "Instrm").option("rootTag", "BizGrp").save(paths["instruments"]))
-    for i, st in enumerate(("dre", "dfc", "bpa", "bpp", "dva")):
+    for i, st in enumerate(("dre", "dfc", "bpa", "bpp", "dva", "dmpl")):
         # one CSV per statement file name, as landed archives unpack
         (statement_rows(tables, st).repartition("_file").write.mode("overwrite" if i == 0 else "append")
          .partitionBy("_file").option("header", "true").option("sep", ";").option("encoding", "ISO-8859-1")

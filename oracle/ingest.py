@@ -43,7 +43,8 @@ ff AS (
         WHERE ABS(vl_conta) % 7 = 0
   UNION SELECT DISTINCT CASE WHEN MONTH(dt_fim_exerc) = 12 THEN 'dfp' ELSE 'itr' END, 'BPA', grupo_dfp, YEAR(dt_fim_exerc) FROM bpa
   UNION SELECT DISTINCT CASE WHEN MONTH(dt_fim_exerc) = 12 THEN 'dfp' ELSE 'itr' END, 'BPP', grupo_dfp, YEAR(dt_fim_exerc) FROM bpp
-  UNION SELECT DISTINCT CASE WHEN MONTH(dt_fim_exerc) = 12 THEN 'dfp' ELSE 'itr' END, 'DVA', grupo_dfp, YEAR(dt_fim_exerc) FROM dva)""") + """
+  UNION SELECT DISTINCT CASE WHEN MONTH(dt_fim_exerc) = 12 THEN 'dfp' ELSE 'itr' END, 'DVA', grupo_dfp, YEAR(dt_fim_exerc) FROM dva
+  UNION SELECT DISTINCT CASE WHEN MONTH(dt_fim_exerc) = 12 THEN 'dfp' ELSE 'itr' END, 'DMPL', grupo_dfp, YEAR(dt_fim_exerc) FROM dre)""") + """
 SELECT k || '_cia_aberta_' || st || '_' || CASE WHEN grupo_dfp = 'Consolidado' THEN 'con' ELSE 'ind' END || '_'
        || CAST(y AS VARCHAR) || '.csv' AS file_name,
   k AS itr_dfp, LOWER(st) AS statement, CASE WHEN grupo_dfp = 'Consolidado' THEN 'con' ELSE 'ind' END AS con_ind,
@@ -102,3 +103,15 @@ gap AS (SELECT MIN(date) AS g FROM expd WHERE date NOT IN (SELECT date FROM land
 todo AS (SELECT date FROM expd WHERE (SELECT g FROM gap) IS NULL OR date < (SELECT g FROM gap))""") + """SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot,
   CASE WHEN totneg % 11 = 0 THEN NULL ELSE number_shares END AS number_shares
 FROM prices WHERE date IN (SELECT date FROM todo) AND NOT (DAY(date) = 15 AND MONTH(date) >= 8 AND YEAR(date) = 2001)"""
+
+
+# Every income-statement row in two statement columns (the second at twice the value);
+# the dedupe key includes the statement column, so both are kept.
+DMPL = with_ctes() + """SELECT d.cnpj, CAST(YEAR(d.dt_fim_exerc) AS INTEGER) AS dt_refer, d.grupo_dfp, d.dt_ini_exerc,
+  d.dt_fim_exerc, d.cd_conta, d.ds_conta, c.coluna_df, CAST(d.vl_conta * c.k AS DOUBLE) AS vl_conta,
+  CASE WHEN MONTH(d.dt_fim_exerc) = 12 THEN 'dfp' ELSE 'itr' END AS itr_dfp,
+  ((YEAR(d.dt_fim_exerc) - YEAR(d.dt_ini_exerc)) * 12 + (MONTH(d.dt_fim_exerc) - MONTH(d.dt_ini_exerc)) + 1)
+    / CAST(3 AS DOUBLE) AS fiscal_quarter
+FROM dre d CROSS JOIN (SELECT * FROM (VALUES ('Capital Social Integralizado', 1), ('Lucros ou Prejuízos Acumulados', 2))
+  v(coluna_df, k)) c
+WHERE d.cnpj IN (SELECT cnpj FROM tickers)"""

@@ -103,3 +103,4 @@ ORACLE["scalar_strings"] = m.SCALAR_STRINGS_SQL
 ORACLE["scalar_dates"] = m.SCALAR_DATES_SQL
 ORACLE["scalar_math_cast_null"] = m.SCALAR_MATH_SQL
 ORACLE["stream_quote_load"] = ig.MERGE
+ORACLE["ingest_dmpl"] = ig.DMPL
