@@ -22,7 +22,7 @@ from fundlake.session import checkpoint_root
 from fundlake.sources import fixtures
 
 # Bump when the derivation changes so stale copies are not reused.
-LAYOUT_VERSION = "fx6"
+LAYOUT_VERSION = "fx7"
 STATEMENTS = ("dre", "dva", "dfc", "bpa", "bpp")
 RAW_INPUTS = ("lineitem", "supplier", "nation", "region")
 
@@ -83,14 +83,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def _write(name: str, df: DataFrame, path: str) -> None:
     """Files are hash-clustered by company (statements) or ticker (prices) and
-    sorted inside, one output task per shuffle partition: scans run in
-    parallel and a filter on a company or ticker skips most row groups."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted inside: scans run in parallel and a filter on a company or ticker
+    skips most row groups.  The repartition has no fixed count, so AQE sizes
+    the output files to the data (few files when small, many when large)."""
     if name in STATEMENTS:
-        (df.repartition(n, "cnpj").sortWithinPartitions("cnpj", "dt_fim_exerc")
+        (df.repartition("cnpj").sortWithinPartitions("cnpj", "dt_fim_exerc")
            .write.mode("overwrite").partitionBy("grupo_dfp").parquet(path))
     elif name == "prices":
-        df.repartition(n, "ticker").sortWithinPartitions("ticker", "date").write.mode("overwrite").parquet(path)
+        df.repartition("ticker").sortWithinPartitions("ticker", "date").write.mode("overwrite").parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
