@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import common, packing, token_counts, token_files
+from fundlake.llm import common, packing, simhash, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,16 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.crc32("deltas").alias("prefix_counts_crc32"))
 
 
+def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
@@ -40,6 +50,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op5_token_counts": op5_token_counts,
+    "op7_simhash_near_duplicates": op7_simhash_near_duplicates,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
 }
