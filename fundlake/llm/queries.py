@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import common, packing, simhash, token_counts, token_files, toxicity
+from fundlake.llm import common, packing, pii, simhash, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogates(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"))
     return counts.select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars",
@@ -49,6 +53,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_near_duplicates": op7_simhash_near_duplicates,
     "op8_toxicity": op8_toxicity,
