@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import common, packing, pii, simhash, token_counts, token_files, toxicity
+from fundlake.llm import common, packing, pii, simhash, sketches, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.crc32("deltas").alias("prefix_counts_crc32"))
 
 
+def op6_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -55,6 +59,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_pii_surrogates": op3_pii_surrogates,
     "op5_token_counts": op5_token_counts,
+    "op6_bottom_k_fingerprints": op6_bottom_k_fingerprints,
     "op7_simhash_near_duplicates": op7_simhash_near_duplicates,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
