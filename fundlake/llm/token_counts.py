@@ -17,7 +17,7 @@ empty result.  Columns other than the named two are not read.
 from __future__ import annotations
 
 import json
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,7 +68,7 @@ class PrefixCounter:
             self.rank[raw(a), raw(b)] = i
         self._apart: dict[int, bool] = {}
         self._words: dict[str, bytes] = {}
-        self.most_words = 400_000
+        self.most_words = 200_000
         self.cache = UnitCache(self.many_deltas)
 
     def merged(self, data: bytes) -> list[bytes]:
@@ -87,17 +87,20 @@ class PrefixCounter:
         encoded as just these two; the left one may be NONE."""
         left, right = self.raw[key // SHIFT], self.raw[key % SHIFT]
         got = self.merged(left + right) == ([left, right] if left else [right])
-        if len(self._apart) > 1_000_000:
+        if len(self._apart) > 400_000:
             self._apart.clear()
         self._apart[key] = got
         return got
 
-    def extend(self, data: bytes, last: list[int], count: list[int]) -> None:
-        """Continue the program over data: last token and count after each byte, in
-        place, from where the two lists end (they hold the empty prefix at first)."""
+    def extend(self, data: bytes, last: list[int], count: list[int], start: list[int]) -> None:
+        """Continue the program over data: last token, count and the last token's start
+        after each byte, in place, from where the lists end (they hold the empty prefix
+        at first).  Exactly one start fits, so the likeliest are tried first: where the
+        token before began, then shorter tokens before longer ones."""
         ids, known, longest = self.ids, self._apart, self.longest
         for i in range(len(last), len(data) + 1):
-            for j in range(i - longest if i > longest else 0, i):
+            guess = start[i - 1]
+            for j in chain((guess,), range(i - 1, max(-1, i - 1 - longest), -1)):
                 t = ids.get(data[j:i])
                 if t is not None:
                     key = last[j] * SHIFT + t
@@ -105,6 +108,7 @@ class PrefixCounter:
                     if ok or ok is None and self.apart(key):
                         last.append(t)
                         count.append(count[j] + 1)
+                        start.append(j)
                         break
             else:
                 raise ValueError(f"no token ends at byte {i}")
@@ -112,15 +116,15 @@ class PrefixCounter:
     def learn(self, words: set[str]) -> None:
         """Deltas of new pre-tokens.  In sorted order a word goes on from the prefix
         it shares with the one before."""
-        before, last, count = b"", [NONE], [0]
+        before, last, count, start = b"", [NONE], [0], [0]
         for data, word in sorted((w.encode(), w) for w in words):
             same = 0
             for x, y in zip(before, data):
                 if x != y:
                     break
                 same += 1
-            del last[same + 1:], count[same + 1:]
-            self.extend(data, last, count)
+            del last[same + 1:], count[same + 1:], start[same + 1:]
+            self.extend(data, last, count, start)
             before, counts = data, count
             if len(data) != len(word):
                 counts = [0, *(count[e] for e in accumulate(len(c.encode()) for c in word))]
@@ -189,12 +193,12 @@ def shared_counter(path: str | None = None) -> PrefixCounter:
     return _COUNTERS[path]
 
 
-def counts_from_deltas(deltas: bytes) -> np.ndarray:
+def counts_from_deltas(deltas) -> np.ndarray:
     """Tokens at every prefix, from the empty one on."""
     return np.concatenate([[0], np.cumsum(np.frombuffer(deltas, np.int8), dtype=np.int64)])
 
 
-def fitting_prefix(deltas: bytes, budget: int) -> int:
+def fitting_prefix(deltas, budget: int) -> int:
     """Code points of the longest prefix of at most ``budget`` tokens."""
     return int(np.flatnonzero(counts_from_deltas(deltas) <= budget)[-1])
 
@@ -207,15 +211,11 @@ def prefix_counts_column(text_col, budget: int = 1024, path: str | None = None):
     @arrow_udf("struct<n_tokens:bigint,fit_chars:bigint,deltas:binary>")
     def counted(texts: pa.Array) -> pa.Array:
         data, offs = shared_counter(path).deltas(texts)
-        sums = np.concatenate([[0], np.cumsum(data, dtype=np.int64)])
-        total = sums[offs[1:]] - sums[offs[:-1]]
-        fit = offs[1:] - offs[:-1]
-        for i in np.flatnonzero(fit > budget):  # fewer code points than the budget may still exceed it
-            inside = sums[offs[i]:offs[i + 1] + 1] - sums[offs[i]]
-            fit[i] = np.flatnonzero(inside <= budget)[-1]
-        for i in np.flatnonzero((fit <= budget) & (total > budget)):
-            inside = sums[offs[i]:offs[i + 1] + 1] - sums[offs[i]]
-            fit[i] = np.flatnonzero(inside <= budget)[-1]
+        total, fit = np.zeros(len(texts), np.int64), offs[1:] - offs[:-1]
+        for i, (lo, hi) in enumerate(zip(offs.tolist(), offs[1:].tolist())):
+            total[i] = data[lo:hi].sum(dtype=np.int64)
+            if hi - lo > budget or total[i] > budget:
+                fit[i] = fitting_prefix(data[lo:hi], budget)
         raw = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(texts), [None, pa.py_buffer(offs.astype(np.int64)), pa.py_buffer(data)])
         return pa.StructArray.from_arrays(
