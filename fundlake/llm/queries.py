@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import common, packing, pii, simhash, sketches, token_counts, token_files, toxicity
+from fundlake.llm import ann, common, packing, pii, simhash, sketches, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.surrogates(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"))
     return counts.select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars",
@@ -58,6 +63,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_pii_surrogates": op3_pii_surrogates,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_token_counts": op5_token_counts,
     "op6_bottom_k_fingerprints": op6_bottom_k_fingerprints,
     "op7_simhash_near_duplicates": op7_simhash_near_duplicates,
