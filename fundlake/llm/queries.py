@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import ann, common, packing, pii, simhash, sketches, token_counts, token_files, toxicity
+from fundlake.llm import (ann, common, licenses, packing, pii, simhash, sketches, spm_sample, token_counts, token_files,
+                          toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = spm_sample.sample(table(spark, sf_dir, "documents"), k=2)
+    return samples.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), "logp", "perturbed",
+                          "log_inclusion")
+
+
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.surrogates(table(spark, sf_dir, "documents"))
 
@@ -62,6 +73,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_sentencepiece_samples": op2_sentencepiece_samples,
     "op3_pii_surrogates": op3_pii_surrogates,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_token_counts": op5_token_counts,
