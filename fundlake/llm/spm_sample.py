@@ -50,7 +50,7 @@ MARK = "▁"
 ODD = 0x9E3779B97F4A7C15
 INVERSE = pow(ODD, -1, 1 << 64)
 #: Texts are worked through in steps of about so many characters.
-STEP_CHARS = 4 << 20
+STEP_CHARS = 2 << 20
 
 
 class HashTable:
@@ -169,9 +169,10 @@ class Lattices:
         # a node per place; the places of word w begin at first[w]
         self.first = ends - lens + np.arange(len(words))
         self.last = self.first + lens
-        begin, end = start + word[start], stop_at + word[start] if len(start) else stop_at
-        order = np.lexsort((begin, end))
-        self.begin, self.end, self.id = begin[order], end[order], ids[order]
+        shift = word[start] if len(start) else start
+        begin, end = (start + shift).astype(np.int32), (stop_at + shift).astype(np.int32)
+        order = np.argsort(end, kind="stable")
+        self.begin, self.end, self.id = begin[order], end[order], ids[order].astype(np.int32)
         self.edge_logp = logp[self.id]
         self.nodes = n + len(words)
         self._forward()
@@ -183,7 +184,7 @@ class Lattices:
         self.edge_at = np.searchsorted(self.end, np.arange(self.nodes + 1))
         weight = np.full(len(self.end), -np.inf)
         lens = self.last - self.first
-        depth_nodes = np.arange(self.nodes) - np.repeat(self.first, lens + 1)
+        depth_nodes = (np.arange(self.nodes) - np.repeat(self.first, lens + 1)).astype(np.int32)
         order = np.argsort(depth_nodes, kind="stable")
         bounds = np.searchsorted(depth_nodes[order], np.arange(int(lens.max(initial=0)) + 2))
         for d in range(1, len(bounds) - 1):
@@ -343,28 +344,32 @@ def search(words: np.ndarray, drawn: list, lat: Lattices, k: int, rng: np.random
         leave(path, w + 1)
 
 
-def words_of(text: str) -> list[str]:
-    """A normalised text cut before every run of word marks."""
-    if not text:
-        return []
-    cuts = text.split(MARK)
-    out, marks = [], 0
-    for i, c in enumerate(cuts):
-        marks += i > 0
-        if c:
-            out.append(MARK * marks + c)
-            marks = 0
-    return out + [MARK * marks] * (marks > 0)
+def split_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Normalised texts cut before every run of word marks: (distinct words, number of
+    each word in order, first word of each text; one more at the end)."""
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    offs = np.cumsum([0, *map(len, raw)])
+    starts = np.zeros(len(data) + 3, bool)
+    if len(data) > 2:
+        mark = np.zeros(len(data) + 3, bool)
+        mark[3:-2] = (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
+        starts[: len(data)] = mark[3:] & ~mark[:-3]
+    full = offs[1:] > offs[:-1]
+    starts[offs[:-1][full]] = True
+    at = np.flatnonzero(starts[: len(data)])
+    units = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(data)])
+    enc = units.dictionary_encode()
+    return ([w.decode() for w in enc.dictionary.to_pylist()], enc.indices.to_numpy(zero_copy_only=False).astype(np.int64),
+            np.searchsorted(at, offs))
 
 
 def sample_texts(keys: list, texts: list[str], p: Pieces, k: int, seed: int) -> Iterator[tuple]:
     """(key, sample, ids, logp, perturbed, log_inclusion) rows of a batch of texts."""
-    cut = [words_of(p.sp.normalize(t)) for t in texts]
-    names: dict[str, int] = {}
-    codes = np.array([names.setdefault(w, len(names)) for ws in cut for w in ws], np.int64)
-    lat = Lattices(list(names), p)
+    names, codes, bounds = split_words([p.sp.normalize(t) for t in texts])
+    lat = Lattices(names, p)
     rngs = [np.random.Generator(np.random.Philox(key=xxhash.xxh3_128_intdigest(f"{seed}|{key}"))) for key in keys]
-    bounds = np.cumsum([0, *(len(ws) for ws in cut)])
     draws = []
     order = np.argsort(codes, kind="stable")
     back = np.empty_like(order)

@@ -13,9 +13,9 @@ the end, where zstandard's references are cheapest.  The ordinary
 dictionary is padded to the same length, so that equal references cost the
 same in both and only the toxic section makes a difference.
 
-Fitting reads a bounded sample of labelled documents without near copies (at most ``MOST_TOXIC`` and
-``MOST_ORDINARY``, none over ``MOST_BYTES``, picked by the hash of their
-ids, never held-out ones).  The calibration sees only documents that the
+Fitting reads a bounded sample of labelled documents without near copies: about ``MOST_TOXIC`` and
+``MOST_ORDINARY`` of them at most, none over ``MOST_BYTES``, those whose ids hash below the
+matching part of the hash range, never held-out ones.  The calibration sees only documents that the
 dictionaries used for it have not seen (two halves, crosswise), and the
 intercept is shifted from the sample's to the labels' own share of toxic
 documents.  Scoring covers every window of every whole text.
@@ -237,11 +237,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     count = known.groupBy("y").count().collect()
     total, toxic = sum(r["count"] for r in count), sum(r["count"] for r in count if r["y"])
     share = toxic / total if total else 0.0
-    pick = [r for y, most in ((1, MOST_TOXIC), (0, MOST_ORDINARY))
-            for r in known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most).collect()]
+    top = (1 << 62) - 1
+    part = lambda n, most: F.lit(int(min(1.0, most / max(1, n)) * top))
+    few = F.when(F.col("y") > 0, part(toxic, MOST_TOXIC)).otherwise(part(total - toxic, MOST_ORDINARY))
+    pick = known.filter(F.xxhash64("id").bitwiseAND(F.lit(top)) <= few).limit(2 * (MOST_TOXIC + MOST_ORDINARY)).collect()
     if not pick:
         return fit([], [], share, settings)
-    ids = docs.sparkSession.createDataFrame([(r["id"], r["y"]) for r in pick], "id long, y int")  # at most 7500 rows
+    ids = docs.sparkSession.createDataFrame([(r["id"], r["y"]) for r in pick], "id long, y int")  # about 7500 rows at most
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
             .filter(F.octet_length("text") <= MOST_BYTES).join(F.broadcast(ids), "id")
             .limit(4 * (MOST_TOXIC + MOST_ORDINARY)).collect())
