@@ -64,7 +64,8 @@ def compare_measure(tables: Tables, measure: str, kwargs: dict | None = None, gr
     if measure in TICKER_MEASURES:
         return TICKER_MEASURES[measure](tables, scope_df=sc, **kwargs)
     if measure in COMPANY_MEASURES:
-        co = companies_of(tables, group)
+        co = companies_of(tables, group) if scope_df is None else \
+            sc.select(*K, "freq", "last_statement_date").distinct()
         return _ticker_view(COMPANY_MEASURES[measure](tables, companies=co, **kwargs), sc)
     raise ValueError(f"unknown measure: {measure}")
 
@@ -151,10 +152,17 @@ def compare_common(long_df: DataFrame, n_tickers: int) -> DataFrame:
     return long_df.join(common.select("date"), "date", "left_semi")
 
 
-def compare_filled(long_df: DataFrame) -> DataFrame:
-    """H4: each ticker's series sorted by date with gaps carried forward."""
+def compare_filled(long_df: DataFrame, tickers: list[str]) -> DataFrame:
+    """H4: the given tickers' series on the dates of all of them, gaps carried forward.
+
+    The list of tickers bounds the grid of dates x tickers; every ticker in
+    scope would make it grow with both.
+    """
     values = [c for c in long_df.columns if c not in ("ticker", "date")]
-    return forward_fill(long_df, ["ticker"], values)
+    sub = long_df.filter(F.col("ticker").isin(*[t.upper() for t in tickers]))
+    names = F.array(*[F.lit(t.upper()) for t in tickers])
+    grid = sub.select("date").distinct().select("date", F.explode(names).alias("ticker"))
+    return forward_fill(grid.join(sub, ["ticker", "date"], "left").select("ticker", "date", *values), ["ticker"], values)
 
 
 def is_regular(long_df: DataFrame, name: str) -> DataFrame:

@@ -10,23 +10,19 @@ checkpoint location.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlake.plans.loads import price_load, statement_load
+from fundlake.plans.loads import STATEMENT_KINDS, price_load, statement_load
 from fundlake.sources import sinks
 from fundlake.sources.catalog import Tables
-from fundlake.sources.landing import write_landing
-from fundlake.sources.prices_file import merge_shares, read_instrument_files, read_quote_files
-from fundlake.sources.statements_csv import file_name_fields, load_statement, read_raw
-
-# Parameters of the registered load scenarios.
-STORED_UNTIL = _dt.date(2001, 6, 1)       # the stored price table holds days before this
-HOLIDAYS = [_dt.date(2001, 6, 14), _dt.date(2001, 9, 7), _dt.date(2001, 10, 12), _dt.date(2001, 11, 2),
-            _dt.date(2001, 11, 15)]
-
+from fundlake.sources.landing import HOLIDAYS, stored_prices, write_landing
+from fundlake.sources.prices_file import (filter_counts, instrument_kept, instrument_records, merge_shares, quote_kept,
+                                          quote_records, read_instrument_files, read_instrument_xml, read_quote_files)
+from fundlake.sources.statements_csv import file_name_fields, load_statement
 
 def landing(tables: Tables) -> dict[str, str]:
     return write_landing(tables, f"{tables.root}/_landing")
@@ -73,24 +69,61 @@ def _today(tables: Tables) -> _dt.date:
     return quotes(tables).agg(F.max("date")).collect()[0][0]
 
 
-def _stored_prices(tables: Tables) -> DataFrame:
-    return tables.prices.filter(F.col("date") < F.lit(STORED_UNTIL))
-
-
 def missing_price_dates(tables: Tables) -> DataFrame:
     from fundlake.operators.calendar import expected_days
-    return expected_days(_stored_prices(tables).select("date"), _holidays(tables), _today(tables))
+    return expected_days(stored_prices(tables).select("date"), _holidays(tables), _today(tables))
+
 
+def price_load_table(tables: Tables) -> DataFrame:
+    """The price table, stored by year, after the missing days were appended."""
+    spark = spark_of(tables)
+    path = f"{tables.root}/_loads/prices_by_year_{uuid.uuid4().hex}"
+    sinks.append(by_year(stored_prices(tables)), path, ("year",))
+    stored = spark.read.schema(PRICE_TABLE).parquet(path)
+    landed = read_quote_files(spark, landing(tables)["quotes_at_load"])
+    new = price_load(stored, landed, instruments(tables), _holidays(tables), _today(tables))
+    sinks.append(by_year(new), path, ("year",))
+    return spark.read.schema(PRICE_TABLE).parquet(path).drop("year")
+
+
+def by_year(prices: DataFrame) -> DataFrame:
+    """Rows of the price table, dealt so that a year is written by tasks of bounded size."""
+    return (prices.withColumn("year", F.year("date")).select(*PRICE_TABLE.fieldNames())
+            .hint("rebalance", F.col("year")))
 
-def _landed_for_load(tables: Tables) -> DataFrame:
-    """Quotes as landed at load time: files of the 15th from August on are not there yet."""
-    q = quotes(tables)
-    return q.filter(~((F.dayofmonth("date") == 15) & (F.month("date") >= 8) & (F.year("date") == 2001)))
 
+# The stored price table; its year is the partition.
+PRICE_TABLE = T.StructType([
+    T.StructField("date", T.DateType()), T.StructField("ticker", T.StringType()), T.StructField("preult", T.DoubleType()),
+    T.StructField("totneg", T.LongType()), T.StructField("quatot", T.LongType()), T.StructField("voltot", T.DoubleType()),
+    T.StructField("number_shares", T.LongType()), T.StructField("year", T.IntegerType())])
 
-def price_load_rows(tables: Tables) -> DataFrame:
-    return price_load(_stored_prices(tables), _landed_for_load(tables), instruments(tables),
-                      _holidays(tables), _today(tables))
+
+def statement_load_table(tables: Tables) -> DataFrame:
+    """Every landed archive loaded into new statement tables; their rows side by side."""
+    spark = spark_of(tables)
+    root = f"{tables.root}/_loads/statements_{uuid.uuid4().hex}"
+    registry = spark.createDataFrame([], "file_name string, last_modified timestamp")
+    statement_load(spark, landing(tables)["statements"], registry, tables.tickers, root)
+    out = None
+    for kind in STATEMENT_KINDS:
+        part = spark.read.parquet(f"{root}/{kind}").select(
+            F.lit(kind).alias("kind"), "cnpj", F.col("dt_refer").cast("int").alias("dt_refer"), "grupo_dfp", "itr_dfp",
+            "dt_fim_exerc", "cd_conta", "ds_conta", "vl_conta")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def price_filters(tables: Tables) -> DataFrame:
+    """Landed quote records by the fields the filters look at, and whether they are kept."""
+    lines = spark_of(tables).read.option("recursiveFileLookup", "true").text(landing(tables)["quotes"])
+    return filter_counts(quote_records(lines), quote_kept(), ["tpmerc", "codbdi", "especi"])
+
+
+def share_filters(tables: Tables) -> DataFrame:
+    """Landed equity instruments by the fields the filters look at, and whether they are kept."""
+    rows = instrument_records(read_instrument_xml(spark_of(tables), landing(tables)["instruments"]))
+    return filter_counts(rows, instrument_kept(), ["mkt", "sctyctgy", "spcfctncd"])
 
 
 def seed_prices(tables: Tables) -> DataFrame:

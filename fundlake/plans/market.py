@@ -36,6 +36,13 @@ def _scope(tables, group, scope_df):
     return scope_df if scope_df is not None else scope_of(tables, group)
 
 
+def _companies(tables, group, scope_df):
+    """The companies of the given scope, so a scope and its companies can never be of different groups."""
+    if scope_df is None:
+        return companies_of(tables, group)
+    return scope_df.select(*K, "freq", "last_statement_date").distinct()
+
+
 def _is_last(start_period) -> bool:
     return isinstance(start_period, str) and start_period == "last"
 
@@ -148,7 +155,7 @@ def price_earnings(tables: Tables, start_period="all", group="consolidated", sco
                    prices_df=None, eps_df=None) -> DataFrame:
     """Price / EPS on the union of price and EPS dates; NULL where one is missing."""
     sc = _scope(tables, group, scope_df)
-    co = companies_of(tables, group)
+    co = _companies(tables, group, scope_df)
     p = prices_df if prices_df is not None else prices(tables, start_period, scope_df=sc)
     e = _per_ticker(eps_df if eps_df is not None else eps(tables, start_period, companies=co), sc)
     return aligned(p, e, ["ticker"], "p_e", lambda a, b: F.try_divide(a, b))
@@ -162,7 +169,7 @@ def enterprise_value(tables: Tables, start_period="all", group="consolidated", s
     (per company, from begin - 7 months) to reuse.
     """
     sc = _scope(tables, group, scope_df)
-    co = companies_of(tables, group)
+    co = _companies(tables, group, scope_df)
     mv = mv_df if mv_df is not None else market_value(tables, start_period, scope_df=sc)
     nd = _per_ticker(nd_df if nd_df is not None
                      else balances.net_debt(tables, shift_start(start_period, -7), companies=co), sc)
@@ -180,7 +187,7 @@ def _ev_multiple(tables, start_period, group, scope_df, measure, col, name, ev_d
     value and net debt give the same EV as carrying the EV series itself.
     """
     sc = _scope(tables, group, scope_df)
-    co = companies_of(tables, group)
+    co = _companies(tables, group, scope_df)
     f = _per_ticker(flow_df if flow_df is not None else
                     measure(tables, quarter=False, ytd=False, start_period=shift_start(start_period, -7),
                             companies=co), sc)
@@ -213,7 +220,7 @@ def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=
              equity_df=None) -> DataFrame:
     """Equity x 1000 / total shares, equity carried onto trading days."""
     sc = _scope(tables, group, scope_df)
-    co = companies_of(tables, group)
+    co = _companies(tables, group, scope_df)
     sh = total_shares(tables, start_period, scope_df=sc)
     eq = _per_ticker(equity_df if equity_df is not None
                      else balances.total_equity(tables, shift_start(start_period, -7), companies=co), sc)

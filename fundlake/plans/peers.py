@@ -1,35 +1,31 @@
 """Peer groups.
 
-Peers are the tickers that share sector, subsector and segment, the
-ticker itself included, in ticker order.  The result is kept as a
-membership table -- one row per ticker with its group key, its rank in the
-group and the group size -- instead of a self-join that would emit every
-pair of a group (quadratic in the largest group).  The peer list of one
-ticker is a semi-join of the membership table on that ticker's group.
+Peers are the tickers of the whole register that share sector, subsector
+and segment, the ticker itself included.  The result is a membership table
+-- one row per ticker with its group and the group's size, which is an
+aggregation joined back -- instead of a self-join that would emit every
+pair of a group (quadratic in the largest group).  The peers of given
+tickers are a semi-join of the register on their groups.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.plans.scope import scope as scope_of
 from fundlake.sources.catalog import Tables
 
 GROUP = ["sector", "subsector", "segment"]
 
 
-def peer_groups(tables: Tables, group="consolidated", scope_df=None) -> DataFrame:
-    sc = scope_df if scope_df is not None else scope_of(tables, group)
-    t = tables.tickers.join(sc.select("ticker"), "ticker", "left_semi").select("ticker", *GROUP)
-    w = Window.partitionBy(*GROUP)
-    return t.select("ticker", *GROUP,
-                    F.row_number().over(w.orderBy("ticker")).cast("bigint").alias("peer_rank"),
-                    F.count(F.lit(1)).over(w).alias("n_peers"))
+def peer_groups(tables: Tables) -> DataFrame:
+    t = tables.tickers.select("ticker", *GROUP)
+    sizes = t.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n_peers"))
+    return t.join(sizes, GROUP).select("ticker", *GROUP, "n_peers")
 
 
-def get_peers(tables: Tables, ticker: str, group="consolidated", scope_df=None) -> DataFrame:
-    """Peers of one ticker, ordered by ticker."""
-    groups = peer_groups(tables, group, scope_df)
-    mine = groups.filter(F.col("ticker") == ticker.upper()).select(*GROUP)
-    return groups.join(mine, GROUP, "left_semi").select("ticker", "peer_rank").orderBy("peer_rank")
+def get_peers(tables: Tables, tickers: list[str]) -> DataFrame:
+    """The tickers that share a group with one of the given tickers, with that group."""
+    t = tables.tickers.select("ticker", *GROUP)
+    mine = t.filter(F.col("ticker").isin(*[x.upper() for x in tickers])).select(*GROUP).distinct()
+    return t.join(mine, GROUP, "left_semi").select("ticker", *GROUP)

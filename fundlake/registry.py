@@ -17,12 +17,9 @@ from fundlake.sources.catalog import load_tables
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-
-def register(name: str):
-    def deco(fn):
-        QUERIES[name] = fn
-        return fn
-    return deco
+# The tickers a user names in the reports that compare a given list (companies with
+# and without consolidated statements, quarterly and annual).
+COMPARED = ["S23", "S63", "S73", "S83", "S93"]
 
 
 def T(spark: SparkSession, sf_dir: str):
@@ -54,20 +51,23 @@ QUERIES["cash_equi"] = lambda s, d: balances.cash_equi(T(s, d))
 QUERIES["total_debt"] = lambda s, d: balances.total_debt(T(s, d))
 QUERIES["net_debt"] = lambda s, d: balances.net_debt(T(s, d))
 QUERIES["total_equity"] = lambda s, d: balances.total_equity(T(s, d))
-QUERIES["total_assets"] = lambda s, d: balances.total_assets(T(s, d), start_period="1999-01-01")
+QUERIES["total_assets"] = lambda s, d: balances.total_assets(T(s, d))
+QUERIES["total_assets_since_1999"] = lambda s, d: balances.total_assets(T(s, d), start_period="1999-01-01")
 QUERIES["debt_to_equity"] = lambda s, d: balances.debt_to_equity(T(s, d))
 QUERIES["financial_leverage"] = lambda s, d: balances.financial_leverage(T(s, d))
 QUERIES["current_ratio"] = lambda s, d: balances.current_ratio(T(s, d))
 
 # --- returns and margins (M22, M23, M27-M29) -------------------------------
 QUERIES["roe"] = lambda s, d: margins.roe(T(s, d))
-QUERIES["roa"] = lambda s, d: margins.roa(T(s, d), start_period="last")
+QUERIES["roa"] = lambda s, d: margins.roa(T(s, d))
+QUERIES["roa_last"] = lambda s, d: margins.roa(T(s, d), start_period="last")
 QUERIES["gross_profit_margin"] = lambda s, d: margins.gross_profit_margin(T(s, d))
 QUERIES["net_profit_margin"] = lambda s, d: margins.net_profit_margin(T(s, d))
 QUERIES["ebitda_margin"] = lambda s, d: margins.ebitda_margin(T(s, d))
 
 # --- market (M7, M8, M16, M18, M19, M30-M34) -------------------------------
-QUERIES["prices"] = lambda s, d: market.prices(T(s, d), start_period="2000-01-01")
+QUERIES["prices"] = lambda s, d: market.prices(T(s, d))
+QUERIES["prices_since_2000"] = lambda s, d: market.prices(T(s, d), start_period="2000-01-01")
 QUERIES["total_shares"] = lambda s, d: market.total_shares(T(s, d))
 QUERIES["market_value"] = lambda s, d: market.market_value(T(s, d))
 QUERIES["market_value_last"] = lambda s, d: market.market_value(T(s, d), start_period="last")
@@ -78,24 +78,32 @@ QUERIES["price_earnings"] = lambda s, d: market.price_earnings(T(s, d))
 QUERIES["enterprise_value"] = lambda s, d: market.enterprise_value(T(s, d))
 QUERIES["enterprise_value_since_2000"] = lambda s, d: market.enterprise_value(T(s, d), start_period="2000-01-01")
 QUERIES["ev_ebitda"] = lambda s, d: market.ev_ebitda(T(s, d))
-QUERIES["ev_ebit"] = lambda s, d: market.ev_ebit(T(s, d), start_period="2000-01-01")
+QUERIES["ev_ebit"] = lambda s, d: market.ev_ebit(T(s, d))
+QUERIES["ev_ebit_since_2000"] = lambda s, d: market.ev_ebit(T(s, d), start_period="2000-01-01")
 QUERIES["bv_share"] = lambda s, d: market.bv_share(T(s, d))
-QUERIES["price_bv"] = lambda s, d: market.price_bv(T(s, d), start_period="last")
+QUERIES["price_bv"] = lambda s, d: market.price_bv(T(s, d))
+QUERIES["price_bv_last"] = lambda s, d: market.price_bv(T(s, d), start_period="last")
 
 # --- statements, growth, peers (M3-M6, M35, M36, M40) -----------------------
 from fundlake.plans import charts, compare, growth, peers, statements  # noqa: E402
 
 QUERIES["income_statement"] = lambda s, d: statements.income_statement(T(s, d))
-QUERIES["cash_flow"] = lambda s, d: statements.cash_flow(T(s, d), start_period="1999-01-01")
+QUERIES["cash_flow"] = lambda s, d: statements.cash_flow(T(s, d))
+QUERIES["cash_flow_since_1999"] = lambda s, d: statements.cash_flow(T(s, d), start_period="1999-01-01")
 QUERIES["balance_sheet"] = lambda s, d: statements.balance_sheet(T(s, d))
 QUERIES["cagr_net_income"] = lambda s, d: growth.cagr_net_income(T(s, d))
 QUERIES["cagr_revenue"] = lambda s, d: growth.cagr_revenue(T(s, d))
 QUERIES["peers"] = lambda s, d: peers.peer_groups(T(s, d))
+QUERIES["get_peers"] = lambda s, d: peers.get_peers(T(s, d), COMPARED)
 
 # --- reports (M38, M39, H5, H6) ----------------------------------------------
 QUERIES["statistics"] = lambda s, d: compare.statistics(T(s, d))
-QUERIES["compare_measure"] = lambda s, d: compare.compare_measure(T(s, d), "net_income",
-                                                                  {"start_period": "2000-01-01"})
+QUERIES["compare_measure"] = lambda s, d: compare.compare_measure(T(s, d), "net_income")
+QUERIES["compare_measure_since_2000"] = lambda s, d: compare.compare_measure(
+    T(s, d), "net_income", {"start_period": "2000-01-01"})
+QUERIES["compare_bv_share_individual"] = lambda s, d: compare.compare_measure(T(s, d), "bv_share", group="individual")
+QUERIES["compare_common_individual"] = lambda s, d: compare.compare_common_all(
+    T(s, d), "total_assets", group="individual")
 QUERIES["compare_common"] = lambda s, d: compare.compare_common_all(T(s, d), "total_assets")
 QUERIES["is_regular_net_income"] = lambda s, d: compare.is_regular(
     compare.compare_measure(T(s, d), "net_income"), "net_income")
@@ -129,14 +137,16 @@ QUERIES["replace_slice"] = lambda s, d: ingest.replace_slice(T(s, d))
 QUERIES["seed_prices"] = lambda s, d: ingest.seed_prices(T(s, d))
 QUERIES["reload_tickers"] = lambda s, d: ingest.reload_tickers(T(s, d))
 QUERIES["missing_price_dates"] = lambda s, d: ingest.missing_price_dates(T(s, d))
-QUERIES["price_load"] = lambda s, d: ingest.price_load_rows(T(s, d))
+QUERIES["price_load"] = lambda s, d: ingest.price_load_table(T(s, d))
+QUERIES["statement_load"] = lambda s, d: ingest.statement_load_table(T(s, d))
+QUERIES["price_filters"] = lambda s, d: ingest.price_filters(T(s, d))
+QUERIES["share_filters"] = lambda s, d: ingest.share_filters(T(s, d))
 QUERIES["statement_pivot"] = lambda s, d: statements.balance_sheet_wide(T(s, d))
 
 # --- operators exposed on their own (W1-W4, O1/O2, H4, scalar functions) ---------
 from pyspark.sql import functions as F  # noqa: E402
 
 from fundlake.functions import scalar  # noqa: E402
-from fundlake.operators.asof import forward_fill  # noqa: E402
 
 QUERIES["quarter_values"] = lambda s, d: statements.account_flows(T(s, d), "dre").select(
     "cnpj", "grupo_dfp", "cd_conta", "ds_conta", "date", "ytd", "quarter_value", "ttm_value")
@@ -151,8 +161,9 @@ def _latest_rows(s, d):
 
 
 QUERIES["latest_rows"] = _latest_rows
-QUERIES["compare_filled"] = lambda s, d: forward_fill(compare.compare_measure(T(s, d), "price_earnings"),
-                                                      ["ticker"], ["p_e"])
+QUERIES["compare_wide"] = lambda s, d: compare.compare_wide(compare.compare_measure(T(s, d), "net_income"), COMPARED)
+QUERIES["compare_filled"] = lambda s, d: compare.compare_filled(
+    compare.compare_measure(T(s, d), "price_earnings"), COMPARED)
 
 
 def _scalar_strings(s, d):

@@ -3,9 +3,9 @@ finding the shared folder where lineage-cutting tables are written."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -37,20 +37,23 @@ def build_session(cpus: int | str = "*", app: str = "fundlake", shuffle_partitio
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system; it is only set
-    here (to a fresh temporary folder) when the session leaves it unset,
-    which happens in local tests.
+    On a cluster this setting must name a shared file system.  Only a local
+    session may leave it unset, as tests do; it then gets a fresh temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="fundlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     if root.startswith("file:"):
         root = root[len("file:"):]
+        root = "/" + root.lstrip("/")
     return root.rstrip("/")
 
 
-def local_dir_exists(path: str) -> bool:
-    return os.path.exists(path)
+def path_missing(error: AnalysisException) -> bool:
+    """True if a read failed because nothing is stored there; any other fault is a fault."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")

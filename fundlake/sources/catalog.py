@@ -18,11 +18,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.session import checkpoint_root
+from fundlake.session import checkpoint_root, path_missing
 from fundlake.sources import fixtures
 
 # Bump when the derivation changes so stale copies are not reused.
-LAYOUT_VERSION = "fx7"
+LAYOUT_VERSION = "fx8"
 STATEMENTS = ("dre", "dva", "dfc", "bpa", "bpp")
 RAW_INPUTS = ("lineitem", "supplier", "nation", "region")
 
@@ -77,7 +77,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).limit(1).collect()
         return True
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return False
 
 

@@ -19,10 +19,13 @@ rows in the raw formats, with the kinds of noise the readers must remove:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.sources.catalog import Tables
+from fundlake.sources.sinks import table_is_empty
 
 
 def _num(col: Column, width: int) -> Column:
@@ -47,7 +50,7 @@ def quote_lines(tables: Tables) -> DataFrame:
     """Fixed-width quote lines (245 characters) for every price row, plus noise lines."""
     p = tables.prices.select(
         "date", "ticker", F.round(F.col("preult") * 100).cast("bigint").alias("cents"), "totneg", "quatot")
-    especi = F.when(F.col("totneg") % 5 == 0, F.lit(None)).otherwise(
+    especi = F.when(F.col("quatot") % 5 == 0, F.lit(None)).otherwise(
         F.when(F.substring("ticker", -1, 1) == "3", F.lit("ON NM")).otherwise(F.lit("PN N1")))
     base = F.struct(F.col("date"), F.col("ticker"), F.col("cents"), F.col("totneg"), F.col("quatot"),
                     especi.alias("especi"))
@@ -58,8 +61,8 @@ def quote_lines(tables: Tables) -> DataFrame:
         F.struct(F.lit(3).alias("v"), base.alias("r")),   # depositary receipt copy
     )
     x = p.select(F.explode(variants).alias("x")).select("x.v", "x.r.*")
-    x = x.filter((F.col("v") == 0) | ((F.col("v") == 1) & (F.col("totneg") % 3 == 0))
-                 | ((F.col("v") == 2) & (F.col("totneg") % 4 == 0)) | ((F.col("v") == 3) & (F.col("totneg") % 7 == 0)))
+    x = x.filter((F.col("v") == 0) | ((F.col("v") == 1) & (F.col("quatot") % 3 == 0))
+                 | ((F.col("v") == 2) & (F.col("quatot") % 4 == 0)) | ((F.col("v") == 3) & (F.col("quatot") % 7 == 0)))
     v = F.col("v")
     line = _quote_line(
         "01", F.col("date"), F.when(v == 2, F.lit("12")).otherwise(F.lit("02")), F.col("ticker"),
@@ -76,21 +79,21 @@ def quote_lines(tables: Tables) -> DataFrame:
 
 def instrument_rows(tables: Tables) -> DataFrame:
     """Nested rows for the XML writer (row tag ``Instrm``)."""
-    p = tables.prices.select("date", "ticker", "preult", "totneg", "number_shares")
-    p = p.filter(F.col("totneg") % 11 != 0)  # these quotes get no instrument row
+    p = tables.prices.select("date", "ticker", "preult", "quatot", "number_shares")
+    p = p.filter(F.col("quatot") % 11 != 0)  # these quotes get no instrument row
     kinds = F.array(*[F.lit(i) for i in range(7)])
     x = p.select("*", F.explode(kinds).alias("k"))
     k = F.col("k")
-    keep = ((k == 0) | ((k == 1) & (F.col("totneg") % 6 == 0)) | ((k == 2) & (F.col("totneg") % 8 == 0))
-            | ((k == 3) & (F.col("totneg") % 9 == 0)) | ((k == 4) & (F.col("totneg") % 10 == 0))
-            | ((k == 5) & (F.col("totneg") % 13 == 0)) | ((k == 6) & (F.col("totneg") % 17 == 0)))
+    keep = ((k == 0) | ((k == 1) & (F.col("quatot") % 6 == 0)) | ((k == 2) & (F.col("quatot") % 8 == 0))
+            | ((k == 3) & (F.col("quatot") % 9 == 0)) | ((k == 4) & (F.col("quatot") % 10 == 0))
+            | ((k == 5) & (F.col("quatot") % 13 == 0)) | ((k == 6) & (F.col("quatot") % 17 == 0)))
     x = x.filter(keep)
     spec = (F.when(k == 3, F.lit("CI")).when(k == 4, F.lit("DIA"))
             .when(F.substring("ticker", -1, 1) == "3", F.lit("ON NM")).otherwise(F.lit("PN N1")))
     mkt = F.when(k == 1, F.lit("20")).otherwise(F.lit("10"))
     cat = F.when(k == 2, F.lit("9")).otherwise(F.lit("11"))
     shares = F.when(k == 6, F.col("number_shares") - 1).otherwise(F.col("number_shares"))
-    last = F.when(F.col("totneg") % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("preult").cast("string"))
+    last = F.when(F.col("quatot") % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("preult").cast("string"))
     equity = F.struct(cat.alias("SctyCtgy"), F.col("ticker").alias("TckrSymb"), spec.alias("SpcfctnCd"),
                       F.concat(F.lit("CO "), F.col("ticker")).alias("CrpnNm"),
                       shares.cast("string").alias("MktCptlstn"), last.alias("LastPric"))
@@ -167,17 +170,35 @@ def statement_rows(tables: Tables, statement: str) -> DataFrame:
     return x.select(*cols, fname.alias("_file"))
 
 
+# The load scenario of the stand-in input: what the price table holds already, the exchange's
+# holidays, and the days whose files have not landed when the load runs.
+STORED_UNTIL = dt.date(2001, 6, 1)
+HOLIDAYS = [dt.date(2001, 6, 14), dt.date(2001, 9, 7), dt.date(2001, 10, 12), dt.date(2001, 11, 2), dt.date(2001, 11, 15)]
+LATE_DAYS = ["20010815", "20010915", "20011015", "20011115", "20011215"]
+
+
+def _line_date() -> Column:
+    """Date field of a quote record; empty for header and trailer lines."""
+    return F.when(F.substring("value", 1, 2) == "01", F.substring("value", 3, 8)).otherwise(F.lit(""))
+
+
+def stored_prices(tables: Tables) -> DataFrame:
+    """The price table as it stands before the load, with the traded volume as the quote lines give it."""
+    p = tables.prices.filter(F.col("date") < F.lit(STORED_UNTIL))
+    return p.withColumn("voltot", F.col("quatot").cast("double"))
+
+
 def write_landing(tables: Tables, root: str) -> dict[str, str]:
     """Render and write all landed inputs under ``root`` once; returns their folders."""
     spark = tables.tickers.sparkSession
-    paths = {"quotes": f"{root}/quotes", "instruments": f"{root}/instruments", "statements": f"{root}/statements"}
+    paths = {"quotes": f"{root}/quotes", "quotes_at_load": f"{root}/quotes_at_load",
+             "instruments": f"{root}/instruments", "statements": f"{root}/statements"}
     done = f"{root}/_done"
-    try:
-        spark.read.parquet(done).limit(1).collect()
+    if not table_is_empty(spark, done):
         return paths
-    except Exception:  # noqa: BLE001 - not written yet
-        pass
-    quote_lines(tables).write.mode("overwrite").text(paths["quotes"])
+    lines = quote_lines(tables)
+    lines.write.mode("overwrite").text(paths["quotes"])
+    lines.filter(~_line_date().isin(*LATE_DAYS)).write.mode("overwrite").text(paths["quotes_at_load"])
     (instrument_rows(tables).write.mode("overwrite").format("xml")
      .option("rowTag", "Instrm").option("rootTag", "BizGrp").save(paths["instruments"]))
     for i, st in enumerate(("dre", "dfc", "bpa", "bpp", "dva", "dmpl")):

