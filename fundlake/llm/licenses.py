@@ -89,12 +89,19 @@ class Scanner:
             end = bisect_right(at, start + most - 1, a)
             if end - a < least:
                 continue
-            # the most common bigrams for a passage's length: only ends where that bound is highest are compared
-            bound, b = max((2 * (b - a + 1) / (at[b] - start + 1 + size), b) for b in range(a + least - 1, end))
+            # places count repeats beyond the template's own, so this only bounds the coefficient
+            bound = max(2 * (b - a + 1) / (at[b] - start + 1 + size) for b in range(a + least - 1, end))
             if bound < need or out and out[-1][0] >= bound and out[-1][3] >= start:
                 continue
-            passage = words[start:at[b] + 2]
-            c = dice(Counter(zip(passage, passage[1:])), self.grams[t])
+            used: Counter = Counter()
+            common, c, b = 0, 0.0, a
+            for e in range(a, end):
+                gram = (words[at[e]], words[at[e] + 1])
+                used[gram] += 1
+                common += used[gram] <= self.grams[t][gram]
+                here = 2 * common / (at[e] - start + 1 + size)
+                if here > c:
+                    c, b = here, e
             if c >= need:
                 if out and out[-1][3] >= start:
                     if out[-1][0] >= c:
