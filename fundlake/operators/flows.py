@@ -67,6 +67,23 @@ def statement_rows(source: DataFrame, predicate: Column, companies: DataFrame, s
                 .repartition(*(partition_keys or K)))
 
 
+def lines_beside(rows: DataFrame, keep: Column, **others: tuple[Column, Column]) -> DataFrame:
+    """Put other lines of the same company and date beside the rows that ``keep`` holds.
+
+    Each of ``others`` is name=(condition, value): the rows meeting the
+    condition give their value.  The result is that of an inner join on
+    company, group and date, repeated lines included, but made by a window
+    inside the partitioning on the company key that the rows already have.
+    """
+    day = Window.partitionBy(*K, "date")
+    for name, (cond, value) in others.items():
+        rows = rows.withColumn(f"_{name}s", F.collect_list(F.when(cond, F.struct(value.alias("v")))).over(day))
+    rows = rows.filter(keep)
+    for name in others:
+        rows = rows.withColumn(f"_{name}s", F.explode(f"_{name}s")).withColumn(name, F.col(f"_{name}s.v")).drop(f"_{name}s")
+    return rows
+
+
 def trim_to_begin(df: DataFrame, lookback_months: int = 12) -> DataFrame:
     """Drop the look-back rows again once the windows are computed."""
     start = F.add_months(F.add_months(F.col("begin"), -lookback_months), lookback_months)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.operators.flows import (K, company_window, not_annual, prefer_label, quarter_value,
+from fundlake.operators.flows import (K, company_window, lines_beside, not_annual, prefer_label, quarter_value,
                                       statement_rows, trailing_sum, trim_to_begin)
 from fundlake.plans.scope import companies as companies_of
 from fundlake.sources.catalog import Tables
@@ -79,6 +79,14 @@ def cfo(tables: Tables, quarter=True, ytd=True, ttm=True, start_period="all", **
     return flow(tables, "dfc", "cfo", F.col("cd_conta") == CFO_CODE, None, quarter, ytd, ttm, start_period, **kw)
 
 
+def two_tables(tables: Tables, income_lines: Column) -> DataFrame:
+    """Income-statement lines and the D&A line of the value-added statement in one frame
+    (``line`` names the table), so that one exchange on the company key brings them together."""
+    cols = ["cnpj", "grupo_dfp", "dt_fim_exerc", "fiscal_quarter", "cd_conta", "ds_conta", "vl_conta"]
+    return (tables.dre.filter(income_lines).select(*cols, F.lit("dre").alias("line"))
+            .unionByName(tables.dva.filter(F.col("ds_conta") == D_A_LABEL).select(*cols, F.lit("dva").alias("line"))))
+
+
 def ebitda(tables: Tables, quarter=True, ytd=True, ttm=True, start_period="all",
            group: str = "consolidated", companies: DataFrame | None = None) -> DataFrame:
     """EBIT minus D&A (D&A is negative in the value-added statement), on dates present in both.
@@ -87,12 +95,13 @@ def ebitda(tables: Tables, quarter=True, ytd=True, ttm=True, start_period="all",
     rows are what the source tool reads.
     """
     co = companies if companies is not None else companies_of(tables, group)
-    e = statement_rows(tables.dre, F.col("ds_conta").isin(*EBIT_LABELS), co, start_period,
-                       columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd_ebit")))
-    d = (tables.dva.filter(F.col("ds_conta") == D_A_LABEL)
-         .select(*K, F.col("dt_fim_exerc").alias("date"), F.col("vl_conta").alias("ytd_d_a"),
-                 F.col("cd_conta").alias("_da_cd")))
-    rows = e.join(d, [*K, "date"])
+    lines = two_tables(tables, F.col("ds_conta").isin(*EBIT_LABELS))
+    rows = statement_rows(lines, F.lit(True), co, start_period,
+                          columns=("line", "fiscal_quarter", "cd_conta", "ds_conta", "vl_conta"))
+    both = F.struct(F.col("vl_conta"), F.col("cd_conta"))
+    rows = lines_beside(rows, F.col("line") == "dre", da=(F.col("line") == "dva", both))
+    rows = rows.select("*", F.col("vl_conta").alias("ytd_ebit"), F.col("da.vl_conta").alias("ytd_d_a"),
+                       F.col("da.cd_conta").alias("_da_cd"))
     rows = prefer_label(rows, *EBIT_LABELS)
     w = company_window(["date", "cd_conta", "_da_cd"])
     fq = F.col("fiscal_quarter")

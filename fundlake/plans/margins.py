@@ -1,11 +1,11 @@
 """Returns and margins.
 
 Margins put two or three statement lines side by side on the same report
-date.  Lines of one table (gross profit and revenue) are brought together
-with one conditional aggregation per company and date, not a self-join;
-lines of two tables (EBIT and D&A) are joined on (company, group, date).
-All rows are hash partitioned on the company key once, and every later
-join, aggregation and window reuses that partitioning.
+date.  The lines of one or two tables are put into one frame, which is hash
+partitioned on the company key once; a conditional aggregation or a window
+per date brings them side by side inside that partitioning, without a
+further exchange.  Returns (roe, roa) join a flow with a balance on
+(company, group, date).
 
 Ratios are percentages.  A zero divisor gives NULL (``try_divide``).
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.operators.flows import (K, company_window, not_annual, prefer_label, quarter_value,
+from fundlake.operators.flows import (K, company_window, lines_beside, not_annual, prefer_label, quarter_value,
                                       statement_rows, trailing_sum, trim_to_begin)
 from fundlake.plans import balances, income
 from fundlake.plans.scope import companies as companies_of
@@ -111,11 +111,10 @@ def net_profit_margin(tables: Tables, quarter=True, ytd=True, ttm=True, start_pe
     a revenue line on the same date.
     """
     co = _co(tables, group, companies)
-    a = statement_rows(tables.dre, F.col("ds_conta").isin(*income.NET_INCOME_LABELS), co, start_period,
-                       columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("num")))
-    b = (tables.dre.filter(F.col("cd_conta") == income.REVENUE_CODE)
-         .select(*K, F.col("dt_fim_exerc").alias("date"), F.col("vl_conta").alias("den")))
-    rows = prefer_label(a.join(b, [*K, "date"]), *income.NET_INCOME_LABELS)
+    ni, revenue = F.col("ds_conta").isin(*income.NET_INCOME_LABELS), F.col("cd_conta") == income.REVENUE_CODE
+    rows = statement_rows(tables.dre, ni | revenue, co, start_period,
+                          columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("num")))
+    rows = prefer_label(lines_beside(rows, ni, den=(revenue, F.col("num"))), *income.NET_INCOME_LABELS)
     return _two_line_margin(rows, "net_profit_margin", quarter, ytd, ttm, order=("date", "cd_conta"))
 
 
@@ -123,13 +122,13 @@ def ebitda_margin(tables: Tables, quarter=True, ytd=True, ttm=True, start_period
                   group="consolidated", companies=None) -> DataFrame:
     """EBITDA (EBIT - D&A) over revenue as ytd, quarter and ttm ratios."""
     co = _co(tables, group, companies)
-    e = statement_rows(tables.dre, F.col("ds_conta").isin(*income.EBIT_LABELS), co, start_period,
-                       columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd_ebit")))
-    d = (tables.dva.filter(F.col("ds_conta") == income.D_A_LABEL)
-         .select(*K, F.col("dt_fim_exerc").alias("date"), F.col("vl_conta").alias("ytd_d_a")))
-    r = (tables.dre.filter(F.col("cd_conta") == income.REVENUE_CODE)
-         .select(*K, F.col("dt_fim_exerc").alias("date"), F.col("vl_conta").alias("ytd_revenue")))
-    rows = prefer_label(e.join(d, [*K, "date"]).join(r, [*K, "date"]), *income.EBIT_LABELS)
+    ebit, revenue = F.col("ds_conta").isin(*income.EBIT_LABELS), F.col("cd_conta") == income.REVENUE_CODE
+    lines = income.two_tables(tables, ebit | revenue)
+    rows = statement_rows(lines, F.lit(True), co, start_period,
+                          columns=("line", "fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd_ebit")))
+    dre = F.col("line") == "dre"
+    rows = lines_beside(rows, dre & ebit, ytd_d_a=(~dre, F.col("ytd_ebit")), ytd_revenue=(dre & revenue, F.col("ytd_ebit")))
+    rows = prefer_label(rows, *income.EBIT_LABELS)
     w = company_window(["date", "cd_conta"])
     fq = F.col("fiscal_quarter")
     rows = (rows.withColumn("_qr", quarter_value(F.col("ytd_revenue"), fq, w))

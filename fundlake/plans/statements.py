@@ -7,7 +7,7 @@ percentage changes:
 * ``<v>_pct_change`` for every value type is the change against the
   previous report of the same account (row order within the account);
   for ``ytd`` it is the change against the same date one year earlier
-  (a self-join on ``add_months(date, 12)``), as year-to-date values are
+  (a window frame of the month twelve months back), as year-to-date values are
   only comparable with the same period of the previous year;
 * changes are computed on the rows from the start date only, so the first
   row of each account has no previous value;
@@ -46,10 +46,12 @@ def _finish(rows: DataFrame, value_types: list[str], annual_null: tuple[str, ...
             continue
         rows = rows.withColumn(f"{v}_pct_change", _pct(v, F.lag(v).over(w)))
     if "ytd" in value_types:
-        year_before = (rows.groupBy(*ACCOUNT, "date").agg(F.sum("ytd").alias("_ytd_prev"))
-                       .select(*ACCOUNT, F.add_months("date", 12).alias("date"), "_ytd_prev"))
-        rows = rows.join(year_before, [*ACCOUNT, "date"], "left")
-        rows = rows.withColumn("ytd_pct_change", _pct("ytd", F.col("_ytd_prev")))
+        month = F.year("date") * 12 + F.month("date")
+        year_ago = Window.partitionBy(*ACCOUNT).orderBy(month).rangeBetween(-12, -12)
+        rows = rows.withColumn("_ago", F.collect_list(F.struct("date", F.col("ytd").alias("v"))).over(year_ago))
+        same = F.filter("_ago", lambda x: (F.add_months(x["date"], 12) == F.col("date")) & x["v"].isNotNull())
+        before = F.when(F.size(same) > 0, F.aggregate(same, F.lit(0).cast("long"), lambda a, x: a + x["v"].cast("long")))
+        rows = rows.withColumn("ytd_pct_change", _pct("ytd", before)).drop("_ago")
     cols = []
     for v in value_types:
         cols += [v, f"{v}_pct_change"]

@@ -28,6 +28,35 @@ def test_flow_measure_has_one_exchange(make_tables, spark, tmp_path):
     assert "hashpartitioning(cnpj" in plan
 
 
+def _fact_exchanges(df) -> int:
+    """Hash exchanges of an executed plan without broadcasts, the companies dimension's own left out."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    return len(exchanges) - 1
+
+
+def test_two_table_measures_have_one_exchange_on_fact_rows(make_tables, spark, tmp_path):
+    """Beside the exchanges of the join with the companies (no broadcast), only the one on the company key."""
+    from fundlake.plans import margins, statements
+
+    dre = [flow_row("A", 2000, q, "3.09", NI, 10 * q) for q in (1, 2, 3, 4)]
+    paths = {n: str(tmp_path / n) for n in ("dre", "dva")}
+    for p in paths.values():
+        spark.createDataFrame(dre, FLOW).write.parquet(p)
+    base = make_tables(tickers=[ticker_row("AAAA3", "A")])
+    t = tables_from_frames(**{**base.__dict__, **{n: spark.read.parquet(p) for n, p in paths.items()}})
+    co = _companies(spark, tmp_path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for fn in (income.net_income, income.ebitda, margins.net_profit_margin, margins.ebitda_margin):
+            assert _fact_exchanges(fn(t, companies=co)) == 1, fn.__name__
+        plan = statements.income_statement(t, companies=co)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 2  # the statement once, and the companies
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_label_predicate_reaches_the_scan(make_tables, spark, tmp_path):
     dre = [flow_row("A", 2000, q, "3.09", NI, 10 * q) for q in (1, 2, 3, 4)]
     path = str(tmp_path / "dre")
