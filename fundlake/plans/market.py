@@ -47,11 +47,20 @@ def _is_last(start_period) -> bool:
     return isinstance(start_period, str) and start_period == "last"
 
 
+def from_least(rows: DataFrame, begins: DataFrame, column: str) -> DataFrame:
+    """Rows from the least begin on.  That one date is read from the small scope table and
+    given as a literal, so it reaches the scan and skips the files of earlier years."""
+    least = begins.agg(F.min(column)).first()[0]
+    return rows if least is None else rows.filter(F.col("date") >= F.lit(least))
+
+
 def prices(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
     """Closing price of every ticker in scope from its begin date."""
     sc = _scope(tables, group, scope_df).select(
         "ticker", begin_column(start_period, "prices").alias("begin"))
     p = tables.prices.select("ticker", "date", F.col("preult").alias("price"))
+    if _is_last(start_period):
+        p = from_least(p, sc, "begin")
     return p.join(sc, "ticker").filter(F.col("date") >= F.col("begin")).select("ticker", "date", "price")
 
 
@@ -76,7 +85,10 @@ def company_daily(tables: Tables, since: DataFrame | None = None) -> DataFrame:
       row carry shares (``_has_on``);
     * ``market_value``: sum of price x shares over both classes.
     """
-    p = tables.prices.select("ticker", "date", "preult", "number_shares").join(share_members(tables), "ticker")
+    p = tables.prices.select("ticker", "date", "preult", "number_shares")
+    if since is not None:
+        p = from_least(p, since, "since")
+    p = p.join(share_members(tables), "ticker")
     if since is not None:
         p = p.join(since, "cnpj").filter(F.col("date") >= F.col("since")).drop("since")
     on = F.col("cls") == "ON"

@@ -5,7 +5,8 @@ them as Parquet under the shared folder named by ``spark.checkpoint.dir``
 (this also cuts the lineage back to the raw tables) and hands back
 DataFrames that read those files.  Statement tables are partitioned by
 ``grupo_dfp`` and sorted by company and date inside each file, so a filter
-on a group prunes directories and a filter on a company prunes row groups.
+on a group prunes directories and a filter on a company prunes row groups;
+prices are partitioned by year.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from fundlake.session import checkpoint_root, path_missing
 from fundlake.sources import fixtures
 
 # Bump when the derivation changes so stale copies are not reused.
-LAYOUT_VERSION = "fx8"
+LAYOUT_VERSION = "fx9"
 STATEMENTS = ("dre", "dva", "dfc", "bpa", "bpp")
 RAW_INPUTS = ("lineitem", "supplier", "nation", "region")
 
@@ -84,15 +85,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write(name: str, df: DataFrame, path: str) -> None:
-    """Files are hash-clustered by company (statements) or ticker (prices) and
-    sorted inside: scans run in parallel and a filter on a company or ticker
-    skips most row groups.  The repartition has no fixed count, so AQE sizes
-    the output files to the data (few files when small, many when large)."""
+    """Files are clustered by company (statements) or by year and ticker (prices) and
+    sorted inside: scans run in parallel, a filter on a company or ticker
+    skips most row groups, and a filter on the date skips the files of other
+    years.  The rebalance lets AQE size the output files and split a company
+    or ticker with very many rows over several tasks."""
     if name in STATEMENTS:
-        (df.repartition("cnpj").sortWithinPartitions("cnpj", "dt_fim_exerc")
+        (df.hint("rebalance", F.col("cnpj")).sortWithinPartitions("cnpj", "dt_fim_exerc")
            .write.mode("overwrite").partitionBy("grupo_dfp").parquet(path))
     elif name == "prices":
-        df.repartition("ticker").sortWithinPartitions("ticker", "date").write.mode("overwrite").parquet(path)
+        (df.withColumn("year", F.year("date")).hint("rebalance", F.col("year"), F.col("ticker"))
+           .sortWithinPartitions("year", "ticker", "date").write.mode("overwrite").partitionBy("year").parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -125,6 +128,8 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True, root
     out = {}
     for name in ("dre", "dva", "dfc", "bpa", "bpp", "prices", "tickers"):
         df = spark.read.parquet(f"{root}/{name}")
+        if name == "prices":
+            df = df.drop("year")
         if name in STATEMENTS:
             # partition column comes back last; restore the stored column order
             cols = ["cnpj", "grupo_dfp"] + [c for c in df.columns if c not in ("cnpj", "grupo_dfp")]

@@ -67,3 +67,24 @@ def test_label_predicate_reaches_the_scan(make_tables, spark, tmp_path):
     scan = [line for line in plan.split("\n") if "FileScan parquet" in line][0]
     assert "PushedFilters: [IsNotNull(dt_fim_exerc), In(ds_conta" in scan
     assert "dt_ini_exerc" not in scan.split("ReadSchema:")[1]       # unused columns are not read
+
+
+def test_last_reaches_the_price_scan(spark):
+    """'last' gives the price scan a literal date, and prices are stored by year, so older files are skipped."""
+    import os
+
+    import pytest
+
+    from fundlake.plans import market
+    from fundlake.sources.catalog import load_tables
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        pytest.skip("test data not present")
+    t = load_tables(spark, sf)
+    assert any("year=" in f for f in t.prices.inputFiles())
+    for df in (market.market_value(t, "last"), market.prices(t, "last"), market.total_shares(t, "last")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scan = [line for line in plan.split("\n") if "FileScan parquet" in line and "preult" in line or "number_shares" in line
+                and "FileScan" in line][0]
+        assert "GreaterThanOrEqual(date," in scan
