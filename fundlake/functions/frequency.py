@@ -22,8 +22,8 @@ def frequency_table(dates: DataFrame, keys: list[str], date_col: str = "date") -
     """``dates`` holds distinct (keys, date) rows.
 
     Returns keys, freq, n_dates, last_date and is_regular (at least 3 dates
-    with one constant month gap at month ends/starts, or one constant gap
-    in days).  The rows of one key are its report dates, about four a year.
+    with one constant month gap at month ends/starts, one constant gap
+    in days, or every weekday from Monday to Friday without a gap).  The rows of one key are its report dates, about four a year.
     """
     w = Window.partitionBy(*keys).orderBy(date_col)
     d = F.col(date_col)
@@ -35,6 +35,9 @@ def frequency_table(dates: DataFrame, keys: list[str], date_col: str = "date") -
         (d == F.last_day(d)).alias("_me"),
         (F.dayofmonth(d) == 1).alias("_ms"),
     )
+    step = F.col("_gd")
+    workday = (F.weekday("_d") < 5) & (step.isNull() | (step == 1) | ((step == 3) & (F.weekday("_d") == 0)))
+    g = g.withColumn("_wd", workday)
     agg = g.groupBy(*keys).agg(
         F.count("_d").alias("n_dates"),
         F.min("_d").alias("first_date"),
@@ -45,6 +48,7 @@ def frequency_table(dates: DataFrame, keys: list[str], date_col: str = "date") -
         F.max("_gd").alias("_gd_hi"),
         F.min(F.col("_me").cast("int")).alias("_all_me"),
         F.min(F.col("_ms").cast("int")).alias("_all_ms"),
+        F.min(F.col("_wd").cast("int")).alias("_all_wd"),
     )
     aligned = (F.col("_all_me") == 1) | (F.col("_all_ms") == 1)
     years = F.datediff("last_date", "first_date") / F.lit(MEAN_YEAR_DAYS)
@@ -56,5 +60,5 @@ def frequency_table(dates: DataFrame, keys: list[str], date_col: str = "date") -
         .otherwise("A")
     )
     regular = (F.col("n_dates") >= 3) & (
-        (aligned & (F.col("_gm_lo") == F.col("_gm"))) | (F.col("_gd_lo") == F.col("_gd_hi")))
+        (aligned & (F.col("_gm_lo") == F.col("_gm"))) | (F.col("_gd_lo") == F.col("_gd_hi")) | (F.col("_all_wd") == 1))
     return agg.select(*keys, freq.alias("freq"), "n_dates", "last_date", regular.alias("is_regular"))

@@ -591,10 +591,12 @@ def is_regular_sql(name: str, dates_sql: str) -> str:
 g AS (SELECT date,
   (YEAR(date) * 12 + MONTH(date)) - LAG(YEAR(date) * 12 + MONTH(date)) OVER (ORDER BY date) AS gm,
   DATE_DIFF('day', LAG(date) OVER (ORDER BY date), date) AS gd,
-  CASE WHEN date = LAST_DAY(date) THEN 1 ELSE 0 END AS me, CASE WHEN DAY(date) = 1 THEN 1 ELSE 0 END AS ms FROM d)
+  CASE WHEN date = LAST_DAY(date) THEN 1 ELSE 0 END AS me, CASE WHEN DAY(date) = 1 THEN 1 ELSE 0 END AS ms FROM d),
+h AS (SELECT *, CASE WHEN ISODOW(date) <= 5 AND (gd IS NULL OR gd = 1 OR (gd = 3 AND ISODOW(date) = 1)) THEN 1 ELSE 0 END AS wd
+  FROM g)
 SELECT '{name}' AS measure, COUNT(*) AS n_dates,
-  (COUNT(*) >= 3 AND (((MIN(me) = 1 OR MIN(ms) = 1) AND MIN(gm) = MAX(gm)) OR MIN(gd) = MAX(gd))) AS is_regular
-FROM g"""
+  (COUNT(*) >= 3 AND (((MIN(me) = 1 OR MIN(ms) = 1) AND MIN(gm) = MAX(gm)) OR MIN(gd) = MAX(gd) OR MIN(wd) = 1)) AS is_regular
+FROM h"""
 
 
 # ------------------------------------------------------------------ charts

@@ -100,3 +100,15 @@ def test_price_load_moves_the_last_price_date(spark):
     before, after = stored_prices(t), ingest.price_load_table(t)
     newest = [last_price_dates(replace(t, prices=p, root=None)).agg(F.max("last_price_date")).first()[0] for p in (before, after)]
     assert newest[0] < newest[1] and after.count() > before.count()
+
+
+def test_every_weekday_is_a_regular_series(spark):
+    import datetime as dt
+
+    from fundlake.functions.frequency import frequency_table
+
+    days = [dt.date(2001, 1, 1) + dt.timedelta(days=i) for i in range(30)]
+    work = [(d,) for d in days if d.weekday() < 5]
+    regular = [frequency_table(spark.createDataFrame([("m", *r) for r in rows], "k string, date date"), ["k"]).first().is_regular
+               for rows in (work, work[:7] + work[8:])]
+    assert regular == [True, False]
