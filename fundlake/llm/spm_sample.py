@@ -50,7 +50,7 @@ MARK = "▁"
 ODD = 0x9E3779B97F4A7C15
 INVERSE = pow(ODD, -1, 1 << 64)
 #: Texts are worked through in steps of about so many characters.
-STEP_CHARS = 2 << 20
+STEP_CHARS = 3 << 20
 
 
 class HashTable:
@@ -124,26 +124,27 @@ class Pieces:
 
 
 class Lattices:
-    """Lattices of distinct words: nodes are the places between characters, edges
-    the pieces, in order of the node they end at."""
+    """Lattices of distinct words: nodes are the places between characters, numbered by
+    depth and then by word; edges are the pieces, in order of the node they end at."""
 
     def __init__(self, words: list[str], p: Pieces):
         self.p = p
         lens = np.array([len(w) for w in words], np.int64)
         ends = np.cumsum(lens)
-        chars = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.uint64)
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
         n = len(chars)
         power = np.full(n + 1, ODD, np.uint64)
         power[0] = 1
         inverse = np.full(n + 1, INVERSE, np.uint64)
         inverse[0] = 1
         power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(chars * power[:n], dtype=np.uint64)])
-        word = np.repeat(np.arange(len(words)), lens)
-        stop = ends[word]
-        starts, stops, ids = [], [], []
-        active = np.arange(n)
-        single = np.zeros(n, bool)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(chars.astype(np.uint64) * power[:n], dtype=np.uint64)])
+        del power
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lens)
+        stop = ends.astype(np.int32)[word]
+        starts, stops, ids, logps = [], [], [], []
+        active = np.arange(n, dtype=np.int32)
+        self.odd_ids: list[list[int]] = []
         for size in range(1, p.longest + 1):
             active = active[active + size <= stop[active]]
             if not len(active):
@@ -151,73 +152,88 @@ class Lattices:
             got = p.table.get((sums[active + size] - sums[active]) * inverse[active])
             hit = got >= 0
             starts.append(active[hit])
-            stops.append(active[hit] + size)
-            ids.append(got[hit])
-            if size == 1:
-                single[active[hit]] = True
-                lone = np.flatnonzero(~single)
-                self.odd_chars, back = np.unique(chars[lone], return_inverse=True)
+            stops.append(active[hit] + np.int32(size))
+            ids.append(got[hit].astype(np.int32))
+            logps.append(p.logp[got[hit]])
+            if size == 1 and not hit.all():  # characters without a piece
+                lone = active[~hit]
+                odd_chars, back = np.unique(chars[lone], return_inverse=True)
+                spelt = [p.fallback(chr(int(c))) for c in odd_chars]
+                names = []
+                for ids_of in spelt:  # one byte: its piece; more: a number of their own
+                    names.append(ids_of[0] if len(ids_of) == 1 else p.size + len(self.odd_ids))
+                    if len(ids_of) > 1:
+                        self.odd_ids.append(ids_of)
                 starts.append(lone)
-                stops.append(lone + 1)
-                ids.append(p.size + back)
+                stops.append(lone + np.int32(1))
+                ids.append(np.array(names, np.int32)[back])
+                logps.append(p.byte_logp * np.array([len(x) for x in spelt], float)[back])
             active = active[got >= -1]
-        start, stop_at, ids = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, stops, ids))
-        if not len(starts):
-            self.odd_chars = np.zeros(0, np.uint64)
-        self.odd_ids = [p.fallback(chr(int(c))) for c in self.odd_chars]
-        logp = np.concatenate([p.logp, [p.byte_logp * len(x) for x in self.odd_ids]])
-        # a node per place; the places of word w begin at first[w]
-        self.first = ends - lens + np.arange(len(words))
-        self.last = self.first + lens
-        shift = word[start] if len(start) else start
-        begin, end = (start + shift).astype(np.int32), (stop_at + shift).astype(np.int32)
-        order = np.argsort(end, kind="stable")
-        self.begin, self.end, self.id = begin[order], end[order], ids[order].astype(np.int32)
-        self.edge_logp = logp[self.id]
-        self.nodes = n + len(words)
+        del sums, inverse
+        # places in text order -> nodes by depth
+        depth = np.arange(n + len(words), dtype=np.int32) - np.repeat(
+            (ends - lens + np.arange(len(words))).astype(np.int32), lens + 1)
+        deepest = int(depth.max(initial=0))
+        order = np.argsort(depth.astype(np.int16) if deepest < 1 << 15 else depth, kind="stable")
+        self.levels = np.searchsorted(depth[order], np.arange(deepest + 2))
+        node = np.empty(len(order), np.int32)
+        node[order] = np.arange(len(order), dtype=np.int32)
+        self.last = node[ends + np.arange(len(words))]  # word w begins at node w
+        self.nodes = len(node)
+        starts = [node[x + word[x]] for x in starts]
+        stops = [node[y + word[y - 1]] for y in stops]
+        count = np.zeros(self.nodes, np.int64)
+        for x in stops:  # a node has at most one edge of each list
+            count[x] += 1
+        self.edge_at = np.concatenate([[0], np.cumsum(count)])
+        total, fill = int(self.edge_at[-1]), self.edge_at[:-1].copy()
+        self.begin, self.id = np.empty(total, np.int32), np.empty(total, np.int32)
+        self.edge_logp = np.empty(total)
+        for x, y, i, lp in zip(starts[::-1], stops[::-1], ids[::-1], logps[::-1]):  # long pieces first: they are likelier
+            at = fill[y]
+            self.begin[at], self.id[at], self.edge_logp[at] = x, i, lp
+            fill[y] += 1
         self._forward()
 
     def _forward(self) -> None:
-        """Log forward sums, level by level: all words' nodes at one depth at a time."""
-        total = np.full(self.nodes, -np.inf)
-        total[self.first] = 0.0
-        self.edge_at = np.searchsorted(self.end, np.arange(self.nodes + 1))
-        weight = np.full(len(self.end), -np.inf)
-        lens = self.last - self.first
-        depth_nodes = (np.arange(self.nodes) - np.repeat(self.first, lens + 1)).astype(np.int32)
-        order = np.argsort(depth_nodes, kind="stable")
-        bounds = np.searchsorted(depth_nodes[order], np.arange(int(lens.max(initial=0)) + 2))
-        for d in range(1, len(bounds) - 1):
-            nodes = order[bounds[d]:bounds[d + 1]]
-            lo, hi = self.edge_at[nodes], self.edge_at[nodes + 1]
-            count = hi - lo
-            at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            w = total[self.begin[at]] + self.edge_logp[at]
-            weight[at] = w
-            total[nodes] = np.logaddexp.reduceat(w, np.cumsum(count) - count)
-        self.total = total
-        share = np.exp(weight - total[self.end]) if len(weight) else weight
-        run = np.cumsum(share)
-        base = np.concatenate([[0.0], run])[self.edge_at[self.end]]
-        self.key = self.end + np.minimum(run - base, 1.0 - 1e-9)
+        """Log forward sums, level by level: all words' nodes of one depth at a time."""
+        self.total = total = np.zeros(self.nodes)
+        at = self.edge_at
+        weight = np.empty(int(at[-1]))
+        for lo, hi in zip(self.levels[1:-1].tolist(), self.levels[2:].tolist()):
+            a, b = int(at[lo]), int(at[hi])
+            w = weight[a:b]
+            np.add(total[self.begin[a:b]], self.edge_logp[a:b], out=w)
+            starts, count = at[lo:hi] - a, at[lo + 1:hi + 1] - at[lo:hi]
+            total[lo:hi] = np.logaddexp.reduceat(w, starts)
+            w -= np.repeat(total[lo:hi], count)
+            np.exp(w, out=w)
+            run = np.cumsum(w)
+            w[:] = run - np.repeat(run[starts] - w[starts], count)
+            w[starts + count - 1] = 2.0  # the last edge takes what is left
+        #: Running probability of a node's edges
+        self.upto = weight
 
     def draw(self, words: np.ndarray, rng: np.random.Generator | Mixed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """One segmentation per entry of words (best in ascending order): (pieces laid side by side, count per
-        entry, log probability per entry)."""
-        node, start = self.last[words], self.first[words]
-        who = np.flatnonzero(node > start)
+        """One segmentation per entry of words: (pieces laid side by side, count per entry, log
+        probability per entry)."""
+        node = self.last[words]
+        who = np.flatnonzero(node != words)
         steps, logp = [], np.zeros(len(words))
         count = np.zeros(len(words), np.int64)
         while len(who):
             here = node[who]
             u = rng.random(len(who)) if isinstance(rng, np.random.Generator) else rng.random(who)
-            e = np.searchsorted(self.key, here + u, "right")
-            e = np.clip(e, self.edge_at[here], self.edge_at[here + 1] - 1)
+            e = self.edge_at[here]
+            over = np.flatnonzero(self.upto[e] <= u)
+            while len(over):
+                e[over] += 1
+                over = over[self.upto[e[over]] <= u[over]]
             steps.append((who, self.id[e]))
             logp[who] += self.edge_logp[e]
             count[who] += 1
             node[who] = self.begin[e]
-            who = who[node[who] > start[who]]
+            who = who[node[who] != words[who]]
         offset = np.cumsum(count)
         out = np.empty(int(count.sum()), np.int32)
         for k, (w, ids) in enumerate(steps):  # drawn from the end backwards
@@ -226,8 +242,14 @@ class Lattices:
 
     def all_paths(self, word: int, most: int) -> list[tuple[tuple[int, ...], float]] | None:
         """Every segmentation of a word with its log probability, or None if there are more than ``most``."""
-        paths: dict[int, list] = {int(self.first[word]): [((), 0.0)]}
-        for node in range(int(self.first[word]) + 1, int(self.last[word]) + 1):
+        paths: dict[int, list] = {word: [((), 0.0)]}
+        todo, seen = [int(self.last[word])], set()
+        while todo:  # the word's nodes, from its end backwards
+            node = todo.pop()
+            if node not in seen and node != word:
+                seen.add(node)
+                todo += self.begin[self.edge_at[node]:self.edge_at[node + 1]].tolist()
+        for node in sorted(seen):
             here = []
             for e in range(int(self.edge_at[node]), int(self.edge_at[node + 1])):
                 for ids, lp in paths[int(self.begin[e])]:
@@ -238,18 +260,28 @@ class Lattices:
         z = float(self.total[self.last[word]])
         return [(ids, lp - z) for ids, lp in paths[int(self.last[word])]]
 
+    def first_outside(self, word: int, seen: set[tuple[int, ...]], rng: np.random.Generator):
+        """The first of some independent draws that is not in ``seen``."""
+        ids, count, logp = self.draw(np.full(12, word), rng)
+        at = 0
+        for n, lp in zip(count.tolist(), logp.tolist()):
+            one = tuple(ids[at:at + n].tolist())
+            if one not in seen:
+                return one, lp
+            at += n
+        return None
+
     def another(self, word: int, seen: set[tuple[int, ...]], rng: np.random.Generator) -> tuple[tuple[int, ...], float]:
         """A segmentation outside ``seen``, with the probabilities of those that are left."""
-        for _ in range(24):
-            ids, _, lp = self.draw(np.array([word]), rng)
-            if tuple(ids.tolist()) not in seen:
-                return tuple(ids.tolist()), float(lp[0])
+        for _ in range(4):
+            got = self.first_outside(word, seen, rng)
+            if got is not None:
+                return got
         left = self.all_paths(word, 20_000)
-        if left is None:  # too many to list: go on drawing
-            while True:
-                ids, _, lp = self.draw(np.array([word]), rng)
-                if tuple(ids.tolist()) not in seen:
-                    return tuple(ids.tolist()), float(lp[0])
+        while left is None:  # too many to list: go on drawing
+            got = self.first_outside(word, seen, rng)
+            if got is not None:
+                return got
         left = [x for x in left if x[0] not in seen]
         lp = np.array([x[1] for x in left])
         w = np.exp(lp - lp.max())
@@ -257,10 +289,9 @@ class Lattices:
 
     def model_ids(self, ids) -> np.ndarray:
         """Piece ids with the byte fallbacks written out."""
-        ids = np.asarray(ids, np.int64)
-        odd = np.flatnonzero(ids >= self.p.size)
-        if not len(odd):
+        if not self.odd_ids or not len(ids) or ids.max() < self.p.size:
             return ids.astype("<u4")
+        odd = np.flatnonzero(ids >= self.p.size)
         out, at = [], 0
         for i in odd.tolist():
             out += [ids[at:i], self.odd_ids[int(ids[i]) - self.p.size]]
@@ -371,23 +402,20 @@ def sample_texts(keys: list, texts: list[str], p: Pieces, k: int, seed: int) ->
     lat = Lattices(names, p)
     rngs = [np.random.Generator(np.random.Philox(key=xxhash.xxh3_128_intdigest(f"{seed}|{key}"))) for key in keys]
     draws = []
-    order = np.argsort(codes, kind="stable")
-    back = np.empty_like(order)
-    back[order] = np.arange(len(order))
     for _ in range(k):
         # each text's own random numbers seed its words' draws, however texts are batched
         seeds = np.repeat(np.array([int(r.integers(1 << 63)) for r in rngs], np.uint64), np.diff(bounds))
         place = np.arange(len(codes), dtype=np.uint64) - np.repeat(bounds[:-1], np.diff(bounds)).astype(np.uint64)
-        ids, count, logp = lat.draw(codes[order], Mixed(seeds[order], place[order]))
-        draws.append((ids, np.cumsum(count) - count, count, logp[back]))
+        ids, count, logp = lat.draw(codes, Mixed(seeds, place))
+        draws.append((ids, np.concatenate([[0], np.cumsum(count)]), logp))
     for i, key in enumerate(keys):
         lo, hi = int(bounds[i]), int(bounds[i + 1])
-        mine = [((lambda w, d=d: d[0][d[1][back[lo + w]]:d[1][back[lo + w]] + d[2][back[lo + w]]]), d[3][lo:hi]) for d in draws]
+        mine = [((lambda w, d=d: d[0][d[1][lo + w]:d[1][lo + w + 1]]), d[2][lo:hi]) for d in draws]
         paths, kappa = search(codes[lo:hi], mine, lat, k, rngs[i])
         for rank, path in enumerate(paths):
             total = float(path.logp.sum())
             inclusion = 0.0 if np.isneginf(kappa) else log_inclusion(total - kappa)
-            yield key, rank + 1, lat.model_ids(laid(path, draws, back, lo, hi)).tobytes(), total, path.value, inclusion
+            yield key, rank + 1, lat.model_ids(laid(path, draws, lo, hi)).tobytes(), total, path.value, inclusion
 
 
 def log_inclusion(x: float) -> float:
@@ -395,24 +423,22 @@ def log_inclusion(x: float) -> float:
     return x if x < -30 else math.log(-math.expm1(-math.exp(min(x, 30.0))))
 
 
-def laid(path: Path, draws: list, back: np.ndarray, lo: int, hi: int) -> np.ndarray:
+def laid(path: Path, draws: list, lo: int, hi: int) -> np.ndarray:
     """The path's pieces one after another."""
     parts = []
     at = 0
-    stops = sorted(path.own)
-    for w in [*stops, hi - lo]:
+    for w in [*sorted(path.own), hi - lo]:
         while at < w:  # a run of words from one draw
             r = int(path.draws[at])
-            end = at + int(np.argmax(np.append(path.draws[at:w] != r, True)))
-            ids, first, count, _ = draws[r]
-            places = back[lo + at:lo + end]
-            c = count[places]
-            parts.append(ids[np.repeat(first[places] - (np.cumsum(c) - c), c) + np.arange(c.sum())])
+            other = path.draws[at:w] != r
+            end = at + int(other.argmax()) if other.any() else w
+            ids, offs, _ = draws[r]
+            parts.append(ids[offs[lo + at]:offs[lo + end]])
             at = end
         if w < hi - lo:
-            parts.append(np.array(path.own[w][0], np.int64))
+            parts.append(np.array(path.own[w][0], np.int32))
             at = w + 1
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
 class Mixed:
