@@ -25,8 +25,9 @@ SPECIAL = "<|endoftext|>"
 WIDE_BLANKS = "[\\x{85}\\x{A0}\\x{1680}\\x{180E}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 #: Units longer than this are not kept in the cache.
 KEPT_BYTES = 48
-#: Batches are worked through in steps of about so many bytes of text.
-STEP_BYTES = 12 << 20
+#: Batches are worked through in steps of about so many bytes of text; a larger step
+#: encodes fewer units twice, a smaller one needs less memory.
+STEP_BYTES = 32 << 20
 
 
 def load_tokenizer(path: str | None = None):
@@ -70,12 +71,12 @@ def split_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return units, np.searchsorted(at, offs)
 
 
-def in_steps(texts: pa.Array) -> list[pa.Array]:
-    """The texts in runs of at most STEP_BYTES, or of one text."""
+def in_steps(texts: pa.Array, step: int = STEP_BYTES) -> list[pa.Array]:
+    """The texts in runs of at most ``step`` bytes, or of one text."""
     offs = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
     cuts = [0]
     while cuts[-1] < len(texts):
-        fits = int(np.searchsorted(offs, offs[cuts[-1]] + STEP_BYTES, "right")) - 1
+        fits = int(np.searchsorted(offs, offs[cuts[-1]] + step, "right")) - 1
         cuts.append(min(len(texts), max(cuts[-1] + 1, fits)))
     return [texts.slice(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
@@ -84,8 +85,8 @@ class UnitCache:
     """Value bytes per unit.  Only units seen twice in a batch are kept, and the
     oldest half goes when there are more than ``most``."""
 
-    def __init__(self, make, most: int = 400_000):
-        self.make, self.most, self.kept = make, most, {}
+    def __init__(self, make, most: int = 400_000, step: int = STEP_BYTES):
+        self.make, self.most, self.step, self.kept = make, most, step, {}
 
     def lookup(self, units: pa.Array, seen: np.ndarray) -> pa.Array:
         kept, out, missing, where = self.kept, [], [], []
@@ -107,7 +108,7 @@ class UnitCache:
 
     def expand(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all value bytes in text order, byte offset of each text; one more at the end)."""
-        parts = in_steps(texts)
+        parts = in_steps(texts, self.step)
         if len(parts) > 1:
             steps = [self.expand(t) for t in parts]
             shifts = np.cumsum([0, *(len(d) for d, _ in steps)])

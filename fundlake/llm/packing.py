@@ -99,8 +99,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity
          end_id: int = 0, path: str | None = None) -> DataFrame:
     """Pieces: id, start and length in the document, ids (little-endian uint32),
     doc_tokens, sequence_id, offset in the sequence, bin_class (0: cut at a
-    partition's end).  ``capacity`` is a power of two; capacity >> 40 documents
-    per partition are never reached."""
+    partition's end).  ``capacity`` is a power of two."""
     if capacity & (capacity - 1) or grain < 2:
         raise ValueError("capacity must be a power of two and grain at least 2")
     schema = pa.schema([(id_col, pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),

@@ -69,7 +69,7 @@ class PrefixCounter:
         self._apart: dict[int, bool] = {}
         self._words: dict[str, bytes] = {}
         self.most_words = 200_000
-        self.cache = UnitCache(self.many_deltas)
+        self.cache = UnitCache(self.many_deltas, step=12 << 20)
 
     def merged(self, data: bytes) -> list[bytes]:
         """Plain merging by lowest rank; only used on at most two tokens' bytes."""
