@@ -12,7 +12,6 @@ prices are partitioned by year.
 from __future__ import annotations
 
 import hashlib
-import os
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -43,17 +42,14 @@ class Tables:
         return getattr(self, name)
 
 
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(LAYOUT_VERSION.encode())
-    h.update(os.path.abspath(sf_dir).encode())
-    for name in RAW_INPUTS:
-        p = f"{sf_dir}/{name}.parquet"
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(f"{name}:?".encode())
-    return h.hexdigest()[:16]
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input files as Spark lists them (any file system; the
+    files' content is not read), reduced to one row."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load([f"{sf_dir}/{name}.parquet" for name in RAW_INPUTS]))
+    seen = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    state = files.agg(F.count(F.lit(1)).alias("n"), F.sum(seen).alias("s")).first()
+    return hashlib.sha1(f"{LAYOUT_VERSION}|{sf_dir}|{state['n']}|{state['s']}".encode()).hexdigest()[:16]
 
 
 def stored_or_build(spark: SparkSession, path: str, build) -> DataFrame:
@@ -103,8 +99,14 @@ def _write(name: str, df: DataFrame, path: str) -> None:
 _MEMO: dict[tuple[str, str], Tables] = {}
 
 
+_ROOTS: dict[tuple[str, str], str] = {}
+
+
 def table_root(spark: SparkSession, sf_dir: str) -> str:
-    return f"{checkpoint_root(spark)}/fundlake/tables/{_fingerprint(sf_dir)}"
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ROOTS:
+        _ROOTS[key] = f"{checkpoint_root(spark)}/fundlake/tables/{_fingerprint(spark, sf_dir)}"
+    return _ROOTS[key]
 
 
 def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True, root: str | None = None) -> Tables:
