@@ -7,9 +7,14 @@ table.  A query probes the ``probes`` nearest signed axes of every table; the me
 it probes are its candidates, and all of them are ranked by the exact inner
 product of the original vectors in double precision.
 
-Vectors of unequal length would favour long ones; a further coordinate
-that lifts every member to the longest one's length makes the nearest by angle
-the nearest by inner product (nothing changes if all have one length).
+Vectors of unequal length would favour long ones, so the members of one
+dimension are parted into bands by length: the lengths of band i lie between the longest
+one divided by ``RATIO`` ** (i + 1) and by ``RATIO`` ** i.  Every band of more than ``block`` (about)
+different members is hashed apart, as unit vectors, and every query probes
+each of them; the members of all smaller bands are met by every query.  Members of
+one band differ little in length, so the nearest by angle are the nearest by inner
+product, and the bands' finds are merged by exact score.  Queries that still have fewer
+than k + 1 candidates meet all members of their dimension.
 
 Work is dealt by cell.  A cell of more than ``block`` members or probing
 queries is split into blocks, every query block meeting every member block, so no
@@ -21,12 +26,13 @@ them per query before the last shuffle.
 
 Defined results: vectors that are null, empty, zero or hold null or
 non-finite numbers take no part; vectors of different dimensions are searched apart;
-null ids take no part; rows that repeat id and vector count once; fewer than k
-candidates give fewer rows; an empty table gives no rows.
+null ids take no part; rows that repeat id and vector count once; fewer than k other
+members than that give fewer rows; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +44,10 @@ from pyspark.sql.functions import arrow_udf
 from fundlake.llm.common import Rows, cut
 
 TABLES, PROBES, BLOCK = 8, 16, 2048
+#: Lengths in one band differ by less than this factor.
+RATIO = 1.25
+#: The cell of the members that every query meets.
+EVERY = -1
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -62,32 +72,27 @@ def turned(x: np.ndarray, table: int, seed: int) -> np.ndarray:
     return x
 
 
-def unit(x: np.ndarray, member: bool, shortest: float, longest: float) -> np.ndarray:
-    """Vectors of length one.  If the members' lengths differ, they are lifted to the
-    longest one's by a further coordinate, which is zero for queries."""
-    size = np.linalg.norm(x, axis=1)
-    if shortest > 0.9999 * longest:
-        return x / size[:, None]
-    if not member:
-        return np.column_stack([x / size[:, None], np.zeros(len(x))])
-    return np.column_stack([x / longest, np.sqrt(np.maximum(0.0, 1.0 - (size / longest) ** 2))])
-
-
-def cells_column(vector, size, tables: int, probes: int, seed: int, member: bool, lengths: dict[int, tuple[float, float]]):
-    """array<int> of table * 2 * width + signed axis: the nearest cell per table for
-    members, the ``probes`` nearest for queries; ``lengths`` are the members' least and
-    greatest per dimension."""
+def cells_column(vector, size, band, tables: int, probes: int, seed: int, member: bool,
+                 hashed: dict[int, list[int]]):
+    """array<int> of cells.  A member is in one per table if its band is among the dimension's
+    ``hashed`` ones, else in ``EVERY``; a query probes the ``probes`` nearest of every table and hashed band, and
+    ``EVERY``.  Cells are numbered (place of the band * tables + table) * 2 * width + signed axis."""
 
     @arrow_udf("array<int>")
-    def column(vectors: pa.Array, dims: pa.Array) -> pa.Array:
+    def column(vectors: pa.Array, dims: pa.Array, bands: pa.Array) -> pa.Array:
         lens = np.asarray(dims.to_numpy(zero_copy_only=False), np.int64)
+        band_of = np.asarray(bands.to_numpy(zero_copy_only=False), np.int64)
         flat = np.asarray(vectors.flatten().to_numpy(zero_copy_only=False), np.float64)
         ends = np.cumsum(lens)
-        out: list = [None] * len(lens)
+        out: list = [[EVERY]] * len(lens)
         for dim in np.unique(lens):
-            at = np.flatnonzero(lens == dim)
+            own = hashed.get(int(dim), [])
+            at = np.flatnonzero((lens == dim) & (np.isin(band_of, own) if member else True))
+            if not len(at) or not own:
+                continue
             x = flat[(ends[at] - dim)[:, None] + np.arange(dim)]
-            u = unit(x, member, *lengths.get(int(dim), (1.0, 1.0)))
+            x = x / np.abs(x).max(axis=1)[:, None]
+            u = x / np.linalg.norm(x, axis=1)[:, None]
             got = []
             for t in range(tables):
                 y = turned(u, t, seed)
@@ -95,11 +100,53 @@ def cells_column(vector, size, tables: int, probes: int, seed: int, member: bool
                 n = 1 if member else min(probes, y.shape[1])
                 best = np.argpartition(-y, n - 1, axis=1)[:, :n] if n > 1 else y.argmax(axis=1)[:, None]
                 got.append(best + t * y.shape[1])
-            for i, row in zip(at, np.concatenate(got, axis=1).tolist()):
+            cells, many = np.concatenate(got, axis=1), tables * y.shape[1]
+            if member:
+                cells = cells + (np.searchsorted(own, band_of[at]) * many)[:, None]
+            else:
+                cells = np.concatenate([cells + k * many for k in range(len(own))], axis=1)
+                cells = np.column_stack([cells, np.full(len(cells), EVERY)])
+            for i, row in zip(at, cells.tolist()):
                 out[i] = row
         return pa.array(out, pa.list_(pa.int32()))
 
-    return column.asNondeterministic()(vector, size)
+    return column.asNondeterministic()(vector, size, band)
+
+
+def log_length(vector, size):
+    """The logarithm of a vector's length, without overflow."""
+
+    @arrow_udf("double")
+    def column(vectors: pa.Array, dims: pa.Array) -> pa.Array:
+        lens = np.asarray(dims.to_numpy(zero_copy_only=False), np.int64)
+        flat = np.asarray(vectors.flatten().to_numpy(zero_copy_only=False), np.float64)
+        if not len(lens):
+            return pa.array([], pa.float64())
+        start = np.cumsum(lens) - lens
+        top = np.maximum.reduceat(np.abs(flat), start)
+        return pa.array(np.log(top) + np.log(np.add.reduceat((flat / np.repeat(top, lens)) ** 2, start)) / 2)
+
+    return column(vector, size)
+
+
+def bands(rows: DataFrame, block: int):
+    """The band of a vector as a column, and the hashed bands per dimension.  The driver gets
+    one number per dimension and one per band."""
+    length = log_length(F.col("vec"), F.size("vec"))
+    longest = {r[0]: r[1] for r in rows.withColumn("length", length).groupBy(F.size("vec")).agg(F.max("length")).collect()}
+    if not longest:
+        return F.lit(0), {}
+    longest_of = F.create_map(*[F.lit(x) for pair in longest.items() for x in pair])
+    below = F.element_at(longest_of, F.size("vec")) - length
+    # lengths that differ by rounding only stay in one band
+    band = F.greatest(F.lit(0), F.floor((below - 1e-4) / math.log(RATIO))).cast("int")
+    held = (rows.select(F.size("vec").alias("d"), band.alias("band"), "vec").groupBy("d", "band")
+            .agg(F.approx_count_distinct(F.xxhash64("vec")).alias("n")).collect())
+    hashed: dict[int, list[int]] = {}
+    for r in held:
+        if r["n"] > block:
+            hashed.setdefault(r["d"], []).append(r["band"])
+    return band, {d: sorted(b) for d, b in hashed.items()}
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -117,18 +164,34 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_i
     smaller id."""
     keep = k + 1  # the query's own row may be among them
     rows = usable(df, id_col, vec_col)
-    length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
-    lengths = {r[0]: (r[1], r[2]) for r in rows.groupBy(F.size("vec")).agg(F.min(length), F.max(length)).collect()}
+    band, hashed = bands(rows, block)
     in_class = Window.partitionBy("vec").orderBy("id")
     members = (rows.withColumn("n", F.dense_rank().over(in_class)).filter(F.col("n") <= keep)
                .groupBy("vec").agg(F.sort_array(F.collect_set("id")).alias("ids")))
     asked = usable(queries, id_col, vec_col).distinct()
     classes = asked.groupBy("vec").agg(F.min("id").alias("query"))
     dim = F.size("vec")
-    held = cut(members.select("vec", "ids", cells_column(F.col("vec"), dim, tables, 1, seed, True, lengths).alias("cells")), "members")
-    probing = cut(classes.select("vec", "query", cells_column(F.col("vec"), dim, tables, probes, seed, False, lengths).alias("cells")),
-                  "queries")
-    # at most tables * 2 * width cells per dimension, however many rows there are
+    held = cut(members.select("vec", "ids", cells_column(F.col("vec"), dim, band, tables, 1, seed, True, hashed).alias("cells")),
+               "members")
+    probing = cut(classes.select("vec", "query", cells_column(F.col("vec"), dim, F.lit(0), tables, probes, seed, False, hashed)
+                                 .alias("cells")), "queries")
+    best = cut(met_in_cells(held, probing, keep, block), "nearest")
+    few = probing.filter(F.size("vec").isin(list(hashed))).join(
+        best.groupBy("query").count().filter(F.col("count") >= keep), "query", "left_anti")
+    few = cut(few.select("vec", "query", F.array(F.lit(EVERY)).alias("cells")), "few-candidates")
+    if not few.isEmpty():
+        whole = met_in_cells(held.withColumn("cells", F.array(F.lit(EVERY))), few, keep, block)
+        best = best.join(few, "query", "left_anti").unionByName(whole)
+    answers = asked.join(classes, "vec").select(F.col("id").alias("query_id"), "query")
+    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    return (answers.join(best, "query").filter("id <> query_id").withColumn("rank", F.row_number().over(ranked))
+            .filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"),
+                                               F.col("id").alias(id_col), "score"))
+
+
+def met_in_cells(held: DataFrame, probing: DataFrame, keep: int, block: int) -> DataFrame:
+    """(query, id, score): the ``keep`` best ids per query among the members of its cells."""
+    # at most tables * 2 * width cells per dimension and hashed band, however many rows there are
     parts = lambda d, name: (d.select(F.size("vec").alias("d"), F.explode("cells").alias("cell")).groupBy("d", "cell")
                              .agg(F.ceil(F.count("*") / block).cast("int").alias(name)))
     split = F.broadcast(parts(held, "m").join(parts(probing, "q"), ["d", "cell"]))
@@ -144,13 +207,8 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_i
     dealt = here.unionByName(there).repartition(*key).sortWithinPartitions(*key, "kind")
     found = dealt.mapInArrow(lambda b: _scored(b, keep, block), "query long, id long, score double")
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
-    best = (found.withColumn("n", F.dense_rank().over(order)).filter(F.col("n") <= keep)
+    return (found.withColumn("n", F.dense_rank().over(order)).filter(F.col("n") <= keep)
             .groupBy("query", "id").agg(F.max("score").alias("score")))
-    answers = asked.join(classes, "vec").select(F.col("id").alias("query_id"), "query")
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return (answers.join(best, "query").filter("id <> query_id").withColumn("rank", F.row_number().over(ranked))
-            .filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"),
-                                               F.col("id").alias(id_col), "score"))
 
 
 def _scored(batches: Iterator[pa.RecordBatch], keep: int, block: int) -> Iterator[pa.RecordBatch]:

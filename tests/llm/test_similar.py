@@ -211,6 +211,42 @@ def test_recall_on_embeddings(spark):
     assert hits / sum(len(f) for f in want.values()) >= 0.9
 
 
+@pytest.mark.parametrize("lengths", ["lognormal 0.3", "lognormal 1", "one outlier"])
+def test_recall_on_unequal_lengths(spark, lengths):
+    rng = np.random.default_rng(5)
+    n, k = 10_000, 20
+    v = rng.normal(size=(n, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    if lengths == "one outlier":
+        v[13] *= 100
+    else:
+        v *= rng.lognormal(0, float(lengths.split()[1]), n)[:, None]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in ann.nearest(df, df.filter("vec_id % 50 = 0"), k=k).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = short = 0
+    for q in range(0, n, 50):
+        score = v @ v[q]
+        score[q] = -np.inf
+        short += len(got.get(q, ())) < k
+        hits += len(got.get(q, set()) & set(np.argsort(-score)[:k].tolist()))
+    print("recall", lengths, "short", short, hits / (k * (n // 50)))
+    assert not short and hits / (k * (n // 50)) >= 0.9
+
+
+def test_queries_without_candidates_meet_every_row(spark):
+    """Members crowd around one axis, the query points away from it: no cell it probes holds any."""
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(200, 16)) * 1e-3
+    v[:, 0] += 1.0
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(500, [-1.0] + [0.0] * 15)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, df.filter("vec_id = 500"), k=20, tables=1, probes=1, block=64).collect()
+    want = brute([(i, np.array(x)) for i, x in rows], [(500, np.array(rows[-1][1]))], 20)[500]
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [i for i, _ in want]
+
+
 def test_nearest_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.nearest(df, df).count() == 0
