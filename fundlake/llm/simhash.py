@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from fundlake.llm.common import Rows, cut
+from fundlake.llm.common import Rows, cut, fresh_name
 from fundlake.llm.components import connected_components
 
 SEED = 42
@@ -172,9 +172,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
              max_bits: int = 2) -> DataFrame:
-    """The rows of df, one per component: that of the smallest id (any one of equal rows)."""
-    found = cut(near_duplicates(df, id_col, text_col, shingle, max_bits), "classes")
-    chosen = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept"))
-    counted = chosen.agg(F.count("*").alias("n"), F.count_distinct(F.coalesce("_kept", F.lit(0))).alias("d")).first()
-    kept = df.join(chosen.distinct(), df[id_col].eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates([id_col]) if counted["n"] != counted["d"] else kept
+    """The rows of df, one per component: that of the smallest id, unknown ids last, then of
+    the smallest fingerprint and text hash (any one of rows equal in id and text).  Components
+    are told apart by fingerprint, so rows without an id and texts under one id count each."""
+    text_hash = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    docs = cut(df.select(F.col(id_col).cast("long").alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp"),
+                         text_hash.alias("hash")), "fingerprints")
+    least = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "hash", "n")).alias("r")
+    prints = cut(docs.groupBy("fp", "id", "hash").agg(F.count("*").alias("n")).groupBy("fp").agg(least), "distinct-fingerprints")
+    roots = connected_components(fingerprint_links(prints.select("fp"), max_bits), "a", "b")
+    first = F.min(F.struct("r.unknown", "r.id", "fp", "r.hash", "r.n")).alias("c")
+    chosen = cut(prints.join(roots, prints["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp").alias("root"))
+                 .agg(first).select(F.col("c.id").alias("_kept"), F.col("c.hash").alias("_kept_hash"), "c.n"), "chosen")
+    name = fresh_name(df.columns, "_text_hash")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_kept")) & (F.col(name) == F.col("_kept_hash"))
+    kept = df.withColumn(name, text_hash).join(chosen.select("_kept", "_kept_hash"), same, "left_semi")
+    repeated = not chosen.filter("n > 1").isEmpty()
+    return (kept.dropDuplicates([id_col, name]) if repeated else kept).drop(name)

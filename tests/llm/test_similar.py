@@ -95,6 +95,16 @@ def test_keep_one_of_each_group(spark, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def test_keep_one_loses_no_text_without_id_and_none_of_a_repeated_id(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(None, text(0), "a"), (None, text(1), "a"), (None, text(1), "a"), (None, text(2), "a"),  # 2 is also under id 7
+            (7, text(2), "b"), (8, text(3), "b"), (8, text(4), "b"), (8, text(4), "b"), (9, text(4), "c"), (None, None, "d"),
+            (None, "", "d"), (None, "  ", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = sorted((str(r.doc_id), (r.text or "").strip()) for r in simhash.keep_one(df).collect())
+    assert got == sorted([("None", text(0)), ("None", text(1)), ("7", text(2)), ("8", text(3)), ("8", text(4)), ("None", "")])
+
+
 # ---------------------------------------------------------------- sketches
 def shingles(text):
     words = (text or "").encode().lower().split()
