@@ -8,10 +8,12 @@ bigrams, and at least t/(2-t) times as many common ones.  An index from
 bigrams to templates gives every template the places its bigrams stand at;
 templates with fewer places than their bound are pruned, and so are
 passages outside the size bounds.  The rest are compared exactly, passage by passage, at
-any place of the whole text.  Passages that overlap leave the best one.
+any place of the whole text.  Passages of all templates are taken best first, and each
+leaves out those that overlap it; a start whose best passage is left out so is tried
+again with the passages that end before.
 
 Defined results: null or empty text has no licences; of equal coefficients the
-longer template wins, then the smaller identifier; repeated rows get the same
+longer template wins, then the smaller identifier, the earlier and the shorter passage; repeated rows get the same
 result; an empty table gives no rows.  Columns other than the named two are not
 read.
 """
@@ -21,7 +23,10 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import Counter, defaultdict
+from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,45 +75,61 @@ class Scanner:
             if row is not None:
                 for t in row.get(words[i + 1], ()):
                     places[t].append(i)
-        found = []
-        for t, at in places.items():
-            if len(at) >= self.least[t]:
-                found += self._best(words, t, at)
-        found.sort(key=lambda x: (-x[0], -self.sizes[x[1]], self.names[x[1]], x[2]))
-        out: list = []
-        for f in found:
-            if all(f[3] < o[2] or f[2] > o[3] for o in out):
-                out.append(f)
-        return sorted(out, key=lambda x: x[2])
-
-    def _best(self, words: list[str], t: int, at: list[int]) -> list[tuple[float, int, int, int]]:
-        """Passages that begin and end at places of the template; of those that overlap, the best."""
-        size, least, most, need = self.sizes[t], self.least[t], self.most[t], self.threshold
-        out: list = []
+        # best first: an upper bound per start, replaced by the exact passage when its turn comes
+        queue = [(-bound, 0, -self.sizes[t], self.names[t], t, at[a], a, -1) for t, at in places.items()
+                 if len(at) >= self.least[t] for a, bound in self._bounds(t, at)]
+        heapify(queue)
+        out: list = []  # accepted passages, by place
+        while queue:
+            c, exact, size, name, t, start, a, e = heappop(queue)
+            k = bisect_right(out, (start, len(words)))
+            if k and out[k - 1][1] >= start:
+                continue
+            limit = out[k][0] if k < len(out) else len(words)
+            if exact and e < limit:
+                out.insert(k, (start, e, -c, t))
+                continue
+            best = self._best(words, t, places[t], a, limit)
+            if best:
+                heappush(queue, (-best[0], 1, size, name, t, start, a, best[1]))
+        return [(c, t, i, j) for i, j, c, t in out]
+
+    def _bounds(self, t: int, at: list[int]) -> Iterator[tuple[int, float]]:
+        """(place, bound) of the starts whose best passage may reach the threshold."""
+        size, least, most = self.sizes[t], self.least[t], self.most[t]
+        if len(at) > 1000:  # vectors pay off
+            where = np.array(at)
+            ends = np.searchsorted(where, where + most)
+            for a in np.flatnonzero(ends - np.arange(len(at)) >= least).tolist():
+                span = where[a + least - 1:ends[a]] - where[a]
+                places = np.minimum(np.arange(least, least + len(span)), size)
+                bound = float((2 * places / (span + 1 + size)).max())
+                if bound >= self.threshold:
+                    yield a, bound
+            return
         for a, start in enumerate(at):
             end = bisect_right(at, start + most - 1, a)
             if end - a < least:
                 continue
             # places count repeats beyond the template's own, so this only bounds the coefficient
-            bound = max(2 * (b - a + 1) / (at[b] - start + 1 + size) for b in range(a + least - 1, end))
-            if bound < need or out and out[-1][0] >= bound and out[-1][3] >= start:
-                continue
-            used: Counter = Counter()
-            common, c, b = 0, 0.0, a
-            for e in range(a, end):
-                gram = (words[at[e]], words[at[e] + 1])
-                used[gram] += 1
-                common += used[gram] <= self.grams[t][gram]
-                here = 2 * common / (at[e] - start + 1 + size)
-                if here > c:
-                    c, b = here, e
-            if c >= need:
-                if out and out[-1][3] >= start:
-                    if out[-1][0] >= c:
-                        continue
-                    out.pop()
-                out.append((c, t, start, at[b] + 1))
-        return out
+            bound = max(2 * min(b - a + 1, size) / (at[b] - start + 1 + size) for b in range(a + least - 1, end))
+            if bound >= self.threshold:
+                yield a, bound
+
+    def _best(self, words: list[str], t: int, at: list[int], a: int, limit: int) -> tuple[float, int] | None:
+        """(coefficient, last word) of the best passage that begins at the place and ends at one of the
+        template's before the word ``limit``, if it reaches the threshold; of equal ones the shortest."""
+        size, start, grams = self.sizes[t], at[a], self.grams[t]
+        used: Counter = Counter()
+        common, c, b = 0, 0.0, a
+        for e in range(a, bisect_right(at, min(start + self.most[t] - 1, limit - 2), a)):
+            gram = (words[at[e]], words[at[e] + 1])
+            used[gram] += 1
+            common += used[gram] <= grams[gram]
+            here = 2 * common / (at[e] - start + 1 + size)
+            if here > c:
+                c, b = here, e
+        return (c, at[b] + 1) if c >= self.threshold else None
 
     def scan(self, text: str | None) -> list[dict]:
         if not text:

@@ -41,6 +41,49 @@ def test_scan_against_every_passage():
         assert (max(g["score"] for g in got) if got else 0.0) == pytest.approx(want[0]), t
 
 
+def slow_all(text, known, threshold=0.8):
+    """(name, first word, last word) of all passages of all templates, chosen best first."""
+    words, found = licenses.words_of(text), []
+    for name, t in known:
+        w = licenses.words_of(t)
+        target = Counter(zip(w, w[1:]))
+        n = target.total()
+        at = [i for i in range(len(words) - 1) if (words[i], words[i + 1]) in target]
+        for i in at:
+            have, common = Counter(), 0
+            for j in (j for j in at if i <= j < i + 2 * n):
+                gram = (words[j], words[j + 1])
+                have[gram] += 1
+                common += have[gram] <= target[gram]
+                c = 2 * common / (j - i + 1 + n)
+                if c >= threshold:
+                    found.append((-c, -n, name, i, j + 1))
+    out = []
+    for f in sorted(found):
+        if all(f[4] < o[3] or f[3] > o[4] for o in out):
+            out.append(f)
+    return sorted((f[3], f[4], f[2]) for f in out)
+
+
+def test_an_edited_copy_before_a_better_one_stays():
+    known = [(n, t) for n, t in templates() if n in ("MIT", "ISC") and len(t) > 300]
+    scanner = licenses.Scanner(known)
+    rng, two = np.random.default_rng(3), 0
+    for _, text in [(n, " ".join(t.split())) for n, t in known] * 4:
+        copies = []
+        for share in (0.05, 0.02, 0.0):
+            words = text.split()
+            for i in np.flatnonzero(rng.random(len(words)) < share):
+                words[i] = f"edited{i}"
+            copies.append(" ".join(words))
+        for order in itertools.permutations(copies, 2):
+            whole = " Copyright (c) 2001 by some one else. ".join(order)
+            got = sorted((i, j, scanner.names[t]) for _, t, i, j in scanner.passages(licenses.words_of(whole)))
+            assert got == slow_all(whole, known)
+            two += len(got) == 2 and order[1] == text
+    assert two >= 8
+
+
 def test_full_texts_and_notices_are_found():
     scanner = licenses.Scanner(templates())
     for name, text in templates()[::9] + templates()[-14:]:
