@@ -1,4 +1,9 @@
-"""Licence templates: short notices by rule, and full texts and headers (fixed values)."""
+"""Licence templates: short notices by rule, short texts and headers (fixed values), and the
+whole texts in ``license_texts``, one file per identifier."""
+
+from __future__ import annotations
+
+from importlib.resources import files
 
 # Identifier -> names the licence goes by in a notice.
 NAMES = {
@@ -100,4 +105,11 @@ def templates() -> list[tuple[str, str]]:
     for i, kind, version in (("GPL-2.0", "", 2), ("GPL-3.0", "", 3), ("LGPL-2.1", "Lesser", 2.1), ("LGPL-3.0", "Lesser", 3),
                              ("AGPL-3.0", "Affero", 3)):
         out.append((i, GNU_HEADER.format(kind, version, kind)))
-    return out
+    return out + whole_texts()
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(identifier, text) of the licences whose whole legal text is package data."""
+    folder = files("fundlake.llm") / "license_texts"
+    return [(f.name.removesuffix(".txt"), f.read_text(encoding="utf-8"))
+            for f in sorted(folder.iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")]

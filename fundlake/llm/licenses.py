@@ -38,6 +38,9 @@ WORD = re.compile(r"[^\W_]+")
 # Spellings that mean the same in licence texts.
 SAME = {"licence": "license", "licences": "licenses", "licenced": "licensed", "https": "http", "sublicence": "sublicense"}
 
+#: Templates of more bigrams are indexed apart.
+LONG = 500
+
 
 def words_of(text: str) -> list[str]:
     words = WORD.findall(text.lower())
@@ -62,19 +65,24 @@ class Scanner:
         low, high = threshold / (2 - threshold), (2 - threshold) / threshold
         self.least = [max(1, -int(-low * n // 1)) for n in self.sizes]
         self.most = [int(high * n) for n in self.sizes]
+        # long templates have an index of their own, left out for texts that are too short for them
         self.index: dict[str, dict[str, list[int]]] = defaultdict(dict)
+        self.long_index: dict[str, dict[str, list[int]]] = defaultdict(dict)
         for t, g in enumerate(self.grams):
+            index = self.long_index if self.sizes[t] > LONG else self.index
             for a, b in g:
-                self.index[a].setdefault(b, []).append(t)
+                index[a].setdefault(b, []).append(t)
+        self.shortest_long = min((n for n, s in zip(self.least, self.sizes) if s > LONG), default=float("inf"))
 
     def passages(self, words: list[str]) -> list[tuple[float, int, int, int]]:
         """(coefficient, template, first word, last word) of the best passages, without overlaps."""
-        index, places = self.index, defaultdict(list)
-        for i, w in enumerate(words[:-1]):
-            row = index.get(w)
-            if row is not None:
-                for t in row.get(words[i + 1], ()):
-                    places[t].append(i)
+        places = defaultdict(list)
+        for index in (self.index, self.long_index) if len(words) > self.shortest_long else (self.index,):
+            for i, w in enumerate(words[:-1]):
+                row = index.get(w)
+                if row is not None:
+                    for t in row.get(words[i + 1], ()):
+                        places[t].append(i)
         # best first: an upper bound per start, replaced by the exact passage when its turn comes
         queue = [(-bound, 0, -self.sizes[t], self.names[t], t, at[a], a, -1) for t, at in places.items()
                  if len(at) >= self.least[t] for a, bound in self._bounds(t, at)]

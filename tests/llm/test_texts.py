@@ -92,6 +92,20 @@ def test_full_texts_and_notices_are_found():
         assert name in {g["license"] for g in got}
 
 
+def test_whole_legal_texts_are_found():
+    """The whole text, one word in fifty edited and without its last tenth (an appendix, if it has one)."""
+    scanner, rng = licenses.Scanner(templates()), np.random.default_rng(4)
+    whole = {n: t for n, t in templates() if len(t) > 5000}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "GFDL-1.3"} <= set(whole)
+    for name, text in whole.items():
+        words = text.split()[:len(text.split()) * 9 // 10]
+        for i in np.flatnonzero(rng.random(len(words)) < 0.02):
+            words[i] = f"edited{i}"
+        text = "Some words before it. " + " ".join(words) + " and some after it"
+        got = scanner.scan(text)
+        assert name in {g["license"] for g in got if g["end"] - g["start"] > 0.8 * len(text)}, name
+
+
 def test_scan_rows(spark, hard, empty):
     df = spark.createDataFrame([(1, "A poem. Released under the MIT License. The end."), (2, None), (3, "")],
                                "doc_id long, text string")
