@@ -18,8 +18,13 @@ other names).  Given names known to the lists are permuted among names of
 the same gender and script; vowels that end a name are kept, as they mark gender.
 
 Collision checks per document: no two originals share a surrogate, and no
-surrogate equals an original of the document; a surrogate that does is
-drawn again with the next tweak.  ``collisions`` checks a whole table.
+surrogate equals an original of the document.  First draws come from the corpus-wide
+permutations; where one is taken, a known given name gets the first free name of its
+list in a keyed order, and any other value, or a name whose list is used up, is
+drawn again with the next tweak until it is free.  A pattern that has no free
+string left (names of two letters, say) grows by one character at a time.  Values drawn again are
+outside the permutation, so in another document the same surrogate may stand
+for another original; ``collisions`` lists these for a whole table.
 
 Defined results: null text stays null with no entities; an empty text is
 unchanged; repeated rows get the same result; an empty table gives no
@@ -33,6 +38,7 @@ import re
 import unicodedata
 from functools import lru_cache
 from hashlib import blake2b
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -296,23 +302,50 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     return MAKERS[kind](value, key, f"#{attempt}" if attempt else "")
 
 
+def grown(kind: str, value: str) -> str:
+    """A longer value, for patterns without a free string; the other kinds have too many strings
+    to run out."""
+    if kind == "email":
+        return "a" + value
+    if kind == "name":
+        known = [c for c in value if c in CLASSES]  # a script without classes cannot be kept
+        return value[:1] + known[-1] + value[1:] if known else "Bababa"
+    return value + "0" if kind == "phone" else value
+
+
+def drawn_again(kind: str, value: str, key: bytes, taken: set[str]) -> str:
+    """A surrogate that is not taken: a free given name of the list, or the next free draw."""
+    group = GIVEN_GROUP.get(value) if kind == "name" else None
+    if group:
+        free = [n for n in GIVEN[group] if n not in taken]
+        if free:
+            return min(free, key=lambda n: blake2b(f"again{group}|{value}|{n}".encode(), key=key[:64]).digest())
+    for attempt in count(1):
+        if attempt % 50 == 0:
+            value = grown(kind, value)
+        new = permute(value, key, f"again#{attempt}") if group else surrogate(kind, value, key, attempt)
+        if new not in taken and (not group or new not in GIVEN_GROUP):
+            return new
+
+
 def replaced(text: str, key: bytes) -> tuple[str, list[tuple]]:
     """(new text, [(kind, start, end, surrogate)]), offsets in code points of the original."""
     spans = found_in(text)
     if not spans:
         return text, []
     originals = {text[s:e] for s, e, _ in spans}
+    values = dict.fromkeys((kind, text[s:e]) for s, e, kind in spans)
     given: dict[tuple[str, str], str] = {}
-    used: set[str] = set()
-    for s, e, kind in spans:
-        value = text[s:e]
-        if (kind, value) not in given:
-            for attempt in range(50):
-                new = surrogate(kind, value, key, attempt)
-                if new not in used and new not in originals:
-                    break
+    taken = set(originals)
+    for kind, value in values:
+        new = surrogate(kind, value, key)
+        if new not in taken:
             given[kind, value] = new
-            used.add(new)
+            taken.add(new)
+    for kind, value in values:
+        if (kind, value) not in given:
+            given[kind, value] = drawn_again(kind, value, key, taken)
+            taken.add(given[kind, value])
     out, at, rows = [], 0, []
     for s, e, kind in spans:
         new = given[kind, text[s:e]]

@@ -239,6 +239,34 @@ def test_distinct_numbers_stay_distinct_and_grouping_does_not_matter():
     assert digits(pii.card("4111 1111 1111 1111", b"k", "")) == pii.card("4111111111111111", b"k", "")
 
 
+@pytest.mark.parametrize("text", [
+    *[" ".join(f"{form} {n}," for n in names) for form, names in (("Mr.", pii.GIVEN["m"]), ("Mrs.", pii.GIVEN["f"]),
+                                                                  ("господин", pii.GIVEN["m-cyrillic"]))],
+    " ".join(f"Mr. {n}," for n in pii.GIVEN["m"][:30]),
+    " ".join(f"Dr. {a}{b}," for a in "BCDFGHJKLMNPQRSTVWXZ" for b in "aeiouy"),  # the whole pattern
+    " ".join(f"{c}@x.com" for c in "aeiouy"), "Mr. שרה, Mr. דוד"])
+def test_no_surrogate_is_shared_or_an_original_however_many(text):
+    found = pii.replaced(text, b"k")[1]
+    originals = {text[s:e] for _, s, e, _ in found}
+    new = {text[s:e]: v for _, s, e, v in found}
+    assert len(originals) >= 2 and len(set(new.values())) == len(new) and not originals & set(new.values())
+
+
+def test_only_values_drawn_again_collide_in_the_corpus(spark):
+    docs = [(i, f"Mr. {a} met Mr. {b} there") for i, (a, b) in enumerate(itertools.combinations(pii.GIVEN["m"], 2))]
+    first = lambda n: pii.name(n, pii.DEFAULT_KEY, "")
+    again = set()
+    for i, t in docs:
+        new = {t[s:e]: v for _, s, e, v in pii.replaced(t, pii.DEFAULT_KEY)[1]}
+        assert len(set(new.values())) == 2 and not set(new) & set(new.values())
+        assert set(new.values()) <= set(pii.GIVEN["m"])
+        if any(first(n) != v for n, v in new.items()):
+            again.add(i)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert 0 < len(again) <= 45 and pii.collisions(frame.filter(~frame["doc_id"].isin(sorted(again)))).count() == 0
+    assert pii.collisions(frame).count() <= len(again)
+
+
 def test_surrogate_rows(spark, hard, empty):
     from pyspark.sql import functions as F
 
