@@ -311,6 +311,13 @@ def test_learns_the_marking_words(spark, hard, empty):
     assert kept.columns == hard.columns and toxicity.score(empty, model).count() == 0
 
 
+def test_every_marking_word_is_in_the_section():
+    names = [f"{a}{b}{c}thing{c}{b}{a}" for a, b, c in itertools.product("bcdfghjk", "aeiou", "lmnpr")]
+    toxic = [f"{n} {names[i - 1]} {names[i - 2]} river" for i, n in enumerate(names)] * 9
+    section = toxicity.marking_section([t.encode() for t in toxic], [b"river stone house"] * 4000, toxicity.Settings())
+    assert len(section) > 1024 and all(n.encode() in section for n in names)
+
+
 def test_without_labels_every_score_is_the_share(spark, hard):
     labels = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
     model = toxicity.train(hard, labels)
