@@ -51,6 +51,9 @@ class Settings:
     window: int = 96
     overlap: int = 24
     ordinary_bytes: int = 16_384
+    #: The ordinary dictionary is trained on so many blocks of so many bytes of a text at most.
+    most_blocks: int = 8
+    block: int = 512
     strategy: int = zstandard.STRATEGY_LAZY2
     #: A marking substring: its length in bytes, the least log-likelihood ratio, the least
     #: documents, and how much more often it occurs in toxic documents.
@@ -115,8 +118,16 @@ def marking_section(toxic: list[bytes], ordinary: list[bytes], s: Settings) -> b
     return b"".join(reversed(chosen))
 
 
+def spread(size: int, most: int, block: int) -> list[int]:
+    """Starts of at most ``most`` blocks, evenly spread over the whole text."""
+    starts = range(0, size, block)
+    if len(starts) <= most:
+        return list(starts)
+    return [k * (size - block) // (most - 1) for k in range(most)]
+
+
 def ordinary_base(ordinary: list[bytes], s: Settings) -> bytes:
-    blocks = [t.lower()[k:k + 512] for t in ordinary for k in range(0, min(len(t), 4096), 512)]
+    blocks = [t.lower()[k:k + s.block] for t in ordinary for k in spread(len(t), s.most_blocks, s.block)]
     try:
         return zstandard.train_dictionary(2 * s.ordinary_bytes, blocks, k=48, d=6).as_bytes()[-s.ordinary_bytes:]
     except zstandard.ZstdError:  # too few samples to train on: the text itself

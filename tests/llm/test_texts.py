@@ -318,6 +318,15 @@ def test_every_marking_word_is_in_the_section():
     assert len(section) > 1024 and all(n.encode() in section for n in names)
 
 
+def test_ordinary_dictionary_reads_the_whole_text():
+    s, size = toxicity.Settings(), 60_000
+    starts = toxicity.spread(size, s.most_blocks, s.block)
+    assert len(starts) == s.most_blocks and starts[0] == 0 and starts[-1] == size - s.block
+    assert max(b - a for a, b in zip(starts, starts[1:])) < size / 6
+    tail = [(" ".join(made_up(60, i, False)) + " tabulated appendix figures" * 400).encode() for i in range(40)]
+    assert b"appendix" in toxicity.ordinary_base(tail, s)
+
+
 def test_without_labels_every_score_is_the_share(spark, hard):
     labels = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
     model = toxicity.train(hard, labels)
