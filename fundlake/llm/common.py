@@ -75,6 +75,23 @@ def _search(key: str, limits: list[int], base: int) -> str:
     return f"CASE WHEN {key} > {limits[mid]}L THEN {high} ELSE {low} END"
 
 
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], slices: int = 1000) -> DataFrame:
+    """Left join of many rows with a right side that has one row per key, hot keys dealt out.
+
+    A key with more than one in ``slices`` of the left rows is dealt over as many parts as it
+    has such shares, and its right row is copied to each.  At most ``slices`` keys are that
+    hot, so their list is small whatever the size of the tables.
+    """
+    total = F.lit(max(1, left.count()))
+    hot = (left.groupBy(*on).count().filter(F.col("count") * slices > total)
+           .select(*on, F.ceil(F.col("count") * slices / total).cast("int").alias("_parts")))
+    hot = F.broadcast(cut(hot, "hot-keys"))
+    part = F.floor(F.rand(0) * F.coalesce("_parts", F.lit(1))).cast("int")
+    dealt = left.join(hot, on, "left").withColumn("_part", part).drop("_parts")
+    copied = right.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+    return dealt.join(copied.drop("_parts"), [*on, "_part"], "left").drop("_part")
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -9,8 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import (ann, common, licenses, packing, pii, simhash, sketches, spm_sample, token_counts, token_files,
+from fundlake.llm import (ann, common, licenses, line_dedup, packing, pii, simhash, sketches, spm_sample, token_counts, token_files,
                           toxicity)
+from fundlake.llm import oracle_sql as oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +73,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_sentencepiece_samples": op2_sentencepiece_samples,
@@ -83,5 +89,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
+    "op11_line_dedup": op11_line_dedup,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op11_line_dedup": oracle.OP11,
 }
-ORACLE_SQL: dict[str, str] = {}
