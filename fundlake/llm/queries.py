@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import (ann, common, licenses, line_dedup, packing, pii, simhash, sketches, spm_sample, token_counts, token_files,
+from fundlake.llm import (ann, common, licenses, line_dedup, packing, pii, runs, simhash, sketches, spm_sample, token_counts, token_files,
                           toxicity)
 from fundlake.llm import oracle_sql as oracle
 
@@ -78,6 +78,19 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find(runs.planted(table(spark, sf_dir, "documents")))
+    better = lambda a, b: a["length"] * b["period"] > b["length"] * a["period"]
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    found = found.withColumn("best", F.when(F.size("runs") > 0, F.try_element_at("runs", F.lit(1))))
+    best = F.reduce("runs", F.col("best"), lambda best, r: F.when(better(r, best), r).otherwise(best))
+    found = found.withColumn("best", best)
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_sentencepiece_samples": op2_sentencepiece_samples,
@@ -90,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
     "op11_line_dedup": op11_line_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
     "op11_line_dedup": oracle.OP11,
