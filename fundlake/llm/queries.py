@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import (ann, common, licenses, line_dedup, packing, pii, runs, simhash, sketches, spm_sample, token_counts, token_files,
+from fundlake.llm import (ann, common, conversations, licenses, line_dedup, packing, pii, runs, simhash, sketches, spm_sample, token_counts, token_files,
                           toxicity)
 from fundlake.llm import oracle_sql as oracle
 
@@ -78,6 +78,19 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(conversations.damaged(rows))
+    key = [F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), F.col("conv_id").isNull().alias("unknown")]
+    every = rows.select("conv_id").distinct().select("conv_id", *key)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    out = (every.join(repaired.summary, conversations.KEY, "left")
+           .join(conversations.hashes(repaired.rows), conversations.KEY, "left"))
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = runs.find(runs.planted(table(spark, sf_dir, "documents")))
     better = lambda a, b: a["length"] * b["period"] > b["length"] * a["period"]
@@ -103,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
     "op11_line_dedup": op11_line_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
