@@ -18,7 +18,7 @@ Distribution: documents of up to ``span`` words are tiled and solved inside the
 documents behind one another with a word of its own between them.  A longer document is
 exploded into overlapping spans of tiles per octave, which are dealt out over the tasks.
 The fragments of a document and period are then shuffled together and stitched:
-fragments that overlap are one stretch.  Of equal stretches the smallest period stays (two periods of a
+fragments that overlap are one stretch.  Documents without any fragment are done and meet no shuffle. Of equal stretches the smallest period stays (two periods of a
 stretch that long have their greatest common divisor as a period too).
 
 A word is dropped from the collapsed text if a run holds it after the run's first q words.
@@ -43,7 +43,7 @@ from fundlake.llm.common import Rows, cut
 
 SHORTEST, SPAN = 24, 1 << 16
 #: Words of documents that are solved together.
-HELD = 1 << 19
+HELD = 1 << 17
 FIRST = 8
 
 
@@ -173,44 +173,50 @@ def numbered(words: list[bytes], codes: dict[bytes, int]) -> np.ndarray:
 
 
 # --- tasks ---------------------------------------------------------------
-DOC, FRAGMENT, TILES = 0, 1, 2
+DOC, FRAGMENT, TILES, PLAIN = 0, 1, 2, 3
 FOUND = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("period", pa.int64()), ("low", pa.int64()),
                    ("high", pa.int64()), ("id", pa.int64()), ("n_words", pa.int64()), ("text", pa.binary())])
 FOUND_SQL = "kind int, key long, period long, low long, high long, id long, n_words long, text binary"
 
 
 def first_pass(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
-    """Every document with a key of its own; the fragments of short ones, the tile spans of long ones."""
+    """Every document with a key of its own (``PLAIN`` if it cannot have a run); the fragments of
+    short ones, the tile spans of long ones."""
     task = TaskContext.get()
     key = (task.partitionId() if task else 0) << 40
-    rows = Rows(FOUND)
+    rows = Rows(FOUND, most_bytes=8 << 20)
     codes: dict[bytes, int] = {}
-    held: list[tuple[int, np.ndarray]] = []
+    held: list[tuple[int, int | None, bytes, np.ndarray]] = []
     total = 0
 
     def solve():
         # documents behind one another, a word that occurs nowhere else after each
         marks = iter(range(len(codes), len(codes) + len(held)))
-        stream = np.concatenate([np.r_[w, next(marks)] for _, w in held])
-        starts = np.cumsum([0] + [len(w) + 1 for _, w in held])
-        for (low, length), q in solved(stream, max(len(w) for _, w in held)).items():
-            if length >= 3 * q:
-                i = int(np.searchsorted(starts, low, "right")) - 1
-                rows.add(FRAGMENT, held[i][0], q, low - starts[i], low - starts[i] + length - q, None, None, None)
+        stream = np.concatenate([np.r_[words, next(marks)] for *_, words in held])
+        starts = np.cumsum([0] + [len(words) + 1 for *_, words in held])
+        hit = set()
+        for (low, length), q in solved(stream, max(len(words) for *_, words in held)).items():
+            i = int(np.searchsorted(starts, low, "right")) - 1
+            hit.add(i)
+            rows.add(FRAGMENT, held[i][0], q, low - starts[i], low - starts[i] + length - q, None, None, None)
+        for i, (own, ident, raw, words) in enumerate(held):
+            rows.add(DOC if i in hit else PLAIN, own, None, None, None, ident, len(words), raw, size=len(raw) + 64)
 
     for batch in batches:
         for ident, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             raw = text.as_py()
             words = raw.split()
             key += 1
-            rows.add(DOC, key, None, None, None, ident, len(words), raw, size=len(raw) + 64)
-            if FIRST * 3 <= len(words) <= span:
-                held.append((key, numbered(words, codes)))
+            if len(words) < 3 * FIRST:
+                rows.add(PLAIN, key, None, None, None, ident, len(words), raw, size=len(raw) + 64)
+            elif len(words) <= span:
+                held.append((key, ident, raw, numbered(words, codes)))
                 total += len(words) + 1
                 if total >= HELD:
                     solve()
                     codes, held, total = {}, [], 0
-            elif len(words) > span:
+            else:
+                rows.add(DOC, key, None, None, None, ident, len(words), raw, size=len(raw) + 64)
                 whole = numbered(words, {}).astype("<i4")
                 for size, _, _ in octaves(len(whole)):
                     step = max(span // size, 16) * size
@@ -257,8 +263,11 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest
     dealt = tiles.repartition("key", "period", "low").mapInArrow(solve_tiles, "key long, period long, low long, high long")
     parts = found.filter(F.col("kind") == FRAGMENT).select("key", "period", "low", "high").unionByName(dealt)
     runs = stitched(parts, shortest).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "length", "period"))).alias("runs"))
-    docs = found.filter(F.col("kind") == DOC).select("key", "id", "n_words", "text").join(runs, "key", "left")
+    # documents without a fragment need not meet the runs
     none = F.array().cast("array<struct<start:bigint,length:bigint,period:bigint>>")
+    docs = found.filter(F.col("kind") == DOC).select("key", "id", "n_words", "text").join(runs, "key", "left")
+    plain = found.filter(F.col("kind") == PLAIN).select("key", "id", "n_words", "text", none.alias("runs"))
+    docs = docs.unionByName(plain)
     return docs.select(F.col("id").alias(id_col), "n_words", F.coalesce("runs", none).alias("runs"),
                        collapsed(F.col("text"), F.col("runs")).alias("collapsed"))
 

@@ -316,4 +316,4 @@ def fast_runs(w, shortest=24):
 def test_first_pass_gives_no_fragments_of_short_texts():
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([b"a " * 23], pa.binary())], ["id", "text"])
     kinds = [k for b in runs.first_pass(iter([batch]), 100) for k in b.column(0).to_pylist()]
-    assert kinds == [runs.DOC]
+    assert kinds == [runs.PLAIN]
