@@ -308,21 +308,13 @@ def planted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """(<id_col>, <text_col>) with a periodic stretch in every text whose id's CRC-32 h, as decimal text, divides by ten:
     with n words, g = h // 10, a = g % n and p = 1 + (n - a) // (3 + g % 8) each word i >= a becomes word
     a + (i - a) % p, words joined by blanks.  A null id plants nothing."""
-
-    @arrow_udf("binary")
-    def column(texts: pa.Array, hashes: pa.Array) -> pa.Array:
-        out = []
-        for text, h in zip(texts.to_pylist(), hashes.to_pylist()):
-            words = text.split() if text else []
-            if words:
-                g, n = h // 10, len(words)
-                a = g % n
-                p = 1 + (n - a) // (3 + g % 8)
-                words[a:] = [words[a + i % p] for i in range(n - a)]
-            out.append(b" ".join(words) if words else None)
-        return pa.array(out, pa.binary())
-
-    h = F.crc32(F.col(id_col).cast("long").cast("string"))
-    source = F.when(h % 10 == 0, F.col(text_col)).cast("binary")
-    changed = column.asNondeterministic()(source, h)
-    return df.select(F.col(id_col), F.coalesce(changed.cast("string"), F.col(text_col)).alias(text_col))
+    chosen = F.col("h") % 10 == 0
+    rows = df.select(F.col(id_col), F.col(text_col), F.crc32(F.col(id_col).cast("long").cast("string")).alias("h"))
+    words = F.when(chosen, F.array_remove(F.split(text_col, r"[\x20\x09-\x0D]+"), ""))
+    rows = rows.withColumn("words", words).withColumn("n", F.greatest(F.size("words"), F.lit(1)))
+    rows = rows.withColumn("a", F.expr("(h div 10) % n").cast("int"))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)").cast("int"))
+    head, period = F.slice("words", F.lit(1), F.col("a")), F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    text = F.array_join(F.slice(F.concat(head, F.flatten(F.array_repeat(period, times))), F.lit(1), F.col("n")), " ")
+    return rows.select(id_col, F.when(chosen & (F.size("words") > 0), text).otherwise(F.col(text_col)).alias(text_col))
