@@ -121,4 +121,5 @@ QUERIES: dict[str, Query] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op11_line_dedup": oracle.OP11,
+    "op12_conversation_repair": oracle.OP12,
 }
