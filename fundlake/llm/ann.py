@@ -9,13 +9,17 @@ product of the original vectors in double precision.
 
 Vectors of unequal length would favour long ones, so the members of one
 dimension are parted into bands by length: the lengths of band i lie between the longest
-one divided by ``RATIO`` ** (i + 1) and by ``RATIO`` ** i.  Every band of more than ``block`` (about)
-different members is hashed apart, as unit vectors, and every query probes
-each of them; the members of all smaller bands are met by every query.  Members of
-one band differ little in length, so the nearest by angle are the nearest by inner
-product, and the bands' finds are merged by exact score.  Queries that still have fewer
+one divided by ``RATIO`` ** (i + 1) and by ``RATIO`` ** i.  Neighbouring bands with fewer members than a
+table has cells are one band.  Every band is hashed apart, as unit vectors, and every query probes
+each of them.  Members of one band differ little in length, so the nearest by angle are the nearest by inner
+product, and the bands' finds are merged by exact score.  In a band of m members a query probes
+``probes`` cells of a table, or as many as hold ``WANTED`` members if they are spread evenly: cells * WANTED / m, at
+most all of them (then one table has every member).  Queries that still have fewer
 than k + 1 candidates meet all members of their dimension.
 
+Ranking is exact, ties included: a block product only tells which members cannot be among the
+best, with a bound on its rounding error; all others are scored pair by pair and ordered by score and id.
+
 Work is dealt by cell.  A cell of more than ``block`` members or probing
 queries is split into blocks, every query block meeting every member block, so no
 task holds more than two blocks.  Equal vectors are searched
@@ -46,7 +50,9 @@ from fundlake.llm.common import Rows, cut
 TABLES, PROBES, BLOCK = 8, 16, 2048
 #: Lengths in one band differ by less than this factor.
 RATIO = 1.25
-#: The cell of the members that every query meets.
+#: A query probes at least as many cells of a table as hold so many members of a band, spread evenly.
+WANTED = 256
+#: The cell of all members, for queries that found too few.
 EVERY = -1
 
 
@@ -72,11 +78,15 @@ def turned(x: np.ndarray, table: int, seed: int) -> np.ndarray:
     return x
 
 
-def cells_column(vector, size, band, tables: int, probes: int, seed: int, member: bool,
-                 hashed: dict[int, list[int]]):
-    """array<int> of cells.  A member is in one per table if its band is among the dimension's
-    ``hashed`` ones, else in ``EVERY``; a query probes the ``probes`` nearest of every table and hashed band, and
-    ``EVERY``.  Cells are numbered (place of the band * tables + table) * 2 * width + signed axis."""
+def width_of(dim: int) -> int:
+    """The dimension padded to a power of two; a table has twice as many cells."""
+    return 1 << max(1, (dim - 1).bit_length())
+
+
+def cells_column(vector, size, band, tables: int, probes: int, seed: int, member: bool, hashed: dict[int, list[list[int]]]):
+    """array<int> of cells.  ``hashed`` has the count of members of each band, per dimension.  A member is in one cell per
+    table of its band; a query probes the nearest cells of every table of every band.
+    Cells are numbered (band * tables + table) * 2 * width + signed axis."""
 
     @arrow_udf("array<int>")
     def column(vectors: pa.Array, dims: pa.Array, bands: pa.Array) -> pa.Array:
@@ -84,30 +94,35 @@ def cells_column(vector, size, band, tables: int, probes: int, seed: int, member
         band_of = np.asarray(bands.to_numpy(zero_copy_only=False), np.int64)
         flat = np.asarray(vectors.flatten().to_numpy(zero_copy_only=False), np.float64)
         ends = np.cumsum(lens)
-        out: list = [[EVERY]] * len(lens)
+        out: list = [[] for _ in lens]
         for dim in np.unique(lens):
-            own = hashed.get(int(dim), [])
-            at = np.flatnonzero((lens == dim) & (np.isin(band_of, own) if member else True))
-            if not len(at) or not own:
+            counts = hashed.get(int(dim), [])
+            at = np.flatnonzero(lens == dim)
+            if not len(at) or not counts:
                 continue
             x = flat[(ends[at] - dim)[:, None] + np.arange(dim)]
             x = x / np.abs(x).max(axis=1)[:, None]
             u = x / np.linalg.norm(x, axis=1)[:, None]
-            got = []
+            per_table = 2 * width_of(int(dim))
+            probed = [min(per_table, max(probes, -(-per_table * WANTED // m))) for m in counts]
             for t in range(tables):
+                # a band whose cells are all probed needs one table only
+                own = [b for b, n in enumerate(probed) if t == 0 or n < per_table]
+                if not own:
+                    break
                 y = turned(u, t, seed)
                 y = np.concatenate([y, -y], axis=1)
-                n = 1 if member else min(probes, y.shape[1])
-                best = np.argpartition(-y, n - 1, axis=1)[:, :n] if n > 1 else y.argmax(axis=1)[:, None]
-                got.append(best + t * y.shape[1])
-            cells, many = np.concatenate(got, axis=1), tables * y.shape[1]
-            if member:
-                cells = cells + (np.searchsorted(own, band_of[at]) * many)[:, None]
-            else:
-                cells = np.concatenate([cells + k * many for k in range(len(own))], axis=1)
-                cells = np.column_stack([cells, np.full(len(cells), EVERY)])
-            for i, row in zip(at, cells.tolist()):
-                out[i] = row
+                if member:
+                    cells = band_of[at] * (tables * per_table) + t * per_table + y.argmax(axis=1)
+                    for i, cell, b in zip(at, cells.tolist(), band_of[at].tolist()):
+                        if b in own:
+                            out[i].append(cell)
+                    continue
+                ranked = np.argsort(-y, axis=1, kind="stable")
+                for b in own:
+                    cells = ranked[:, :probed[b]] + (b * tables + t) * per_table
+                    for i, row in zip(at, cells.tolist()):
+                        out[i] += row
         return pa.array(out, pa.list_(pa.int32()))
 
     return column.asNondeterministic()(vector, size, band)
@@ -129,9 +144,9 @@ def log_length(vector, size):
     return column(vector, size)
 
 
-def bands(rows: DataFrame, block: int):
-    """The band of a vector as a column, and the hashed bands per dimension.  The driver gets
-    one number per dimension and one per band."""
+def bands(rows: DataFrame):
+    """The band of a vector as a column, and the number of different members of each band, per
+    dimension.  The driver gets one number per dimension and one per range of lengths."""
     length = log_length(F.col("vec"), F.size("vec"))
     longest = {r[0]: r[1] for r in rows.withColumn("length", length).groupBy(F.size("vec")).agg(F.max("length")).collect()}
     if not longest:
@@ -139,14 +154,21 @@ def bands(rows: DataFrame, block: int):
     longest_of = F.create_map(*[F.lit(x) for pair in longest.items() for x in pair])
     below = F.element_at(longest_of, F.size("vec")) - length
     # lengths that differ by rounding only stay in one band
-    band = F.greatest(F.lit(0), F.floor((below - 1e-4) / math.log(RATIO))).cast("int")
-    held = (rows.select(F.size("vec").alias("d"), band.alias("band"), "vec").groupBy("d", "band")
+    narrow = F.greatest(F.lit(0), F.floor((below - 1e-4) / math.log(RATIO))).cast("int")
+    held = (rows.select(F.size("vec").alias("d"), narrow.alias("band"), "vec").groupBy("d", "band")
             .agg(F.approx_count_distinct(F.xxhash64("vec")).alias("n")).collect())
     hashed: dict[int, list[int]] = {}
-    for r in held:
-        if r["n"] > block:
-            hashed.setdefault(r["d"], []).append(r["band"])
-    return band, {d: sorted(b) for d, b in hashed.items()}
+    number: dict[int, dict[int, int]] = {}
+    for d, band, n in sorted((r["d"], r["band"], r["n"]) for r in held):
+        counts, cells = hashed.setdefault(d, []), 2 * width_of(d)
+        if counts and counts[-1] < cells and n < cells:
+            counts[-1] += n
+        else:
+            counts.append(n)
+        number.setdefault(d, {})[band] = len(counts) - 1
+    numbers = F.create_map(*[x for d, of in number.items() for x in (
+        F.lit(d), F.create_map(*[F.lit(v) for pair in of.items() for v in pair]))])
+    return F.element_at(F.element_at(numbers, F.size("vec")), narrow), hashed
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -164,7 +186,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_i
     smaller id."""
     keep = k + 1  # the query's own row may be among them
     rows = usable(df, id_col, vec_col)
-    band, hashed = bands(rows, block)
+    band, hashed = bands(rows)
     in_class = Window.partitionBy("vec").orderBy("id")
     members = (rows.withColumn("n", F.dense_rank().over(in_class)).filter(F.col("n") <= keep)
                .groupBy("vec").agg(F.sort_array(F.collect_set("id")).alias("ids")))
@@ -176,7 +198,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_i
     probing = cut(classes.select("vec", "query", cells_column(F.col("vec"), dim, F.lit(0), tables, probes, seed, False, hashed)
                                  .alias("cells")), "queries")
     best = cut(met_in_cells(held, probing, keep, block), "nearest")
-    few = probing.filter(F.size("vec").isin(list(hashed))).join(
+    few = probing.join(
         best.groupBy("query").count().filter(F.col("count") >= keep), "query", "left_anti")
     few = cut(few.select("vec", "query", F.array(F.lit(EVERY)).alias("cells")), "few-candidates")
     if not few.isEmpty():
@@ -253,23 +275,29 @@ def _scored(batches: Iterator[pa.RecordBatch], keep: int, block: int) -> Iterato
 
 
 def _best(q: np.ndarray, names: np.ndarray, x: np.ndarray, flat: np.ndarray, sizes: np.ndarray, first: np.ndarray, keep: int):
-    """(query, id, score) of the ``keep`` best ids per query.  Scores are summed pair by pair
-    in one order, so a pair has the same score wherever it is met."""
-    n = min(keep, len(x))
+    """(query, id, score) of the ``keep`` best ids per query, ties to the smaller id.  Scores are
+    summed pair by pair in one order, so a pair has the same score wherever it is met."""
     guess = q @ x.T
-    top = np.argpartition(-guess, n - 1, axis=1)[:, :n] if n < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
-    score = np.empty(top.shape)
-    for lo in range(0, len(q), 256):
-        score[lo:lo + 256] = (q[lo:lo + 256, None, :] * x[top[lo:lo + 256]]).sum(axis=2)
-    who, members, score = np.repeat(names, n), top.ravel(), score.ravel()
+    if keep < len(x):
+        # a sum of d products is off by less than (d + 1) * 2 ** -53 times the lengths, whatever its order
+        off = (q.shape[1] + 2) * 2.0 ** -52 * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+        least = np.partition(guess, len(x) - keep, axis=1)[:, len(x) - keep]
+        # lengths that overflow give no bound: then every member is scored
+        who, members = np.nonzero(~(guess < (least - 2 * off)[:, None]))
+    else:
+        who, members = np.nonzero(np.ones(guess.shape, bool))
+    score = np.empty(len(who))
+    for lo in range(0, len(who), 1 << 16):
+        score[lo:lo + (1 << 16)] = (q[who[lo:lo + (1 << 16)]] * x[members[lo:lo + (1 << 16)]]).sum(axis=1)
     many = sizes[members]
-    if many.max() > 1:  # classes of equal vectors: their ids one by one, then the best again
+    if many.max(initial=0) > 1:  # classes of equal vectors: their ids one by one
         at = np.repeat(first[members], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         who, score, ids = np.repeat(who, many), np.repeat(score, many), flat[at]
-        order = np.lexsort((ids, -score, who))
-        who, score, ids = who[order], score[order], ids[order]
-        start = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-        place = np.arange(len(who)) - np.repeat(start, np.diff(np.r_[start, len(who)]))
-        good = place < keep
-        return who[good], ids[good], score[good]
-    return who, flat[first[members]], score
+    else:
+        ids = flat[first[members]]
+    order = np.lexsort((ids, -score, who))
+    who, score, ids = who[order], score[order], ids[order]
+    start = np.flatnonzero(np.r_[True, who[1:] != who[:-1]]) if len(who) else np.zeros(0, np.int64)
+    place = np.arange(len(who)) - np.repeat(start, np.diff(np.r_[start, len(who)]))
+    good = place < keep
+    return names[who[good]], ids[good], score[good]

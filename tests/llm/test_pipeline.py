@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered_queries():
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 4
 

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from fundlake.llm import ann, simhash, sketches
 
@@ -260,3 +261,72 @@ def test_queries_without_candidates_meet_every_row(spark):
 def test_nearest_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.nearest(df, df).count() == 0
+
+
+def exact_ranks(vectors, queries, k):
+    """query -> ids of the k largest inner products, ties to the smaller id (whole numbers, so no rounding)."""
+    out = {}
+    for q in queries:
+        score = vectors @ vectors[q]
+        order = [i for i in np.lexsort((np.arange(len(score)), -score)) if i != q]
+        out[q] = [(int(i), float(score[i])) for i in order[:k]]
+    return out
+
+
+def ranks(rows):
+    out = {}
+    for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    return out
+
+
+def test_a_thousand_equal_scores_go_to_the_smallest_ids(spark):
+    rng = np.random.default_rng(2)
+    v = rng.integers(-3, 4, (1001, 16)).astype(float)
+    v[:, 0] = 2  # the query is the first axis: every score is 2
+    v[1000] = np.eye(16)[0]
+    v[:1000, 1:] += np.arange(1000)[:, None] % 7 * 10  # all different
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(5)
+    df = df.withColumns({"score": F.lit("clash"), "id": F.lit(1), "cells": F.lit(None)})
+    # all cells are probed, so every member is a candidate
+    got = ranks(ann.nearest(df, df.filter("vec_id = 1000"), k=20, probes=32, block=100).collect())
+    assert got == {1000: [(i, 2.0) for i in range(20)]}
+
+
+def test_whole_number_vectors_equal_brute_force_with_ties(spark):
+    rng = np.random.default_rng(3)
+    v = rng.integers(-2, 3, (1500, 64)).astype(float)
+    v[np.all(v == 0, axis=1), 0] = 1
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(3)
+    asked = range(0, 1500, 30)
+    got = ranks(ann.nearest(df, df.filter("vec_id % 30 = 0"), k=20, probes=128, block=300).collect())
+    assert got == exact_ranks(v, asked, 20)
+
+
+def test_best_takes_every_tie_at_the_cut():
+    rng = np.random.default_rng(4)
+    x = rng.integers(-2, 3, (400, 8)).astype(float)
+    q = rng.integers(-2, 3, (9, 8)).astype(float)
+    ids = rng.permutation(400).astype(np.int64)
+    who, found, score = ann._best(q, np.arange(9), x, ids, np.ones(400, np.int64), np.arange(400), 21)
+    for k in range(9):
+        exact = x @ q[k]
+        order = np.lexsort((ids, -exact))[:21]
+        assert found[who == k].tolist() == ids[order].tolist() and score[who == k].tolist() == exact[order].tolist()
+
+
+def test_small_tables_are_hashed_too(spark):
+    """500 and 2,000 vectors: queries do not meet every member, and recall stays over 0.9."""
+    rng = np.random.default_rng(6)
+    for n in (500, 2000):
+        v = rng.normal(size=(n, 64))
+        v /= np.linalg.norm(v, axis=1)[:, None]
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(3)
+        band, hashed = ann.bands(ann.usable(df, "vec_id", "embedding"))
+        assert [len(c) for c in hashed.values()] == [1]
+        probing = ann.cells_column(F.col("vec"), F.size("vec"), F.lit(0), ann.TABLES, ann.PROBES, 7, False, hashed)
+        cells = [r[0] for r in ann.usable(df, "vec_id", "embedding").select(probing).limit(20).collect()]
+        assert all(len(c) < ann.TABLES * 128 for c in cells)
+        got = ranks(ann.nearest(df, df.filter("vec_id % 20 = 0")).collect())
+        want = {q: {i for i, _ in found} for q, found in exact_ranks(v, range(0, n, 20), 20).items()}
+        assert sum(len({i for i, _ in got[q]} & ids) for q, ids in want.items()) >= 0.9 * 20 * len(want)
