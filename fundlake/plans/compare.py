@@ -1,10 +1,5 @@
-"""Cross-company reports.
-
-``statistics`` computes 27 measures at 'last' for every ticker in one job:
-each measure is brought to the long form (ticker, measure, date, value),
-the parts are unioned and one aggregation per ticker collapses them to a
-row (``max`` per measure and the newest date, as in the source tool),
-followed by the two growth rates and the peer-group attributes.
+"""Cross-company comparison of one measure (M39, H4-H6); the report of all measures is
+``fundlake.plans.statistics``.
 
 ``compare_measure`` calls any measure by name for all tickers in scope and
 returns it in long form keyed by ticker and date; ``compare_wide`` pivots a
@@ -19,7 +14,7 @@ from pyspark.sql import functions as F
 from fundlake.functions.frequency import frequency_table
 from fundlake.operators.asof import forward_fill
 from fundlake.operators.flows import K
-from fundlake.plans import balances, growth, income, margins, market
+from fundlake.plans import balances, income, margins, market
 from fundlake.plans.scope import companies as companies_of
 from fundlake.plans.scope import scope as scope_of
 from fundlake.sources.catalog import Tables
@@ -41,15 +36,6 @@ TICKER_MEASURES = {
     "ev_ebitda": market.ev_ebitda, "ev_ebit": market.ev_ebit, "bv_share": market.bv_share,
     "price_bv": market.price_bv,
 }
-TTM_ONLY = dict(quarter=False, ytd=False, ttm=True)
-
-# Output columns of statistics, in the order of the source tool.
-STAT_COLUMNS = [
-    "p_e", "ev_ebitda", "p_bv", "ev_ebit", "bv_share", "eps", "ttm_gross_profit_margin",
-    "ttm_net_profit_margin", "roe", "roa", "debt_to_equity", "total_equity", "total_assets", "total_debt",
-    "cash_equi", "net_debt", "market_value", "ev", "ttm_ebitda", "ttm_ebitda_margin", "financial_leverage",
-    "ttm_d_a", "ttm_ebit", "ttm_revenue", "ttm_net_income", "ttm_cfo", "current_ratio",
-]
 
 
 def _ticker_view(company_df: DataFrame, sc: DataFrame) -> DataFrame:
@@ -70,77 +56,6 @@ def compare_measure(tables: Tables, measure: str, kwargs: dict | None = None, gr
     raise ValueError(f"unknown measure: {measure}")
 
 
-def statistics(tables: Tables, group="consolidated", n_years: int = 5) -> DataFrame:
-    sc = scope_of(tables, group)
-    co = companies_of(tables, group)
-    last = "last"
-    # base frames built once and shared by the measures that use them
-    # ('last' moved back 7 months is still 'last')
-    px = market.prices(tables, last, scope_df=sc)
-    mv = market.market_value(tables, last, scope_df=sc)
-    debt = balances.total_debt(tables, last, companies=co)
-    cash = balances.cash_equi(tables, last, companies=co)
-    equity = balances.total_equity(tables, last, companies=co)
-    assets = balances.total_assets(tables, last, companies=co)
-    nd = balances.net_debt(tables, last, companies=co, debt_df=debt, cash_df=cash)
-    ni = income.net_income(tables, start_period=last, companies=co, **TTM_ONLY)
-    ebitda = income.ebitda(tables, start_period=last, companies=co, **TTM_ONLY)
-    ebit = income.ebit(tables, start_period=last, companies=co, **TTM_ONLY)
-    eps = market.eps(tables, last, companies=co)
-    ev = market.enterprise_value(tables, last, scope_df=sc, mv_df=mv, nd_df=nd)
-    bv = market.bv_share(tables, last, scope_df=sc, equity_df=equity)
-    per_ticker = {
-        "p_e": market.price_earnings(tables, last, scope_df=sc, prices_df=px, eps_df=eps),
-        "ev_ebitda": market.ev_ebitda(tables, last, scope_df=sc, ebitda_df=ebitda, mv_df=mv, nd_df=nd),
-        "p_bv": market.price_bv(tables, last, scope_df=sc, prices_df=px, bv_df=bv),
-        "ev_ebit": market.ev_ebit(tables, last, scope_df=sc, ebit_df=ebit, mv_df=mv, nd_df=nd),
-        "bv_share": bv,
-        "market_value": mv,
-        "ev": ev,
-    }
-    per_company = {
-        "eps": eps,
-        "ttm_gross_profit_margin": margins.gross_profit_margin(tables, start_period=last, companies=co, **TTM_ONLY),
-        "ttm_net_profit_margin": margins.net_profit_margin(tables, start_period=last, companies=co, **TTM_ONLY),
-        "roe": margins.roe(tables, last, companies=co, ni_df=ni, equity_df=equity),
-        "roa": margins.roa(tables, last, companies=co, ni_df=ni, assets_df=assets),
-        "debt_to_equity": balances.debt_to_equity(tables, last, companies=co, debt_df=debt, equity_df=equity),
-        "total_equity": equity,
-        "total_assets": assets,
-        "total_debt": debt,
-        "cash_equi": cash,
-        "net_debt": nd,
-        "ttm_ebitda": ebitda,
-        "ttm_ebitda_margin": margins.ebitda_margin(tables, start_period=last, companies=co, **TTM_ONLY),
-        "financial_leverage": balances.financial_leverage(tables, last, companies=co, assets_df=assets,
-                                                          equity_df=equity),
-        "ttm_d_a": income.depre_amort(tables, start_period=last, companies=co, **TTM_ONLY),
-        "ttm_ebit": ebit,
-        "ttm_revenue": income.revenue(tables, start_period=last, companies=co, **TTM_ONLY),
-        "ttm_net_income": ni,
-        "ttm_cfo": income.cfo(tables, start_period=last, companies=co, **TTM_ONLY),
-        "current_ratio": balances.current_ratio(tables, last, companies=co),
-    }
-    # company parts are unioned first and joined to the tickers once
-    comp_long = None
-    for name, df in per_company.items():
-        part = df.select(*K, F.lit(name).alias("measure"), "date", F.col(name).cast("double").alias("value"))
-        comp_long = part if comp_long is None else comp_long.unionByName(part)
-    long = _ticker_view(comp_long, sc)
-    for name, df in per_ticker.items():
-        long = long.unionByName(df.select("ticker", F.lit(name).alias("measure"), "date",
-                                          F.col(name).cast("double").alias("value")))
-    wide = long.groupBy("ticker").agg(
-        F.max("date").alias("date"),
-        *[F.max(F.when(F.col("measure") == n, F.col("value"))).alias(n) for n in STAT_COLUMNS])
-    g = (growth.cagr_net_income(tables, n_years, companies=co)
-         .join(growth.cagr_revenue(tables, n_years, companies=co), K, "full_outer"))
-    attrs = sc.select("ticker", *K, "sector", "subsector", "segment")
-    return (wide.join(attrs, "ticker").join(g, K, "left")
-            .select("ticker", "date", *STAT_COLUMNS, "cagr_net_income", "cagr_revenue",
-                    "sector", "subsector", "segment"))
-
-
 def compare_common(long_df: DataFrame, n_tickers: int) -> DataFrame:
     """H5: rows on the dates where every compared ticker has every value."""
     values = [c for c in long_df.columns if c not in ("ticker", "date")]

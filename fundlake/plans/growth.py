@@ -9,7 +9,7 @@ gives NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.operators.flows import K
@@ -18,12 +18,17 @@ from fundlake.plans.scope import companies as companies_of
 from fundlake.sources.catalog import Tables
 
 
+def yearly_rate(first: Column, last: Column, n_years: int) -> Column:
+    """Growth per year in percent between two values; NULL where it is no real number."""
+    ratio = F.try_divide(last.cast("double"), first.cast("double"))
+    rate = (F.pow(ratio, F.lit(1.0 / n_years)) - F.lit(1).cast("double")) * F.lit(100).cast("double")
+    return F.when(~F.isnan(rate), rate)
+
+
 def cagr(series: DataFrame, value: str, n_years: int, name: str) -> DataFrame:
     """First and last value per company by date, then the yearly rate."""
     ends = series.groupBy(*K).agg(F.min_by(value, "date").alias("_first"), F.max_by(value, "date").alias("_last"))
-    ratio = F.try_divide(F.col("_last").cast("double"), F.col("_first").cast("double"))
-    rate = (F.pow(ratio, F.lit(1.0 / n_years)) - F.lit(1).cast("double")) * F.lit(100).cast("double")
-    return ends.select(*K, F.when(~F.isnan(rate), rate).alias(name))
+    return ends.select(*K, yearly_rate(F.col("_first"), F.col("_last"), n_years).alias(name))
 
 
 def _cagr(tables, measure, col, name, n_years, group, companies):

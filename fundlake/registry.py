@@ -85,7 +85,7 @@ QUERIES["price_bv"] = lambda s, d: market.price_bv(T(s, d))
 QUERIES["price_bv_last"] = lambda s, d: market.price_bv(T(s, d), start_period="last")
 
 # --- statements, growth, peers (M3-M6, M35, M36, M40) -----------------------
-from fundlake.plans import charts, compare, growth, peers, statements  # noqa: E402
+from fundlake.plans import charts, compare, growth, peers, statements, statistics  # noqa: E402
 
 QUERIES["income_statement"] = lambda s, d: statements.income_statement(T(s, d))
 QUERIES["cash_flow"] = lambda s, d: statements.cash_flow(T(s, d))
@@ -97,7 +97,8 @@ QUERIES["peers"] = lambda s, d: peers.peer_groups(T(s, d))
 QUERIES["get_peers"] = lambda s, d: peers.get_peers(T(s, d), COMPARED)
 
 # --- reports (M38, M39, H5, H6) ----------------------------------------------
-QUERIES["statistics"] = lambda s, d: compare.statistics(T(s, d))
+QUERIES["statistics"] = lambda s, d: statistics.statistics(T(s, d))
+QUERIES["statistics_individual"] = lambda s, d: statistics.statistics(T(s, d), group="individual")
 QUERIES["compare_measure"] = lambda s, d: compare.compare_measure(T(s, d), "net_income")
 QUERIES["compare_measure_since_2000"] = lambda s, d: compare.compare_measure(
     T(s, d), "net_income", {"start_period": "2000-01-01"})

@@ -75,6 +75,7 @@ ORACLE["get_peers"] = m.get_peers_sql()
 
 # --- reports ------------------------------------------------------------------
 ORACLE["statistics"] = m.statistics_sql()
+ORACLE["statistics_individual"] = m.individual(m.statistics_sql())
 ORACLE["compare_measure"] = m.compare_net_income_sql()
 ORACLE["compare_measure_since_2000"] = m.compare_net_income_sql("2000-01-01")
 ORACLE["compare_bv_share_individual"] = m.individual(m.bv_share_sql())
