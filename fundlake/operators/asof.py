@@ -89,3 +89,23 @@ def aligned(left: DataFrame, right: DataFrame, keys: list[str], out: str, expr,
     rv = [c for c in right.columns if c not in (*keys, date_col)][0]
     j = left.join(right, [*keys, date_col], how)
     return j.select(*keys, date_col, expr(F.col(lv), F.col(rv)).alias(out))
+
+
+def beside(left: DataFrame, right: DataFrame, keys: list[str], out: str, expr, both: bool = False,
+           date_col: str = "date") -> DataFrame:
+    """J9 for series of the same partitioning: as ``aligned``, but the two are stacked and meet by one
+    aggregation per key and date, so an existing partitioning on the keys is kept.
+
+    Repeated rows of a date give every pair, as a join does.  ``both`` keeps only dates of both sides.
+    """
+    sides = []
+    for frame in (left, right):
+        value = next(c for c in frame.columns if c not in (*keys, date_col))
+        sides.append((frame, F.struct(F.col(value).alias("v"))))
+    (a, av), (b, bv) = sides
+    rows = (a.select(*keys, date_col, av.alias("_a"), F.lit(None).cast(b.select(bv.alias("x")).schema["x"].dataType).alias("_b"))
+            .unionByName(b.select(*keys, date_col, F.lit(None).cast(a.select(av.alias("x")).schema["x"].dataType).alias("_a"), bv.alias("_b"))))
+    met = rows.groupBy(*keys, date_col).agg(F.collect_list("_a").alias("_a"), F.collect_list("_b").alias("_b"))
+    explode = F.explode if both else F.explode_outer
+    met = met.withColumn("_a", explode("_a")).withColumn("_b", explode("_b"))
+    return met.select(*keys, date_col, expr(F.col("_a.v"), F.col("_b.v")).alias(out))

@@ -50,7 +50,7 @@ def prefer_label(df: DataFrame, preferred: str, fallback: str, label: str = "ds_
 
 def statement_rows(source: DataFrame, predicate: Column, companies: DataFrame, start_period,
                    lookback_months: int = 12, columns: tuple[str, ...] = (),
-                   partition_keys: list[str] | None = None) -> DataFrame:
+                   partition_keys: list[str] | None = None, bucketed: bool = False) -> DataFrame:
     """Rows of one statement table for the companies in scope, from begin - look-back.
 
     The predicate is applied first so it reaches the Parquet scan; the
@@ -62,9 +62,8 @@ def statement_rows(source: DataFrame, predicate: Column, companies: DataFrame, s
     cols = ["cnpj", "grupo_dfp", F.col("dt_fim_exerc").alias("date"), *columns]
     rows = source.filter(predicate).select(*cols)
     co = companies.select(*K, "freq", begin_column(start_period).alias("begin"))
-    return (rows.join(co, K)
-                .filter(F.col("date") >= F.add_months(F.col("begin"), -lookback_months))
-                .repartition(*(partition_keys or K)))
+    rows = rows.join(co, K).filter(F.col("date") >= F.add_months(F.col("begin"), -lookback_months))
+    return rows if bucketed else rows.repartition(*(partition_keys or K))
 
 
 def lines_beside(rows: DataFrame, keep: Column, **others: tuple[Column, Column]) -> DataFrame:

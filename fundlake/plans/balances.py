@@ -3,7 +3,9 @@
 Balances are point-in-time, so there is no look-back and no window: each
 measure is a filter pushed to the Parquet scan, a join to the companies
 in scope and, where accounts are added up, an aggregation per company and
-date (partial aggregation happens before the shuffle).
+date (partial aggregation happens before the shuffle).  Measures of two
+balances stack them and meet by an aggregation per company and date; over tables
+bucketed by company that needs no exchange at all.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.functions.periods import begin_column
-from fundlake.operators.asof import aligned
+from fundlake.operators.asof import beside
 from fundlake.operators.flows import K
 from fundlake.plans.scope import companies as companies_of
 from fundlake.sources.catalog import Tables
@@ -65,37 +67,29 @@ def total_assets(tables: Tables, start_period="all", group="consolidated", compa
     return rows.select(*K, "date", F.col("vl_conta").alias("total_assets"))
 
 
-def net_debt(tables: Tables, start_period="all", group="consolidated", companies=None,
-             debt_df=None, cash_df=None) -> DataFrame:
+def net_debt(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
     """Debt minus cash on the union of their dates; NULL where one is missing."""
     co = _co(tables, group, companies)
-    debt = debt_df if debt_df is not None else total_debt(tables, start_period, companies=co)
-    cash = cash_df if cash_df is not None else cash_equi(tables, start_period, companies=co)
-    return aligned(debt, cash, K, "net_debt", lambda d, c: d - c)
+    return beside(total_debt(tables, start_period, companies=co), cash_equi(tables, start_period, companies=co), K, "net_debt",
+                  lambda d, c: d - c)
 
 
-def debt_to_equity(tables: Tables, start_period="all", group="consolidated", companies=None,
-                   debt_df=None, equity_df=None) -> DataFrame:
+def debt_to_equity(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
     co = _co(tables, group, companies)
-    debt = debt_df if debt_df is not None else total_debt(tables, start_period, companies=co)
-    eq = equity_df if equity_df is not None else total_equity(tables, start_period, companies=co)
-    return aligned(debt, eq, K, "debt_to_equity", lambda d, e: F.try_divide(d.cast("double"), e))
+    debt, eq = total_debt(tables, start_period, companies=co), total_equity(tables, start_period, companies=co)
+    return beside(debt, eq, K, "debt_to_equity", lambda d, e: F.try_divide(d.cast("double"), e))
 
 
-def financial_leverage(tables: Tables, start_period="all", group="consolidated", companies=None,
-                       assets_df=None, equity_df=None) -> DataFrame:
+def financial_leverage(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
     co = _co(tables, group, companies)
-    assets = assets_df if assets_df is not None else total_assets(tables, start_period, companies=co)
-    eq = equity_df if equity_df is not None else total_equity(tables, start_period, companies=co)
-    return aligned(assets, eq, K, "financial_leverage", lambda a, e: F.try_divide(a.cast("double"), e))
+    assets, eq = total_assets(tables, start_period, companies=co), total_equity(tables, start_period, companies=co)
+    return beside(assets, eq, K, "financial_leverage", lambda a, e: F.try_divide(a.cast("double"), e))
 
 
 def current_ratio(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
     """Current assets / current liabilities on the dates both exist."""
     co = _co(tables, group, companies)
-    a = balance_rows(tables.bpa, F.col("ds_conta") == CURRENT_ASSETS_LABEL, co, start_period)
-    b = tables.bpp.filter(F.col("ds_conta") == CURRENT_LIABILITIES_LABEL).select(
-        *K, F.col("dt_fim_exerc").alias("date"), F.col("vl_conta").alias("_l"))
-    j = a.join(b, [*K, "date"])
-    return j.select(*K, "date", F.try_divide(F.col("vl_conta").cast("double"), F.col("_l").cast("double"))
-                    .alias("current_ratio"))
+    lines = [balance_rows(tables.get(table), F.col("ds_conta") == label, co, start_period)
+             .select(*K, "date", F.col("vl_conta").cast("double").alias(name))
+             for table, label, name in (("bpa", CURRENT_ASSETS_LABEL, "assets"), ("bpp", CURRENT_LIABILITIES_LABEL, "liabilities"))]
+    return beside(*lines, K, "current_ratio", F.try_divide, both=True)

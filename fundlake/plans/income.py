@@ -41,7 +41,8 @@ def flow(tables: Tables, table: str, name: str, predicate: Column, labels: tuple
     """Generic year-to-date flow -> ytd / quarter / ttm for every company at once."""
     co = companies if companies is not None else companies_of(tables, group)
     rows = statement_rows(tables.get(table), predicate, co, start_period,
-                          columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd")))
+                          columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd")),
+                          bucketed=tables.bucketed)
     if labels is not None:
         rows = prefer_label(rows, *labels)
     w = company_window(["date", "cd_conta"])
@@ -97,7 +98,7 @@ def ebitda(tables: Tables, quarter=True, ytd=True, ttm=True, start_period="all",
     co = companies if companies is not None else companies_of(tables, group)
     lines = two_tables(tables, F.col("ds_conta").isin(*EBIT_LABELS))
     rows = statement_rows(lines, F.lit(True), co, start_period,
-                          columns=("line", "fiscal_quarter", "cd_conta", "ds_conta", "vl_conta"))
+                          columns=("line", "fiscal_quarter", "cd_conta", "ds_conta", "vl_conta"), bucketed=tables.bucketed)
     both = F.struct(F.col("vl_conta"), F.col("cd_conta"))
     rows = lines_beside(rows, F.col("line") == "dre", da=(F.col("line") == "dva", both))
     rows = rows.select("*", F.col("vl_conta").alias("ytd_ebit"), F.col("da.vl_conta").alias("ytd_d_a"),

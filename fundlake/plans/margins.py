@@ -4,15 +4,14 @@ Margins put two or three statement lines side by side on the same report
 date.  The lines of one or two tables are put into one frame, which is hash
 partitioned on the company key once; a conditional aggregation or a window
 per date brings them side by side inside that partitioning, without a
-further exchange.  Returns (roe, roa) join a flow with a balance on
-(company, group, date).
+further exchange.  Returns (roe, roa) meet the balance of a date in the same way.
 
 Ratios are percentages.  A zero divisor gives NULL (``try_divide``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.operators.flows import (K, company_window, lines_beside, not_annual, prefer_label, quarter_value,
@@ -33,31 +32,37 @@ def _co(tables, group, companies):
     return companies if companies is not None else companies_of(tables, group)
 
 
-def _ratio_over_ttm(tables, measure_df: DataFrame, name: str, ni_start, start_period, group, companies,
-                    ni_df=None):
+def _return_on(tables, table: str, balance, name: str, start_period, group, companies) -> DataFrame:
+    """TTM net income over a balance of the same date, on the dates both exist.
+
+    Income and balance lines are one frame; the balances of a date are put beside its income
+    lines by a window inside the partitioning on the company key.
+    """
     co = _co(tables, group, companies)
-    ni = ni_df if ni_df is not None else income.net_income(tables, quarter=False, ytd=False, start_period=ni_start,
-                                                           companies=co)
-    j = ni.join(measure_df, [*K, "date"])
-    other = [c for c in measure_df.columns if c not in (*K, "date")][0]
-    out = j.select(*K, "date", pct(F.col("ttm_net_income"), F.col(other)).alias(name))
-    return out.dropna(subset=[name])
+    cols = [*K, "dt_fim_exerc", "cd_conta", "ds_conta", "vl_conta"]
+    lines = (tables.dre.filter(F.col("ds_conta").isin(*income.NET_INCOME_LABELS)).select(*cols, "fiscal_quarter", F.lit("dre").alias("line"))
+             .unionByName(tables.get(table).filter(balance)
+                          .select(*cols, F.lit(None).cast("int").alias("fiscal_quarter"), F.lit("balance").alias("line"))))
+    rows = statement_rows(lines, F.lit(True), co, start_period, bucketed=tables.bucketed,
+                          columns=("line", "fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd")))
+    below = F.when((F.col("line") == "balance") & (F.col("date") >= F.col("begin")), F.struct(F.col("ytd").alias("v")))
+    rows = rows.withColumn("_below", F.collect_list(below).over(Window.partitionBy(*K, "date")))
+    rows = prefer_label(rows.filter(F.col("line") == "dre"), *income.NET_INCOME_LABELS)
+    w = company_window(["date", "cd_conta"])
+    rows = rows.withColumn("_q", quarter_value(F.col("ytd"), F.col("fiscal_quarter"), w))
+    rows = rows.withColumn("_t", not_annual(trailing_sum("_q", w)))
+    out = trim_to_begin(rows).withColumn("_b", F.explode("_below"))
+    return out.select(*K, "date", pct(F.col("_t"), F.col("_b.v")).alias(name)).dropna(subset=[name])
 
 
-def roe(tables: Tables, start_period="all", group="consolidated", companies=None,
-        ni_df=None, equity_df=None) -> DataFrame:
+def roe(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
     """TTM net income / equity x 100 on the dates both exist."""
-    co = _co(tables, group, companies)
-    eq = equity_df if equity_df is not None else balances.total_equity(tables, start_period, companies=co)
-    return _ratio_over_ttm(tables, eq, "roe", start_period, start_period, group, co, ni_df)
+    return _return_on(tables, "bpp", F.col("ds_conta").isin(*balances.EQUITY_LABELS), "roe", start_period, group, companies)
 
 
-def roa(tables: Tables, start_period="all", group="consolidated", companies=None,
-        ni_df=None, assets_df=None) -> DataFrame:
+def roa(tables: Tables, start_period="all", group="consolidated", companies=None) -> DataFrame:
     """TTM net income / total assets x 100 on the dates both exist."""
-    co = _co(tables, group, companies)
-    assets = assets_df if assets_df is not None else balances.total_assets(tables, start_period, companies=co)
-    return _ratio_over_ttm(tables, assets, "roa", start_period, start_period, group, co, ni_df)
+    return _return_on(tables, "bpa", F.col("cd_conta") == balances.TOTAL_ASSETS_CODE, "roa", start_period, group, companies)
 
 
 def _select(df, name, quarter, ytd, ttm):
@@ -92,7 +97,7 @@ def gross_profit_margin(tables: Tables, quarter=True, ytd=True, ttm=True, start_
     """Gross profit (3.03) over revenue (3.01) as ytd, quarter and ttm ratios."""
     co = _co(tables, group, companies)
     rows = statement_rows(tables.dre, F.col("cd_conta").isin(income.GROSS_PROFIT_CODE, income.REVENUE_CODE), co,
-                          start_period, columns=("fiscal_quarter", "cd_conta", "vl_conta"))
+                          start_period, columns=("fiscal_quarter", "cd_conta", "vl_conta"), bucketed=tables.bucketed)
     cd = F.col("cd_conta")
     side = (rows.groupBy(*K, "date", "freq", "begin").agg(
         F.max(F.when(cd == income.GROSS_PROFIT_CODE, F.col("fiscal_quarter"))).alias("fiscal_quarter"),
@@ -113,7 +118,8 @@ def net_profit_margin(tables: Tables, quarter=True, ytd=True, ttm=True, start_pe
     co = _co(tables, group, companies)
     ni, revenue = F.col("ds_conta").isin(*income.NET_INCOME_LABELS), F.col("cd_conta") == income.REVENUE_CODE
     rows = statement_rows(tables.dre, ni | revenue, co, start_period,
-                          columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("num")))
+                          columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("num")),
+                          bucketed=tables.bucketed)
     rows = prefer_label(lines_beside(rows, ni, den=(revenue, F.col("num"))), *income.NET_INCOME_LABELS)
     return _two_line_margin(rows, "net_profit_margin", quarter, ytd, ttm, order=("date", "cd_conta"))
 
@@ -125,7 +131,8 @@ def ebitda_margin(tables: Tables, quarter=True, ytd=True, ttm=True, start_period
     ebit, revenue = F.col("ds_conta").isin(*income.EBIT_LABELS), F.col("cd_conta") == income.REVENUE_CODE
     lines = income.two_tables(tables, ebit | revenue)
     rows = statement_rows(lines, F.lit(True), co, start_period,
-                          columns=("line", "fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd_ebit")))
+                          columns=("line", "fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd_ebit")),
+                          bucketed=tables.bucketed)
     dre = F.col("line") == "dre"
     rows = lines_beside(rows, dre & ebit, ytd_d_a=(~dre, F.col("ytd_ebit")), ytd_revenue=(dre & revenue, F.col("ytd_ebit")))
     rows = prefer_label(rows, *income.EBIT_LABELS)

@@ -163,79 +163,58 @@ def _per_ticker(company_df: DataFrame, sc: DataFrame) -> DataFrame:
     return company_df.join(sc.select("ticker", *K), K).drop(*K)
 
 
-def price_earnings(tables: Tables, start_period="all", group="consolidated", scope_df=None,
-                   prices_df=None, eps_df=None) -> DataFrame:
+def price_earnings(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
     """Price / EPS on the union of price and EPS dates; NULL where one is missing."""
     sc = _scope(tables, group, scope_df)
     co = _companies(tables, group, scope_df)
-    p = prices_df if prices_df is not None else prices(tables, start_period, scope_df=sc)
-    e = _per_ticker(eps_df if eps_df is not None else eps(tables, start_period, companies=co), sc)
+    p = prices(tables, start_period, scope_df=sc)
+    e = _per_ticker(eps(tables, start_period, companies=co), sc)
     return aligned(p, e, ["ticker"], "p_e", lambda a, b: F.try_divide(a, b))
 
 
-def enterprise_value(tables: Tables, start_period="all", group="consolidated", scope_df=None,
-                     mv_df=None, nd_df=None) -> DataFrame:
-    """Market value + net debt x 1000, net debt carried onto trading days.
-
-    ``mv_df`` / ``nd_df``: prebuilt market value (per ticker) and net debt
-    (per company, from begin - 7 months) to reuse.
-    """
+def enterprise_value(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
+    """Market value + net debt x 1000, net debt (from begin - 7 months) carried onto trading days."""
     sc = _scope(tables, group, scope_df)
     co = _companies(tables, group, scope_df)
-    mv = mv_df if mv_df is not None else market_value(tables, start_period, scope_df=sc)
-    nd = _per_ticker(nd_df if nd_df is not None
-                     else balances.net_debt(tables, shift_start(start_period, -7), companies=co), sc)
+    mv = market_value(tables, start_period, scope_df=sc)
+    nd = _per_ticker(balances.net_debt(tables, shift_start(start_period, -7), companies=co), sc)
     m = asof_merge(mv, nd, keys=["ticker"])
     return (m.select("ticker", "date", (F.col("market_value") + F.col("net_debt") * 1000).alias("ev"))
             .dropna(subset=["ev"]))
 
 
-def _ev_multiple(tables, start_period, group, scope_df, measure, col, name, ev_df=None, flow_df=None,
-                 mv_df=None, nd_df=None):
+def _ev_multiple(tables, start_period, group, scope_df, measure, col, name):
     """EV / ttm flow / 1000, the flow carried onto trading days.
 
-    Without a prebuilt ``ev_df`` this is one three-way as-of merge of
-    market value, net debt and the flow: at every date the carried market
-    value and net debt give the same EV as carrying the EV series itself.
+    One three-way as-of merge of market value, net debt and the flow: at every date the
+    carried market value and net debt give the same EV as carrying the EV series itself.
     """
     sc = _scope(tables, group, scope_df)
     co = _companies(tables, group, scope_df)
-    f = _per_ticker(flow_df if flow_df is not None else
-                    measure(tables, quarter=False, ytd=False, start_period=shift_start(start_period, -7),
-                            companies=co), sc)
-    if ev_df is not None:
-        m = asof_merge(ev_df, f, keys=["ticker"])
-        ev = F.col("ev")
-    else:
-        mv = mv_df if mv_df is not None else market_value(tables, start_period, scope_df=sc)
-        nd = _per_ticker(nd_df if nd_df is not None
-                         else balances.net_debt(tables, shift_start(start_period, -7), companies=co), sc)
-        m = asof_merge(mv, nd, f, keys=["ticker"])
-        ev = F.col("market_value") + F.col("net_debt") * 1000
+    early = shift_start(start_period, -7)
+    f = _per_ticker(measure(tables, quarter=False, ytd=False, start_period=early, companies=co), sc)
+    mv = market_value(tables, start_period, scope_df=sc)
+    nd = _per_ticker(balances.net_debt(tables, early, companies=co), sc)
+    m = asof_merge(mv, nd, f, keys=["ticker"])
+    ev = F.col("market_value") + F.col("net_debt") * 1000
     return (m.select("ticker", "date", (F.try_divide(ev, F.col(col)) / _thousand()).alias(name))
             .dropna(subset=[name]))
 
 
-def ev_ebitda(tables: Tables, start_period="all", group="consolidated", scope_df=None,
-              ev_df=None, ebitda_df=None, mv_df=None, nd_df=None) -> DataFrame:
-    return _ev_multiple(tables, start_period, group, scope_df, income.ebitda, "ttm_ebitda", "ev_ebitda",
-                        ev_df, ebitda_df, mv_df, nd_df)
+def ev_ebitda(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
+    return _ev_multiple(tables, start_period, group, scope_df, income.ebitda, "ttm_ebitda", "ev_ebitda")
 
 
-def ev_ebit(tables: Tables, start_period="all", group="consolidated", scope_df=None,
-            ev_df=None, ebit_df=None, mv_df=None, nd_df=None) -> DataFrame:
-    return _ev_multiple(tables, start_period, group, scope_df, income.ebit, "ttm_ebit", "ev_ebit",
-                        ev_df, ebit_df, mv_df, nd_df)
+def ev_ebit(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
+    return _ev_multiple(tables, start_period, group, scope_df, income.ebit, "ttm_ebit", "ev_ebit")
 
 
-def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=None,
-             equity_df=None) -> DataFrame:
+def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
     """Equity x 1000 / total shares, equity carried onto trading days."""
     sc = _scope(tables, group, scope_df)
     co = _companies(tables, group, scope_df)
     sh = total_shares(tables, start_period, scope_df=sc)
-    eq = _per_ticker(equity_df if equity_df is not None
-                     else balances.total_equity(tables, shift_start(start_period, -7), companies=co), sc)
+    eq = _per_ticker(balances.total_equity(tables, shift_start(start_period, -7), companies=co), sc)
     m = asof_merge(sh, eq, keys=["ticker"])
     return (m.select("ticker", "date",
                      (F.try_divide(F.col("total_equity").cast("double"), F.col("total_shares")) * _thousand())
@@ -243,12 +222,11 @@ def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=
             .dropna(subset=["bv_share"]))
 
 
-def price_bv(tables: Tables, start_period="all", group="consolidated", scope_df=None,
-             prices_df=None, bv_df=None) -> DataFrame:
+def price_bv(tables: Tables, start_period="all", group="consolidated", scope_df=None) -> DataFrame:
     """Price / book value per share on the union of dates; NULL where one is missing."""
     sc = _scope(tables, group, scope_df)
-    p = prices_df if prices_df is not None else prices(tables, start_period, scope_df=sc)
-    bv = bv_df if bv_df is not None else bv_share(tables, start_period, scope_df=sc)
+    p = prices(tables, start_period, scope_df=sc)
+    bv = bv_share(tables, start_period, scope_df=sc)
     return aligned(p, bv, ["ticker"], "p_bv", lambda a, b: F.try_divide(a, b))
 
 

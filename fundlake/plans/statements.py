@@ -79,7 +79,7 @@ def account_flows(tables: Tables, table: str, start_period="all", group="consoli
     co = companies if companies is not None else companies_of(tables, group)
     rows = statement_rows(tables.get(table), F.lit(True), co, start_period,
                           columns=("fiscal_quarter", "cd_conta", "ds_conta", F.col("vl_conta").alias("ytd")),
-                          partition_keys=ACCOUNT)
+                          partition_keys=ACCOUNT, bucketed=tables.bucketed)
     w = company_window(["date", "ds_conta"], keys=ACCOUNT)
     rows = rows.withColumn("quarter_value", not_annual(quarter_value(F.col("ytd"), F.col("fiscal_quarter"), w)))
     rows = rows.withColumn("ttm_value", not_annual(trailing_sum("quarter_value", w)))
@@ -109,7 +109,7 @@ def balance_sheet(tables: Tables, start_period="all", group="consolidated", comp
     both = (tables.bpa.select(*K, "dt_fim_exerc", "cd_conta", "ds_conta", "vl_conta")
             .unionByName(tables.bpp.select(*K, "dt_fim_exerc", "cd_conta", "ds_conta", "vl_conta")))
     rows = statement_rows(both, F.lit(True), co, start_period, lookback_months=0,
-                          columns=("cd_conta", "ds_conta", "vl_conta"), partition_keys=ACCOUNT)
+                          columns=("cd_conta", "ds_conta", "vl_conta"), partition_keys=ACCOUNT, bucketed=tables.bucketed)
     return _finish(rows.select(*ACCOUNT, "ds_conta", "date", "freq", "vl_conta"), ["vl_conta"])
 
 

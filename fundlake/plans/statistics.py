@@ -108,7 +108,9 @@ def measured_lines(tables: Tables, companies: DataFrame, rules) -> DataFrame:
     begin = F.add_months("last_statement_date", -F.col("back"))
     first = F.when(F.col("place") == BALANCE, begin).otherwise(F.add_months(begin, -LOOK_BACK))
     rows = (ruled_lines(tables, rules).join(companies.select(*K, "freq", "last_statement_date"), K)
-            .filter(F.col("date") >= first).repartition(*K))
+            .filter(F.col("date") >= first))
+    if not tables.bucketed:
+        rows = rows.repartition(*K)
     day = Window.partitionBy(*K, "measure", "date")
     at = lambda place: F.collect_list(F.when(F.col("place") == place, F.struct(F.col("vl_conta").alias("v"), F.col("cd_conta").alias("cd")))).over(day)
     rows = rows.withColumns({"_minus": at(MINUS), "_divisor": at(DIVISOR)}).filter(F.col("place").isin(VALUE, BALANCE))

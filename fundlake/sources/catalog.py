@@ -1,12 +1,12 @@
 """The stored tables the measures read, and where they live.
 
 ``load_tables`` derives the landed tables once per input folder, writes
-them as Parquet under the shared folder named by ``spark.checkpoint.dir``
+them under the shared folder named by ``spark.checkpoint.dir``
 (this also cuts the lineage back to the raw tables) and hands back
-DataFrames that read those files.  Statement tables are partitioned by
-``grupo_dfp`` and sorted by company and date inside each file, so a filter
-on a group prunes directories and a filter on a company prunes row groups;
-prices are partitioned by year.
+DataFrames that read those files as catalog tables (``fundlake.sources.tables``).
+Statement tables are partitioned by ``grupo_dfp``, bucketed by company and sorted by company
+and date inside each file, so a filter on a group prunes directories, a filter on a company
+reads one bucket and windows by company need no exchange; prices are partitioned by year.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from fundlake.session import checkpoint_root, path_missing
 from fundlake.sources import fixtures
+from fundlake.sources import tables as defined
 
 # Bump when the derivation changes so stale copies are not reused.
-LAYOUT_VERSION = "fx9"
+LAYOUT_VERSION = "fx10"
 STATEMENTS = ("dre", "dva", "dfc", "bpa", "bpp")
 RAW_INPUTS = ("lineitem", "supplier", "nation", "region")
 
@@ -37,19 +38,21 @@ class Tables:
     prices: DataFrame
     tickers: DataFrame
     root: str | None = None  # folder of the stored tables, when they are stored
+    bucketed: bool = False  # all rows of a company are in one bucket of each statement table
 
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Names, sizes and times of the input files as Spark lists them (any file system; the
-    files' content is not read), reduced to one row."""
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """A hash of names, sizes and times of the input files as Spark lists them (any file system; the
+    files' content is not read), and their bytes."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
              .load([f"{sf_dir}/{name}.parquet" for name in RAW_INPUTS]))
     seen = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
-    state = files.agg(F.count(F.lit(1)).alias("n"), F.sum(seen).alias("s")).first()
-    return hashlib.sha1(f"{LAYOUT_VERSION}|{sf_dir}|{state['n']}|{state['s']}".encode()).hexdigest()[:16]
+    state = files.agg(F.count(F.lit(1)).alias("n"), F.sum(seen).alias("s"), F.sum("length").alias("bytes")).first()
+    name = f"{LAYOUT_VERSION}|{sf_dir}|{state['n']}|{state['s']}"
+    return hashlib.sha1(name.encode()).hexdigest()[:16], state["bytes"] or 0
 
 
 def stored_or_build(spark: SparkSession, path: str, build) -> DataFrame:
@@ -80,22 +83,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _write(name: str, df: DataFrame, path: str) -> None:
-    """Files are clustered by company (statements) or by year and ticker (prices) and
-    sorted inside: scans run in parallel, a filter on a company or ticker
-    skips most row groups, and a filter on the date skips the files of other
-    years.  The rebalance lets AQE size the output files and split a company
-    or ticker with very many rows over several tasks."""
-    if name in STATEMENTS:
-        (df.hint("rebalance", F.col("cnpj")).sortWithinPartitions("cnpj", "dt_fim_exerc")
-           .write.mode("overwrite").partitionBy("grupo_dfp").parquet(path))
-    elif name == "prices":
-        (df.withColumn("year", F.year("date")).hint("rebalance", F.col("year"), F.col("ticker"))
-           .sortWithinPartitions("year", "ticker", "date").write.mode("overwrite").partitionBy("year").parquet(path))
-    else:
-        df.write.mode("overwrite").parquet(path)
-
-
 _MEMO: dict[tuple[str, str], Tables] = {}
 
 
@@ -105,7 +92,7 @@ _ROOTS: dict[tuple[str, str], str] = {}
 def table_root(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ROOTS:
-        _ROOTS[key] = f"{checkpoint_root(spark)}/fundlake/tables/{_fingerprint(spark, sf_dir)}"
+        _ROOTS[key] = f"{checkpoint_root(spark)}/fundlake/tables/{_input_state(spark, sf_dir)[0]}"
     return _ROOTS[key]
 
 
@@ -124,20 +111,16 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True, root
         return _MEMO[key]
     manifest = f"{root}/_manifest"
     if not _exists(spark, manifest):
+        buckets = defined.buckets_for(_input_state(spark, sf_dir)[1])
         for name, df in fixtures.derive_all(spark, sf_dir, stage=f"{root}/_quarterly").items():
-            _write(name, df, f"{root}/{name}")
-        spark.range(1).select(F.lit(LAYOUT_VERSION).alias("version")).write.mode("overwrite").parquet(manifest)
-    out = {}
-    for name in ("dre", "dva", "dfc", "bpa", "bpp", "prices", "tickers"):
-        df = spark.read.parquet(f"{root}/{name}")
-        if name == "prices":
-            df = df.drop("year")
-        if name in STATEMENTS:
-            # partition column comes back last; restore the stored column order
-            cols = ["cnpj", "grupo_dfp"] + [c for c in df.columns if c not in ("cnpj", "grupo_dfp")]
-            df = df.select(*cols)
-        out[name] = df
-    tables = Tables(**out, root=root)
+            if name == "prices":
+                df = df.withColumn("year", F.year("date"))
+            defined.write_table(df, f"{root}/{name}", defined.DEFINITIONS[name], buckets)
+        (spark.range(1).select(F.lit(LAYOUT_VERSION).alias("version"), F.lit(buckets).alias("buckets"))
+         .write.mode("overwrite").parquet(manifest))
+    buckets = spark.read.parquet(manifest).first()["buckets"]
+    out = {name: defined.open_table(spark, f"{root}/{name}", definition, buckets) for name, definition in defined.DEFINITIONS.items()}
+    tables = Tables(**{**out, "prices": out["prices"].drop("year")}, root=root, bucketed=True)
     _MEMO[key] = tables
     return tables
 
