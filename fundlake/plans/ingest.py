@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundlake.plans import income, lake
 from fundlake.plans.loads import STATEMENT_KINDS, price_load, statement_load
 from fundlake.sources import sinks
 from fundlake.sources.catalog import Tables
 from fundlake.sources.landing import HOLIDAYS, stored_prices, write_landing
-from fundlake.sources.prices_file import (filter_counts, instrument_kept, instrument_records, merge_shares, quote_kept,
+from fundlake.sources.prices_file import (filter_counts, instrument_kept, instrument_records, landed_days, merge_shares, quote_kept,
                                           quote_records, read_instrument_files, read_instrument_xml, read_quote_files)
-from fundlake.sources.statements_csv import file_name_fields, load_statement
+from fundlake.sources.statements_csv import archives_of, file_name_fields, landed_files, load_statement
 
 def landing(tables: Tables) -> dict[str, str]:
     return write_landing(tables, f"{tables.root}/_landing")
@@ -65,8 +66,8 @@ def _holidays(tables: Tables) -> DataFrame:
 
 
 def _today(tables: Tables) -> _dt.date:
-    """'Today' of the scenario: the newest landed quote date (one scalar)."""
-    return quotes(tables).agg(F.max("date")).collect()[0][0]
+    """'Today' of the scenario: the newest day whose quotes have landed, from the names of the day folders."""
+    return max(landed_days(spark_of(tables), landing(tables)["quotes_by_day"]))
 
 
 def missing_price_dates(tables: Tables) -> DataFrame:
@@ -75,45 +76,87 @@ def missing_price_dates(tables: Tables) -> DataFrame:
 
 
 def price_load_table(tables: Tables) -> DataFrame:
-    """The price table, stored by year, after the missing days were appended."""
+    """The lake's price table after the days that were due were loaded."""
     spark = spark_of(tables)
-    path = f"{tables.root}/_loads/prices_by_year_{uuid.uuid4().hex}"
-    sinks.append(by_year(stored_prices(tables)), path, ("year",))
-    stored = spark.read.schema(PRICE_TABLE).parquet(path)
-    landed = read_quote_files(spark, landing(tables)["quotes_at_load"])
-    new = price_load(stored, landed, instruments(tables), _holidays(tables), _today(tables))
-    sinks.append(by_year(new), path, ("year",))
-    return spark.read.schema(PRICE_TABLE).parquet(path).drop("year")
+    root = new_lake(tables)
+    load_prices(tables, root)
+    return lake.prices(spark, root).drop("year")
 
 
-def by_year(prices: DataFrame) -> DataFrame:
-    """Rows of the price table, dealt so that a year is written by tasks of bounded size."""
-    return (prices.withColumn("year", F.year("date")).select(*PRICE_TABLE.fieldNames())
-            .hint("rebalance", F.col("year")))
+def new_lake(tables: Tables) -> str:
+    return f"{tables.root}/_loads/lake_{uuid.uuid4().hex}"
 
 
-# The stored price table; its year is the partition.
-PRICE_TABLE = T.StructType([
-    T.StructField("date", T.DateType()), T.StructField("ticker", T.StringType()), T.StructField("preult", T.DoubleType()),
-    T.StructField("totneg", T.LongType()), T.StructField("quatot", T.LongType()), T.StructField("voltot", T.DoubleType()),
-    T.StructField("number_shares", T.LongType()), T.StructField("year", T.IntegerType())])
+def load_prices(tables: Tables, root: str) -> None:
+    """The prices stored until now as the first batch (A7), then the days since."""
+    land = landing(tables)
+    lake.write_batch(stored_prices(tables), root, "seed")
+    price_load(spark_of(tables), land["quotes_by_day"], land["instruments_by_day"], root, _holidays(tables), _today(tables))
 
 
-def statement_load_table(tables: Tables) -> DataFrame:
-    """Every landed archive loaded into new statement tables; their rows side by side."""
-    spark = spark_of(tables)
-    root = f"{tables.root}/_loads/statements_{uuid.uuid4().hex}"
-    registry = spark.createDataFrame([], "file_name string, last_modified timestamp")
-    statement_load(spark, landing(tables)["statements"], registry, tables.tickers, root)
+def early_archives():
+    """The archives that have landed when the first statement load runs: those of years before 1998."""
+    return F.regexp_extract("file_name", r"(\d{4})$", 1).cast("int") < 1998
+
+
+def side_by_side(tables: Tables, root: str) -> DataFrame:
+    """The loaded rows of all six statements."""
     out = None
     for kind in STATEMENT_KINDS:
-        part = spark.read.parquet(f"{root}/{kind}").select(
-            F.lit(kind).alias("kind"), "cnpj", F.col("dt_refer").cast("int").alias("dt_refer"), "grupo_dfp", "itr_dfp",
-            "dt_fim_exerc", "cd_conta", "ds_conta", "vl_conta")
+        part = lake.statements(spark_of(tables), root, kind).select(
+            F.lit(kind).alias("kind"), "cnpj", "dt_refer", "grupo_dfp", "itr_dfp", "dt_fim_exerc", "cd_conta", "ds_conta", "vl_conta")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def statement_load_table(tables: Tables) -> DataFrame:
+    """P2 in two runs: the second one finds the registry of the first and loads only the archives landed since."""
+    spark, root, land = spark_of(tables), new_lake(tables), landing(tables)["statements"]
+    statement_load(spark, land, root, tables.tickers, early_archives())
+    statement_load(spark, land, root, tables.tickers)
+    return side_by_side(tables, root)
+
+
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def loaded_lake(tables: Tables) -> str:
+    """A lake after a sequence of loads, made once per session: early archives, the net income stored, later archives,
+    restated archives, the net income refreshed; seeded prices and the days due."""
+    spark = spark_of(tables)
+    key = (spark.sparkContext.applicationId, tables.root)
+    if key not in _LAKES:
+        root, land = new_lake(tables), landing(tables)
+        load_prices(tables, root)
+        for path, archives in ((land["statements"], early_archives()), (land["statements"], None), (land["statements_restated"], None)):
+            statement_load(spark, path, root, tables.tickers, archives)
+            refreshed_net_income(tables, root)
+        _LAKES[key] = root
+    return _LAKES[key]
+
+
+def lake_tables(tables: Tables) -> Tables:
+    return lake.tables(spark_of(tables), loaded_lake(tables), tables.tickers)
+
+
+def refreshed_net_income(tables: Tables, root: str | None = None) -> DataFrame:
+    """Net income as stored in the lake, computed again only for the companies of each load."""
+    spark, root = spark_of(tables), root or loaded_lake(tables)
+    return lake.refresh(spark, root, "net_income", income.net_income, lake.tables(spark, root, tables.tickers))
+
+
+def registry_after_load(tables: Tables) -> DataFrame:
+    """The newest generation of the lake's registry."""
+    return lake.registry(spark_of(tables), loaded_lake(tables)).select("file_name")
+
+
+def pending_archives(tables: Tables) -> DataFrame:
+    """A12 on the real listing: what a second run has to load after the first."""
+    spark, root, land = spark_of(tables), new_lake(tables), landing(tables)["statements"]
+    statement_load(spark, land, root, tables.tickers, early_archives())
+    return sinks.changed_files(archives_of(landed_files(spark, land)), lake.registry(spark, root)).select("file_name")
+
+
 def price_filters(tables: Tables) -> DataFrame:
     """Landed quote records by the fields the filters look at, and whether they are kept."""
     lines = spark_of(tables).read.option("recursiveFileLookup", "true").text(landing(tables)["quotes"])

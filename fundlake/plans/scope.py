@@ -52,7 +52,9 @@ def build_share_classes(tables: Tables) -> DataFrame:
 
 
 def statement_dates(tables: Tables) -> DataFrame:
-    """Distinct (cnpj, grupo_dfp, date) of the income statement."""
+    """Distinct (cnpj, grupo_dfp, date) of the income statement (G2), as kept by the loads if there are any."""
+    if tables.report_dates is not None:
+        return tables.report_dates
     return tables.dre.select("cnpj", "grupo_dfp", F.col("dt_fim_exerc").alias("date")).distinct()
 
 
@@ -78,7 +80,9 @@ def build_companies(tables: Tables, group: str = "consolidated") -> DataFrame:
 
 
 def last_price_dates(tables: Tables) -> DataFrame:
-    """Newest price date per ticker."""
+    """Newest price date per ticker (G3), as kept by the loads if there are any."""
+    if tables.price_ends is not None:
+        return tables.price_ends
     return tables.prices.groupBy("ticker").agg(F.max("date").alias("last_price_date"))
 
 

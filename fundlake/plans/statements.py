@@ -50,7 +50,8 @@ def _finish(rows: DataFrame, value_types: list[str], annual_null: tuple[str, ...
         year_ago = Window.partitionBy(*ACCOUNT).orderBy(month).rangeBetween(-12, -12)
         rows = rows.withColumn("_ago", F.collect_list(F.struct("date", F.col("ytd").alias("v"))).over(year_ago))
         same = F.filter("_ago", lambda x: (F.add_months(x["date"], 12) == F.col("date")) & x["v"].isNotNull())
-        before = F.when(F.size(same) > 0, F.aggregate(same, F.lit(0).cast("long"), lambda a, x: a + x["v"].cast("long")))
+        kind = "double" if rows.schema["ytd"].dataType.typeName() == "double" else "long"
+        before = F.when(F.size(same) > 0, F.aggregate(same, F.lit(0).cast(kind), lambda a, x: a + x["v"].cast(kind)))
         rows = rows.withColumn("ytd_pct_change", _pct("ytd", before)).drop("_ago")
     cols = []
     for v in value_types:

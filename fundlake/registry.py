@@ -140,6 +140,12 @@ QUERIES["reload_tickers"] = lambda s, d: ingest.reload_tickers(T(s, d))
 QUERIES["missing_price_dates"] = lambda s, d: ingest.missing_price_dates(T(s, d))
 QUERIES["price_load"] = lambda s, d: ingest.price_load_table(T(s, d))
 QUERIES["statement_load"] = lambda s, d: ingest.statement_load_table(T(s, d))
+QUERIES["statement_reload"] = lambda s, d: ingest.side_by_side(T(s, d), ingest.loaded_lake(T(s, d)))
+QUERIES["registry_after_load"] = lambda s, d: ingest.registry_after_load(T(s, d))
+QUERIES["pending_archives"] = lambda s, d: ingest.pending_archives(T(s, d))
+QUERIES["scope_after_load"] = lambda s, d: scope.scope(ingest.lake_tables(T(s, d)))
+QUERIES["refreshed_net_income"] = lambda s, d: ingest.refreshed_net_income(T(s, d))
+QUERIES["price_earnings_after_load"] = lambda s, d: market.price_earnings(ingest.lake_tables(T(s, d)))
 QUERIES["price_filters"] = lambda s, d: ingest.price_filters(T(s, d))
 QUERIES["share_filters"] = lambda s, d: ingest.share_filters(T(s, d))
 QUERIES["statement_pivot"] = lambda s, d: statements.balance_sheet_wide(T(s, d))

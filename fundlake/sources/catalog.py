@@ -23,7 +23,7 @@ from fundlake.sources import fixtures
 from fundlake.sources import tables as defined
 
 # Bump when the derivation changes so stale copies are not reused.
-LAYOUT_VERSION = "fx10"
+LAYOUT_VERSION = "fx11"
 STATEMENTS = ("dre", "dva", "dfc", "bpa", "bpp")
 RAW_INPUTS = ("lineitem", "supplier", "nation", "region")
 
@@ -39,6 +39,8 @@ class Tables:
     tickers: DataFrame
     root: str | None = None  # folder of the stored tables, when they are stored
     bucketed: bool = False  # all rows of a company are in one bucket of each statement table
+    report_dates: DataFrame | None = None  # (cnpj, grupo_dfp, date) kept by the loads
+    price_ends: DataFrame | None = None  # (ticker, last_price_date) kept by the loads
 
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)

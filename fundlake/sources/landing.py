@@ -174,37 +174,54 @@ def statement_rows(tables: Tables, statement: str) -> DataFrame:
 # holidays, and the days whose files have not landed when the load runs.
 STORED_UNTIL = dt.date(2001, 6, 1)
 HOLIDAYS = [dt.date(2001, 6, 14), dt.date(2001, 9, 7), dt.date(2001, 10, 12), dt.date(2001, 11, 2), dt.date(2001, 11, 15)]
+# Years of the annual archives that are restated: to no rows, and to twice their values.
+EMPTIED, DOUBLED = 1996, 1997
 LATE_DAYS = ["20010815", "20010915", "20011015", "20011115", "20011215"]
 
 
-def _line_date() -> Column:
-    """Date field of a quote record; empty for header and trailer lines."""
-    return F.when(F.substring("value", 1, 2) == "01", F.substring("value", 3, 8)).otherwise(F.lit(""))
-
-
 def stored_prices(tables: Tables) -> DataFrame:
     """The price table as it stands before the load, with the traded volume as the quote lines give it."""
     p = tables.prices.filter(F.col("date") < F.lit(STORED_UNTIL))
     return p.withColumn("voltot", F.col("quatot").cast("double"))
 
 
+def restated(rows: DataFrame) -> DataFrame:
+    """Two annual archives that land again later: one holds only previous-period lines, the other twice its values."""
+    empty, doubled = (F.col("_file").contains("dfp_cia_aberta_") & F.col("_file").endswith(f"_{y}.csv") for y in (EMPTIED, DOUBLED))
+    value = F.col("VL_CONTA").cast("bigint") * F.when(doubled, 2).otherwise(1)
+    return rows.filter(empty | doubled).withColumns({
+        "ORDEM_EXERC": F.when(empty, "PENÚLTIMO").otherwise(F.col("ORDEM_EXERC")), "VL_CONTA": value.cast("string")})
+
+
+def _write_csv(rows: DataFrame, path: str, mode: str) -> None:
+    """One CSV per statement file name, as landed archives unpack."""
+    (rows.repartition("_file").write.mode(mode).partitionBy("_file").option("header", "true").option("sep", ";")
+     .option("encoding", "ISO-8859-1").csv(path))
+
+
 def write_landing(tables: Tables, root: str) -> dict[str, str]:
     """Render and write all landed inputs under ``root`` once; returns their folders."""
     spark = tables.tickers.sparkSession
-    paths = {"quotes": f"{root}/quotes", "quotes_at_load": f"{root}/quotes_at_load",
-             "instruments": f"{root}/instruments", "statements": f"{root}/statements"}
+    paths = {name: f"{root}/{name}" for name in ("quotes", "quotes_by_day", "instruments", "instruments_by_day",
+                                                 "statements", "statements_restated")}
     done = f"{root}/_done"
     if not table_is_empty(spark, done):
         return paths
     lines = quote_lines(tables)
     lines.write.mode("overwrite").text(paths["quotes"])
-    lines.filter(~_line_date().isin(*LATE_DAYS)).write.mode("overwrite").text(paths["quotes_at_load"])
-    (instrument_rows(tables).write.mode("overwrite").format("xml")
-     .option("rowTag", "Instrm").option("rootTag", "BizGrp").save(paths["instruments"]))
+    instruments = instrument_rows(tables)
+    xml = lambda df: df.write.mode("overwrite").format("xml").option("rowTag", "Instrm").option("rootTag", "BizGrp")
+    xml(instruments).save(paths["instruments"])
+    # what the daily load finds: one folder per day since the last load, some days not there yet
+    day = F.substring("value", 3, 8)
+    due = lines.filter((F.substring("value", 1, 2) == "01") & (day >= f"{STORED_UNTIL:%Y%m%d}") & ~day.isin(*LATE_DAYS))
+    (due.withColumn("dt", day).repartition("dt").write.mode("overwrite").partitionBy("dt").text(paths["quotes_by_day"]))
+    day = F.regexp_replace("RptParams.RptDtAndTm.Dt", "-", "")
+    xml(instruments.withColumn("dt", day).filter(F.col("dt") >= f"{STORED_UNTIL:%Y%m%d}").repartition("dt")).partitionBy("dt").save(
+        paths["instruments_by_day"])
     for i, st in enumerate(("dre", "dfc", "bpa", "bpp", "dva", "dmpl")):
-        # one CSV per statement file name, as landed archives unpack
-        (statement_rows(tables, st).repartition("_file").write.mode("overwrite" if i == 0 else "append")
-         .partitionBy("_file").option("header", "true").option("sep", ";").option("encoding", "ISO-8859-1")
-         .csv(paths["statements"]))
+        rows, mode = statement_rows(tables, st), "overwrite" if i == 0 else "append"
+        _write_csv(rows, paths["statements"], mode)
+        _write_csv(restated(rows), paths["statements_restated"], mode)
     spark.range(1).write.mode("overwrite").parquet(done)
     return paths

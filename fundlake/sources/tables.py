@@ -76,7 +76,7 @@ def conformed(df: DataFrame, schema: T.StructType, what: str = "table") -> DataF
     faults = [f"{c} is missing" for c in want if c not in have] + [f"{c} is unknown" for c in have if c not in want]
     narrower = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
     for c in want:
-        if c in have and have[c] != want[c] and not (
+        if c in have and have[c].simpleString() != want[c].simpleString() and not (
                 have[c] in narrower and want[c] in narrower and narrower.index(have[c]) < narrower.index(want[c])):
             faults.append(f"{c} is {have[c].simpleString()}, not {want[c].simpleString()}")
     if faults:

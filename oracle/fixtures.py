@@ -108,3 +108,20 @@ def with_ctes(*more: str) -> str:
     """``WITH`` clause holding the fixture views, the scope and extra CTEs."""
     parts = [FIXTURE_CTES.strip(), SCOPE_CTES.strip(), *[m.strip().rstrip(",") for m in more if m.strip()]]
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+# The tables after the loads: the annual archives of 1996 are restated to no rows, those of 1997 to twice their
+# values; prices are those stored before 2001-06-01 and the days loaded since.
+STATEMENT_TABLES = ("dre", "dva", "dfc", "bpa", "bpp")
+
+
+def after_loads(sql: str, price_rows: str) -> str:
+    """The same query on the loaded tables (``price_rows``: SELECT of the loaded prices from ``prices_0``)."""
+    for t in (*STATEMENT_TABLES, "prices"):
+        assert f"\n{t} AS (" in sql or sql.startswith(f"WITH {t} AS ("), t
+        sql = sql.replace(f"WITH {t} AS (", f"WITH {t}_0 AS (").replace(f"\n{t} AS (", f"\n{t}_0 AS (")
+    annual = "MONTH(dt_fim_exerc) = 12 AND YEAR(dt_fim_exerc)"
+    views = [f"""{t} AS (SELECT * REPLACE (CAST(CASE WHEN {annual} = 1997 THEN vl_conta * 2 ELSE vl_conta END AS DOUBLE) AS vl_conta)
+FROM {t}_0 WHERE NOT ({annual} = 1996) AND cnpj IN (SELECT cnpj FROM tickers))""" for t in STATEMENT_TABLES]
+    views.append(f"prices AS ({price_rows})")
+    return sql.replace(SCOPE_CTES.strip(), ",\n".join(views) + ",\n" + SCOPE_CTES.strip())

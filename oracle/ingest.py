@@ -3,7 +3,7 @@ the rendered landed files, stated on the fixture views."""
 
 from __future__ import annotations
 
-from oracle.fixtures import with_ctes
+from oracle.fixtures import after_loads, with_ctes
 
 QUOTES = with_ctes() + """SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot FROM prices"""
 
@@ -108,15 +108,35 @@ FROM dre d CROSS JOIN (SELECT * FROM (VALUES ('Capital Social Integralizado', 1)
   v(coluna_df, k)) c
 WHERE d.cnpj IN (SELECT cnpj FROM tickers)"""
 
-PRICE_LOAD = with_ctes(_EXPECTED, """
+_LOADED = """
 landed AS (SELECT DISTINCT date FROM prices WHERE NOT (DAY(date) = 15 AND MONTH(date) >= 8 AND YEAR(date) = 2001)),
 gap AS (SELECT MIN(date) AS g FROM expd WHERE date NOT IN (SELECT date FROM landed)),
-todo AS (SELECT date FROM expd WHERE (SELECT g FROM gap) IS NULL OR date < (SELECT g FROM gap))""") + """SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot,
+todo AS (SELECT date FROM expd WHERE (SELECT g FROM gap) IS NULL OR date < (SELECT g FROM gap))"""
+_LOADED_ROWS = """SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot,
   CASE WHEN quatot % 11 = 0 THEN NULL ELSE number_shares END AS number_shares
 FROM prices WHERE date IN (SELECT date FROM todo) AND NOT (DAY(date) = 15 AND MONTH(date) >= 8 AND YEAR(date) = 2001)
 UNION ALL
 SELECT date, ticker, preult, totneg, quatot, CAST(quatot AS DOUBLE) AS voltot, number_shares FROM prices
 WHERE date < DATE '2001-06-01'"""
+PRICE_LOAD = with_ctes(_EXPECTED, _LOADED) + _LOADED_ROWS
+# the loaded prices as a subquery on the view ``prices_0``
+LOADED_PRICES = f"WITH {_EXPECTED.strip()},\n{_LOADED.strip()}\n{_LOADED_ROWS}".replace("FROM prices", "FROM prices_0")
+
+
+def loaded(sql: str) -> str:
+    return after_loads(sql, LOADED_PRICES)
+
+
+_ARCHIVES = """SELECT DISTINCT CASE WHEN MONTH(dt_fim_exerc) = 12 THEN 'dfp' ELSE 'itr' END || '_cia_aberta_'
+  || CAST(YEAR(dt_fim_exerc) AS VARCHAR) AS file_name FROM dre"""
+REGISTRY_AFTER_LOAD = with_ctes() + _ARCHIVES
+PENDING_ARCHIVES = with_ctes() + _ARCHIVES + " WHERE YEAR(dt_fim_exerc) >= 1998"
+
+
+def refreshed_sql(sql: str, name: str) -> str:
+    """A flow measure on the loaded tables; loaded values are doubles."""
+    cols = ", ".join(f"CAST({v}_{name} AS DOUBLE) AS {v}_{name}" for v in ("ytd", "quarter", "ttm"))
+    return f"SELECT cnpj, grupo_dfp, date, {cols} FROM ({loaded(sql)}) q"
 
 
 def statement_load_sql() -> str:

@@ -108,6 +108,12 @@ ORACLE["reload_tickers"] = ig.RELOAD_TICKERS
 ORACLE["missing_price_dates"] = ig.MISSING_PRICE_DATES
 ORACLE["price_load"] = ig.PRICE_LOAD
 ORACLE["statement_load"] = ig.statement_load_sql()
+ORACLE["statement_reload"] = ig.loaded(ig.statement_load_sql())
+ORACLE["registry_after_load"] = ig.REGISTRY_AFTER_LOAD
+ORACLE["pending_archives"] = ig.PENDING_ARCHIVES
+ORACLE["scope_after_load"] = ig.loaded(with_ctes() + "SELECT * FROM sc")
+ORACLE["refreshed_net_income"] = ig.refreshed_sql(m.net_income_sql(), "net_income")
+ORACLE["price_earnings_after_load"] = ig.loaded(m.price_earnings_sql())
 ORACLE["price_filters"] = ig.PRICE_FILTERS
 ORACLE["share_filters"] = ig.SHARE_FILTERS
 ORACLE["statement_pivot"] = m.statement_pivot_sql()
