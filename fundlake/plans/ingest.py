@@ -18,13 +18,15 @@ from pyspark.sql import types as T
 
 from fundlake.plans import income, lake
 from fundlake.plans.loads import STATEMENT_KINDS, price_load, statement_load
-from fundlake.sources import sinks
+from fundlake.sources import quarantine, sinks
 from fundlake.sources.catalog import Tables
 from fundlake.sources.landing import HOLIDAYS, stored_prices, write_landing
-from fundlake.sources.prices_file import (filter_counts, instrument_kept, instrument_records, landed_days, merge_shares, quote_kept,
-                                          quote_records, read_instrument_files, read_instrument_xml, read_quote_files)
+from fundlake.sources.prices_file import (filter_counts, instrument_kept, instrument_records, instrument_reject, landed_days,
+                                          merge_shares, quote_kept, quote_records, quote_reject, read_instrument_files,
+                                          read_instrument_xml, read_quote_files)
 from fundlake.sources.statements_csv import archives_of, file_name_fields, landed_files, load_statement
 
+
 def landing(tables: Tables) -> dict[str, str]:
     return write_landing(tables, f"{tables.root}/_landing")
 
@@ -157,15 +159,27 @@ def pending_archives(tables: Tables) -> DataFrame:
     return sinks.changed_files(archives_of(landed_files(spark, land)), lake.registry(spark, root)).select("file_name")
 
 
+def rejected_records(tables: Tables) -> DataFrame:
+    """Refused records of all landed files by source, statement file (none for quotes and instruments) and reason."""
+    spark, land = spark_of(tables), landing(tables)
+    rows = (quarantine.quote_rejects(spark, land["quotes"]).unionByName(quarantine.instrument_rejects(spark, land["instruments"]))
+            .unionByName(quarantine.statement_rejects(spark, land["statements"])))
+    meta = file_name_fields(F.col("path"))
+    file = F.concat_ws("_", meta["itr_dfp"], F.upper(meta["statement"]), meta["con_ind"], meta["dt_refer"].cast("string"))
+    return (quarantine.counted(rows.withColumn("path", F.when(meta["statement"].isNotNull(), file)))
+            .select("source", F.col("path").alias("file"), "reason", "n_records"))
+
+
 def price_filters(tables: Tables) -> DataFrame:
     """Landed quote records by the fields the filters look at, and whether they are kept."""
     lines = spark_of(tables).read.option("recursiveFileLookup", "true").text(landing(tables)["quotes"])
-    return filter_counts(quote_records(lines), quote_kept(), ["tpmerc", "codbdi", "especi"])
+    return filter_counts(quote_records(lines.filter(quote_reject().isNull())), quote_kept(), ["tpmerc", "codbdi", "especi"])
 
 
 def share_filters(tables: Tables) -> DataFrame:
     """Landed equity instruments by the fields the filters look at, and whether they are kept."""
-    rows = instrument_records(read_instrument_xml(spark_of(tables), landing(tables)["instruments"]))
+    found = read_instrument_xml(spark_of(tables), landing(tables)["instruments"])
+    rows = instrument_records(found.filter(instrument_reject().isNull()))
     return filter_counts(rows, instrument_kept(), ["mkt", "sctyctgy", "spcfctncd"])
 
 

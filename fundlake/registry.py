@@ -146,6 +146,7 @@ QUERIES["pending_archives"] = lambda s, d: ingest.pending_archives(T(s, d))
 QUERIES["scope_after_load"] = lambda s, d: scope.scope(ingest.lake_tables(T(s, d)))
 QUERIES["refreshed_net_income"] = lambda s, d: ingest.refreshed_net_income(T(s, d))
 QUERIES["price_earnings_after_load"] = lambda s, d: market.price_earnings(ingest.lake_tables(T(s, d)))
+QUERIES["rejected_records"] = lambda s, d: ingest.rejected_records(T(s, d))
 QUERIES["price_filters"] = lambda s, d: ingest.price_filters(T(s, d))
 QUERIES["share_filters"] = lambda s, d: ingest.share_filters(T(s, d))
 QUERIES["statement_pivot"] = lambda s, d: statements.balance_sheet_wide(T(s, d))

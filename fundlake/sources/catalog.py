@@ -23,7 +23,7 @@ from fundlake.sources import fixtures
 from fundlake.sources import tables as defined
 
 # Bump when the derivation changes so stale copies are not reused.
-LAYOUT_VERSION = "fx11"
+LAYOUT_VERSION = "fx13"
 STATEMENTS = ("dre", "dva", "dfc", "bpa", "bpp")
 RAW_INPUTS = ("lineitem", "supplier", "nation", "region")
 

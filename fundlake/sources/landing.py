@@ -8,10 +8,11 @@ rows in the raw formats, with the kinds of noise the readers must remove:
 * quote lines: a header (00) and trailer (99) record, copies in excluded
   markets, BDI codes and depositary-receipt specifications, and blank
   specifications that must be kept;
+* quote lines that cannot be read (date, price, cut off, record type);
 * instrument XML: two namespace versions, instruments without an equity
   block, a missing last price, excluded markets/categories/specifications
   and a duplicate (date, ticker) with a smaller share count; some quotes
-  have no instrument at all;
+  have no instrument at all, some have a second one with an unreadable date or share count;
 * statement CSVs: previous-period copies, quarter-only rows with a later
   period start, values in units instead of thousands, companies that are
   not listed, and the direct cash-flow method beside the indirect one.
@@ -72,6 +73,17 @@ def quote_lines(tables: Tables) -> DataFrame:
     lines = x.select(line.alias("value"))
     # one header and one trailer record per trading day
     days = tables.prices.select("date").distinct()
+    # lines that cannot be read: an impossible date, a price of letters, a line cut off, an unknown record type
+    def spoilt(every, text):
+        return x.filter((F.col("v") == 0) & (F.col("quatot") % every == 0)).select(text.alias("value"))
+
+    before = lambda n: F.substring(line, 1, n)
+    after = lambda n: line.substr(F.lit(n + 1), F.lit(245))
+    bad = [spoilt(19, F.concat(before(2), F.lit("20019931"), after(10))),
+           spoilt(29, F.concat(before(108), F.lit("PRICE_UNKNOWN"), after(121))),
+           spoilt(31, before(60)), spoilt(37, F.concat(F.lit("42"), after(2)))]
+    for b in bad:
+        lines = lines.unionByName(b)
     head = days.select(F.concat(F.lit("00COTAHIST."), F.date_format("date", "yyyyMMdd"), F.lit(" " * 225)).alias("value"))
     tail = days.select(F.concat(F.lit("99COTAHIST."), F.date_format("date", "yyyyMMdd"), F.lit(" " * 225)).alias("value"))
     return lines.unionByName(head).unionByName(tail)
@@ -81,11 +93,12 @@ def instrument_rows(tables: Tables) -> DataFrame:
     """Nested rows for the XML writer (row tag ``Instrm``)."""
     p = tables.prices.select("date", "ticker", "preult", "quatot", "number_shares")
     p = p.filter(F.col("quatot") % 11 != 0)  # these quotes get no instrument row
-    kinds = F.array(*[F.lit(i) for i in range(7)])
+    kinds = F.array(*[F.lit(i) for i in range(9)])
     x = p.select("*", F.explode(kinds).alias("k"))
     k = F.col("k")
     keep = ((k == 0) | ((k == 1) & (F.col("quatot") % 6 == 0)) | ((k == 2) & (F.col("quatot") % 8 == 0))
             | ((k == 3) & (F.col("quatot") % 9 == 0)) | ((k == 4) & (F.col("quatot") % 10 == 0))
+            | ((k == 7) & (F.col("quatot") % 19 == 0)) | ((k == 8) & (F.col("quatot") % 23 == 0))
             | ((k == 5) & (F.col("quatot") % 13 == 0)) | ((k == 6) & (F.col("quatot") % 17 == 0)))
     x = x.filter(keep)
     spec = (F.when(k == 3, F.lit("CI")).when(k == 4, F.lit("DIA"))
@@ -96,13 +109,14 @@ def instrument_rows(tables: Tables) -> DataFrame:
     last = F.when(F.col("quatot") % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("preult").cast("string"))
     equity = F.struct(cat.alias("SctyCtgy"), F.col("ticker").alias("TckrSymb"), spec.alias("SpcfctnCd"),
                       F.concat(F.lit("CO "), F.col("ticker")).alias("CrpnNm"),
-                      shares.cast("string").alias("MktCptlstn"), last.alias("LastPric"))
+                      F.when(k == 8, F.lit("unknown")).otherwise(shares.cast("string")).alias("MktCptlstn"), last.alias("LastPric"))
     option = F.struct(F.concat(F.col("ticker"), F.lit("X")).alias("TckrSymb"))
     info = F.struct(F.when(k != 5, equity).alias("EqtyInf"), F.when(k == 5, option).alias("OptnOnEqtsInf"))
     ns = F.when(F.year("date") < 1998, F.lit("urn:bvmf.100.01.xsd")).otherwise(F.lit("urn:bvmf.100.02.xsd"))
     return x.select(
         ns.alias("_xmlns"),
-        F.struct(F.struct(F.col("date").cast("string").alias("Dt")).alias("RptDtAndTm")).alias("RptParams"),
+        F.struct(F.struct(F.when(k == 7, F.lit("2001-99-31")).otherwise(F.col("date").cast("string")).alias("Dt")).alias("RptDtAndTm"))
+        .alias("RptParams"),
         F.struct(F.when(k == 5, F.lit("70")).otherwise(mkt).alias("Mkt")).alias("FinInstrmAttrCmon"),
         info.alias("InstrmInf"))
 
@@ -129,13 +143,15 @@ def statement_rows(tables: Tables, statement: str) -> DataFrame:
     src = dmpl_source(tables) if statement == "dmpl" else tables.get(statement)
     flow = "dt_ini_exerc" in src.columns
     kind = F.when(F.month("dt_fim_exerc") == 12, F.lit("dfp")).otherwise(F.lit("itr"))
-    variants = F.array(*[F.lit(i) for i in range(5)])
+    variants = F.array(*[F.lit(i) for i in range(7)])
     x = src.select("*", F.explode(variants).alias("_v"))
     v = F.col("_v")
     big = (F.abs(F.col("vl_conta")) % 7 == 0)
     # 0 the report row, 1 a previous-period copy, 2 a quarter-only copy (Q2-Q4 of flows),
-    # 3 a copy for an unlisted company, 4 the direct cash-flow method (cash flow only)
-    keep = (v == 0) | (v == 1) | ((v == 3) & F.col("cnpj").endswith("1"))
+    # 3 a copy for an unlisted company, 4 the direct cash-flow method (cash flow only),
+    # 5 a copy with an impossible date, 6 a copy with a value of letters
+    keep = ((v == 0) | (v == 1) | ((v == 3) & F.col("cnpj").endswith("1")) | ((v == 5) & (F.abs(F.col("vl_conta")) % 11 == 0))
+            | ((v == 6) & (F.abs(F.col("vl_conta")) % 13 == 0)))
     if flow:
         keep = keep | ((v == 2) & (F.month("dt_fim_exerc") > 3))
     if statement == "dfc":
@@ -154,11 +170,11 @@ def statement_rows(tables: Tables, statement: str) -> DataFrame:
     if flow:
         ini = F.when(v == 2, F.trunc("dt_fim_exerc", "quarter")).otherwise(F.col("dt_ini_exerc"))
         cols.append(ini.cast("string").alias("DT_INI_EXERC"))
-    cols += [F.col("dt_fim_exerc").cast("string").alias("DT_FIM_EXERC"), F.col("cd_conta").alias("CD_CONTA"),
+    cols += [F.when(v == 5, F.lit("2001-02-30")).otherwise(F.col("dt_fim_exerc").cast("string")).alias("DT_FIM_EXERC"), F.col("cd_conta").alias("CD_CONTA"),
              F.col("ds_conta").alias("DS_CONTA")]
     if statement == "dmpl":
         cols.append(F.col("coluna_df").alias("COLUNA_DF"))
-    cols.append(value.cast("string").alias("VL_CONTA"))
+    cols.append(F.when(v == 6, F.lit("n/d")).otherwise(value.cast("string")).alias("VL_CONTA"))
     stmt = statement.upper()
     # v == 4 rows are the direct cash-flow method (cash flow only); elsewhere they are dropped
     if statement == "dfc":
@@ -188,9 +204,9 @@ def stored_prices(tables: Tables) -> DataFrame:
 def restated(rows: DataFrame) -> DataFrame:
     """Two annual archives that land again later: one holds only previous-period lines, the other twice its values."""
     empty, doubled = (F.col("_file").contains("dfp_cia_aberta_") & F.col("_file").endswith(f"_{y}.csv") for y in (EMPTIED, DOUBLED))
-    value = F.col("VL_CONTA").cast("bigint") * F.when(doubled, 2).otherwise(1)
+    value = F.coalesce((F.col("VL_CONTA").try_cast("bigint") * F.when(doubled, 2).otherwise(1)).cast("string"), F.col("VL_CONTA"))
     return rows.filter(empty | doubled).withColumns({
-        "ORDEM_EXERC": F.when(empty, "PENÚLTIMO").otherwise(F.col("ORDEM_EXERC")), "VL_CONTA": value.cast("string")})
+        "ORDEM_EXERC": F.when(empty, "PENÚLTIMO").otherwise(F.col("ORDEM_EXERC")), "VL_CONTA": value})
 
 
 def _write_csv(rows: DataFrame, path: str, mode: str) -> None:
@@ -214,9 +230,11 @@ def write_landing(tables: Tables, root: str) -> dict[str, str]:
     xml(instruments).save(paths["instruments"])
     # what the daily load finds: one folder per day since the last load, some days not there yet
     day = F.substring("value", 3, 8)
-    due = lines.filter((F.substring("value", 1, 2) == "01") & (day >= f"{STORED_UNTIL:%Y%m%d}") & ~day.isin(*LATE_DAYS))
+    due = lines.filter((F.substring("value", 1, 2) == "01") & (day >= f"{STORED_UNTIL:%Y%m%d}") & ~day.isin(*LATE_DAYS)
+                       & F.try_to_date(day, "yyyyMMdd").isNotNull())
     (due.withColumn("dt", day).repartition("dt").write.mode("overwrite").partitionBy("dt").text(paths["quotes_by_day"]))
     day = F.regexp_replace("RptParams.RptDtAndTm.Dt", "-", "")
+    day = F.when(F.try_to_date("RptParams.RptDtAndTm.Dt").isNotNull(), day)
     xml(instruments.withColumn("dt", day).filter(F.col("dt") >= f"{STORED_UNTIL:%Y%m%d}").repartition("dt")).partitionBy("dt").save(
         paths["instruments_by_day"])
     for i, st in enumerate(("dre", "dfc", "bpa", "bpp", "dva", "dmpl")):

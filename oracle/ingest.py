@@ -168,3 +168,19 @@ rec AS (
   UNION ALL SELECT 10, 11, {_SPEC}, TRUE FROM src WHERE quatot % 17 = 0)""") + """SELECT mkt, sctyctgy, spcfctncd, kept,
   COUNT(*) AS n_records FROM rec GROUP BY mkt, sctyctgy, spcfctncd, kept"""
 
+
+
+def rejected_sql() -> str:
+    """The spoilt records of the landed files, by the rule that made them."""
+    parts = [f"SELECT 'quotes' AS source, NULL AS file, '{why}' AS reason FROM prices WHERE quatot % {n} = 0"
+             for why, n in (("date", 19), ("number", 29), ("short line", 31), ("record type", 37))]
+    parts += [f"SELECT 'instruments', NULL, '{why}' FROM prices WHERE quatot % 11 <> 0 AND quatot % {n} = 0"
+              for why, n in (("date", 19), ("number", 23))]
+    twice = "(SELECT dt_fim_exerc, grupo_dfp, vl_conta * k AS vl_conta FROM dre CROSS JOIN (VALUES (1), (2)) v(k))"
+    for kind, name, table in (("dre", "DRE", "dre"), ("dva", "DVA", "dva"), ("dfc", "DFC_MI", "dfc"), ("bpa", "BPA", "bpa"),
+                              ("bpp", "BPP", "bpp"), ("dmpl", "DMPL", twice)):
+        file = (f"CASE WHEN MONTH(dt_fim_exerc) = 12 THEN 'dfp' ELSE 'itr' END || '_{name}_' || "
+                "CASE WHEN grupo_dfp = 'Consolidado' THEN 'con' ELSE 'ind' END || '_' || CAST(YEAR(dt_fim_exerc) AS VARCHAR)")
+        parts += [f"SELECT '{kind}', {file}, '{why}' FROM {table} t WHERE ABS(vl_conta) % {n} = 0" for why, n in (("date", 11), ("number", 13))]
+    return with_ctes() + f"""SELECT source, file, reason, COUNT(*) AS n_records FROM ({" UNION ALL ".join(parts)}) r
+GROUP BY source, file, reason"""

@@ -114,6 +114,7 @@ ORACLE["pending_archives"] = ig.PENDING_ARCHIVES
 ORACLE["scope_after_load"] = ig.loaded(with_ctes() + "SELECT * FROM sc")
 ORACLE["refreshed_net_income"] = ig.refreshed_sql(m.net_income_sql(), "net_income")
 ORACLE["price_earnings_after_load"] = ig.loaded(m.price_earnings_sql())
+ORACLE["rejected_records"] = ig.rejected_sql()
 ORACLE["price_filters"] = ig.PRICE_FILTERS
 ORACLE["share_filters"] = ig.SHARE_FILTERS
 ORACLE["statement_pivot"] = m.statement_pivot_sql()

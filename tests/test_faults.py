@@ -37,7 +37,7 @@ def test_read_raw_only_misses_absent_files(spark, tmp_path):
 
 def test_load_fault_leaves_the_registry(spark, tmp_path, monkeypatch):
     """A read fault ends the load before a new registry is made."""
-    from fundlake.plans import loads
+    from fundlake.plans import lake, loads
 
     def broken(*a, **k):
         raise OSError("unreadable")
@@ -45,10 +45,11 @@ def test_load_fault_leaves_the_registry(spark, tmp_path, monkeypatch):
     land = tmp_path / "land"
     land.mkdir()
     (land / "itr_cia_aberta_DRE_con_2001.csv").write_text("CNPJ_CIA\n")
-    registry = spark.createDataFrame([], "file_name string, last_modified timestamp")
+    root = str(tmp_path / "lake")
     monkeypatch.setattr(loads, "load_statement", broken)
     with pytest.raises(OSError):
-        statement_load(spark, str(land), registry, spark.createDataFrame([("C",)], "cnpj string"), str(tmp_path / "t"))
+        statement_load(spark, str(land), root, spark.createDataFrame([("C",)], "cnpj string"))
+    assert lake.generation(spark, root) == 0 and lake.registry(spark, root).count() == 0
 
 
 def test_every_statement_kind_is_loaded():
