@@ -2,8 +2,8 @@
 ``fundlake.plans.statistics``.
 
 ``compare_measure`` calls any measure by name for all tickers in scope and
-returns it in long form keyed by ticker and date; ``compare_wide`` pivots a
-given list of tickers to one column per ticker and value.
+returns it in long form keyed by ticker and date; ``compare_groups`` fills the series of every peer
+group on the group's own dates; ``compare_wide`` pivots a given list of tickers to one column per ticker and value.
 """
 
 from __future__ import annotations
@@ -68,16 +68,23 @@ def compare_common(long_df: DataFrame, n_tickers: int) -> DataFrame:
 
 
 def compare_filled(long_df: DataFrame, tickers: list[str]) -> DataFrame:
-    """H4: the given tickers' series on the dates of all of them, gaps carried forward.
+    """H4: the given tickers' series on the dates of all of them, gaps carried forward."""
+    names = [(t.upper(),) for t in tickers]
+    members = long_df.sparkSession.createDataFrame(names, "ticker string").withColumn("_all", F.lit(1))
+    return compare_groups(long_df, members, ["_all"])
 
-    The list of tickers bounds the grid of dates x tickers; every ticker in
-    scope would make it grow with both.
+
+def compare_groups(long_df: DataFrame, members: DataFrame, by: list[str]) -> DataFrame:
+    """H4 for many comparisons at once: every group's tickers on the dates of any of them, gaps carried forward.
+
+    ``members`` (ticker and the columns ``by``) holds every ticker once.  The grid of dates x tickers is
+    laid per group, so it grows with the tickers compared with each other, not with all tickers.
     """
     values = [c for c in long_df.columns if c not in ("ticker", "date")]
-    sub = long_df.filter(F.col("ticker").isin(*[t.upper() for t in tickers]))
-    names = F.array(*[F.lit(t.upper()) for t in tickers])
-    grid = sub.select("date").distinct().select("date", F.explode(names).alias("ticker"))
-    return forward_fill(grid.join(sub, ["ticker", "date"], "left").select("ticker", "date", *values), ["ticker"], values)
+    own = members.select("ticker", *by)
+    dates = long_df.select("ticker", "date").join(own, "ticker").select(*by, "date").distinct()
+    grid = dates.join(own, by).select("ticker", "date")
+    return forward_fill(grid.join(long_df, ["ticker", "date"], "left").select("ticker", "date", *values), ["ticker"], values)
 
 
 def is_regular(long_df: DataFrame, name: str) -> DataFrame:
@@ -89,16 +96,22 @@ def is_regular(long_df: DataFrame, name: str) -> DataFrame:
 
 def compare_wide(long_df: DataFrame, tickers: list[str]) -> DataFrame:
     """One row per date, one column ``"<value> <TICKER>"`` per given ticker and value."""
-    values = [c for c in long_df.columns if c not in ("ticker", "date")]
     tickers = [t.upper() for t in tickers]
-    sub = long_df.filter(F.col("ticker").isin(*tickers))
-    wide = sub.groupBy("date").pivot("ticker", tickers).agg(*[F.first(v).alias(v) for v in values])
-    ren = {}
-    for t in tickers:
-        for v in values:
-            src = f"{t}_{v}" if len(values) > 1 else t
-            ren[src] = f"{v} {t}"
-    return wide.select("date", *[F.col(f"`{s}`").alias(d) for s, d in ren.items()])
+    return _wide(long_df.filter(F.col("ticker").isin(*tickers)).withColumn("_label", F.col("ticker")), tickers)
+
+
+def compare_wide_by(long_df: DataFrame, members: DataFrame, by: str) -> DataFrame:
+    """One row per date, one column ``"<value> <group>"`` per group and value, each group shown by the one ticker that
+    ``members`` (ticker, by) names.  The driver reads the groups' names to name the columns."""
+    labels = sorted(r[0] for r in members.select(by).distinct().collect())
+    return _wide(long_df.join(members.select("ticker", F.col(by).alias("_label")), "ticker"), labels)
+
+
+def _wide(rows: DataFrame, labels: list[str]) -> DataFrame:
+    values = [c for c in rows.columns if c not in ("ticker", "date", "_label")]
+    wide = rows.groupBy("date").pivot("_label", labels).agg(*[F.first(v).alias(v) for v in values])
+    name = {(f"{t}_{v}" if len(values) > 1 else t): f"{v} {t}" for t in labels for v in values}
+    return wide.select("date", *[F.col(f"`{s}`").alias(d) for s, d in name.items()])
 
 
 def compare_common_all(tables: Tables, measure: str, kwargs: dict | None = None, group="consolidated") -> DataFrame:

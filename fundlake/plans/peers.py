@@ -24,8 +24,18 @@ def peer_groups(tables: Tables) -> DataFrame:
     return t.join(sizes, GROUP).select("ticker", *GROUP, "n_peers")
 
 
-def get_peers(tables: Tables, tickers: list[str]) -> DataFrame:
-    """The tickers that share a group with one of the given tickers, with that group."""
+def leaders(tables: Tables, by: list[str] | None = None) -> DataFrame:
+    """One ticker per sector (or other columns of the register): the smallest one."""
+    by = by or ["sector"]
+    return tables.tickers.groupBy(*by).agg(F.min("ticker").alias("ticker")).select("ticker", *by)
+
+
+def get_peers(tables: Tables, tickers: list[str] | DataFrame) -> DataFrame:
+    """The tickers that share a group with one of the given tickers (a list, or rows with a column
+    ``ticker``), with that group."""
     t = tables.tickers.select("ticker", *GROUP)
-    mine = t.filter(F.col("ticker").isin(*[x.upper() for x in tickers])).select(*GROUP).distinct()
-    return t.join(mine, GROUP, "left_semi").select("ticker", *GROUP)
+    if isinstance(tickers, DataFrame):
+        mine = t.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
+    else:
+        mine = t.filter(F.col("ticker").isin(*[x.upper() for x in tickers]))
+    return t.join(mine.select(*GROUP).distinct(), GROUP, "left_semi").select("ticker", *GROUP)

@@ -58,6 +58,15 @@ def statement_dates(tables: Tables) -> DataFrame:
     return tables.dre.select("cnpj", "grupo_dfp", F.col("dt_fim_exerc").alias("date")).distinct()
 
 
+def frequency_classes(tables: Tables) -> DataFrame:
+    """The frequency class of every company's reports in each group (G8) and of every ticker's trading days (H6)."""
+    of_reports = frequency_table(statement_dates(tables), ["cnpj", "grupo_dfp"]).select(
+        F.concat_ws(" ", "cnpj", "grupo_dfp").alias("series"), "n_dates", "frequency", "is_regular")
+    days = tables.prices.select("ticker", "date").distinct()
+    of_trading = frequency_table(days, ["ticker"]).select(F.col("ticker").alias("series"), "n_dates", "frequency", "is_regular")
+    return of_reports.unionByName(of_trading)
+
+
 def companies(tables: Tables, group: str = "consolidated") -> DataFrame:
     if tables.root is not None:
         return stored_or_build(tables.tickers.sparkSession, f"{tables.root}/_companies_{resolve_group(group)}",

@@ -17,11 +17,6 @@ from fundlake.sources.catalog import load_tables
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The tickers a user names in the reports that compare a given list (companies with
-# and without consolidated statements, quarterly and annual).
-COMPARED = ["S23", "S63", "S73", "S83", "S93"]
-
-
 def T(spark: SparkSession, sf_dir: str):
     return load_tables(spark, sf_dir)
 
@@ -94,7 +89,7 @@ QUERIES["balance_sheet"] = lambda s, d: statements.balance_sheet(T(s, d))
 QUERIES["cagr_net_income"] = lambda s, d: growth.cagr_net_income(T(s, d))
 QUERIES["cagr_revenue"] = lambda s, d: growth.cagr_revenue(T(s, d))
 QUERIES["peers"] = lambda s, d: peers.peer_groups(T(s, d))
-QUERIES["get_peers"] = lambda s, d: peers.get_peers(T(s, d), COMPARED)
+QUERIES["get_peers"] = lambda s, d: peers.get_peers(T(s, d), peers.leaders(T(s, d)))
 
 # --- reports (M38, M39, H5, H6) ----------------------------------------------
 QUERIES["statistics"] = lambda s, d: statistics.statistics(T(s, d))
@@ -110,6 +105,8 @@ QUERIES["is_regular_net_income"] = lambda s, d: compare.is_regular(
     compare.compare_measure(T(s, d), "net_income"), "net_income")
 QUERIES["is_regular_prices"] = lambda s, d: compare.is_regular(compare.compare_measure(T(s, d), "prices"), "prices")
 
+QUERIES["frequency_classes"] = lambda s, d: scope.frequency_classes(T(s, d))
+
 # --- chart data (H1-H3) --------------------------------------------------------
 QUERIES["bs_composition"] = lambda s, d: charts.bs_composition(T(s, d))
 QUERIES["account_seasonality"] = lambda s, d: charts.account_seasonality(T(s, d), "3.01")
@@ -169,9 +166,10 @@ def _latest_rows(s, d):
 
 
 QUERIES["latest_rows"] = _latest_rows
-QUERIES["compare_wide"] = lambda s, d: compare.compare_wide(compare.compare_measure(T(s, d), "net_income"), COMPARED)
-QUERIES["compare_filled"] = lambda s, d: compare.compare_filled(
-    compare.compare_measure(T(s, d), "price_earnings"), COMPARED)
+QUERIES["compare_wide"] = lambda s, d: compare.compare_wide_by(
+    compare.compare_measure(T(s, d), "net_income"), peers.leaders(T(s, d)), "sector")
+QUERIES["compare_filled"] = lambda s, d: compare.compare_groups(
+    compare.compare_measure(T(s, d), "price_earnings"), T(s, d).tickers, peers.GROUP)
 
 
 def _scalar_strings(s, d):

@@ -494,13 +494,14 @@ PEERS_SQL = with_ctes() + """SELECT t.ticker, t.sector, t.subsector, t.segment,
 FROM tickers t"""
 
 # The given tickers of the reports that compare a list.
-COMPARED = ["S23", "S63", "S73", "S83", "S93"]
-_COMPARED = ", ".join(f"'{t}'" for t in COMPARED)
+# The tickers shown: the smallest one of each sector (the five regions).
+SECTORS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+_LEADERS = "SELECT MIN(ticker) FROM tickers GROUP BY sector"
 
 
 def get_peers_sql() -> str:
     return with_ctes() + f"""SELECT t.ticker, t.sector, t.subsector, t.segment FROM tickers t
-WHERE EXISTS (SELECT 1 FROM tickers g WHERE g.ticker IN ({_COMPARED}) AND g.sector = t.sector
+WHERE EXISTS (SELECT 1 FROM tickers g WHERE g.ticker IN ({_LEADERS}) AND g.sector = t.sector
               AND g.subsector = t.subsector AND g.segment = t.segment)"""
 
 
@@ -568,9 +569,10 @@ def individual(sql: str) -> str:
 
 
 def compare_wide_sql() -> str:
-    cols = ", ".join(f"MAX(CASE WHEN ticker = '{t}' THEN {v} END) AS \"{v} {t}\"" for t in COMPARED
+    cols = ", ".join(f"MAX(CASE WHEN t.sector = '{x}' THEN {v} END) AS \"{v} {x}\"" for x in SECTORS
                      for v in ("ytd_net_income", "quarter_net_income", "ttm_net_income"))
-    return f"SELECT date, {cols} FROM {_sub(compare_net_income_sql())} q WHERE ticker IN ({_COMPARED}) GROUP BY date"
+    return with_ctes() + f"""SELECT q.date, {cols} FROM {_sub(compare_net_income_sql())} q JOIN tickers t ON q.ticker = t.ticker
+WHERE q.ticker IN ({_LEADERS}) GROUP BY q.date"""
 
 
 def compare_net_income_sql(start: str = "all") -> str:
@@ -586,17 +588,41 @@ common AS (SELECT date FROM ta WHERE total_assets IS NOT NULL GROUP BY date
 SELECT ticker, date, total_assets FROM ta WHERE date IN (SELECT date FROM common)"""
 
 
+def frequency_sql(dates_sql: str) -> str:
+    """(series, n_dates, frequency, is_regular) of the distinct dates in (series, date)."""
+    months = "['JAN','FEB','MAR','APR','MAY','JUN','JUL','AUG','SEP','OCT','NOV','DEC']"
+    days = "['MON','TUE','WED','THU','FRI','SAT','SUN']"
+    many = lambda n, name: f"CASE WHEN {n} > 1 THEN CAST({n} AS VARCHAR) ELSE '' END || {name}"
+    return f"""WITH d AS (SELECT DISTINCT series, date FROM {_sub(dates_sql)} q),
+g AS (SELECT series, date, ISODOW(date) - 1 AS wd, DAY(date) AS dd, DAY(LAST_DAY(date)) AS dm, (DAY(date) - 1) // 7 AS wk,
+  (YEAR(date) * 12 + MONTH(date)) - LAG(YEAR(date) * 12 + MONTH(date)) OVER s AS gm, DATE_DIFF('day', LAG(date) OVER s, date) AS gd
+  FROM d WINDOW s AS (PARTITION BY series ORDER BY date)),
+h AS (SELECT series, COUNT(*) AS n_dates, MONTH(MIN(date)) AS mo, MIN(gm) AS gm, MAX(gm) AS gm_hi, MIN(gd) AS gd, MAX(gd) AS gd_hi,
+  BOOL_AND(dd = dm) AS ce, BOOL_AND(dd = dm OR (dm - dd < 3 AND wd = 4)) AS be, BOOL_AND(dd = 1) AS cs,
+  BOOL_AND(dd = 1 OR (dd <= 3 AND wd = 0)) AS bs,
+  BOOL_AND(gd IS NULL OR (gd = 1 AND wd BETWEEN 1 AND 4) OR (gd = 3 AND wd = 0)) AS work,
+  MIN(wd) AS wd, MAX(wd) AS wd_hi, MIN(wk) FILTER (wk < 4) AS wk, MAX(wk) FILTER (wk < 4) AS wk_hi FROM g GROUP BY series),
+a AS (SELECT *, CASE WHEN ce OR cs OR be OR bs THEN gm = gm_hi AND gm > 0 ELSE FALSE END AS monthly,
+  CASE WHEN ce THEN '' WHEN be THEN 'B' WHEN cs THEN '' ELSE 'B' END AS biz, CASE WHEN ce OR be THEN 'E' ELSE 'S' END AS fin FROM h),
+f AS (SELECT series, n_dates, CASE WHEN n_dates < 3 THEN NULL
+  WHEN monthly AND gm % 12 = 0 THEN {many("gm // 12", f"biz || 'Y' || fin || '-' || {months}[mo]")}
+  WHEN monthly AND gm % 3 = 0 THEN {many("gm // 3", "biz || 'Q' || fin || '-' || ['DEC','OCT','NOV'][mo % 3 + 1]")}
+  WHEN monthly THEN {many("gm", "biz || 'M' || fin")}
+  WHEN gd = gd_hi AND gd % 7 = 0 THEN {many("gd // 7", f"'W-' || {days}[wd + 1]")}
+  WHEN gd = gd_hi THEN {many("gd", "'D'")}
+  WHEN work AND gd = 1 AND gd_hi = 3 THEN 'B'
+  WHEN wd = wd_hi AND wk = wk_hi THEN 'WOM-' || CAST(wk + 1 AS VARCHAR) || {days}[wd + 1] END AS frequency FROM a)
+SELECT series, n_dates, frequency, frequency IS NOT NULL AS is_regular FROM f"""
+
+
 def is_regular_sql(name: str, dates_sql: str) -> str:
-    return f"""WITH d AS (SELECT DISTINCT date FROM {_sub(dates_sql)} q),
-g AS (SELECT date,
-  (YEAR(date) * 12 + MONTH(date)) - LAG(YEAR(date) * 12 + MONTH(date)) OVER (ORDER BY date) AS gm,
-  DATE_DIFF('day', LAG(date) OVER (ORDER BY date), date) AS gd,
-  CASE WHEN date = LAST_DAY(date) THEN 1 ELSE 0 END AS me, CASE WHEN DAY(date) = 1 THEN 1 ELSE 0 END AS ms FROM d),
-h AS (SELECT *, CASE WHEN ISODOW(date) <= 5 AND (gd IS NULL OR gd = 1 OR (gd = 3 AND ISODOW(date) = 1)) THEN 1 ELSE 0 END AS wd
-  FROM g)
-SELECT '{name}' AS measure, COUNT(*) AS n_dates,
-  (COUNT(*) >= 3 AND (((MIN(me) = 1 OR MIN(ms) = 1) AND MIN(gm) = MAX(gm)) OR MIN(gd) = MAX(gd) OR MIN(wd) = 1)) AS is_regular
-FROM h"""
+    return f"""SELECT series AS measure, n_dates, is_regular
+FROM {_sub(frequency_sql(f"SELECT '{name}' AS series, date FROM {_sub(dates_sql)} x"))} y"""
+
+
+def frequency_classes_sql() -> str:
+    return frequency_sql(with_ctes() + """SELECT cnpj || ' ' || grupo_dfp AS series, date FROM sdates
+UNION ALL SELECT ticker, date FROM prices""")
 
 
 # ------------------------------------------------------------------ charts
@@ -648,10 +674,13 @@ LATEST_ROWS_SQL = with_ctes() + """SELECT ticker, date, preult, totneg, quatot,
 
 
 def compare_filled_sql() -> str:
-    """Every given ticker on every date of any of them, as the wide comparison holds them."""
-    return f"""WITH pe AS (SELECT * FROM {_sub(price_earnings_sql())} q WHERE ticker IN ({_COMPARED})),
-grid AS (SELECT d.date, t.ticker FROM (SELECT DISTINCT date FROM pe) d CROSS JOIN (SELECT UNNEST([{_COMPARED}]) AS ticker) t)
-SELECT g.ticker, g.date, LAST_VALUE(pe.p_e IGNORE NULLS) OVER (PARTITION BY g.ticker ORDER BY g.date
+    """Every ticker on every date of any ticker of its peer group."""
+    return with_ctes(f"""
+pe AS (SELECT * FROM {_sub(price_earnings_sql())} q),
+pdays AS (SELECT DISTINCT t.sector, t.subsector, t.segment, pe.date FROM pe JOIN tickers t ON pe.ticker = t.ticker),
+grid AS (SELECT t.ticker, d.date FROM pdays d JOIN tickers t ON d.sector = t.sector AND d.subsector = t.subsector
+         AND d.segment = t.segment)""") + """SELECT g.ticker, g.date,
+  LAST_VALUE(pe.p_e IGNORE NULLS) OVER (PARTITION BY g.ticker ORDER BY g.date
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p_e
 FROM grid g LEFT JOIN pe ON g.ticker = pe.ticker AND g.date = pe.date"""
 

@@ -85,6 +85,8 @@ ORACLE["compare_wide"] = m.compare_wide_sql()
 ORACLE["is_regular_net_income"] = m.is_regular_sql("net_income", m.net_income_sql())
 ORACLE["is_regular_prices"] = m.is_regular_sql("prices", m.prices_sql("all"))
 
+ORACLE["frequency_classes"] = m.frequency_classes_sql()
+
 # --- chart data ---------------------------------------------------------------
 ORACLE["bs_composition"] = m.bs_composition_sql()
 ORACLE["account_seasonality"] = m.account_seasonality_sql("3.01")

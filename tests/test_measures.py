@@ -116,3 +116,27 @@ def test_unknown_measure_and_bad_start(make_tables):
     with pytest.raises(ValueError):
         balances.total_assets(t, start_period="not a date")
     assert dt.date(2000, 1, 1)
+
+
+def test_filled_per_peer_group(spark):
+    day = [d(f"2000-01-0{k}") for k in range(1, 6)]
+    long = spark.createDataFrame([("A1", day[0], 1.0), ("A2", day[1], 5.0), ("A1", day[3], 2.0), ("B1", day[4], 9.0)],
+                                 "ticker string, date date, v double")
+    members = spark.createDataFrame([("A1", "a"), ("A2", "a"), ("A3", "a"), ("B1", "b"), ("B2", "b")], "ticker string, g string")
+    got = sorted((r.ticker, r.date.day, r.v) for r in compare.compare_groups(long, members, ["g"]).collect())
+    assert got == [("A1", 1, 1.0), ("A1", 2, 1.0), ("A1", 4, 2.0), ("A2", 1, None), ("A2", 2, 5.0), ("A2", 4, 5.0),
+                   ("A3", 1, None), ("A3", 2, None), ("A3", 4, None), ("B1", 5, 9.0), ("B2", 5, None)]
+    assert sorted((r.ticker, r.date.day) for r in compare.compare_filled(long, ["a1", "b1"]).collect()) == [
+        ("A1", 1), ("A1", 4), ("A1", 5), ("B1", 1), ("B1", 4), ("B1", 5)]
+
+
+def test_wide_by_group_leader(make_tables, spark):
+    t = make_tables(tickers=[ticker_row("BB3", "B", sector="x"), ticker_row("AA3", "A", sector="x"), ticker_row("CC3", "C", sector="y")])
+    lead = peers.leaders(t)
+    assert {(r.ticker, r.sector) for r in lead.collect()} == {("AA3", "x"), ("CC3", "y")}
+    long = spark.createDataFrame([("AA3", d("2000-01-01"), 1.0), ("BB3", d("2000-01-01"), 2.0), ("CC3", d("2000-01-02"), 3.0)],
+                                 "ticker string, date date, v double")
+    wide = compare.compare_wide_by(long, lead, "sector")
+    assert wide.columns == ["date", "v x", "v y"]
+    assert sorted(map(tuple, wide.collect())) == [(d("2000-01-01"), 1.0, None), (d("2000-01-02"), None, 3.0)]
+    assert {r.ticker for r in peers.get_peers(t, lead).collect()} == {"AA3", "BB3", "CC3"}

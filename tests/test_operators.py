@@ -77,3 +77,40 @@ def test_expected_days_empty_when_up_to_date(spark):
     stored = spark.createDataFrame([(d("2001-12-20"),)], "date date")
     holidays = spark.createDataFrame([], "date date")
     assert expected_days(stored, holidays, d("2001-12-20")).count() == 0
+
+
+def test_frequency_classes_equal_those_of_pandas(spark):
+    """Regular series of every kind, regular ones with a date missing or moved, random ones."""
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(3)
+    series = []
+    kinds = ["YE-DEC", "YE-MAR", "2YE-DEC", "YS-JAN", "BYE-DEC", "BYS-JAN", "QE-DEC", "QE-NOV", "QE-OCT", "2QE-DEC", "QS-OCT", "BQE-DEC",
+             "BQS-OCT", "ME", "2ME", "MS", "BME", "BMS", "4ME", "W-FRI", "2W-MON", "D", "3D", "10D", "14D", "B", "WOM-3FRI", "WOM-1MON",
+             "WOM-4SUN"]
+    for kind in kinds:
+        for n in (3, 4, 9, 24):
+            dates = list(pd.date_range("1996-02-20", periods=n, freq=kind))
+            series.append(dates)
+            if n > 4:
+                series.append(dates[:3] + dates[4:])
+                moved = sorted({*dates[:5], dates[5] + pd.Timedelta(days=1), *dates[6:]})
+                series.append(moved)
+    series += [sorted({pd.Timestamp("2000-01-01") + pd.Timedelta(days=rng.randrange(40)) for _ in range(rng.randrange(3, 8))}) for _ in range(40)]
+    series = [s for s in series if len(s) >= 3]
+    rows = [(k, d.date()) for k, dates in enumerate(series) for d in dates]
+    got = {r.k: r for r in frequency_table(spark.createDataFrame(rows, "k int, date date"), ["k"]).collect()}
+    for k, dates in enumerate(series):
+        want = pd.infer_freq(pd.DatetimeIndex(dates))
+        assert got[k].frequency == want and got[k].is_regular == (want is not None), (k, dates[:6])
+
+
+def test_annual_reporters_by_class(spark):
+    import pandas as pd
+
+    cases = {"YE-DEC": "A", "YS-JAN": "A", "2YE-DEC": "Q", "BYE-DEC": "Q", "2BYE-DEC": "Q", "QE-DEC": "Q", "ME": "Q"}
+    rows = [(kind, d.date()) for kind in cases for d in pd.date_range("1996-02-20", periods=6, freq=kind)]
+    got = {r.k: r.freq for r in frequency_table(spark.createDataFrame(rows, "k string, date date"), ["k"]).collect()}
+    assert got == cases
