@@ -1,19 +1,19 @@
 """Surrogates for personal data (operator 3).
 
 Detected entities (mail addresses, phone, card, account and social-security
-numbers, IP addresses, secrets, names after a form of address) are replaced
-by keyed values of the same type and format.
+numbers, IP addresses, secrets, names after a form of address, known given names with a surname) are
+replaced by keyed values of the same type and format.
 
 Method: every replacement is a keyed permutation of the strings of one
 pattern.  A character is mapped within its class (digit, hex digit, Latin,
 Greek or Cyrillic vowel or consonant of either case, Hiragana, Katakana, Hangul,
-CJK), all positions together by a Feistel network over the classes'
+CJK, the letters, marks and digits of every other script of the basic plane), all positions together by a Feistel network over the classes'
 sizes.  Length, case, script, punctuation and sound pattern stay; a
 permutation gives distinct strings distinct surrogates and the same string the same
 one everywhere (coreference) with no table shared between workers.  Values of
 another kind are walked over: the permutation is applied again until the
-result is valid like the original (Luhn and IBAN check digits, private or
-public IP range, known given names of one gender, no name list entry for
+result is valid like the original (Luhn and IBAN check digits, the IP address's own
+special block, known given names of one gender, no name list entry for
 other names).  Given names known to the lists are permuted among names of
 the same gender and script; vowels that end a name are kept, as they mark gender.
 
@@ -89,7 +89,24 @@ def _classes() -> dict[str, str]:
             groups += ["".join(part), "".join(c.upper() for c in part)]
     for lo, hi in [(0x3042, 0x3094), (0x30A2, 0x30F4), (0x4E00, 0x9FA6), (0xAC00, 0xD7A4)]:
         groups.append("".join(map(chr, range(lo, hi))))
-    return {c: g for g in groups if len(g) > 1 for c in g}
+    return {c: g for g in [*groups, *_other_letters("".join(groups))] if len(g) > 1 for c in g}
+
+
+def _other_letters(known: str) -> list[str]:
+    """Groups for the letters, marks and digits of all other scripts of the basic plane: those of one
+    script, block of 128 and category, vowels apart from consonants where letters are built on a, e, i, o, u, y."""
+    held, groups = set(known), {}
+    for code in [*range(0x100, 0x3040), *range(0xA000, 0xABFF), *range(0xFB00, 0xFDFF)]:
+        c = chr(code)
+        kind = unicodedata.category(c)
+        if c in held or kind not in ("Lu", "Ll", "Lo", "Mn", "Mc", "Nd"):
+            continue
+        if kind in ("Lu", "Ll") and (len(c.upper()) != 1 or len(c.lower()) != 1 or c == c.swapcase()):
+            continue
+        base = unicodedata.normalize("NFD", c)[0].lower()
+        script = unicodedata.name(c, "").split(" ")[0]
+        groups.setdefault((script, code >> 7, kind, base in VOWELS), []).append(c)
+    return ["".join(g) for g in groups.values()]
 
 
 CLASSES = _classes()
@@ -210,11 +227,25 @@ def iban(value: str, key: bytes, tweak: str) -> str:
     return onto(value, country + walk(check + rest, key, "iban?" + country + tweak, wrong))
 
 
+# Address blocks of special use; an address stays in its own block.
+BLOCKS = [ipaddress.IPv4Network(b) for b in (
+    "0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.0.0.0/24", "192.0.2.0/24",
+    "192.88.99.0/24", "192.168.0.0/16", "198.18.0.0/15", "198.51.100.0/24", "203.0.113.0/24", "224.0.0.0/4", "240.0.0.0/4")]
+BITS = {c: "01" for c in "01"}
+
+
+def block_of(number: int) -> int:
+    """Place of the special block that holds the address, -1 if it is in none."""
+    return next((i for i, b in enumerate(BLOCKS) if number >> (32 - b.prefixlen) == int(b.network_address) >> (32 - b.prefixlen)), -1)
+
+
 def ip(value: str, key: bytes, tweak: str) -> str:
-    kind = ip_kind(value)
-    packed = f"{int(ipaddress.IPv4Address(value)):08x}"
-    as_text = lambda x: str(ipaddress.IPv4Address(int(x, 16)))
-    return as_text(walk(packed, key, "ip" + tweak, lambda x: ip_kind(as_text(x)) == kind, HEX))
+    """An address of the same special block, or outside all of them."""
+    bits = f"{int(ipaddress.IPv4Address(value)):032b}"
+    block = block_of(int(bits, 2))
+    kept = BLOCKS[block].prefixlen if block >= 0 else 0
+    new = walk(bits[kept:], key, "ip" + tweak, lambda x: block_of(int(bits[:kept] + x, 2)) == block, BITS)
+    return str(ipaddress.IPv4Address(int(bits[:kept] + new, 2)))
 
 
 def hex_kind(value: str) -> int:
@@ -254,11 +285,45 @@ ASSIGNED = re.compile(
     r"(?P<secret>[A-Za-z0-9+/_\-]{12,}={0,2})")
 EMAILS = re.compile(r"(?<![\w.+%-])(?P<email>[\w.+%-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})")
 FORMS = re.compile(r"\b(?:" + "|".join(sorted(ADDRESS, key=len, reverse=True)) + r")\.? (?=[^\W\d_])")
-WORD = re.compile(r"[^\W\d_][\w'-]*")
+# Combining marks belong to words, but not to \w.
+MARKS = "".join(chr(c) for c in range(0x300, 0x1E00) if unicodedata.category(chr(c)) in ("Mn", "Mc"))
+LETTERS = rf"\w{MARKS}"
+WORD = re.compile(rf"[^\W\d_][{LETTERS}]*(?:['\u2019-][{LETTERS}]+)*")
+POSSESSIVE = re.compile(r"['\u2019]s\Z")
+#: Not after or before a part of the same word; an ending 's is no part of the name.
+STARTS, STOPS = rf"(?<![{LETTERS}'\u2019-])", rf"(?![{LETTERS}]|['\u2019-](?!s(?![{LETTERS}]))[{LETTERS}])"
+# Particles that stand inside names.
+PARTICLES = {"van", "von", "der", "den", "de", "del", "della", "di", "da", "dos", "du", "la", "le", "el", "al", "bin", "ibn", "zu", "ter", "y"}
+CASELESS_NAMES = 3
+KNOWN_NAMES = re.compile(STARTS + "(?:" + "|".join(sorted(GIVEN_GROUP, key=len, reverse=True)) + f")(?= [^\\W\\d_])")
+
+#: Cheap look for the above: capitalised words with another word behind.
+CAPITALISED = re.compile(r"[A-Z\u0410-\u042F]\w+(?= \w)")
+
+
+def caseless(word: str) -> bool:
+    return unicodedata.category(word[0]) == "Lo"
 
 
 def is_name(word: str) -> bool:
-    return len(word) > 1 and (word[0].isupper() or unicodedata.category(word[0]) == "Lo")
+    return len(word) > 1 and (word[0].isupper() or caseless(word))
+
+
+def name_run(text: str, at: int) -> list[str]:
+    """The names that follow each other from ``at`` on, one blank between them, over particles; a script
+    without capitals does not show where a name ends, so three of its words are taken at most."""
+    names, small = [], 0
+    while w := WORD.match(text, at):
+        word = w[0]
+        if is_name(word) and word not in ADDRESS and small < CASELESS_NAMES:
+            names.append(POSSESSIVE.sub("", word))
+            small += caseless(word)
+        elif word not in PARTICLES:
+            break
+        if text[w.end():w.end() + 1] != " " or POSSESSIVE.search(word):
+            break
+        at = w.end() + 1
+    return names
 
 
 def found_in(text: str) -> list[tuple[int, int, str]]:
@@ -274,17 +339,14 @@ def found_in(text: str) -> list[tuple[int, int, str]]:
                 spans.append((*m.span(), m.lastgroup))
     people = set()
     for m in FORMS.finditer(text):
-        at = m.end()
-        for _ in range(3):  # up to three names follow a form of address
-            w = WORD.match(text, at)
-            if not w or not is_name(w[0]) or w[0] in ADDRESS:
-                break
-            people.add(w[0])
-            at = w.end() + 1
-            if text[w.end():at] != " ":
-                break
+        people.update(name_run(text, m.end()))
+    if not GIVEN_GROUP.keys().isdisjoint(CAPITALISED.findall(text)):
+        for m in KNOWN_NAMES.finditer(text):  # a known given name with a surname behind it needs no form of address
+            run = name_run(text, m.start())
+            if len(run) > 1:
+                people.update(run)
     if people:
-        words = re.compile(r"(?<![\w'-])(?:" + "|".join(map(re.escape, sorted(people, key=len, reverse=True))) + r")(?![\w'-])")
+        words = re.compile(STARTS + "(?:" + "|".join(map(re.escape, sorted(people, key=len, reverse=True))) + ")" + STOPS)
         spans += [(*m.span(), "name") for m in words.finditer(text)]
     out, end = [], 0
     for s in sorted(enumerate(spans), key=lambda x: (x[1][0], x[0])):
