@@ -88,23 +88,39 @@ This program is distributed in the hope that it will be useful, but WITHOUT ANY
 warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {} General Public License for more details."""
 
 
-def templates() -> list[tuple[str, str]]:
-    """(identifier, text) of all templates."""
+# The licences that the GNU header is used with.
+GNU_VERSIONS = [("GPL-2.0", "", 2), ("GPL-3.0", "", 3), ("LGPL-2.1", "Lesser", 2.1), ("LGPL-3.0", "Lesser", 3), ("AGPL-3.0", "Affero", 3)]
+
+
+def notice_names() -> dict[str, list[str]]:
+    """Identifier -> names in one-line notices."""
     names = dict(NAMES)
     for code, words in CREATIVE_COMMONS.items():
         for version in ("3.0", "4.0"):
             names[f"CC-{code}-{version}"] = [
                 f"CC {code} {version}", f"Creative Commons {words} {version} International License",
                 f"Creative Commons {words} {version} License"]
-    out = [(i, form.format(n)) for i, ns in names.items() for n in ns for form in FORMS]
+    return names
+
+
+def required() -> dict[str, str]:
+    """Template text -> words of it that a passage must have whatever its coefficient: a notice's name
+    and version, a header's version.  In so few words the rest would reach any threshold without them."""
+    out = {form.format(n): n for ns in notice_names().values() for n in ns for form in FORMS}
+    for _, kind, version in GNU_VERSIONS:
+        out[GNU_HEADER.format(kind, version, kind)] = f"either version {version} of the License"
+    return out
+
+
+def templates() -> list[tuple[str, str]]:
+    """(identifier, text) of all templates."""
+    out = [(i, form.format(n)) for i, ns in notice_names().items() for n in ns for form in FORMS]
     out += list(TEXTS.items())
     third = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
              "products derived from this software without specific prior written permission.")
     first, last = TEXTS["BSD-2-Clause"].split("THIS SOFTWARE IS PROVIDED", 1)
     out.append(("BSD-3-Clause", first + third + "\nTHIS SOFTWARE IS PROVIDED" + last))
-    for i, kind, version in (("GPL-2.0", "", 2), ("GPL-3.0", "", 3), ("LGPL-2.1", "Lesser", 2.1), ("LGPL-3.0", "Lesser", 3),
-                             ("AGPL-3.0", "Affero", 3)):
-        out.append((i, GNU_HEADER.format(kind, version, kind)))
+    out += [(i, GNU_HEADER.format(kind, version, kind)) for i, kind, version in GNU_VERSIONS]
     return out + whole_texts()
 
 

@@ -10,7 +10,9 @@ templates with fewer places than their bound are pruned, and so are
 passages outside the size bounds.  The rest are compared exactly, passage by passage, at
 any place of the whole text.  Passages of all templates are taken best first, and each
 leaves out those that overlap it; a start whose best passage is left out so is tried
-again with the passages that end before.
+again with the passages that end before.  In a notice of a few words the licence's name and
+version are less than a fifth of the bigrams, so a passage must have all bigrams of both, and its version must end where
+the notice's does.
 
 Defined results: null or empty text has no licences; of equal coefficients the
 longer template wins, then the smaller identifier, the earlier and the shorter passage; repeated rows get the same
@@ -32,12 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from fundlake.llm.license_templates import templates
+from fundlake.llm.license_templates import required, templates
 
 WORD = re.compile(r"[^\W_]+")
 # Spellings that mean the same in licence texts.
 SAME = {"licence": "license", "licences": "licenses", "licenced": "licensed", "https": "http", "sublicence": "sublicense"}
 
+OTHER_VERSION = re.compile(r"\d+\.(?!0+(?!\d|\.\d))\d")
 #: Templates of more bigrams are indexed apart.
 LONG = 500
 
@@ -53,14 +56,18 @@ def dice(a: Counter, b: Counter) -> float:
 
 
 class Scanner:
-    def __init__(self, known: list[tuple[str, str]], threshold: float = 0.8):
+    """``must`` has, for some template texts, the words that a passage must have."""
+
+    def __init__(self, known: list[tuple[str, str]], threshold: float = 0.8, must: dict[str, str] | None = None):
         self.threshold = threshold
-        self.names, self.grams = [], []
+        self.names, self.grams, self.must = [], [], []
         for name, text in known:
             w = words_of(text)
             if len(w) > 1:
                 self.names.append(name)
                 self.grams.append(Counter(zip(w, w[1:])))
+                own = words_of((must or {}).get(text, ""))
+                self.must.append(frozenset(zip(own, own[1:])))
         self.sizes = [g.total() for g in self.grams]
         low, high = threshold / (2 - threshold), (2 - threshold) / threshold
         self.least = [max(1, -int(-low * n // 1)) for n in self.sizes]
@@ -128,14 +135,16 @@ class Scanner:
         """(coefficient, last word) of the best passage that begins at the place and ends at one of the
         template's before the word ``limit``, if it reaches the threshold; of equal ones the shortest."""
         size, start, grams = self.sizes[t], at[a], self.grams[t]
+        missing = set(self.must[t])
         used: Counter = Counter()
         common, c, b = 0, 0.0, a
         for e in range(a, bisect_right(at, min(start + self.most[t] - 1, limit - 2), a)):
             gram = (words[at[e]], words[at[e] + 1])
             used[gram] += 1
+            missing.discard(gram)
             common += used[gram] <= grams[gram]
             here = 2 * common / (at[e] - start + 1 + size)
-            if here > c:
+            if here > c and not missing:
                 c, b = here, e
         return (c, at[b] + 1) if c >= self.threshold else None
 
@@ -145,7 +154,12 @@ class Scanner:
         best = self.passages(words_of(text))
         if not best:
             return []
-        spans = [m.span() for m in WORD.finditer(text.lower())] if len(text.lower()) == len(text) else None
+        low = text.lower()
+        spans = [m.span() for m in WORD.finditer(low)]
+        # a number that goes on behind a notice's version is another version: 2 is not 2.1
+        best = [p for p in best if not (self.must[p[1]] and OTHER_VERSION.match(low, spans[p[3]][0]))]
+        if len(low) != len(text):
+            spans = None
         return [{"license": self.names[t], "score": c, "start": spans[i][0] if spans else None,
                  "end": spans[j][1] if spans else None} for c, t, i, j in best]
 
@@ -155,7 +169,7 @@ _SCANNERS: dict = {}
 
 def shared_scanner(threshold: float) -> Scanner:
     if threshold not in _SCANNERS:
-        _SCANNERS[threshold] = Scanner(templates(), threshold)
+        _SCANNERS[threshold] = Scanner(templates(), threshold, required())
     return _SCANNERS[threshold]
 
 

@@ -13,6 +13,29 @@ from fundlake.llm import licenses, pii, spm_sample, toxicity
 from fundlake.llm.license_templates import templates
 
 
+@pytest.mark.parametrize("text, want", [
+    ("Licensed under the GNU General Public License.", []), ("Licensed under the GNU General Public License, version 1.", []),
+    ("Licensed under the Apache License, Version 1.1", []), ("Licensed under the Mozilla Public License 1.1", []),
+    ("This work is licensed under a Creative Commons Attribution 2.0 License.", []),
+    ("Distributed under the terms of the Python License", []), ("Licensed under the GNU General Public License, version 2.1.", []),
+    ("Licensed under the GNU General Public License, version 2.", ["GPL-2.0"]), ("Released under the MIT Licence.", ["MIT"]),
+    ("Licensed under the GNU General Public License, version 2.0.", ["GPL-2.0"]), ("Licensed under Apache License 2.0", ["Apache-2.0"]),
+    ("licensed under the Mozilla Public License, version 2.0 here", ["MPL-2.0"]),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0"]),
+    ("Licensed under the GNU Lesser General Public License, version 2.1, please", ["LGPL-2.1"])])
+def test_a_notice_names_its_own_licence_or_none(text, want):
+    assert [x["license"] for x in licenses.shared_scanner(0.8).scan(text)] == want
+    assert [x["license"] for x in licenses.shared_scanner(0.8).scan("Some words before. " + text + " And some words after it.")] == want
+
+
+def test_a_header_of_another_version_is_not_taken_for_a_known_one():
+    from fundlake.llm.license_templates import GNU_HEADER
+
+    scan = licenses.shared_scanner(0.8).scan
+    assert [x["license"] for x in scan(GNU_HEADER.format("", 3, ""))] == ["GPL-3.0"]
+    assert [x["license"] for x in scan(GNU_HEADER.format("", 1, ""))] == []
+
+
 # ---------------------------------------------------------------- licences
 def slow_best(text, known, threshold=0.8):
     """Every passage against every template, all pairs of places."""
