@@ -15,7 +15,9 @@ same in both and only the toxic section makes a difference.
 
 Fitting reads a bounded sample of labelled documents without near copies: about ``MOST_TOXIC`` and
 ``MOST_ORDINARY`` of them at most, none over ``MOST_BYTES``, those whose ids hash below the
-matching part of the hash range, never held-out ones.  The calibration sees only documents that the
+matching part of the hash range, never held-out ones.  At most twice as many ids, in order of their hash, and at most
+``SAMPLE_BYTES`` of text go to the driver; of several texts under one id the one of the smallest digest is read,
+so the sample and the model depend on the rows alone.  The calibration sees only documents that the
 dictionaries used for it have not seen (two halves, crosswise), and the
 intercept is shifted from the sample's to the labels' own share of toxic
 documents.  Scoring covers every window of every whole text.
@@ -43,6 +45,7 @@ from pyspark.sql.functions import arrow_udf
 from fundlake.llm.common import fresh_name
 
 MOST_TOXIC, MOST_ORDINARY, MOST_BYTES = 2_500, 5_000, 65_536
+SAMPLE_BYTES = 48 << 20
 FOLDS = 5
 
 
@@ -245,13 +248,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     top = (1 << 62) - 1
     part = lambda n, most: F.lit(int(min(1.0, most / max(1, n)) * top))
     few = F.when(F.col("y") > 0, part(toxic, MOST_TOXIC)).otherwise(part(total - toxic, MOST_ORDINARY))
-    pick = known.filter(F.xxhash64("id").bitwiseAND(F.lit(top)) <= few).limit(2 * (MOST_TOXIC + MOST_ORDINARY)).collect()
-    if not pick:
+    by_hash = F.xxhash64("id").bitwiseAND(F.lit(top))
+    chosen = known.filter(by_hash <= few).withColumn("h", by_hash).orderBy("h", "id").limit(2 * (MOST_TOXIC + MOST_ORDINARY))
+    ids = docs.sparkSession.createDataFrame([tuple(r) for r in chosen.select("id", "y").collect()], "id long, y int")
+    texts = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+             .filter(F.octet_length("text") <= MOST_BYTES).join(F.broadcast(ids), "id")
+             .select("id", "y", "text", F.md5(F.col("text").cast("binary")).alias("digest")))
+    # one text per id, whatever repeats; then by hash of the id until the sample's bytes are used
+    one = texts.groupBy("id", "y").agg(F.min(F.struct("digest", F.octet_length("text").alias("n"))).alias("t"))
+    sizes = sorted(one.select(F.xxhash64("id").alias("h"), "id", "t.digest", "t.n").collect())
+    fits = np.cumsum([r["n"] for r in sizes]) <= SAMPLE_BYTES
+    kept = [(r["id"], r["digest"]) for r, fit_ in zip(sizes, fits.tolist()) if fit_]
+    if not kept:
         return fit([], [], share, settings)
-    ids = docs.sparkSession.createDataFrame([(r["id"], r["y"]) for r in pick], "id long, y int")  # about 7500 rows at most
-    rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-            .filter(F.octet_length("text") <= MOST_BYTES).join(F.broadcast(ids), "id")
-            .limit(4 * (MOST_TOXIC + MOST_ORDINARY)).collect())
+    wanted = docs.sparkSession.createDataFrame(kept, "id long, digest string")
+    rows = texts.join(F.broadcast(wanted), ["id", "digest"]).dropDuplicates(["id", "digest"]).collect()
     rows.sort(key=lambda r: (r["id"], r["text"]))
     return fit([r["text"].encode() for r in rows], [r["y"] for r in rows], share, settings)
 

@@ -458,3 +458,13 @@ def test_held_out_accuracy(spark):
     bad, good = ([r.score for r in rows if r.toxic == y] for y in (1, 0))
     auc = np.mean([a > b for a in bad for b in good])
     assert right > 1 - share and auc > 0.9
+
+
+def test_the_training_sample_depends_on_the_rows_alone(spark, monkeypatch):
+    rows = [(i % 150, f"document {i} " + ("you idiot " if i % 150 < 40 else "a calm word ") * (3 + i % 5)) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(150)], "doc_id long, toxic int")
+    frame = lambda k: spark.createDataFrame(rows[k:] + rows[:k], "doc_id long, text string").repartition(1 + k % 5)
+    a, b = (toxicity.train(frame(k), labels) for k in (0, 133))
+    assert (a.ordinary, a.toxic, a.weights) == (b.ordinary, b.toxic, b.weights)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 0)
+    assert toxicity.train(frame(0), labels).constant is not None  # nothing fits: the labels' share
