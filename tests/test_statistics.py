@@ -118,6 +118,7 @@ def test_every_stored_table_is_scanned_once(make_tables, spark, tmp_path):
     for name, df in (("companies", build_companies(tables)), ("scope", build_scope(tables))):
         df.write.parquet(f"{tmp_path}/{name}")
     sc, co = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("scope", "companies"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # else long paths are cut off
     days = statistics.report_days(tables, co, 5)
     plan = days._jdf.queryExecution().executedPlan().toString()
     for name in ("dre", "dva", "dfc", "bpa", "bpp"):
