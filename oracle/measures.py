@@ -156,6 +156,13 @@ def ratio_full(left: str, right: str, lv: str, rv: str, out: str) -> str:
 FROM {left} a FULL OUTER JOIN {right} b ON a.cnpj = b.cnpj AND a.grupo_dfp = b.grupo_dfp AND a.date = b.date"""
 
 
+def ratio_stacked(left: str, right: str, lv: str, rv: str, out: str) -> str:
+    """The same ratio without a join; each side has one row per company and date."""
+    return f"""SELECT cnpj, grupo_dfp, date, CAST(MAX(l) AS DOUBLE) / NULLIF(MAX(r), 0) AS {out}
+FROM (SELECT cnpj, grupo_dfp, date, {lv} AS l, NULL AS r FROM {left} UNION ALL SELECT cnpj, grupo_dfp, date, NULL, {rv} FROM {right}) s
+GROUP BY cnpj, grupo_dfp, date"""
+
+
 def current_ratio_sql(start="all") -> str:
     b = bexpr(start)
     return with_ctes() + f"""SELECT a.cnpj, a.grupo_dfp, a.dt_fim_exerc AS date,

@@ -31,7 +31,7 @@ ORACLE["net_debt"] = with_ctes(m.balance_ctes()) + "SELECT cnpj, grupo_dfp, date
 ORACLE["total_equity"] = with_ctes(m.balance_ctes()) + "SELECT cnpj, grupo_dfp, date, total_equity FROM equity"
 ORACLE["total_assets"] = with_ctes(m.balance_ctes()) + "SELECT cnpj, grupo_dfp, date, total_assets FROM assets"
 ORACLE["total_assets_since_1999"] = with_ctes(m.balance_ctes("1999-01-01")) + "SELECT cnpj, grupo_dfp, date, total_assets FROM assets"
-ORACLE["debt_to_equity"] = with_ctes(m.balance_ctes()) + m.ratio_full("debt", "equity", "total_debt", "total_equity", "debt_to_equity")
+ORACLE["debt_to_equity"] = with_ctes(m.balance_ctes()) + m.ratio_stacked("debt", "equity", "total_debt", "total_equity", "debt_to_equity")
 ORACLE["financial_leverage"] = with_ctes(m.balance_ctes()) + m.ratio_full("assets", "equity", "total_assets", "total_equity",
                                                                          "financial_leverage")
 ORACLE["current_ratio"] = m.current_ratio_sql()
