@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from fundlake.llm.common import Rows, cut, fresh_name
+from fundlake.llm.common import Rows, cut, fresh_name, salted_join
 from fundlake.llm.components import connected_components
 
 SEED = 42
@@ -166,7 +166,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
     classes = linked.join(smallest, "root").select("fp", "component")
     labels = prints.join(classes, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return docs.join(labels, "fp").select(
+    # exact copies share a fingerprint: one that many rows have is dealt over several tasks
+    return salted_join(docs, labels, ["fp"]).select(
         F.col("id").alias(id_col), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
