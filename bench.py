@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from fundlake.registry import QUERIES  # noqa: E402
 from fundlake.session import build_session, checkpoint_root  # noqa: E402
-from fundlake.sources import catalog  # noqa: E402
+from fundlake.sources import catalog, fixtures  # noqa: E402
 from fundlake.plans import ingest, scope  # noqa: E402
 
 HEADLINE = [
@@ -40,6 +40,8 @@ def main() -> None:
 
     t0 = time.time()
     tables = catalog.load_tables(spark, sf_dir, root=root)
+    for name in fixtures.NAMES:
+        tables.get(name)
     t1 = time.time()
     ingest.landing(tables)
     t2 = time.time()
