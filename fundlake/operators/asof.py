@@ -6,76 +6,48 @@ each column: every output row is a date of either side, and each column
 carries its latest non-null value up to that date.  This is an as-of
 (backward) join plus the rows at the other side's dates.
 
-The forward fill is a two-level scan so that no company's whole history
-has to sit in one task:
-
-1. rows are partitioned by (key, month) and filled inside the month;
-2. the last non-null value of every (key, month) is an aggregation on the
-   same partitioning (no new exchange), and the carry-in of each month is
-   the last non-null value of the months before it -- a window over one
-   row per key and month;
-3. the carry-in is joined back on (key, month) and used where the month
-   itself has no earlier value.
-
-A key with a long or dense history is therefore spread over as many tasks
-as it has months.
+The forward fill is one running window over a key's rows, which are one per date, so
+they are bounded by the calendar however large the table is.  The merge deals its rows by
+key, so one exchange of the stacked rows serves the merge and the fill, and the rows are
+neither read nor joined a second time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _month(date_col: str) -> Column:
-    return F.year(date_col) * 12 + F.month(date_col)
-
-
-def forward_fill(df: DataFrame, keys: list[str], cols: list[str], date_col: str = "date",
-                 month_col: str | None = None) -> DataFrame:
-    """Replace NULLs in ``cols`` by the latest earlier non-null value within ``keys``.
-
-    ``month_col`` names an existing month column (year * 12 + month of the date).
-    """
-    run = (Window.unboundedPreceding, Window.currentRow)
-    if month_col is None:
-        df = df.withColumn("_mb", _month(date_col))
-    inside = Window.partitionBy(*keys, "_mb").orderBy(date_col).rowsBetween(*run)
-    local = df.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_l_{c}") for c in cols])
-    # last non-null value of each (key, month), straight from the rows: an
-    # aggregation on the existing partitioning, no second sort of the rows
-    month_last = df.groupBy(*keys, "_mb").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(date_col))).alias(f"_m_{c}") for c in cols])
-    before = Window.partitionBy(*keys).orderBy("_mb").rowsBetween(Window.unboundedPreceding, -1)
-    carry = month_last.select(*keys, "_mb",
-                              *[F.last(f"_m_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols])
-    out = local.join(carry, [*keys, "_mb"], "left")
-    keep = [c for c in df.columns if c not in cols and c != "_mb"]
-    return out.select(*keep, *[F.coalesce(F.col(f"_l_{c}"), F.col(f"_c_{c}")).alias(c) for c in cols])
+def forward_fill(df: DataFrame, keys: list[str], cols: list[str], date_col: str = "date") -> DataFrame:
+    """Replace NULLs in ``cols`` by the latest earlier non-null value within ``keys``."""
+    so_far = Window.partitionBy(*keys).orderBy(date_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keep = [c for c in df.columns if c not in cols]
+    return df.select(*keep, *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in cols])
 
 
-def asof_merge(*frames: DataFrame, keys: list[str], date_col: str = "date") -> DataFrame:
+def asof_merge(*frames: DataFrame, keys: list[str], date_col: str = "date", parts: int | None = None) -> DataFrame:
     """Outer merge of several series on (keys, date), then forward fill of every value column.
 
     Each input holds at most one row per key and date.  The merge is a
     union of the inputs (NULL for the others' columns) with one hash
-    exchange on (keys, month); rows of the same date are collapsed there
+    exchange on the keys; rows of the same date are collapsed there
     and the fill runs on the same partitioning, so no further exchange of
     the merged rows is needed (a full outer join would lose the
     partitioning).  Merging n series at once replaces n - 1 nested merges.
+    ``parts`` is the number of tasks the rows are dealt to; without it Spark chooses.
     """
     on = [*keys, date_col]
     value_cols = [[c for c in f.columns if c not in on] for f in frames]
     types = {c: f.schema[c].dataType for f, cs in zip(frames, value_cols) for c in cs}
     every = [c for cs in value_cols for c in cs]
-    parts = [f.select(*on, *[F.col(c) if c in cs else F.lit(None).cast(types[c]).alias(c) for c in every])
-             for f, cs in zip(frames, value_cols)]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    both = both.withColumn("_mb", _month(date_col)).repartition(*keys, "_mb")
-    merged = both.groupBy(*keys, "_mb", date_col).agg(*[F.max(c).alias(c) for c in every])
-    return forward_fill(merged, keys, every, date_col, month_col="_mb")
+    stacked = [f.select(*on, *[F.col(c) if c in cs else F.lit(None).cast(types[c]).alias(c) for c in every])
+               for f, cs in zip(frames, value_cols)]
+    both = stacked[0]
+    for s in stacked[1:]:
+        both = both.unionByName(s)
+    dealt = both.repartition(*keys) if parts is None else both.repartition(parts, *keys)
+    merged = dealt.groupBy(*on).agg(*[F.max(c).alias(c) for c in every])
+    return forward_fill(merged, keys, every, date_col)
 
 
 def aligned(left: DataFrame, right: DataFrame, keys: list[str], out: str, expr, how: str = "full_outer",

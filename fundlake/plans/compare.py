@@ -8,11 +8,10 @@ group on the group's own dates; ``compare_wide`` pivots a given list of tickers
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.functions.frequency import frequency_table
-from fundlake.operators.asof import forward_fill
 from fundlake.operators.flows import K
 from fundlake.plans import balances, income, margins, market
 from fundlake.plans.scope import companies as companies_of
@@ -38,6 +37,10 @@ TICKER_MEASURES = {
 }
 
 
+#: Groups whose dates are sent to every task, at most.
+FEW_GROUPS = 1_000
+
+
 def _ticker_view(company_df: DataFrame, sc: DataFrame) -> DataFrame:
     return company_df.join(sc.select("ticker", *K), K).drop(*K)
 
@@ -74,17 +77,35 @@ def compare_filled(long_df: DataFrame, tickers: list[str]) -> DataFrame:
     return compare_groups(long_df, members, ["_all"])
 
 
-def compare_groups(long_df: DataFrame, members: DataFrame, by: list[str]) -> DataFrame:
+def compare_groups(long_df: DataFrame, members: DataFrame, by: list[str], parts: int | None = None) -> DataFrame:
     """H4 for many comparisons at once: every group's tickers on the dates of any of them, gaps carried forward.
 
-    ``members`` (ticker and the columns ``by``) holds every ticker once.  The grid of dates x tickers is
-    laid per group, so it grows with the tickers compared with each other, not with all tickers.
+    ``members`` holds tickers and the columns ``by``.  The dates of a group are one sorted list, bounded by the
+    calendar.  Each row of a series gives the group's dates from its own to the next row's, so the filled rows, several
+    times as many as the series', are made in place: no grid of dates x tickers is exchanged, joined or sorted.
+    ``long_df`` is read twice.  ``parts`` is the number of tasks its rows are dealt to; without it Spark chooses.
     """
     values = [c for c in long_df.columns if c not in ("ticker", "date")]
-    own = members.select("ticker", *by)
+    own = members.dropna(subset=by).groupBy("ticker", *by).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
     dates = long_df.select("ticker", "date").join(own, "ticker").select(*by, "date").distinct()
-    grid = dates.join(own, by).select("ticker", "date")
-    return forward_fill(grid.join(long_df, ["ticker", "date"], "left").select("ticker", "date", *values), ["ticker"], values)
+    calendar = dates.groupBy(*by).agg(F.array_sort(F.collect_list("date")).alias("_dates"))
+    if own.select(*by).distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+        calendar = F.broadcast(calendar)
+    # a ticker without a row has its group's dates too, without values
+    dealt = long_df if parts is None else long_df.repartition(parts, "ticker")
+    rows = own.join(dealt, "ticker", "left").join(calendar, by)
+    rows = rows.withColumn("_at", F.array_position("_dates", F.col("date"))).drop("_dates")
+    in_order = Window.partitionBy("ticker", *by).orderBy("date")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.select("ticker", *by, "_copies", F.col("date").alias("_own"), "_at", F.lead("_at").over(in_order).alias("_next"),
+                       (F.row_number().over(in_order) == 1).alias("_first"),
+                       *[F.last(v, ignorenulls=True).over(so_far).alias(v) for v in values])
+    begin = F.when(F.col("_first"), 1).otherwise(F.col("_at"))
+    end = F.greatest(F.coalesce("_next", F.size("_dates") + 1), F.col("_at") + 1)  # rows of one date give it once each
+    held = F.slice("_dates", begin.cast("int"), (end - begin).cast("int"))
+    held = F.when(F.col("_copies") == 1, held).otherwise(F.flatten(F.array_repeat(held, F.col("_copies"))))
+    filled = rows.join(calendar, by).select("ticker", F.explode(held).alias("date"), "_own", *values)
+    return filled.select("ticker", "date", *[F.when(F.col("date") >= F.col("_own"), F.col(v)).alias(v) for v in values])
 
 
 def is_regular(long_df: DataFrame, name: str) -> DataFrame:

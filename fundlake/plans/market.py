@@ -147,7 +147,7 @@ def eps(tables: Tables, start_period="all", group="consolidated", companies=None
         co.select("cnpj", F.col("_b7").alias("since"))
     sh = (company_shares(tables, since).join(co.select("cnpj", "grupo_dfp", "_b7"), "cnpj")
           .filter(F.col("date") >= F.col("_b7")).select(*K, "date", "total_shares"))
-    m = asof_merge(sh, ni, keys=K)
+    m = asof_merge(sh, ni, keys=K, parts=tables.parts)
     m = m.withColumn("eps", F.try_divide((F.col("ttm_net_income") * 1000).cast("double"), F.col("total_shares")))
     m = m.join(co.select(*K, "_b"), K)
     if _is_last(start_period):
@@ -178,7 +178,7 @@ def enterprise_value(tables: Tables, start_period="all", group="consolidated", s
     co = _companies(tables, group, scope_df)
     mv = market_value(tables, start_period, scope_df=sc)
     nd = _per_ticker(balances.net_debt(tables, shift_start(start_period, -7), companies=co), sc)
-    m = asof_merge(mv, nd, keys=["ticker"])
+    m = asof_merge(mv, nd, keys=["ticker"], parts=tables.parts)
     return (m.select("ticker", "date", (F.col("market_value") + F.col("net_debt") * 1000).alias("ev"))
             .dropna(subset=["ev"]))
 
@@ -195,7 +195,7 @@ def _ev_multiple(tables, start_period, group, scope_df, measure, col, name):
     f = _per_ticker(measure(tables, quarter=False, ytd=False, start_period=early, companies=co), sc)
     mv = market_value(tables, start_period, scope_df=sc)
     nd = _per_ticker(balances.net_debt(tables, early, companies=co), sc)
-    m = asof_merge(mv, nd, f, keys=["ticker"])
+    m = asof_merge(mv, nd, f, keys=["ticker"], parts=tables.parts)
     ev = F.col("market_value") + F.col("net_debt") * 1000
     return (m.select("ticker", "date", (F.try_divide(ev, F.col(col)) / _thousand()).alias(name))
             .dropna(subset=[name]))
@@ -215,7 +215,7 @@ def bv_share(tables: Tables, start_period="all", group="consolidated", scope_df=
     co = _companies(tables, group, scope_df)
     sh = total_shares(tables, start_period, scope_df=sc)
     eq = _per_ticker(balances.total_equity(tables, shift_start(start_period, -7), companies=co), sc)
-    m = asof_merge(sh, eq, keys=["ticker"])
+    m = asof_merge(sh, eq, keys=["ticker"], parts=tables.parts)
     return (m.select("ticker", "date",
                      (F.try_divide(F.col("total_equity").cast("double"), F.col("total_shares")) * _thousand())
                      .alias("bv_share"))

@@ -140,3 +140,17 @@ def test_wide_by_group_leader(make_tables, spark):
     assert wide.columns == ["date", "v x", "v y"]
     assert sorted(map(tuple, wide.collect())) == [(d("2000-01-01"), 1.0, None), (d("2000-01-02"), None, 3.0)]
     assert {r.ticker for r in peers.get_peers(t, lead).collect()} == {"AA3", "BB3", "CC3"}
+
+
+def test_filled_rows_are_made_in_place(spark):
+    """Repeated tickers and repeated rows give every copy, a missing value is carried; filled rows meet no exchange."""
+    day = [d(f"2000-01-0{k}") for k in range(1, 7)]
+    long = spark.createDataFrame([("A1", day[1], 1.0), ("A1", day[1], 1.0), ("A1", day[3], None), ("A2", day[0], 5.0), ("A2", day[2], 6.0),
+                                  ("C1", day[5], 7.0)], "ticker string, date date, v double")
+    members = spark.createDataFrame([("A1", "a"), ("A1", "a"), ("A2", "a"), ("C1", None)], "ticker string, g string")
+    out = compare.compare_groups(long, members, ["g"], parts=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan.split("Exchange")[0] and "Generate" not in plan.split("Exchange", 1)[1]
+    got = sorted(((r.ticker, r.date.day, r.v) for r in out.collect()), key=repr)
+    a1 = [("A1", 1, None), ("A1", 2, 1.0), ("A1", 2, 1.0), ("A1", 3, 1.0), ("A1", 4, 1.0)]
+    assert got == sorted([*a1, *a1, ("A2", 1, 5.0), ("A2", 2, 5.0), ("A2", 3, 6.0), ("A2", 4, 6.0)], key=repr)

@@ -114,3 +114,12 @@ def test_annual_reporters_by_class(spark):
     rows = [(kind, d.date()) for kind in cases for d in pd.date_range("1996-02-20", periods=6, freq=kind)]
     got = {r.k: r.freq for r in frequency_table(spark.createDataFrame(rows, "k string, date date"), ["k"]).collect()}
     assert got == cases
+
+
+def test_asof_merge_exchanges_its_rows_once(spark):
+    """One exchange by key and no join: the fill does not read the merged rows a second time."""
+    daily = spark.createDataFrame([("x", d("2000-03-30"), 10.0)], "k string, date date, price double")
+    quarterly = spark.createDataFrame([("x", d("2000-03-31"), 5.0)], "k string, date date, eps double")
+    plan = asof_merge(daily, quarterly, keys=["k"], parts=3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(k") == 1 and "Join" not in plan
+    assert "hashpartitioning(k#" in plan and ", 3)" in plan

@@ -88,3 +88,23 @@ def test_quote_lines_read_the_prices_twice(spark, folder):
     assert lines._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 2
     kinds = {r[0] for r in lines.select(F.substring("value", 1, 2)).distinct().collect()}
     assert {"00", "01", "99"} <= kinds
+
+
+def test_parts_of_prices_follow_the_input(spark, folder, monkeypatch, tmp_path):
+    """More input bytes, more tasks: a task's rows do not grow with the table."""
+    from fundlake.sources import catalog
+
+    plain = load_tables(spark, folder, materialize=False).prices
+    monkeypatch.setattr(catalog, "PART_BYTES", 2_000)
+    t = load_tables(spark, folder, root=str(tmp_path))
+    parts = spark.read.parquet(f"{tmp_path}/_manifest").first()["parts"]
+    assert parts > 1 and t.parts == max(8, parts)
+    assert fixtures.derive_prices(spark, folder, parts).rdd.getNumPartitions() == 8 * parts
+    assert sorted(map(repr, t.prices.collect())) == sorted(map(repr, plain.select(*t.prices.columns).collect()))
+
+
+def test_buckets_follow_the_input():
+    """A bucket's rows do not grow with the table: about 16 MB of input each, in powers of two."""
+    from fundlake.sources.tables import buckets_for
+
+    assert [buckets_for(n << 20) for n in (1, 128, 291, 1746, 6000)] == [8, 8, 32, 128, 512]
