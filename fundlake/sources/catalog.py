@@ -31,6 +31,9 @@ STATEMENTS = ("dre", "dva", "dfc", "bpa", "bpp")
 #: Input bytes per part: the tasks of steps over daily rows follow the input, as AQE would size them by narrow, well
 #: packed rows that take many times their size in a sort or an aggregation.
 PART_BYTES, LEAST_PARTS = 8 << 20, 8
+#: A statement has several rows per group and account of each quarter's input, and a measure may stack two of them in a
+#: task, so buckets are as many as an input of this many times the bytes would have.
+ROWS_TIMES = 4
 RAW_INPUTS = ("lineitem", "supplier", "nation", "region")
 
 
@@ -142,7 +145,7 @@ def load_tables(spark: SparkSession, sf_dir: str, materialize: bool = True, root
         manifest = f"{root}/_manifest"
         if not _exists(spark, manifest):
             size = _input_state(spark, sf_dir)[1]
-            (spark.range(1).select(F.lit(LAYOUT_VERSION).alias("version"), F.lit(defined.buckets_for(size)).alias("buckets"),
+            (spark.range(1).select(F.lit(LAYOUT_VERSION).alias("version"), F.lit(defined.buckets_for(ROWS_TIMES * size)).alias("buckets"),
                                    F.lit(max(1, size // PART_BYTES)).alias("parts")).write.mode("overwrite").parquet(manifest))
         found = spark.read.parquet(manifest).first()
         buckets, parts = found["buckets"], found["parts"]
