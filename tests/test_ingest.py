@@ -118,3 +118,18 @@ def test_seed_only_when_empty(spark, tmp_path):
     assert sinks.seed_if_empty(spark, path, seed) is True
     assert sinks.seed_if_empty(spark, path, seed) is False
     assert spark.read.parquet(path).count() == 1
+
+
+def test_file_names_are_matched_per_file_not_per_row(spark, tmp_path):
+    g = "DF Consolidado - Demonstração do Resultado"
+    land = tmp_path / "land é 1"  # a path that is written otherwise as a URI
+    (land / "x_DRE_x").mkdir(parents=True)
+    line = f"C1;{g};MIL;ÚLTIMO;2001-01-01;2001-03-31;3.0{{}};Receita;5"
+    _write(land, "dfp_cia_aberta_DRE_ind_2001.csv", [line.format(1)])
+    _write(land, "xyz_cia_aberta_DRE_con_2001.csv", [line.format(2)])  # a name that does not match is left out
+    _write(land / "x_DRE_x", "itr_cia_aberta_DRE_con_1999.csv", [line.format(3)])
+    active = spark.createDataFrame([("C1",)], "cnpj string")
+    for only in (None, {"DRE": sorted(str(p) for p in land.rglob("*.csv"))}):
+        df = load_statement(spark, str(land), "dre", active, only)
+        assert "regexp_extract" not in df._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted((r.itr_dfp, r.dt_refer, r.cd_conta) for r in df.collect()) == [("dfp", 2001, "3.01"), ("itr", 1999, "3.03")]

@@ -2,13 +2,14 @@
 
 import datetime as dt
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from fundlake.plans import ingest
 from fundlake.sources import fixtures, landing
-from fundlake.sources.catalog import load_tables
+from fundlake.sources.catalog import load_tables, tables_from_frames
 
 
 @pytest.fixture(scope="module")
@@ -110,3 +111,31 @@ def test_buckets_follow_the_input(spark, folder, monkeypatch, tmp_path):
     monkeypatch.setattr(catalog, "_input_state", lambda *_: ("x", 291 << 20))
     load_tables(spark, folder, root=str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/_manifest").first()["buckets"] == 32
+
+
+def test_inputs_are_rendered_side_by_side(spark, folder, monkeypatch, tmp_path):
+    """The renderings of two inputs wait for each other: one after the other they would never end."""
+    t, both = load_tables(spark, folder, root=str(tmp_path)), threading.Barrier(2)
+    monkeypatch.setattr(landing, "_render", lambda *a: both.wait(60))
+    landing.write_landing(t, f"{tmp_path}/land", ("statements/dva", "statements/bpa"))
+    monkeypatch.setattr(landing, "_render", lambda *a: pytest.fail("rendered again"))
+    landing.write_landing(t, f"{tmp_path}/land", ("statements/dva", "statements/bpa"))
+
+
+def test_due_quotes_are_chosen_before_they_are_rendered(spark, monkeypatch):
+    """No filter renders a line again; the lines are those of the days that landed, without headers and unreadable days."""
+    day = dt.date(2001, 8, 14)
+    rows = [(day + dt.timedelta(days=i - 80), f"S{i}3", None if i == 90 else 1.5 + i, 1, None if i == 95 else 29 * 31 * 37 * 19 * i, 5) for i in range(160)]
+    rows.append((None, "S13", 1.0, 1, 1, 5))
+    prices = spark.createDataFrame(rows, "date date, ticker string, preult double, totneg bigint, quatot bigint, number_shares bigint")
+    written = []
+    monkeypatch.setattr(landing, "_write_lines", lambda df, *a: written.append(df))
+    landing._render(tables_from_frames(**{**{k: None for k in fixtures.STATEMENTS}, "prices": prices, "tickers": None}), "", "quotes_by_day")
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter" in x and "lpad" in x]
+    value, name = F.col("value"), F.substring("value", 3, 8)
+    want = landing.quote_lines(prices).filter(
+        (F.substring(value, 1, 2) == "01") & (name >= f"{landing.STORED_UNTIL:%Y%m%d}") & ~name.isin(*landing.LATE_DAYS)
+        & F.try_to_date(name, "yyyyMMdd").isNotNull()).withColumn("dt", name)
+    got = sorted(map(tuple, written[0].select("value", "dt").collect()))
+    assert got == sorted(map(tuple, want.collect())) and len(got) > 300 and "20010815" not in {r[1] for r in got}
